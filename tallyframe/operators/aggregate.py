@@ -54,15 +54,21 @@ def entity_event_totals(
     return df.groupBy(*keys).agg(*columns)
 
 
-def team_game_stats(df: DataFrame, with_leaders: bool = False) -> DataFrame:
+def team_game_stats(
+    df: DataFrame, with_leaders: bool = False, keys: Sequence[str] = tuple(TEAM_GAME_KEYS)
+) -> DataFrame:
     """Player-game rows to team-game rows: totals, shooting ratios, orientation,
-    result and, if asked for, the three leaders."""
+    result and, if asked for, the three leaders.
+
+    With fewer ``keys`` (game and team) the game's own attributes can be joined
+    afterwards, when every group is down to one row.
+    """
     leaders = {out: (stat, "player_name") for out, stat in LEADERS.items()} if with_leaders else {}
     totals = entity_event_totals(
-        df, TEAM_GAME_KEYS, {c: c for c in SUMMED}, constants=["matchup", "wl"], leaders=leaders
+        df, keys, {c: c for c in SUMMED}, constants=["matchup", "wl"], leaders=leaders
     )
     return totals.select(
-        *TEAM_GAME_KEYS,
+        *keys,
         opponent("matchup").alias("opponent_abbreviation"),
         is_home("matchup").alias("is_home"),
         won("wl").alias("win"),
