@@ -181,13 +181,18 @@ def flatten_odds(games: DataFrame, fetched_at: Column) -> DataFrame:
 
 
 def parse_odds(payload: DataFrame, text: str, fetched_at: Column) -> DataFrame:
-    """JSON text column (array of games, or one game) to long odds rows."""
+    """JSON text column (array of games, or one game) to long odds rows.
+
+    The outer generator keeps Catalyst from inferring a filter on the parsed
+    array, which would parse every document twice; a document without games
+    falls out when the books are exploded.
+    """
     parsed = payload.select(
         F.when(F.ltrim(text).startswith("["), F.from_json(text, ODDS_PAYLOAD))
         .otherwise(F.array(F.from_json(text, ODDS_GAME)))
         .alias("games")
     )
-    games = parsed.select(F.inline("games"))
+    games = parsed.select(F.inline_outer("games"))
     return flatten_odds(games, fetched_at)
 
 
