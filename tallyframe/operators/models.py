@@ -52,10 +52,9 @@ class FittedModel:
     calibrators: list[IsotonicRegressionModel] = field(default_factory=list)
 
 
-def _present(train: DataFrame, inputs: Sequence[str]) -> list[str]:
-    """Inputs with at least one value; a median of nothing does not exist."""
-    counts = train.agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), 1)).alias(c) for c in inputs]).first()
-    return [c for c in inputs if counts[c] > 0]
+def _filled_counts(inputs: Sequence[str]) -> list[Column]:
+    """How many rows have a value, per input."""
+    return [F.count(F.when(F.col(c).isNotNull() & ~F.isnan(c), 1)).alias(c) for c in inputs]
 
 
 def base_pipeline(spec: ModelSpec, inputs: Sequence[str], n_rows: int) -> Pipeline:
@@ -129,27 +128,32 @@ def fit(train: DataFrame, spec: ModelSpec, inputs: Sequence[str] | None = None)
     side by side, as each is a series of small jobs.
     """
     wanted = list(inputs) if inputs is not None else feature_columns(train.columns)
-    used = _present(train, wanted)
-    rows = _prepared(train, used)
-    if not spec.calibrate:
-        model = base_pipeline(spec, used, rows.count()).fit(rows)
-        return FittedModel(used, [model])
-    folded = rows.withColumn("__inner", inner_fold(spec.calibration_folds)).persist()
+    rows = _prepared(train, wanted)
+    folds = spec.calibration_folds if spec.calibrate else 1
+    folded = rows.withColumn("__inner", inner_fold(folds)).persist()
     try:
-        sizes = {r["__inner"]: r["count"] for r in folded.groupBy("__inner").count().collect()}
-        total = sum(sizes.values())
+        # One small row per inner fold: its size and how often each input is present.
+        counts = folded.groupBy("__inner").agg(F.count(F.lit(1)).alias("__n"), *_filled_counts(wanted)).collect()
+
+        def base_model(kept: list, held: int | None) -> PipelineModel:
+            # The median of a column without values does not exist: leave it out.
+            present = [c for c in wanted if sum(r[c] for r in kept) > 0]
+            rest = folded if held is None else folded.filter(F.col("__inner") != held)
+            return base_pipeline(spec, present, sum(r["__n"] for r in kept)).fit(rest)
+
+        if not spec.calibrate:
+            return FittedModel(wanted, [base_model(counts, None)])
 
         @inheritable_thread_target(train.sparkSession)
-        def one(number: int):
-            rest = folded.filter(F.col("__inner") != number)
-            base = base_pipeline(spec, used, total - sizes[number]).fit(rest)
+        def one(number: int) -> tuple[PipelineModel, IsotonicRegressionModel]:
+            base = base_model([r for r in counts if r["__inner"] != number], number)
             return base, _fit_calibrator(base, folded.filter(F.col("__inner") == number))
 
         with ThreadPoolExecutor(max_workers=spec.parallelism) as pool:
-            pairs = list(pool.map(one, sorted(sizes)))
+            pairs = list(pool.map(one, sorted(r["__inner"] for r in counts)))
     finally:
         folded.unpersist()
-    return FittedModel(used, [p[0] for p in pairs], [p[1] for p in pairs])
+    return FittedModel(wanted, [p[0] for p in pairs], [p[1] for p in pairs])
 
 
 def predict(model: FittedModel, df: DataFrame, out: str = "model_home_win_prob") -> DataFrame:

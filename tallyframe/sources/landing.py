@@ -197,10 +197,18 @@ def parse_odds(payload: DataFrame, text: str, fetched_at: Column) -> DataFrame:
 
 
 def land_odds(
-    spark: SparkSession, source: str, path: str, fetched_at: Column | None = None
+    spark: SparkSession,
+    source: str,
+    path: str,
+    fetched_at: Column | None = None,
+    multi_line: bool = False,
 ) -> str:
     """Landed odds JSON files to the odds zone, every row stamped with one fetch
-    time. Only the dates in the payload are replaced."""
-    games = spark.read.option("multiLine", True).schema(ODDS_GAME).json(source)
+    time. Only the dates in the payload are replaced.
+
+    A line holds one game or an array of games; ``multi_line`` is for responses
+    stored with line breaks inside, one response per file.
+    """
+    games = spark.read.option("multiLine", multi_line).schema(ODDS_GAME).json(source)
     stamped = flatten_odds(games, F.current_timestamp() if fetched_at is None else fetched_at)
     return write_zone(stamped, path, ODDS, DATE_PARTITIONS)
