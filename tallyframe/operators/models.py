@@ -30,7 +30,7 @@ CALIBRATION_FOLDS = 5
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """Which learner, and how much work it may do."""
+    """Which learner, how much work it may do, and how many fits run side by side."""
 
     name: str = PRIMARY_MODEL
     seed: int = SEED
@@ -39,7 +39,8 @@ class ModelSpec:
     max_iter: int = 1000
     boosting_rounds: int = 20
     boosting_depth: int = 4
-    parallelism: int = 4
+    parallelism: int = 5
+    outer_parallelism: int = 2
 
 
 @dataclass
@@ -198,18 +199,22 @@ def walk_forward_scores(
     """Every test row of every fold, scored by a model that saw only earlier
     dates. The first block is never tested, hence absent.
 
-    The driver loops over a handful of folds; fits and scoring are distributed.
+    The driver runs a handful of folds, some side by side; fits and scoring are
+    distributed.
     ``prepared`` says that ``frame`` is already stored, so reading it repeatedly
     recomputes nothing.
     """
     stored = frame if prepared else cut_lineage(frame)
     blocked = with_block(stored, walk_forward_cutoffs(stored, n_splits))
     wanted = list(inputs) if inputs is not None else feature_columns(frame.columns)
-    pieces = []
-    for number in range(1, n_splits + 1):
+
+    @inheritable_thread_target(frame.sparkSession)
+    def one(number: int) -> DataFrame:
         train, test = fold(blocked, number)
-        model = fit(train, spec, wanted)
-        pieces.append(predict(model, test).withColumnRenamed("block", "fold"))
+        return predict(fit(train, spec, wanted), test).withColumnRenamed("block", "fold")
+
+    with ThreadPoolExecutor(max_workers=spec.outer_parallelism) as pool:
+        pieces = list(pool.map(one, range(1, n_splits + 1)))
     scored = pieces[0]
     for piece in pieces[1:]:
         scored = scored.unionByName(piece)
