@@ -19,17 +19,20 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def nearest(c: Column) -> Column:
+    """Nearest whole number, half away from zero, of a non-negative column."""
+    return F.floor(c + 0.5)
+
+
 def code(key: Column) -> Column:
     """A four-letter code of a number."""
-    letters = [
-        F.chr(F.lit(65) + F.floor(key / F.lit(26**i)).cast("long") % 26) for i in range(3)
-    ]
-    return F.concat(F.lit("T"), *letters)
+    letters = [F.chr(F.lit(65) + F.shiftright(key, 4 * i) % 16) for i in range(4)]
+    return F.concat(*letters)
 
 
 def code_sql(key: str) -> str:
-    letters = " || ".join(f"chr((65 + ({key} // {26**i}) % 26)::INTEGER)" for i in range(3))
-    return f"('T' || {letters})"
+    letters = " || ".join(f"chr((65 + ({key} // {16**i}) % 16)::INTEGER)" for i in range(4))
+    return f"({letters})"
 
 
 # ---- lineitem as player rows --------------------------------------------------
@@ -39,8 +42,8 @@ def box_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as player-game rows: order = game, supplier = team, part = player."""
     li = load(spark, sf_dir, "lineitem")
     reb = F.col("l_quantity").cast("long")
-    ast = F.round(F.col("l_discount") * 100).cast("long")
-    tov = F.round(F.col("l_tax") * 100).cast("long")
+    ast = nearest(F.col("l_discount") * 100)
+    tov = nearest(F.col("l_tax") * 100)
     own, other = code(F.col("l_suppkey")), code(F.col("l_partkey"))
     joint = (
         F.when(F.col("l_returnflag") == "R", " vs. ").when(F.col("l_returnflag") == "A", " @ ").otherwise(" - ")
@@ -97,8 +100,8 @@ def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.groupBy(F.col("l_orderkey").alias("game_id")).agg(
         F.sum(F.floor("l_extendedprice").cast("long")).alias("pts"),
         F.sum(F.col("l_quantity").cast("long")).alias("reb"),
-        F.sum(F.round(F.col("l_discount") * 100).cast("long")).alias("ast"),
-        F.sum(F.round(F.col("l_tax") * 100).cast("long")).alias("tov"),
+        F.sum(nearest(F.col("l_discount") * 100)).alias("ast"),
+        F.sum(nearest(F.col("l_tax") * 100)).alias("tov"),
         F.count(F.lit(1)).alias("lines"),
         F.max("l_quantity").alias("pace"),
         F.max(F.struct("l_extendedprice", "l_suppkey"))["l_suppkey"].alias("main_supplier"),
@@ -254,9 +257,15 @@ def rolled_sql(source: str, frame: str, name: str = "rolled", window: int = WIND
     )
 
 
+def to_six(c: str) -> Column:
+    """Six decimals, half away from zero, on plain doubles."""
+    x = F.col(f"`{c}`") if "." not in c else F.col(c)
+    return F.signum(x) * F.floor(F.abs(x) * 1e6 + 0.5) / 1e6 + 0.0
+
+
 def six(df: DataFrame, *columns: str) -> DataFrame:
     """Doubles at six decimals, as both engines may add in another order."""
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+    return df.withColumns({c: to_six(c) for c in columns})
 
 
 def six_sql(columns, prefix: str = "") -> str:
@@ -271,7 +280,7 @@ BOOKS = ["pinnacle", "book_b", "book_c"]
 def odds_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested odds document per order, built from the order's own columns."""
     o = load(spark, sf_dir, "orders")
-    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    cents = nearest(F.col("o_totalprice") * 100)
     home, away = _team_names()
     start = F.date_add(F.to_date("o_orderdate"), 0).cast("timestamp") + F.make_dt_interval(
         hours=(F.col("o_orderkey") % 24).cast("int")

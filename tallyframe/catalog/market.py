@@ -27,7 +27,7 @@ from tallyframe.operators.decisions import (
 )
 from tallyframe.operators.views import distinct_games
 from tallyframe.operators.windows import rolling_outputs, trailing
-from tallyframe.sources.landing import parse_odds
+from tallyframe.sources.landing import flatten_odds, parse_odds
 
 from .base import GAMES, ODDS_SQL, WINDOW, customer_games, load, odds_games, rolled_sql, six
 from .registry import query
@@ -135,9 +135,8 @@ _FETCHED = "2030-01-01 00:00:00"
 
 
 def odds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested JSON text per order, parsed back to long rows."""
-    text = odds_games(spark, sf_dir).select(F.to_json(F.struct("*")).alias("body"))
-    return parse_odds(text, "body", F.lit(_FETCHED).cast("timestamp"))
+    """Nested quotes of every order as long rows."""
+    return flatten_odds(odds_games(spark, sf_dir), F.lit(_FETCHED).cast("timestamp"))
 
 
 @query(
@@ -146,7 +145,10 @@ def odds(spark: SparkSession, sf_dir: str) -> DataFrame:
     "outcome_name, price, point FROM odds",
 )
 def odds_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return odds(spark, sf_dir).withColumn("commence_time", F.date_format("commence_time", "yyyy-MM-dd HH:mm:ss")).drop("fetched_at")
+    """JSON text per order, parsed and flattened."""
+    text = odds_games(spark, sf_dir).select(F.to_json(F.struct("*")).alias("body"))
+    long = parse_odds(text, "body", F.lit(_FETCHED).cast("timestamp"))
+    return long.withColumn("commence_time", F.date_format("commence_time", "yyyy-MM-dd HH:mm:ss")).drop("fetched_at")
 
 
 @query("available_books", f"WITH {ODDS_SQL} SELECT DISTINCT game_id, sportsbook FROM odds")

@@ -32,7 +32,7 @@ from tallyframe.operators.windows import (
 )
 from tallyframe.schema import ROLLING_COLUMNS
 
-from .base import GAMES, SIDED, customer_games, load, rolled_sql, sided_games, six
+from .base import GAMES, SIDED, customer_games, load, rolled_sql, sided_games, six, to_six
 from .registry import query
 from .rolling import rolled
 from .training import FRAME, frame
@@ -93,7 +93,7 @@ def playoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     board = leaderboard_view(_latest(spark, sf_dir), team_status(customer_games(spark, sf_dir)))
     numbers = ["pts", "eFG%", "TS%", "AST/TOV", "win%", "pts (home)", "pts (away)"]
-    return board.select("team", "status", "games", *[F.round(f"`{c}`", 6).alias(c) for c in numbers])
+    return board.select("team", "status", "games", *[to_six(c).alias(c) for c in numbers])
 
 
 @query(

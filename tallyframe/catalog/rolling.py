@@ -15,7 +15,7 @@ from tallyframe.operators.windows import (
 )
 from tallyframe.schema import ROLLING_COLUMNS
 
-from .base import GAMES, SIDED, WINDOW, customer_games, load, rolled_sql, sided_games, six, six_sql
+from .base import GAMES, SIDED, WINDOW, customer_games, load, nearest, rolled_sql, sided_games, six, six_sql
 from .registry import query
 
 IDS = ["season", "game_date", "game_id", "team_id", "team_abbreviation"]
@@ -54,7 +54,7 @@ def _orders_rolled(spark, sf_dir, outputs, *columns) -> DataFrame:
     f"SELECT o_orderkey, o_custkey, round(avg(round(o_totalprice*100)::BIGINT) OVER w, 6) AS rolling_cents FROM orders {_ORDER_WINDOW}",
 )
 def rolling_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    cents = nearest(F.col("o_totalprice") * 100)
     out = _orders_rolled(spark, sf_dir, {"rolling_cents": F.avg(cents)}, "rolling_cents")
     return six(out, "rolling_cents")
 
@@ -74,7 +74,7 @@ def rolling_count(spark: SparkSession, sf_dir: str) -> DataFrame:
       round(avg(CASE WHEN o_orderstatus = 'O' THEN round(o_totalprice*100)::BIGINT END) OVER w, 6) AS cents_away FROM orders {_ORDER_WINDOW}""",
 )
 def rolling_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    cents = nearest(F.col("o_totalprice") * 100)
     outputs = {
         "cents_home": F.avg(F.when(F.col("o_orderstatus") == "F", cents)),
         "cents_away": F.avg(F.when(F.col("o_orderstatus") == "O", cents)),
@@ -102,7 +102,7 @@ def events_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same operator over another entity/event table."""
     events = load(spark, sf_dir, "events")
     outputs = {
-        "rolling_cents": F.avg(F.round(F.col("value") * 100).cast("long")),
+        "rolling_cents": F.avg(nearest(F.col("value") * 100)),
         "n": F.count(F.lit(1)),
     }
     out = trailing(events, outputs, ["user_id"], ["ts", "event_id"], WINDOW)

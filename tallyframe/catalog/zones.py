@@ -33,7 +33,7 @@ from tallyframe.sources.zones import (
 )
 from tallyframe.streaming.incremental import incremental_totals
 
-from .base import GAMES, ODDS_SQL, customer_games, load, odds_games, rolled_sql, six, six_sql
+from .base import GAMES, ODDS_SQL, customer_games, load, nearest, odds_games, rolled_sql, six, six_sql
 from .market import decisions
 from .registry import query
 from .rolling import DOUBLES, rolled
@@ -296,7 +296,7 @@ def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         "user_id",
         "event_type",
-        F.round(F.col("value") * 100).cast("long").alias("cents"),
+        nearest(F.col("value") * 100).alias("cents"),
         F.year("ts").alias("season"),
         F.to_date("ts").alias("game_date"),
     )

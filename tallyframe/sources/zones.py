@@ -43,6 +43,16 @@ def guard_path(path: str, forbidden: tuple[str, ...]) -> None:
             raise ValueError(f"refusing to write to a {zone}/ path: {path}")
 
 
+def by_partition(df: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
+    """Bring the rows of a directory together before writing it.
+
+    Without this every task writes a file into every directory. The rebalance
+    hint shuffles by the partition columns, merges small days into one task and
+    splits a day too large for one task into several.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partitions])
+
+
 def write_zone(
     df: DataFrame,
     path: str,
@@ -53,13 +63,11 @@ def write_zone(
     """Replace the partitions ``df`` touches and no others.
 
     The frame is conformed first, so all files of a zone share one schema. An
-    empty frame touches nothing: earlier days stay. Rows are not repartitioned;
-    files are capped by row count instead, so a large day is written by many
-    tasks.
+    empty frame touches nothing: earlier days stay.
     """
     guard_path(path, forbidden)
     (
-        conform(df, schema)
+        by_partition(conform(df, schema), partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
