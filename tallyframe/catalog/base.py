@@ -97,6 +97,7 @@ BOX = f"""box AS (
 def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem folded to one row per order before anything is joined to it."""
     li = load(spark, sf_dir, "lineitem")
+    cents = nearest(F.col("l_extendedprice") * 100)
     return li.groupBy(F.col("l_orderkey").alias("game_id")).agg(
         F.sum(F.floor("l_extendedprice").cast("long")).alias("pts"),
         F.sum(F.col("l_quantity").cast("long")).alias("reb"),
@@ -104,8 +105,10 @@ def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(nearest(F.col("l_tax") * 100)).alias("tov"),
         F.count(F.lit(1)).alias("lines"),
         F.max("l_quantity").alias("pace"),
-        F.max(F.struct("l_extendedprice", "l_suppkey"))["l_suppkey"].alias("main_supplier"),
-    )
+        # Price in cents above, supplier below: one number, so the whole
+        # aggregate stays hash-based.
+        F.max(F.shiftleft(cents, 36) + F.col("l_suppkey")).alias("top"),
+    ).withColumn("main_supplier", F.col("top") % F.lit(1 << 36)).drop("top")
 
 
 TOTALS = """totals AS (
@@ -164,6 +167,11 @@ games AS (
   FROM orders LEFT JOIN totals ON o_orderkey = totals.game_id)"""
 
 
+def customer_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many rows per team as :func:`customer_games` has, from one column."""
+    return load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("team_id"))
+
+
 # ---- orders as two-sided games --------------------------------------------------
 
 
@@ -226,6 +234,13 @@ sided AS (
   SELECT season, game_date, game_id, team_abbreviation, team_id, is_home, win, pts, reb, ast, tov, {_METRICS_SQL} FROM sided0)"""
 
 
+def sided_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At least as many rows per team as :func:`sided_games`: every line of a
+    supplier instead of its orders."""
+    suppliers = load(spark, sf_dir, "lineitem").select((-F.col("l_suppkey") - 1).alias("team_id"))
+    return customer_bound(spark, sf_dir).unionByName(suppliers)
+
+
 # ---- rolling columns ------------------------------------------------------------
 
 ROLLING_SQL = {

@@ -29,7 +29,7 @@ from tallyframe.operators.views import distinct_games
 from tallyframe.operators.windows import rolling_outputs, trailing
 from tallyframe.sources.landing import flatten_odds, parse_odds
 
-from .base import GAMES, ODDS_SQL, WINDOW, customer_games, load, odds_games, rolled_sql, six
+from .base import GAMES, ODDS_SQL, WINDOW, customer_bound, customer_games, load, odds_games, rolled_sql, six
 from .registry import query
 
 # Prices of both signs, zero included, from every line item.
@@ -382,7 +382,9 @@ _LATEST_COLUMNS = ["games_in_window", "rolling_pts", "rolling_win_pct"]
 def odds_with_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Games with both teams' newest features; some away teams do not exist."""
     games = customer_games(spark, sf_dir)
-    features = trailing(games, rolling_outputs(games.columns), window=WINDOW)
+    features = trailing(
+        games, rolling_outputs(games.columns), window=WINDOW, bound_by=customer_bound(spark, sf_dir)
+    )
     fixtures = load(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("game_id"),
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("home_team_abbr"),
@@ -401,7 +403,9 @@ def odds_with_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pick_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit map of the inputs without the missing ones."""
     games = customer_games(spark, sf_dir)
-    features = trailing(games, rolling_outputs(games.columns), window=WINDOW)
+    features = trailing(
+        games, rolling_outputs(games.columns), window=WINDOW, bound_by=customer_bound(spark, sf_dir)
+    )
     audit = feature_map(["rolling_pts", "rolling_pts_home", "rolling_pts_away"])
     out = features.select("game_id", audit.alias("m"))
     return six(

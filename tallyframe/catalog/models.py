@@ -19,7 +19,7 @@ from tallyframe.operators.windows import latest_per_entity, rolling_outputs, tra
 from tallyframe.schema import ROLLING_COLUMNS
 from tallyframe.session import cut_lineage, scratch_path
 
-from .base import WINDOW, sided_games
+from .base import WINDOW, sided_bound, sided_games
 from .registry import query
 from .reports import requested_pairs
 from .training import frame
@@ -55,7 +55,9 @@ def games_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def matchups_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of customer and supplier that has met, from their newest rows."""
     games = sided_games(spark, sf_dir)
-    features = trailing(games, rolling_outputs(games.columns), window=WINDOW)
+    features = trailing(
+        games, rolling_outputs(games.columns), window=WINDOW, bound_by=sided_bound(spark, sf_dir)
+    )
     latest = latest_per_entity(
         features.select("team_abbreviation", "game_date", "game_id", *ROLLING_COLUMNS)
     )

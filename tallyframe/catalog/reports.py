@@ -32,7 +32,7 @@ from tallyframe.operators.windows import (
 )
 from tallyframe.schema import ROLLING_COLUMNS
 
-from .base import GAMES, SIDED, customer_games, load, rolled_sql, sided_games, six, to_six
+from .base import GAMES, SIDED, customer_games, load, rolled_sql, sided_bound, sided_games, six, to_six
 from .registry import query
 from .rolling import rolled
 from .training import FRAME, frame
@@ -199,7 +199,9 @@ pairs AS (SELECT DISTINCT 'C' || o_custkey AS home_team, 'S' || l_suppkey AS awa
 
 def _sided_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     games = sided_games(spark, sf_dir)
-    features = trailing(games, rolling_outputs(games.columns), window=10)
+    features = trailing(
+        games, rolling_outputs(games.columns), window=10, bound_by=sided_bound(spark, sf_dir)
+    )
     return latest_per_entity(features.select("team_abbreviation", "game_date", "game_id", *_H2H))
 
 

@@ -15,7 +15,7 @@ from tallyframe.operators.windows import (
 )
 from tallyframe.schema import ROLLING_COLUMNS
 
-from .base import GAMES, SIDED, WINDOW, customer_games, load, nearest, rolled_sql, sided_games, six, six_sql
+from .base import GAMES, SIDED, WINDOW, customer_bound, customer_games, load, nearest, rolled_sql, sided_bound, sided_games, six, six_sql
 from .registry import query
 
 IDS = ["season", "game_date", "game_id", "team_id", "team_abbreviation"]
@@ -25,7 +25,13 @@ _IDS_SQL = ", ".join(IDS)
 
 def rolled(spark: SparkSession, sf_dir: str, include_current: bool = True) -> DataFrame:
     games = customer_games(spark, sf_dir)
-    out = trailing(games, rolling_outputs(games.columns), window=WINDOW, include_current=include_current)
+    out = trailing(
+        games,
+        rolling_outputs(games.columns),
+        window=WINDOW,
+        include_current=include_current,
+        bound_by=customer_bound(spark, sf_dir),
+    )
     return out.select(*IDS, "is_home", "win", *ROLLING_COLUMNS)
 
 
@@ -120,7 +126,7 @@ _LAG_SQL = ", ".join(f"lag({c}) OVER e AS lag_{c}" for c in _LAGGED)
 )
 def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rolling, then one event back: same shuffle, a second window on top."""
-    out = lagged(rolled(spark, sf_dir), _LAGGED)
+    out = lagged(rolled(spark, sf_dir), _LAGGED, bound_by=customer_bound(spark, sf_dir))
     return six(out.select(*IDS, *[f"lag_{c}" for c in _LAGGED]), "lag_rolling_pts", "lag_rolling_win_pct")
 
 
@@ -140,7 +146,8 @@ def prior_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def without_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     games = customer_games(spark, sf_dir).select("game_id", "team_id", "game_date").withColumn("games_in_window", F.lit(1))
-    return drop_first_event(lagged(games, ["games_in_window"])).select("game_id", "team_id")
+    history = lagged(games, ["games_in_window"], bound_by=customer_bound(spark, sf_dir))
+    return drop_first_event(history).select("game_id", "team_id")
 
 
 @query(
@@ -170,7 +177,8 @@ _ASOF = ["game_date", "games_in_window", "rolling_pts", "rolling_win_pct"]
 def asof_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order with its main supplier's newest features dated before it."""
     games = sided_games(spark, sf_dir)
-    features = trailing(games, rolling_outputs(games.columns), window=WINDOW)
+    bound = sided_bound(spark, sf_dir)
+    features = trailing(games, rolling_outputs(games.columns), window=WINDOW, bound_by=bound)
     away = games.filter((F.col("team_id") < 0)).select("game_id", F.col("team_abbreviation").alias("away"))
     events = (
         load(spark, sf_dir, "orders")
@@ -186,5 +194,9 @@ def asof_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         right_order=["game_date", "game_id"],
         values=_ASOF,
         prefix="away_",
+        # One row per order on either side, so twice the lines covers both.
+        bound_by=bound.unionByName(bound).select(
+            F.concat(F.lit("S"), (-F.col("team_id") - 1).cast("string")).alias("team_abbreviation")
+        ),
     )
     return six(out, "away_rolling_pts", "away_rolling_win_pct")

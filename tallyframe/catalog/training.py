@@ -33,7 +33,7 @@ from tallyframe.operators.views import display_drivers
 from tallyframe.operators.windows import drop_first_event, lagged, rolling_outputs, trailing
 from tallyframe.schema import ROLLING_COLUMNS
 
-from .base import SIDED, WINDOW, load, rolled_sql, sided_games, six, six_sql
+from .base import SIDED, WINDOW, load, rolled_sql, sided_bound, sided_games, six, six_sql
 from .registry import query
 
 SIDES = ["home", "away"]
@@ -100,14 +100,15 @@ _FRAME_SQL = (
 def training_from_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From two tables, as stored: lag the features, pair the games, attach."""
     games = sided_games(spark, sf_dir)
-    features = trailing(games, rolling_outputs(games.columns), window=WINDOW)
-    return six(training_frame(features, games), *_DOUBLES)
+    bound = sided_bound(spark, sf_dir)
+    features = trailing(games, rolling_outputs(games.columns), window=WINDOW, bound_by=bound)
+    return six(training_frame(features, games, bound_by=bound), *_DOUBLES)
 
 
 @query("training_frame_fused", _FRAME_SQL)
 def training_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows from one window and one grouping."""
-    return six(training_frame_from_processed(sided_games(spark, sf_dir), WINDOW), *_DOUBLES)
+    return six(frame(spark, sf_dir), *_DOUBLES)
 
 
 @query(
@@ -120,13 +121,14 @@ def training_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def lag_attached(spark: SparkSession, sf_dir: str) -> DataFrame:
     games = sided_games(spark, sf_dir)
-    history = drop_first_event(lagged(games, ["pts", "game_id"]), "lag_game_id")
+    history = drop_first_event(lagged(games, ["pts", "game_id"], bound_by=sided_bound(spark, sf_dir)), "lag_game_id")
     out = attach_lagged(pair_home_away(games), history, ["pts"])
     return out.select("game_id", "home_team", "away_team", "label", "home_pts", "away_pts")
 
 
 def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_frame_from_processed(sided_games(spark, sf_dir), WINDOW)
+    games = sided_games(spark, sf_dir)
+    return training_frame_from_processed(games, WINDOW, bound_by=sided_bound(spark, sf_dir))
 
 
 # Scores for the checks below: a rolling share is a probability.

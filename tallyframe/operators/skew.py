@@ -74,6 +74,7 @@ def plan_splits(
     order: Sequence[str],
     lookback: int,
     policy: SplitPolicy = DEFAULT_POLICY,
+    bound_by: DataFrame | None = None,
 ) -> SplitPlan:
     """Find entities too large for one task and the points where to cut them.
 
@@ -82,9 +83,17 @@ def plan_splits(
     fall, never which rows are used. Every chunk but the last holds at least
     ``max(sample_per_chunk, lookback + 1)`` sampled keys, so one chunk always
     covers the look-back of the next.
+
+    ``bound_by`` is any cheaper frame with at least as many rows of every entity
+    (the table ``df`` was derived from, say). While no entity is large there,
+    ``df`` itself is not looked at.
     """
     entity, order = tuple(entity), tuple(order)
     none = SplitPlan(entity, order, lookback)
+    if bound_by is not None:
+        sizes = bound_by.groupBy(*entity).agg(F.count(F.lit(1)).alias("__n"))
+        if (sizes.agg(F.max("__n")).first()[0] or 0) <= policy.min_rows:
+            return none
     counts = df.groupBy(*entity).agg(F.count(F.lit(1)).alias("__n"))
     total, biggest = counts.agg(F.sum("__n"), F.max("__n")).first()
     if not total:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.schema import ROLLING_COLUMNS, TRAINING_COLUMNS, conform, training_schema
+from tallyframe.schema import ROLLING_COLUMNS, conform, training_schema
 
 from .skew import DEFAULT_POLICY, SplitPolicy
 from .windows import BOX_ORDER, DEFAULT_WINDOW, drop_first_event, lagged, rolling_outputs, trailing
@@ -81,7 +81,10 @@ def attach_lagged(games: DataFrame, history: DataFrame, columns: Sequence[str])
 
 
 def training_frame(
-    features: DataFrame, processed: DataFrame, policy: SplitPolicy = DEFAULT_POLICY
+    features: DataFrame,
+    processed: DataFrame,
+    policy: SplitPolicy = DEFAULT_POLICY,
+    bound_by: DataFrame | None = None,
 ) -> DataFrame:
     """Training matrix from a features zone and a processed zone.
 
@@ -92,7 +95,9 @@ def training_frame(
     absent = [c for c in ROLLING_COLUMNS if c not in features.columns]
     features = features.withColumns({c: F.lit(None).cast("double") for c in absent}) if absent else features
     entity = ["team_id"] if "team_id" in features.columns else ["team_abbreviation"]
-    history = drop_first_event(lagged(features, ROLLING_COLUMNS, entity, BOX_ORDER, policy=policy))
+    history = drop_first_event(
+        lagged(features, ROLLING_COLUMNS, entity, BOX_ORDER, policy=policy, bound_by=bound_by)
+    )
     games = attach_lagged(pair_home_away(processed), history, ROLLING_COLUMNS)
     return conform(games.filter(F.col("label").isNotNull()), training_schema())
 
@@ -101,7 +106,7 @@ def training_frame_from_processed(
     processed: DataFrame,
     window: int = DEFAULT_WINDOW,
     policy: SplitPolicy = DEFAULT_POLICY,
-    schema_types: bool = True,
+    bound_by: DataFrame | None = None,
 ) -> DataFrame:
     """The same matrix straight from team-game rows in two shuffles.
 
@@ -114,6 +119,7 @@ def training_frame_from_processed(
         window=window,
         include_current=False,
         policy=policy,
+        bound_by=bound_by,
     )
     values = [c for c in ROLLING_COLUMNS if c in rolled.columns]
     carried = ["game_date", "season", "team_abbreviation", "win", *values]
@@ -138,9 +144,7 @@ def training_frame_from_processed(
         *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in sides for c in values],
         F.col("home.win").cast("int").alias("label"),
     )
-    if schema_types:
-        return conform(flat, training_schema())
-    return flat.select([c for c in TRAINING_COLUMNS if c in flat.columns])
+    return conform(flat, training_schema())
 
 
 def chronological(df: DataFrame) -> DataFrame:

@@ -31,17 +31,19 @@ def trailing(
     include_current: bool = True,
     policy: SplitPolicy = DEFAULT_POLICY,
     splits: SplitPlan | None = None,
+    bound_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add aggregates over the last ``window`` rows of each entity.
 
     ``outputs`` maps names to plain aggregates (``F.avg("pts")``). All share one
     window, hence one shuffle and one sort. With ``include_current=False`` the
     frame ends before the current row: what was known on entering the event.
-    ``splits`` reuses a :func:`plan_splits` result with enough look-back.
+    ``splits`` reuses a :func:`plan_splits` result with enough look-back;
+    ``bound_by`` lets the check for large entities read a cheaper frame.
     """
     _checked(window)
     lookback = window - 1 if include_current else window
-    plan = splits or plan_splits(df, entity, order, lookback, policy)
+    plan = splits or plan_splits(df, entity, order, lookback, policy, bound_by)
     if plan.active and plan.lookback < lookback:
         raise ValueError(f"split plan looks back {plan.lookback} rows, {lookback} needed")
     source = window_input(df, plan)
@@ -74,13 +76,19 @@ def rolling_features(
     window: int = DEFAULT_WINDOW,
     include_current: bool = True,
     policy: SplitPolicy = DEFAULT_POLICY,
+    bound_by: DataFrame | None = None,
 ) -> DataFrame:
     """Team-game rows to rolling features in the declared schema.
 
     Windows run across seasons, as one team's games are one sequence.
     """
     rolled = trailing(
-        df, rolling_outputs(df.columns), window=window, include_current=include_current, policy=policy
+        df,
+        rolling_outputs(df.columns),
+        window=window,
+        include_current=include_current,
+        policy=policy,
+        bound_by=bound_by,
     )
     return conform(rolled, ROLLING)
 
@@ -93,9 +101,10 @@ def lagged(
     prefix: str = "lag_",
     policy: SplitPolicy = DEFAULT_POLICY,
     splits: SplitPlan | None = None,
+    bound_by: DataFrame | None = None,
 ) -> DataFrame:
     """Each column's value one event earlier; NULL on an entity's first event."""
-    plan = splits or plan_splits(df, entity, order, 1, policy)
+    plan = splits or plan_splits(df, entity, order, 1, policy, bound_by)
     source = window_input(df, plan)
     by_entity = Window.partitionBy(*source.partition_cols).orderBy(*order)
     return source.finish(
@@ -150,6 +159,7 @@ def asof_join(
     allow_equal: bool = False,
     left_entity: str | None = None,
     policy: SplitPolicy = DEFAULT_POLICY,
+    bound_by: DataFrame | None = None,
 ) -> DataFrame:
     """Every left row with the latest right row of its entity before it.
 
@@ -159,7 +169,8 @@ def asof_join(
     each chunk, so the look-back is unlimited.
 
     ``right_order`` starts with the time column; further columns break ties.
-    Strictly before unless ``allow_equal``.
+    Strictly before unless ``allow_equal``. ``bound_by`` is a cheaper frame with,
+    under ``entity``, at least as many rows of each entity as both sides together.
     """
     time, *ties = right_order
     # A row without entity or time precedes nothing.
@@ -190,7 +201,8 @@ def asof_join(
     )
     rows = stacked_left.unionByName(stacked_right)
     order = ["__time", "__side", *[f"__tie{i}" for i in range(len(ties))], "__spread"]
-    plan = plan_splits(rows, ["__entity"], order, 1, policy)
+    bound = None if bound_by is None else bound_by.select(F.col(entity).alias("__entity"))
+    plan = plan_splits(rows, ["__entity"], order, 1, policy, bound)
     keys = ["__entity"]
     if plan.active:
         rows = assign_chunks(rows, plan)
