@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyframe.operators.aggregate import (
@@ -101,17 +101,17 @@ def rebuild(spark: SparkSession, zones: Zones, window: int = DEFAULT_WINDOW) ->
 def run_daily(
     spark: SparkSession, zones: Zones, day: dt.date | str, window: int = DEFAULT_WINDOW
 ) -> DataFrame:
-    """One landed date through staging into processed, then the features of the
-    teams that played. A date without games changes nothing."""
+    """One landed date through staging into processed, then the features from its
+    season on. A date without games changes nothing."""
     on_day = F.col("game_date") == F.lit(str(day)).cast("date")
     raw = read_zone(spark, zones.raw, PLAYER_GAME).filter(on_day)
     if not raw.isEmpty():
         advanced = _advanced(spark, zones)
         totals = processed_rows(raw, None if advanced is None else advanced.filter(on_day))
         stage_then_promote(totals, zones.staging(str(day)), zones.processed)
-        write_features(
-            rolling_features(read_zone(spark, zones.processed, TEAM_GAME), window), zones.features
-        )
+        season = raw.agg(F.min("season")).first()[0]
+        processed = read_zone(spark, zones.processed, TEAM_GAME)
+        write_features(features_since_season(processed, season, window), zones.features)
     return audit(spark, zones)
 
 
@@ -127,6 +127,29 @@ def features_for_day(
     return rolling_features(history, window).filter(F.col("game_date") == target)
 
 
+def features_since_season(
+    processed: DataFrame, season: int, window: int = DEFAULT_WINDOW
+) -> DataFrame:
+    """Rolling features of ``season`` and later, equal to those of a full rebuild.
+
+    Features are stored by season, and a new or late game can change only rows
+    after it. Of the earlier seasons just the last ``window - 1`` games of each
+    team are kept; the per-team limit is applied before the shuffle too, so old
+    seasons are scanned but hardly move.
+    """
+    earlier = processed.filter(F.col("season") < season)
+    newest_first = Window.partitionBy("team_id").orderBy(
+        F.col("game_date").desc(), F.col("game_id").desc()
+    )
+    tails = (
+        earlier.withColumn("__n", F.row_number().over(newest_first))
+        .filter(F.col("__n") < window)
+        .drop("__n")
+    )
+    current = processed.filter(F.col("season") >= season)
+    return rolling_features(current.unionByName(tails), window).filter(F.col("season") >= season)
+
+
 def audit(spark: SparkSession, zones: Zones) -> DataFrame:
     return zone_audit(
         {

@@ -19,15 +19,28 @@ from tallyframe.schema import PLAYER_GAME, PLAYER_GAME_ADVANCED, TEAM_GAME
 from tallyframe.sources.zones import GAME_PARTITIONS, read_zone, write_zone, zone_has_rows
 
 
+MAX_LISTED = 1_000
+
+
 def touched_partitions(batch: DataFrame, full: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """All stored rows of the partitions a batch touches.
 
     Whole partitions are re-read, since replacing a date with one file's rows
-    would lose those of the files before it. The semi-join prunes the scan to
-    the touched directories at run time.
+    would lose those of the files before it. A batch touching few directories
+    names them in the filter, so only they are listed and read; beyond
+    ``MAX_LISTED`` a semi-join selects the rows.
     """
     keys = batch.select(*partitions).distinct()
-    return full.join(keys, list(partitions), "left_semi")
+    listed = keys.limit(MAX_LISTED + 1).collect()
+    if len(listed) > MAX_LISTED:
+        return full.join(keys, list(partitions), "left_semi")
+    wanted = F.lit(False)
+    for row in listed:
+        same = F.lit(True)
+        for name in partitions:
+            same = same & F.col(name).eqNullSafe(F.lit(row[name]))
+        wanted = wanted | same
+    return full.filter(wanted)
 
 
 def incremental_totals(

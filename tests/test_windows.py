@@ -15,7 +15,7 @@ from tallyframe.operators.windows import (
     trailing,
     trajectories,
 )
-from tallyframe.plans.jobs import features_for_day
+from tallyframe.plans.jobs import features_for_day, features_since_season
 from tallyframe.schema import ROLLING, ROLLING_COLUMNS, TEAM_GAME, conform
 
 from .conftest import day, exchanges, rows
@@ -182,3 +182,15 @@ def test_incremental_equals_full(spark):
     full = rolling_features(games).filter(F.col("game_date") == day("2026-01-04"))
     part = features_for_day(games, "2026-01-04")
     assert rows(full, "game_id", *ROLLING_COLUMNS) == rows(part, "game_id", *ROLLING_COLUMNS)
+
+
+def test_features_since_season_equal_full(spark):
+    games = conform(team_games(spark), TEAM_GAME).withColumn(
+        "season", F.when(F.dayofmonth("game_date") <= 5, 2024).when(F.dayofmonth("game_date") <= 7, 2025).otherwise(2026)
+    )
+    for season in (2024, 2025, 2026):
+        full = rolling_features(games, 6).filter(F.col("season") >= season)
+        part = features_since_season(games, season, 6)
+        assert rows(full, "season", "game_id", *ROLLING_COLUMNS) == rows(part, "season", "game_id", *ROLLING_COLUMNS)
+    plan = features_since_season(games, 2026, 6)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan

@@ -8,7 +8,8 @@ from tallyframe.plans.jobs import Zones, audit, rebuild, run_daily, training_mat
 from tallyframe.schema import ODDS, PLAYER_GAME, PLAYER_GAME_ADVANCED, ROLLING, TEAM_GAME, conform
 from tallyframe.sources import landing as L
 from tallyframe.sources import zones as Z
-from tallyframe.streaming.incremental import incremental_team_game
+from tallyframe.streaming import incremental
+from tallyframe.streaming.incremental import incremental_team_game, touched_partitions
 
 from .conftest import day, rows
 
@@ -212,3 +213,24 @@ def test_freshness(spark, tmp_path):
     Z.write_processed(team_rows(spark, ["2026-05-01"]), path)
     row = Z.zone_freshness(spark, path, TEAM_GAME).first()
     assert row.newest is not None and row.n_files >= 1
+
+
+def test_touched_partitions_prune_or_join(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "processed/t")
+    Z.write_processed(team_rows(spark, ["2026-05-01", "2026-05-02", "2026-05-03"]), path)
+    full = Z.read_zone(spark, path, TEAM_GAME)
+    batch = full.filter(F.col("game_date") <= day("2026-05-02")).limit(100)
+    few = touched_partitions(batch, full, ("season", "game_date"))
+    assert "PartitionFilters: [" in (plan := few._jdf.queryExecution().executedPlan().toString())
+    assert "2026-05-01" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    monkeypatch.setattr(incremental, "MAX_LISTED", 1)
+    many = touched_partitions(batch, full, ("season", "game_date"))
+    assert rows(few) == rows(many) and few.count() == 4
+    assert touched_partitions(batch.filter("false"), full, ("season", "game_date")).isEmpty()
+
+
+def test_a_day_is_written_by_few_tasks(spark, tmp_path):
+    path = str(tmp_path / "processed/few")
+    frame = team_rows(spark, [f"2026-05-{d:02d}" for d in range(1, 11)]).repartition(8)
+    Z.write_processed(frame, path)
+    assert Z.zone_freshness(spark, path, TEAM_GAME).first().n_files == 10
