@@ -14,6 +14,7 @@ from tallyframe.functions.market import (
     kelly_fraction,
     vig_percent,
 )
+from tallyframe.functions.scalars import wall_clock
 from tallyframe.operators.decisions import (
     anchor_market,
     attach_latest,
@@ -131,7 +132,7 @@ def disagreement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- odds -----------------------------------------------------------------------
 
-_FETCHED = "2030-01-01 00:00:00"
+_FETCHED = "2030-01-01T00:00:00Z"
 
 
 def odds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +149,7 @@ def odds_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON text per order, parsed and flattened."""
     text = odds_games(spark, sf_dir).select(F.to_json(F.struct("*")).alias("body"))
     long = parse_odds(text, "body", F.lit(_FETCHED).cast("timestamp"))
-    return long.withColumn("commence_time", F.date_format("commence_time", "yyyy-MM-dd HH:mm:ss")).drop("fetched_at")
+    return long.withColumn("commence_time", F.date_format(wall_clock("commence_time", "UTC"), "yyyy-MM-dd HH:mm:ss")).drop("fetched_at")
 
 
 @query("available_books", f"WITH {ODDS_SQL} SELECT DISTINCT game_id, sportsbook FROM odds")

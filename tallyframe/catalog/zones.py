@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyframe.functions.scalars import rename_lower
 from tallyframe.plans.jobs import Zones, features_for_day, rebuild, run_daily
 from tallyframe.schema import (
     ODDS,
@@ -18,11 +19,12 @@ from tallyframe.schema import (
     table,
 )
 from tallyframe.session import scratch_path
-from tallyframe.sources.landing import land_advanced, land_box_scores, land_odds
+from tallyframe.sources.landing import attach_matchup, land_advanced, land_box_scores, land_odds
 from tallyframe.sources.picks_sink import publish_picks, read_picks
 from tallyframe.sources.zones import (
     GAME_PARTITIONS,
     missing_dates,
+    read_csv_zone,
     read_odds_for_date,
     read_zone,
     stage_then_promote,
@@ -214,6 +216,38 @@ def odds_on_first_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_odds_for_date(spark, path, first).select("game_id", "sportsbook", "outcome_name", "price")
 
 
+@query(
+    "attach_matchup",
+    """SELECT l_orderkey::VARCHAR AS game_id, l_suppkey::INTEGER AS team_id, l_partkey AS player_id, date_trunc('quarter', o_orderdate)::DATE AS game_date,
+      CASE WHEN o_orderstatus = 'F' THEN 'AAA vs. BBB' ELSE 'AAA @ BBB' END AS matchup, CASE WHEN o_orderpriority < '3' THEN 'W' ELSE 'L' END AS wl
+      FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
+)
+def matchup_attached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Player rows with what the game log knows about their team's game."""
+    players, _, log = _payloads(spark, sf_dir)
+    return attach_matchup(rename_lower(players), log).select(
+        "game_id", "team_id", "player_id", "game_date", "matchup", "wl"
+    )
+
+
+@query(
+    "read_csv_zone",
+    """SELECT lpad(o_orderkey::VARCHAR, 10, '0') AS game_id, o_orderdate::DATE AS game_date, year(o_orderdate)::INTEGER AS season, o_orderpriority AS season_type,
+      o_custkey::INTEGER AS team_id FROM orders""",
+)
+def from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as CSV with a header, read with declared types: ids keep zeros."""
+    path = scratch_path(spark, "csv")
+    load(spark, sf_dir, "orders").select(
+        F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("game_id"),
+        F.to_date("o_orderdate").alias("game_date"),
+        F.year("o_orderdate").alias("season"),
+        F.col("o_orderpriority").alias("season_type"),
+        F.col("o_custkey").cast("int").alias("team_id"),
+    ).write.option("header", True).csv(path)
+    return read_csv_zone(spark, path, T.StructType(PLAYER_GAME.fields[:5]))
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> Zones:
     zones = Zones(scratch_path(spark, "zones"))
     players, ratings, log = _payloads(spark, sf_dir)

@@ -120,9 +120,15 @@ def rename_by_map(df: DataFrame, names: dict[str, str] | None = None) -> DataFra
     return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
 
 
+def wall_clock(c: Column | str, zone: str) -> Column:
+    """The local date and time of an instant in ``zone``, whatever the session's
+    own time zone is."""
+    return F.convert_timezone(None, F.lit(zone), _col(c).cast("timestamp_ntz"))
+
+
 def iso_utc(c: Column | str) -> Column:
     """ISO-8601 UTC text; microseconds appear only when there are any."""
-    ts = _col(c)
+    ts = wall_clock(c, "UTC")
     base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
     micros = F.date_format(ts, "SSSSSS")
     return F.concat(base, F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)), F.lit("+00:00"))

@@ -14,6 +14,7 @@ from tallyframe.functions.scalars import (
     rename_by_map,
     rename_lower,
     season_start_year,
+    wall_clock,
 )
 from tallyframe.schema import ODDS, PLAYER_GAME, PLAYER_GAME_ADVANCED, conform
 
@@ -158,7 +159,7 @@ def flatten_odds(games: DataFrame, fetched_at: Column) -> DataFrame:
     leaves = (
         games.select(
             F.col("id").alias("game_id"),
-            F.to_date(F.from_utc_timestamp(start, LEAGUE_ZONE)).alias("game_date"),
+            F.to_date(wall_clock(start, LEAGUE_ZONE)).alias("game_date"),
             start.alias("commence_time"),
             "home_team",
             "away_team",

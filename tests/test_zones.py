@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tallyframe.functions.scalars import iso_utc
 from tallyframe.plans.jobs import Zones, audit, rebuild, run_daily, training_matrix
 from tallyframe.schema import ODDS, PLAYER_GAME, PLAYER_GAME_ADVANCED, ROLLING, TEAM_GAME, conform
 from tallyframe.sources import landing as L
@@ -234,3 +235,19 @@ def test_a_day_is_written_by_few_tasks(spark, tmp_path):
     frame = team_rows(spark, [f"2026-05-{d:02d}" for d in range(1, 11)]).repartition(8)
     Z.write_processed(frame, path)
     assert Z.zone_freshness(spark, path, TEAM_GAME).first().n_files == 10
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Tokyo"])
+def test_dates_do_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(json.dumps(payload()),)], "body string")
+        out = L.parse_odds(df, "body", F.lit("2026-06-03T20:30:00Z").cast("timestamp"))
+        got = rows(out.select("game_id", "game_date", iso_utc("commence_time"), iso_utc("fetched_at")).distinct())
+        assert got == [
+            ("a", day("2026-06-03"), "2026-06-04T00:30:00+00:00", "2026-06-03T20:30:00+00:00"),
+            ("b", day("2026-06-06"), "2026-06-06T23:00:00+00:00", "2026-06-03T20:30:00+00:00"),
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
