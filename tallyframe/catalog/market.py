@@ -114,13 +114,13 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"round(CASE WHEN {_kelly('prob', 'home_odds', '0.5::DOUBLE')} > 0.05 THEN 0.05::DOUBLE ELSE {_kelly('prob', 'home_odds', '0.5::DOUBLE')} END, 6) AS kelly_capped FROM priced",
 )
 def kelly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    half = kelly_fraction("prob", "home_odds", 0.5)
-    out = priced(spark, sf_dir).select(
+    stakes = priced(spark, sf_dir).select(
         *_ID,
         kelly_fraction("prob", "home_odds").alias("kelly_full"),
-        half.alias("kelly_half"),
-        F.when(half.isNotNull(), F.least(half, F.lit(0.05))).alias("kelly_capped"),
+        kelly_fraction("prob", "home_odds", 0.5).alias("kelly_half"),
     )
+    half = F.col("kelly_half")
+    out = stakes.withColumn("kelly_capped", F.when(half.isNotNull(), F.least(half, F.lit(0.05))))
     return six(out, "kelly_full", "kelly_half", "kelly_capped")
 
 

@@ -54,22 +54,41 @@ def vig_percent(home: Column | str, away: Column | str) -> Column:
     return (overround(home, away) - 1.0) * 100.0
 
 
+def net_odds(odds: Column | str, strict: bool = False) -> Column:
+    """Profit per unit stake when the bet wins."""
+    return decimal_odds(odds, strict) - 1.0
+
+
+def expected_value_at(prob: Column | str, net: Column | str, strict: bool = False) -> Column:
+    """Expected profit per unit stake at given net odds.
+
+    With the net odds in a column of their own, several expressions can share
+    them; repeating the price formula instead makes generated code too long for
+    the JVM to compile.
+    """
+    p, b = _col(prob), _col(net)
+    return _guard(p.between(0.0, 1.0), p * b - (F.lit(1.0) - p), strict, "probability must be in [0, 1]")
+
+
+def kelly_at(prob: Column | str, net: Column | str, scale: float = 1.0, strict: bool = False) -> Column:
+    """Scaled growth-optimal stake at given net odds, never below zero."""
+    if scale < 0:
+        raise ValueError(f"scale must be >= 0, got {scale}")
+    p, b = _col(prob), _col(net)
+    edge = p * (b + 1.0) - 1.0
+    # Net odds are positive, so the edge alone decides the sign.
+    stake = F.when(edge <= 0, F.lit(0.0)).otherwise(edge / b * F.lit(float(scale)))
+    return _guard(p.between(0.0, 1.0), stake, strict, "probability must be in [0, 1]")
+
+
 def expected_value(prob: Column | str, odds: Column | str, strict: bool = False) -> Column:
     """Expected profit per unit stake."""
-    p = _col(prob)
-    net = decimal_odds(odds, strict) - 1.0
-    return _guard(p.between(0.0, 1.0), p * net - (F.lit(1.0) - p), strict, "probability must be in [0, 1]")
+    return expected_value_at(prob, net_odds(odds, strict), strict)
 
 
 def kelly_fraction(prob: Column | str, odds: Column | str, scale: float = 1.0, strict: bool = False) -> Column:
     """Scaled growth-optimal stake, never below zero."""
-    if scale < 0:
-        raise ValueError(f"scale must be >= 0, got {scale}")
-    p = _col(prob)
-    net = decimal_odds(odds, strict) - 1.0
-    full = (p * (net + 1.0) - 1.0) / net
-    stake = F.when(full.isNotNull(), F.greatest(full, F.lit(0.0)) * F.lit(float(scale)))
-    return _guard(p.between(0.0, 1.0), stake, strict, "probability must be in [0, 1]")
+    return kelly_at(prob, net_odds(odds, strict), scale, strict)
 
 
 def disagreement_pp(prob: Column | str, fair: Column | str) -> Column:
