@@ -235,7 +235,7 @@ def anchored(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PROB_WINDOW = "PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING"
 _PROBS = f"""probs AS (SELECT o_orderkey::VARCHAR AS game_id, round(0.5::DOUBLE + 0.25::DOUBLE * avg((o_orderstatus = 'F')::INTEGER) OVER ({_PROB_WINDOW}), 4) AS p,
   (o_totalprice > 300000) AS home_won, o_orderdate::DATE AS order_date FROM orders)"""
-_DECIDED = f"""{ODDS_SQL}, {_ANCHOR}, {_PROBS},
+DECIDED = f"""{ODDS_SQL}, {_ANCHOR}, {_PROBS},
 judged0 AS (SELECT game_id, game_date, home_team_full, away_team_full, home_odds, away_odds, p, home_won,
     coalesce(reject_reason, CASE WHEN home_odds IS NULL OR away_odds IS NULL THEN 'missing_price' WHEN home_odds = 0 OR away_odds = 0 THEN 'invalid_price'
       WHEN p IS NULL OR NOT p BETWEEN 0 AND 1 THEN 'invalid_probability' WHEN NOT {_H} + {_A} > 1 THEN 'market_without_margin' END) AS reject_reason,
@@ -302,14 +302,14 @@ def _flat(picks: DataFrame) -> DataFrame:
     return six(out, "fair_home_prob", "vig_percent", "expected_value", "kelly_fraction_half", "disagreement_pp")
 
 
-@query("picks", f"WITH {_DECIDED} SELECT {_PICK_COLUMNS} FROM picks")
+@query("picks", f"WITH {DECIDED} SELECT {_PICK_COLUMNS} FROM picks")
 def picks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(decisions(spark, sf_dir)[0])
 
 
 @query(
     "pick_rejects",
-    f"WITH {_DECIDED} SELECT game_id, game_date, home_team_full, away_team_full, reject_reason FROM staked WHERE reject_reason IS NOT NULL",
+    f"WITH {DECIDED} SELECT game_id, game_date, home_team_full, away_team_full, reject_reason FROM staked WHERE reject_reason IS NOT NULL",
 )
 def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decisions(spark, sf_dir)[1]
@@ -317,7 +317,7 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "json_out",
-    f"""WITH {_DECIDED} SELECT pick_id, game_date, strftime(game_date, '%Y-%m-%d') AS doc_date, '2030-01-01T00:00:00+00:00' AS doc_published, pick_side AS doc_side,
+    f"""WITH {DECIDED} SELECT pick_id, game_date, strftime(game_date, '%Y-%m-%d') AS doc_date, '2030-01-01T00:00:00+00:00' AS doc_published, pick_side AS doc_side,
       home_odds::VARCHAR AS doc_home_odds, kelly_was_capped::VARCHAR AS doc_capped, no_bet_reason AS doc_reason,
       'away_team_abbr' AS first_key FROM picks""",
 )
@@ -342,7 +342,7 @@ def json_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "picks_with_outcomes",
-    f"""WITH {_DECIDED} SELECT pick_id, pick_side, CASE WHEN game_date = order_date THEN probs.home_won END AS home_won,
+    f"""WITH {DECIDED} SELECT pick_id, pick_side, CASE WHEN game_date = order_date THEN probs.home_won END AS home_won,
       CASE WHEN game_date = order_date THEN CASE pick_side WHEN 'home' THEN probs.home_won WHEN 'away' THEN NOT probs.home_won END END AS pick_won
       FROM picks JOIN probs ON pick_id = game_id""",
 )

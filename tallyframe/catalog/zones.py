@@ -36,7 +36,7 @@ from tallyframe.sources.zones import (
 from tallyframe.streaming.incremental import incremental_totals
 
 from .base import GAMES, ODDS_SQL, customer_games, load, nearest, odds_games, rolled_sql, six, six_sql
-from .market import decisions
+from .market import DECIDED, decisions
 from .registry import query
 from .rolling import DOUBLES, rolled
 
@@ -302,7 +302,10 @@ def newest_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return six(out.select("game_id", "team_id", "games_in_window", *DOUBLES), *DOUBLES)
 
 
-@query("publish_picks")
+@query(
+    "publish_picks",
+    f"WITH {DECIDED} SELECT 'json' AS zone, count(*) AS n_rows FROM picks UNION ALL SELECT 'parquet', count(*) FROM picks",
+)
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Picks written as JSON text and typed rows, both read back and counted."""
     made = decisions(spark, sf_dir)[0].withColumn("game_date", F.trunc("game_date", "year"))
