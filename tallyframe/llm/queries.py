@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import encode_whole_table
 from .chat import format_chats, read_back
 from .linededup import dedup_lines
 from .registry import load, query
 from .sharding import assign_shards
 
 
+@query("op2_byte_bpe")
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the bytes they decode to."""
+    return encode_whole_table(spark, load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query(
     "op6_chat_format",
     r"""
