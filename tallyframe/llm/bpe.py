@@ -21,14 +21,13 @@ import hashlib
 import heapq
 import os
 from array import array
-from collections.abc import Iterator
 
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .arrow import append_columns
+
 LEAF_BYTES = 8
 NONE = 1 << 62  # above every rank
 DECODE_LEAF = 4096
@@ -205,34 +204,30 @@ def encode_documents(
         raise ValueError(f"{rank_file} is over {MAX_RANK_FILE} bytes, the bound for broadcasting it")
     with open(rank_file, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
+    kept = [c for c in docs.columns if not (digests and c == text_col)]
+
+    def start():
+        coder = TreeBpe(parse_ranks(shared.value), pattern)
+
+        def compute(texts: list) -> list[list]:
+            ids = [coder.encode(t or "") for t in texts]
+            counts = [len(x) // 4 for x in ids]
+            if not digests:
+                return [counts, ids]
+            return [
+                counts,
+                [hashlib.sha256(x).hexdigest() for x in ids],
+                [hashlib.sha256(coder.decode(x)).hexdigest() for x in ids],
+            ]
+
+        return compute
+
     results = (
         [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
         if digests
         else [("n_tokens", T.LongType()), ("ids", T.BinaryType())]
     )
-    fresh = {name for name, _ in results}
-    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in fresh])
-    if digests and text_col in kept.columns:
-        out_fields = [f for f in kept.schema.fields if f.name != text_col]
-    else:
-        out_fields = list(kept.schema.fields)
-    schema = T.StructType(out_fields + [T.StructField(n, t) for n, t in results])
-    carried = [f.name for f in out_fields]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = TreeBpe(parse_ranks(shared.value), pattern)
-        for batch in batches:
-            ids = [coder.encode(t) if isinstance(t, str) else b"" for t in batch[text_col]]
-            out = batch[carried].copy()
-            out["n_tokens"] = [len(x) // 4 for x in ids]
-            if digests:
-                out["ids_sha256"] = [hashlib.sha256(x).hexdigest() for x in ids]
-                out["decoded_sha256"] = [hashlib.sha256(coder.decode(x)).hexdigest() for x in ids]
-            else:
-                out["ids"] = ids
-            yield out
-
-    return kept.mapInPandas(run, schema)
+    return append_columns(docs, text_col, results, start, kept)
 
 
 def decode_documents(encoded: DataFrame, rank_file: str, ids_col: str = "ids") -> DataFrame:
@@ -241,15 +236,12 @@ def decode_documents(encoded: DataFrame, rank_file: str, ids_col: str = "ids") -
         raise ValueError(f"{rank_file} is over {MAX_RANK_FILE} bytes, the bound for broadcasting it")
     with open(rank_file, "rb") as f:
         shared = encoded.sparkSession.sparkContext.broadcast(f.read())
-    kept = encoded.select(*[F.col(f"`{c}`") for c in encoded.columns if c != "decoded"])
-    schema = T.StructType(list(kept.schema.fields) + [T.StructField("decoded", T.BinaryType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         coder = TreeBpe(parse_ranks(shared.value), ".")
-        for batch in batches:
-            yield batch.assign(decoded=[coder.decode(x) if x is not None else b"" for x in batch[ids_col]])
+        return lambda values: [[coder.decode(x or b"") for x in values]]
 
-    return kept.mapInPandas(run, schema)
+    return append_columns(encoded, ids_col, [("decoded", T.BinaryType())], start)
 
 
 def default_rank_file() -> str:

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from .bpe import encode_whole_table
 from .chat import format_chats, read_back
 from .linededup import dedup_lines
+from .quality import score_quality
 from .registry import load, query
 from .sharding import assign_shards
 
+QUALITY_THRESHOLD = 0.3
+
 
 @query("op2_byte_bpe")
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +21,15 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_whole_table(spark, load(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_quality(docs, load(spark, sf_dir, "labels")).withColumn(
+        "predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int")
+    )
+
+
 @query(
     "op6_chat_format",
     r"""
