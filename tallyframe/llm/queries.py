@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_whole_table
 from .chat import format_chats, read_back
 from .linededup import dedup_lines
+from .minhash import MinHashSpec, near_duplicates
 from .quality import score_quality
 from .registry import load, query
 from .sharding import assign_shards
@@ -21,6 +22,12 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_whole_table(spark, load(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op3_minhash_dedup")
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document, on four-word shingles."""
+    return near_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text"), MinHashSpec(words=4))
+
+
 @query("op4_quality")
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
