@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encode_whole_table
 from .chat import format_chats, read_back
+from .decontam import contaminated
 from .linededup import dedup_lines
 from .minhash import MinHashSpec, near_duplicates
 from .quality import score_quality
@@ -114,6 +115,21 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op8_decontamination")
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document: whether it overlaps the benchmark, with which items and over how many words at most."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contaminated(docs, load(spark, sf_dir, "benchmark")).groupBy("doc_id").agg(
+        F.sort_array(F.collect_list("item")).alias("items"), F.max("words").alias("words")
+    )
+    return docs.select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id",
+        F.col("items").isNotNull().alias("contaminated"),
+        F.coalesce("items", F.array().cast("array<bigint>")).alias("items"),
+        F.coalesce("words", F.lit(0).cast("long")).alias("words"),
+    )
+
+
 @query("op10_sharding")
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of equal bytes."""
