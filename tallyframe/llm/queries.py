@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_whole_table
 from .chat import format_chats, read_back
 from .decontam import contaminated
+from .lattice import linked_vectors
 from .linededup import dedup_lines
 from .minhash import MinHashSpec, near_duplicates
 from .quality import score_quality
@@ -38,6 +39,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_embedding_dedup")
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return linked_vectors(load(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 @query(
     "op6_chat_format",
     r"""
