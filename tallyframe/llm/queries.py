@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_whole_table
 from .chat import format_chats, read_back
 from .decontam import contaminated
+from .html import extract_main_text
 from .lattice import linked_vectors
 from .linededup import dedup_lines
 from .minhash import MinHashSpec, near_duplicates
@@ -137,6 +138,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_html_extraction")
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query("op10_sharding")
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of equal bytes."""
