@@ -12,11 +12,28 @@ from .html import extract_main_text
 from .lattice import linked_vectors
 from .linededup import dedup_lines
 from .minhash import MinHashSpec, near_duplicates
-from .quality import score_quality
+from .quality import held_out, score_quality
 from .registry import load, query
 from .sharding import assign_shards
+from .toxicity import fit_toxicity, score_toxicity
 
 QUALITY_THRESHOLD = 0.3
+TOXIC_THRESHOLD = 0.5
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of each toxicity category for every document."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = fit_toxicity(docs, load(spark, sf_dir, "labels"))
+    return score_toxicity(docs, chain).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "toxic_prose",
+        "toxic_junk",
+        F.col("toxic").alias("score"),
+        (F.col("toxic") >= TOXIC_THRESHOLD).cast("int").alias("predicted"),
+    )
 
 
 @query("op2_byte_bpe")
