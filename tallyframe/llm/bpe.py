@@ -23,7 +23,7 @@ import os
 from array import array
 
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .arrow import append_columns
@@ -187,12 +187,13 @@ def encode_documents(
     pattern: str,
     text_col: str = "text",
     digests: bool = False,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """Every row with ``ids`` (binary: little-endian unsigned 32-bit) and ``n_tokens``.
+    """Every row with ``n_tokens`` and ``ids`` (binary: little-endian unsigned 32-bit) in place of its text.
 
-    With ``digests`` the ids are decoded again and only ``n_tokens``,
-    ``ids_sha256`` and ``decoded_sha256`` are returned beside the other columns, so
-    that ids do not leave the task that made them.
+    With ``digests`` the ids are decoded again, and ``ids_sha256`` and
+    ``decoded_sha256`` are added. Without ``with_ids`` the ids stay in the task that
+    made them.
 
     A null or empty text has no tokens and decodes to no bytes. Repeated rows are
     encoded alike. An empty table gives an empty table. Other columns pass through;
@@ -204,30 +205,28 @@ def encode_documents(
         raise ValueError(f"{rank_file} is over {MAX_RANK_FILE} bytes, the bound for broadcasting it")
     with open(rank_file, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
-    kept = [c for c in docs.columns if not (digests and c == text_col)]
 
     def start():
         coder = TreeBpe(parse_ranks(shared.value), pattern)
 
         def compute(texts: list) -> list[list]:
             ids = [coder.encode(t or "") for t in texts]
-            counts = [len(x) // 4 for x in ids]
-            if not digests:
-                return [counts, ids]
-            return [
-                counts,
-                [hashlib.sha256(x).hexdigest() for x in ids],
-                [hashlib.sha256(coder.decode(x)).hexdigest() for x in ids],
-            ]
+            out: list[list] = [[len(x) // 4 for x in ids]]
+            if with_ids:
+                out.append(ids)
+            if digests:
+                out.append([hashlib.sha256(x).hexdigest() for x in ids])
+                out.append([hashlib.sha256(coder.decode(x)).hexdigest() for x in ids])
+            return out
 
         return compute
 
-    results = (
-        [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
-        if digests
-        else [("n_tokens", T.LongType()), ("ids", T.BinaryType())]
-    )
-    return append_columns(docs, text_col, results, start, kept)
+    fields: list[tuple[str, T.DataType]] = [("n_tokens", T.LongType())]
+    if with_ids:
+        fields.append(("ids", T.BinaryType()))
+    if digests:
+        fields += [("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
+    return append_columns(docs, text_col, fields, start, [c for c in docs.columns if c != text_col])
 
 
 def decode_documents(encoded: DataFrame, rank_file: str, ids_col: str = "ids") -> DataFrame:
@@ -255,8 +254,3 @@ def default_pattern() -> str:
     import public_tokenizers
 
     return public_tokenizers.PATTERN
-
-
-def encode_whole_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Digests of every document's ids and of what they decode to."""
-    return encode_documents(docs, default_rank_file(), default_pattern(), digests=True)

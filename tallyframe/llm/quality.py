@@ -15,8 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.session import cut_lineage
-
 from .arrow import append_columns
 
 FEATURES = (
@@ -70,14 +68,12 @@ def text_features(text: str | None, table: np.ndarray) -> list[float]:
     ]
 
 
-def with_features(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with an array column ``features``; the text itself stays only if kept."""
+def _start_features():
+    table = _class_table()
+    return lambda texts: [[text_features(t, table) for t in texts]]
 
-    def start():
-        table = _class_table()
-        return lambda texts: [[text_features(t, table) for t in texts]]
 
-    return append_columns(docs, text_col, [("features", T.ArrayType(T.DoubleType()))], start, keep)
+_FEATURES = ("features", T.ArrayType(T.DoubleType()))
 
 
 # ---- the model ----------------------------------------------------------------
@@ -239,65 +235,63 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(id_col.cast("string"), F.lit("")), "UTF-8")) % 5 == 0
 
 
-def training_rows(featured: DataFrame, labels: DataFrame, label: str, spec: GamSpec, id_col: str) -> DataFrame:
-    """Labelled, not held-out rows: all of them, or a hash sample of about ``spec.max_rows``."""
+def labelled_sample(labels: DataFrame, label: str, spec: GamSpec, id_col: str) -> DataFrame:
+    """Id and label of rows that may be learned from: all of them, or a hash sample of about ``spec.max_rows``."""
     known = (
-        labels.filter(F.col(label).isin(0, 1) & ~held_out(F.col(id_col)))
-        .groupBy(F.col(id_col).alias("__labelled"))
-        .agg(F.max(label).alias("__label"))
+        labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
+        .groupBy(F.col(id_col).cast("long").alias("id"))
+        .agg(F.max(label).alias("label"))
     )
     n = known.count()
     if n > spec.max_rows:
-        share = int(spec.max_rows / n * (1 << 32))
-        known = known.filter(F.pmod(F.xxhash64("__labelled"), F.lit(1 << 32)) < share)
-    return featured.select(F.col(id_col).alias("__id"), "features").join(
-        known, F.col("__id") == F.col("__labelled")
-    )
+        known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 32)) < int(spec.max_rows / n * (1 << 32)))
+    return known
 
 
 def fit_quality(
-    featured: DataFrame, labels: DataFrame, label: str = "quality", spec: GamSpec | None = None, id_col: str = "doc_id"
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "quality",
+    spec: GamSpec | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> Gam:
-    """The model learned from labelled rows; at most about ``spec.max_rows`` of them reach the driver."""
+    """The model learned from labelled documents that are not held out.
+
+    Their ids, bounded by ``spec.max_rows``, are broadcast to the documents, so no
+    text is shuffled; 20 numbers of each reach the driver. Rows of labels that are
+    null, neither 0 nor 1, or without a document teach nothing; of several labels of
+    one id the larger counts. Without labels of both kinds every score is the share
+    of label 1 (one half if there are none).
+    """
     spec = spec or GamSpec()
-    rows = training_rows(featured, labels, label, spec, id_col).select("__id", "features", "__label").collect()
-    rows.sort(key=lambda r: (r[0], r[1]))
-    x = np.array([r[1] for r in rows], dtype=float).reshape(len(rows), len(FEATURES))
-    return fit_gam(x, np.array([r[2] for r in rows], dtype=float), spec)
+    sample = F.broadcast(labelled_sample(labels, label, spec, id_col))
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    learn = append_columns(source.join(sample, "id"), "text", [_FEATURES], _start_features, ["id", "label"])
+    rows = learn.collect()
+    rows.sort(key=lambda r: (r["id"], r["features"]))
+    x = np.array([r["features"] for r in rows], dtype=float).reshape(len(rows), len(FEATURES))
+    return fit_gam(x, np.array([r["label"] for r in rows], dtype=float), spec)
 
 
-def score_features(featured: DataFrame, model: Gam, name: str = "score", keep: list[str] | None = None) -> DataFrame:
-    """``featured`` with the model's score; the tables travel with the function, a few kilobytes."""
-    width = len(FEATURES)
+def score_quality(
+    docs: DataFrame, model: Gam, text_col: str = "text", name: str = "score", keep: list[str] | None = None
+) -> DataFrame:
+    """``keep`` (all columns by default) and the model's score, 0 to 1, of every row of ``docs``.
+
+    Scores depend on the whole text alone; a null or empty one has a score like any
+    other. Repeated rows stay; an empty table gives an empty table. A column named
+    like the score is replaced. Nothing is shuffled: the lookup tables, a few
+    kilobytes, travel with the function.
+    """
 
     def start():
-        return lambda rows: [model.scores(np.array(rows, dtype=float).reshape(len(rows), width)).tolist()]
+        table = _class_table()
 
-    return append_columns(featured, "features", [(name, T.DoubleType())], start, keep)
+        def compute(texts: list) -> list[list]:
+            x = np.array([text_features(t, table) for t in texts], dtype=float).reshape(len(texts), len(FEATURES))
+            return [model.scores(x).tolist()]
 
+        return compute
 
-def score_quality(
-    docs: DataFrame,
-    labels: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    spec: GamSpec | None = None,
-) -> DataFrame:
-    """One row per row of ``docs``: its id, ``held_out`` and ``score`` (0 to 1, higher: label 1 likelier).
-
-    Scores depend on the text alone. A null or empty text has a score like any
-    other. Rows of labels that are null, neither 0 nor 1, or without a document are
-    not learned from; of several labels of one id the larger counts. Without labels
-    of both kinds every score is the share of label 1 (one half if none). Repeated
-    rows stay. A null id counts as an empty one for ``held_out``. An empty table
-    gives an empty table. Other columns are ignored.
-
-    The texts are read once, to make 20 numbers each, which are checkpointed and
-    used for both learning and scoring. Nothing but ids, labels and those numbers
-    is shuffled.
-    """
-    featured = cut_lineage(with_features(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), text_col, [id_col]))
-    model = fit_quality(featured, labels, spec=spec, id_col=id_col)
-    return score_features(featured, model, keep=[id_col]).select(
-        id_col, held_out(F.col(id_col)).alias("held_out"), "score"
-    )
+    return append_columns(docs, text_col, [(name, T.DoubleType())], start, keep)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import encode_whole_table
+from .bpe import default_pattern, default_rank_file, encode_documents
 from .chat import format_chats, read_back
 from .decontam import contaminated
 from .html import extract_main_text
 from .lattice import linked_vectors
 from .linededup import dedup_lines
 from .minhash import MinHashSpec, near_duplicates
-from .quality import held_out, score_quality
+from .quality import fit_quality, held_out, score_quality
 from .registry import load, query
 from .sharding import assign_shards
 from .toxicity import fit_toxicity, score_toxicity
@@ -39,7 +39,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_byte_bpe")
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the bytes they decode to."""
-    return encode_whole_table(spark, load(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_documents(docs, default_rank_file(), default_pattern(), digests=True, with_ids=False)
 
 
 @query("op3_minhash_dedup")
@@ -52,8 +53,12 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    return score_quality(docs, load(spark, sf_dir, "labels")).withColumn(
-        "predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int")
+    model = fit_quality(docs, load(spark, sf_dir, "labels"))
+    return score_quality(docs, model, keep=["doc_id"]).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
     )
 
 
