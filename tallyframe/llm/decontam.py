@@ -34,8 +34,7 @@ SPAN = 8
 class SeedSpec:
     """An overlap is ``window`` aligned words of which at most ``replaced`` differ.
 
-    An item of fewer words has to be found whole with at most the same share
-    replaced, and exactly if it is shorter than a seed's span. ``filter_bits``
+    An item of fewer words has to be found whole and exactly. ``filter_bits``
     fixes the size of the filter that keeps other seeds from being shuffled: a
     larger benchmark fills it up and lets more through, no seed is lost.
     """
@@ -70,10 +69,12 @@ def _mix(parts: list[np.ndarray], tag: int) -> np.ndarray:
     return h
 
 
-def seeds(words: np.ndarray, short: tuple[int, ...] = ()) -> list[tuple[np.ndarray, int]]:
+def seeds(
+    words: np.ndarray, short: tuple[int, ...] = (), masks: tuple[tuple[int, ...], ...] = MASKS
+) -> list[tuple[np.ndarray, int]]:
     """Seed hashes by position and their number of words: each mask, then whole runs of the ``short`` lengths."""
     out = []
-    for tag, mask in enumerate(MASKS):
+    for tag, mask in enumerate(masks):
         n = len(words) - SPAN + 1
         if n > 0:
             out.append((_mix([words[o : o + n] for o in mask], tag), SPAN))
@@ -84,7 +85,7 @@ def seeds(words: np.ndarray, short: tuple[int, ...] = ()) -> list[tuple[np.ndarr
     return out
 
 
-def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """One row per distinct word sequence: the smallest id, the words, how many ids have it, and its seeds."""
 
     def start():
@@ -95,7 +96,7 @@ def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFra
             for t in texts:
                 w = tokens(t)
                 words.append(w.view(np.int64))
-                own = seeds(w) if len(w) >= SPAN else seeds(w, (len(w),)) if len(w) else []
+                own = seeds(w) if len(w) >= window else seeds(w, (len(w),), masks=()) if len(w) else []
                 found.append([(int(h), p) for hs, _ in own for p, h in enumerate(hs.view(np.int64))])
             return [words, found]
 
@@ -192,10 +193,7 @@ def longest_overlap(doc: np.ndarray, item: np.ndarray, shift: int, spec: SeedSpe
     window = min(spec.window, len(item))
     if hi - lo < window:
         return None
-    if len(item) >= spec.window:
-        allowed = spec.replaced
-    else:
-        allowed = len(item) * spec.replaced // spec.window if len(item) >= SPAN else 0
+    allowed = spec.replaced if len(item) >= spec.window else 0
     missed = np.concatenate([[0], np.cumsum(doc[shift + lo : shift + hi] != item[lo:hi])])
     good = np.flatnonzero(missed[window:] - missed[:-window] <= allowed)
     if not good.size:
@@ -226,10 +224,10 @@ def contaminated(
     pass the filter.
     """
     spec = spec or SeedSpec()
-    items = cut_lineage(benchmark_items(benchmark, item_col, item_text_col))
+    items = cut_lineage(benchmark_items(benchmark, item_col, item_text_col, spec.window))
     lengths = items.select(F.size("words").alias("n"))
     longest = lengths.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-    short = tuple(sorted(r[0] for r in lengths.filter(F.col("n") < SPAN).distinct().collect()))
+    short = tuple(sorted(r[0] for r in lengths.filter(F.col("n") < spec.window).distinct().collect()))
     segments = cut_lineage(
         document_segments(docs, id_col, text_col, seed_filter(items, spec.filter_bits), short, longest)
     )

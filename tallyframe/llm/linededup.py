@@ -47,13 +47,15 @@ def dedup_lines(
     text_col: str = "text",
     min_chars: int = 40,
     min_docs: int = 5,
+    counts: bool = True,
 ) -> DataFrame:
     """Drop lines that many documents share, keeping them in the document of the largest id.
 
     A key of at least ``min_chars`` code points found in at least ``min_docs``
     documents loses all its lines except those of the largest id holding it; a
     line repeated inside that document stays repeated. Returns all columns of
-    ``docs`` with the text rebuilt, plus ``n_lines`` (before) and ``n_dropped``.
+    ``docs`` with the text rebuilt and, with ``counts``, ``n_lines`` (before) and
+    ``n_dropped``.
 
     A null or empty text is one empty line and comes back empty. Rows of one id
     count as one document and are treated alike; a null id is an id of its own,
@@ -84,7 +86,8 @@ def dedup_lines(
         .groupBy(_ID, _ROW)
         .agg(F.collect_set("pos").alias("__line_gone"))
     )
-    kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    added = ["n_lines", "n_dropped"] if counts else []
+    kept_columns = [c for c in docs.columns if c not in added]
     left = docs.select(*[F.col(f"`{c}`") for c in kept_columns], row.alias("__line_own"))
     joined = left.join(
         dropped,
@@ -94,13 +97,12 @@ def dedup_lines(
     pieces = split_lines(F.col(text_col))
     positions = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), F.col("__line_gone"))
     rebuilt = F.array_join(F.transform(positions, lambda p: F.get(F.col("__line_all"), p)), "\n")
-    return (
-        joined.withColumn("__line_all", pieces)
-        .withColumn("n_lines", F.size("__line_all").cast("long"))
-        .withColumn("n_dropped", F.coalesce(F.size("__line_gone"), F.lit(0)).cast("long"))
-        .withColumn(
-            text_col,
-            F.when(F.col("__line_gone").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(rebuilt),
-        )
-        .select(*[F.col(f"`{c}`") for c in kept_columns], "n_lines", "n_dropped")
+    whole = F.when(F.col("__line_gone").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(rebuilt)
+    numbers = {
+        "n_lines": F.size("__line_all").cast("long"),
+        "n_dropped": F.coalesce(F.size("__line_gone"), F.lit(0)).cast("long"),
+    }
+    return joined.withColumn("__line_all", pieces).select(
+        *[whole.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept_columns],
+        *[numbers[c].alias(c) for c in added],
     )
