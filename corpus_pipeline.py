@@ -13,10 +13,14 @@ from tallyframe.llm.quality import fit_quality, score_quality
 from tallyframe.llm.registry import load
 from tallyframe.session import scratch_path
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 QUALITY_THRESHOLD = 0.3
 
 
+def _own(docs: DataFrame) -> list:
+    """The columns a stage was given, whatever their names."""
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, learned from ``labels``, does not reject.
 
@@ -24,7 +28,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     empty; repeated rows share their fate.
     """
     model = fit_quality(docs, load(spark, sf_dir, "labels"))
-    return score_quality(docs, model, name="__score").filter(F.col("__score") >= QUALITY_THRESHOLD).select(COLUMNS)
+    return score_quality(docs, model, name="__score").filter(F.col("__score") >= QUALITY_THRESHOLD).select(_own(docs))
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +36,7 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A null text comes back empty. A document may end up empty and stays.
     """
-    return dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
+    return dedup_lines(docs, counts=False).withColumn("n_chars", F.char_length("text").cast("long")).select(_own(docs))
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,13 +48,13 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     groups = near_duplicates(docs.select("doc_id", "text"), MinHashSpec(words=5, percent=80))
     # The texts of one id stand for themselves; an id stays if any of them does.
     gone = groups.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
+    return docs.join(gone, "doc_id", "left_anti").select(_own(docs))
 
 
 def keep_unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap no item of ``benchmark``. Empty texts and rows without an id stay."""
     found = contaminated(docs.select("doc_id", "text"), load(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(COLUMNS)
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(_own(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
