@@ -250,7 +250,7 @@ picks AS (SELECT game_id AS pick_id, game_date, home_team_full, away_team_full,
     round(CASE pick_side WHEN 'home' THEN ev_home WHEN 'away' THEN ev_away END, 6) AS expected_value, round(CASE WHEN raw_kelly > 0.05 THEN 0.05::DOUBLE ELSE raw_kelly END, 6) AS kelly_fraction_half,
     round(disagreement_pp, 6) AS disagreement_pp, CASE WHEN pick_side = 'no_bet' THEN CASE WHEN disagreement_pp > 10 THEN 'disagreement_too_large' ELSE 'no_edge' END END AS no_bet_reason,
     coalesce(raw_kelly > 0.05, false) AS kelly_was_capped FROM staked WHERE reject_reason IS NULL)"""
-_PICK_COLUMNS = (
+PICK_COLUMNS = (
     "pick_id, game_date, home_team_full, away_team_full, model_prob_home_win, home_odds, away_odds, fair_home_prob, vig_percent, pick_side, pick_american_odds, "
     "expected_value, kelly_fraction_half, disagreement_pp, no_bet_reason, kelly_was_capped"
 )
@@ -280,7 +280,7 @@ def decisions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def _flat(picks: DataFrame) -> DataFrame:
+def flat_picks(picks: DataFrame) -> DataFrame:
     out = picks.select(
         "pick_id",
         "game_date",
@@ -302,9 +302,9 @@ def _flat(picks: DataFrame) -> DataFrame:
     return six(out, "fair_home_prob", "vig_percent", "expected_value", "kelly_fraction_half", "disagreement_pp")
 
 
-@query("picks", f"WITH {DECIDED} SELECT {_PICK_COLUMNS} FROM picks")
+@query("picks", f"WITH {DECIDED} SELECT {PICK_COLUMNS} FROM picks")
 def picks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(decisions(spark, sf_dir)[0])
+    return flat_picks(decisions(spark, sf_dir)[0])
 
 
 @query(
@@ -318,25 +318,51 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "json_out",
     f"""WITH {DECIDED} SELECT pick_id, game_date, strftime(game_date, '%Y-%m-%d') AS doc_date, '2030-01-01T00:00:00+00:00' AS doc_published, pick_side AS doc_side,
-      home_odds::VARCHAR AS doc_home_odds, kelly_was_capped::VARCHAR AS doc_capped, no_bet_reason AS doc_reason,
-      'away_team_abbr' AS first_key FROM picks""",
+      home_odds::VARCHAR AS doc_home_odds, kelly_was_capped::VARCHAR AS doc_capped, no_bet_reason AS doc_reason, home_team_full AS doc_home, away_team_full AS doc_away,
+      'catalog' AS doc_model, 'pinnacle' AS doc_book, away_odds::VARCHAR AS doc_away_odds, pick_american_odds::VARCHAR AS doc_pick_odds,
+      round(model_prob_home_win, 6) AS doc_prob, expected_value AS doc_value, kelly_fraction_half AS doc_kelly, round_even(raw_gap, 4) AS doc_disagreement,
+      fair_home_prob AS doc_fair, round_even(raw_vig, 4) AS doc_vig, 10.0::DOUBLE AS doc_max_disagreement, 0.05::DOUBLE AS doc_max_kelly,
+      round((model_prob_home_win - 0.5) * 4, 2) AS doc_feature,
+      'Made by a model for study. It can be wrong and is no advice to stake money.' AS doc_notes, 22 AS n_fields, true AS keys_sorted
+      FROM picks JOIN (SELECT game_id AS pick_id, disagreement_pp AS raw_gap, vig_percent AS raw_vig FROM staked) raw USING (pick_id)""",
 )
 def json_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published text, read back field by field."""
     docs = pick_json(decisions(spark, sf_dir)[0])
-    fields = {
+    texts = {
         "doc_date": "$.game_date",
         "doc_published": "$.published_at",
         "doc_side": "$.pick_side",
         "doc_home_odds": "$.market.home_odds_american",
+        "doc_away_odds": "$.market.away_odds_american",
+        "doc_pick_odds": "$.pick_american_odds",
         "doc_capped": "$.kelly_was_capped",
         "doc_reason": "$.no_bet_reason",
+        "doc_home": "$.home_team_full",
+        "doc_away": "$.away_team_full",
+        "doc_model": "$.model_version",
+        "doc_book": "$.market.sportsbook",
+        "doc_notes": "$.notes",
     }
+    numbers = {
+        "doc_prob": "$.model_prob_home_win",
+        "doc_value": "$.expected_value",
+        "doc_kelly": "$.kelly_fraction_half",
+        "doc_disagreement": "$.disagreement_pp",
+        "doc_fair": "$.market.fair_home_prob",
+        "doc_vig": "$.market.vig_percent",
+        "doc_max_disagreement": "$.max_disagreement_pp_used",
+        "doc_max_kelly": "$.max_kelly_fraction_used",
+    }
+    keys = F.json_object_keys("doc")
     return docs.select(
         "pick_id",
         "game_date",
-        *[F.get_json_object("doc", path).alias(name) for name, path in fields.items()],
-        F.regexp_extract("doc", r'^\{"(\w+)"', 1).alias("first_key"),
+        *[F.get_json_object("doc", path).alias(name) for name, path in texts.items()],
+        *[F.get_json_object("doc", path).cast("double").alias(name) for name, path in numbers.items()],
+        F.round(F.get_json_object("doc", "$.model_features.home_rolling_win_pct").cast("double"), 2).alias("doc_feature"),
+        F.size(keys).alias("n_fields"),
+        (keys == F.array_sort(keys)).alias("keys_sorted"),
     )
 
 

@@ -128,18 +128,20 @@ def leader_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _COMMENTARY = f"""WITH {GAMES}, {_SERIES}, {_STATUS}, {_LATEST},
 shown AS (SELECT team_abbreviation, games_in_window, round(rolling_ts_pct, 6) AS ts, rolling_win_pct, rolling_pts FROM latest)
-SELECT * FROM (SELECT 1 AS priority, 'leader' AS kind, team_abbreviation AS team FROM shown ORDER BY ts DESC NULLS LAST, team_abbreviation LIMIT 1)
-UNION ALL SELECT 2, 'full_window', team_abbreviation FROM shown WHERE games_in_window = 10
-UNION ALL SELECT 3, 'undefeated', team_abbreviation FROM shown WHERE games_in_window >= 4 AND rolling_win_pct = 1
-UNION ALL SELECT 4, 'winless', team_abbreviation FROM shown WHERE games_in_window >= 4 AND rolling_win_pct = 0
-UNION ALL SELECT 5, 'eliminated', team_abbreviation FROM status WHERE status = 'ELIMINATED'
-UNION ALL SELECT 6, 'still_active', NULL FROM status HAVING count(*) FILTER (WHERE status = 'ACTIVE') > 0"""
+SELECT * FROM (SELECT 1 AS priority, 'leader' AS kind, team_abbreviation AS team,
+  printf('%s shoots best: %.3f true shooting in the last %d games, %.1f%% of them won, %.3f points a game', team_abbreviation, ts, games_in_window::BIGINT, rolling_win_pct * 100, rolling_pts) AS note
+  FROM shown ORDER BY ts DESC NULLS LAST, team_abbreviation LIMIT 1)
+UNION ALL SELECT 2, 'full_window', team_abbreviation, printf('%s has played all %d games of its window', team_abbreviation, games_in_window::BIGINT) FROM shown WHERE games_in_window = 10
+UNION ALL SELECT 3, 'undefeated', team_abbreviation, printf('%s has won each of its last %d games', team_abbreviation, games_in_window::BIGINT) FROM shown WHERE games_in_window >= 4 AND rolling_win_pct = 1
+UNION ALL SELECT 4, 'winless', team_abbreviation, printf('%s has lost each of its last %d games', team_abbreviation, games_in_window::BIGINT) FROM shown WHERE games_in_window >= 4 AND rolling_win_pct = 0
+UNION ALL SELECT 5, 'eliminated', team_abbreviation, printf('%s is out after a lost series', team_abbreviation) FROM status WHERE status = 'ELIMINATED'
+UNION ALL SELECT 6, 'still_active', NULL, printf('%d of the %d teams in the playoffs play on', count(*) FILTER (WHERE status = 'ACTIVE'), count(*) FILTER (WHERE status IN ('ACTIVE', 'ELIMINATED'))) FROM status HAVING count(*) FILTER (WHERE status = 'ACTIVE') > 0"""
 
 
 @query("commentary", _COMMENTARY)
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = six(_latest(spark, sf_dir), "rolling_ts_pct")
-    return commentary(latest, team_status(customer_games(spark, sf_dir))).select("priority", "kind", "team")
+    return commentary(latest, team_status(customer_games(spark, sf_dir))).select("priority", "kind", "team", "note")
 
 
 @query(
@@ -297,6 +299,11 @@ def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("game_date")).distinct()
 
 
+@query("distinct_teams", f"WITH {GAMES} SELECT DISTINCT team_abbreviation FROM games")
+def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customer_games(spark, sf_dir).select("team_abbreviation").distinct()
+
+
 def _keys(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     orders = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("game_id"))
     lines = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("game_id"))
@@ -318,4 +325,4 @@ def games_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def games_except(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lines = _keys(spark, sf_dir)
-    return orders.join(lines, "game_id", "left_anti")
+    return orders.subtract(lines)

@@ -192,12 +192,36 @@ bins AS (SELECT bin::INTEGER AS bin, lower, upper, count(p) AS count, avg(p) AS
 
 @query(
     "calibration_bins",
-    f"WITH {SCORED}, {_BINS} SELECT bin, lower, upper, count, round(mean_pred, 6) AS mean_pred, round(actual_rate, 6) AS actual_rate FROM bins",
+    f"WITH {SCORED}, {_BINS} SELECT bin, lower, upper, count, round(mean_pred, 6) AS mean_pred, round(actual_rate, 6) AS actual_rate, 0::BIGINT AS invalid FROM bins",
 )
 def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return six(calibration_bins(scored(spark, sf_dir)), "mean_pred", "actual_rate")
 
 
+# Every fiftieth score below 0, above 1, missing or not a number.
+_SPOILED = """spoiled AS (SELECT CASE game_id::BIGINT % 50 WHEN 0 THEN -0.1::DOUBLE WHEN 1 THEN 1.4::DOUBLE WHEN 2 THEN NULL WHEN 3 THEN 'nan'::DOUBLE ELSE model_home_win_prob END AS p, label AS y FROM scored),
+edges AS (SELECT i AS bin, i * 0.1::DOUBLE AS lower, CASE WHEN i = 9 THEN 1.0::DOUBLE ELSE (i + 1) * 0.1::DOUBLE END AS upper FROM range(10) t(i)),
+ok AS (SELECT * FROM spoiled WHERE NOT isnan(p) AND p BETWEEN 0 AND 1), bad AS (SELECT (SELECT count(*) FROM spoiled) - (SELECT count(*) FROM ok) AS invalid)"""
+
+
+@query(
+    "calibration_bins_spoiled",
+    f"""WITH {SCORED}, {_SPOILED} SELECT bin::INTEGER AS bin, lower, upper, count(p) AS count, round(avg(p), 6) AS mean_pred, round(avg(y), 6) AS actual_rate, any_value(invalid) AS invalid
+      FROM edges CROSS JOIN bad LEFT JOIN ok ON p >= lower AND (p < upper OR (bin = 9 AND p <= upper)) GROUP BY bin, lower, upper""",
+)
+def calibration_spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reliability table of scores of which some are invalid."""
+    spoiled = (
+        F.when(F.col("game_id").cast("long") % 50 == 0, -0.1)
+        .when(F.col("game_id").cast("long") % 50 == 1, 1.4)
+        .when(F.col("game_id").cast("long") % 50 == 2, F.lit(None).cast("double"))
+        .when(F.col("game_id").cast("long") % 50 == 3, F.lit(float("nan")))
+        .otherwise(F.col("model_home_win_prob"))
+    )
+    bins = calibration_bins(scored(spark, sf_dir).withColumn("model_home_win_prob", spoiled))
+    return six(bins, "mean_pred", "actual_rate")
+
+
 @query(
     "ece_mce",
     f"""WITH {SCORED}, {_BINS} SELECT sum(count)::BIGINT AS n, round(sum(abs(mean_pred - actual_rate) * count) / sum(count), 6) AS ece,
@@ -209,8 +233,8 @@ def ece_mce(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "reliability_lines",
-    f"""WITH {SCORED}, {_BINS} SELECT bin, CASE WHEN count > 0 THEN printf('  %-14s  %4d    %.4f      %.4f     %.4f', printf('[%.2f,%.2f]', lower, upper), count,
-      mean_pred, actual_rate, abs(mean_pred - actual_rate)) ELSE printf('  %-14s  %4d      -            -        -', printf('[%.2f,%.2f]', lower, upper), count) END AS line FROM bins""",
+    f"""WITH {SCORED}, {_BINS} SELECT bin, printf('%.2f to %.2f', lower, upper) || CASE WHEN count > 0 THEN printf(' | n=%d | predicted %.4f | happened %.4f | apart %.4f', count,
+      mean_pred, actual_rate, abs(mean_pred - actual_rate)) ELSE ' | empty' END AS line FROM bins""",
 )
 def reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reliability_lines(calibration_bins(scored(spark, sf_dir)))

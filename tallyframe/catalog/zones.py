@@ -3,44 +3,61 @@ returns what reading them back gives."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions.scalars import rename_lower
 from tallyframe.plans.jobs import Zones, features_for_day, rebuild, run_daily
 from tallyframe.schema import (
+    DATE,
+    INT,
+    LONG,
     ODDS,
     PLAYER_GAME,
     PLAYER_GAME_ADVANCED,
     ROLLING,
+    ROLLING_COLUMNS,
+    STRING,
     TEAM_GAME,
     conform,
     table,
 )
 from tallyframe.session import scratch_path
-from tallyframe.sources.landing import attach_matchup, land_advanced, land_box_scores, land_odds
+from tallyframe.sources.landing import (
+    attach_matchup,
+    land_advanced,
+    land_box_scores,
+    land_odds,
+    normalize_box_scores,
+    parse_odds_rejects,
+    rejects_path,
+)
 from tallyframe.sources.picks_sink import publish_picks, read_picks
 from tallyframe.sources.zones import (
     GAME_PARTITIONS,
+    by_partition,
     missing_dates,
     read_csv_zone,
     read_odds_for_date,
     read_zone,
     stage_then_promote,
     write_features,
+    write_processed,
     write_zone,
     zone_audit,
     zone_freshness,
 )
-from tallyframe.streaming.incremental import incremental_totals
+from tallyframe.streaming.incremental import incremental_team_game, incremental_totals
 
 from .base import GAMES, ODDS_SQL, customer_games, load, nearest, odds_games, rolled_sql, six, six_sql
-from .market import DECIDED, decisions
+from .market import DECIDED, PICK_COLUMNS, decisions, flat_picks
 from .registry import query
 from .rolling import DOUBLES, rolled
 
-_PROCESSED = f"""WITH {GAMES} SELECT season, game_date, game_id::VARCHAR AS game_id, season_type, team_id::INTEGER AS team_id, team_abbreviation, opponent_abbreviation, is_home, win,
+_PROCESSED = f"""WITH {GAMES} SELECT season, date_trunc('quarter', game_date)::DATE AS game_date, game_id::VARCHAR AS game_id, season_type, team_id::INTEGER AS team_id, team_abbreviation, opponent_abbreviation, is_home, win,
   pts, reb, ast, tov, round(effective_fg_pct, 6) AS effective_fg_pct, round(off_rating, 6) AS off_rating, pace FROM games"""
 _PROCESSED_COLUMNS = [
     "season", "game_date", "game_id", "season_type", "team_id", "team_abbreviation", "opponent_abbreviation", "is_home", "win",
@@ -48,16 +65,10 @@ _PROCESSED_COLUMNS = [
 ]
 
 
-def _by_month(df: DataFrame) -> DataFrame:
-    """Partition by month in these queries: the tables span thousands of days of a
-    few rows each, and one directory per day would only measure the file system."""
-    return df.withColumn("game_month", F.trunc("game_date", "month"))
-
-
-_MONTHLY = ("season", "game_month")
-
-
-MONTHLY_TEAM_GAME = T.StructType([*TEAM_GAME.fields, *table(date="game_month").fields])
+def _by_quarter(date: Column | str = "game_date") -> Column:
+    """Dates of these queries: the tables span thousands of days of about six rows, and
+    a directory for each would only measure the file system (175 s for 15,000 rows)."""
+    return F.trunc(date, "quarter")
 
 
 @query("write_processed", _PROCESSED)
@@ -65,20 +76,22 @@ def processed_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written partitioned, a second time over itself, and read back: a replay
     changes nothing."""
     path = scratch_path(spark, "processed")
-    games = _by_month(customer_games(spark, sf_dir))
+    games = customer_games(spark, sf_dir).withColumn("game_date", _by_quarter())
     for _ in range(2):
-        write_zone(games, path, MONTHLY_TEAM_GAME, _MONTHLY, ("raw",))
-    return six(read_zone(spark, path, MONTHLY_TEAM_GAME).select(*_PROCESSED_COLUMNS), "effective_fg_pct", "off_rating")
+        write_processed(games, path)
+    return six(read_zone(spark, path, TEAM_GAME).select(*_PROCESSED_COLUMNS), "effective_fg_pct", "off_rating")
 
 
 @query("stage_then_promote", _PROCESSED)
 def promoted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Through staging; an empty run afterwards leaves the zone intact."""
-    path = scratch_path(spark, "promoted")
-    games = _by_month(customer_games(spark, sf_dir))
-    stage_then_promote(games, scratch_path(spark, "staging"), path, MONTHLY_TEAM_GAME, _MONTHLY)
-    write_zone(games.filter("game_id is null"), path, MONTHLY_TEAM_GAME, _MONTHLY)
-    return six(read_zone(spark, path, MONTHLY_TEAM_GAME).select(*_PROCESSED_COLUMNS), "effective_fg_pct", "off_rating")
+    """Through a staging zone in which an earlier attempt left rows of other
+    partitions; an empty run afterwards leaves the zone intact."""
+    path, staging = scratch_path(spark, "promoted"), scratch_path(spark, "staging")
+    games = customer_games(spark, sf_dir).withColumn("game_date", _by_quarter())
+    write_processed(games.withColumn("season", F.col("season") + 100).filter("game_id % 50 = 0"), staging)
+    stage_then_promote(games, staging, path)
+    write_processed(games.filter("game_id is null"), path)
+    return six(read_zone(spark, path, TEAM_GAME).select(*_PROCESSED_COLUMNS), "effective_fg_pct", "off_rating")
 
 
 @query(
@@ -109,18 +122,21 @@ def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_audit({name: load(spark, sf_dir, name) for name in ("orders", "lineitem", "events")})
 
 
-@query("zone_freshness")
+@query("zone_freshness", "SELECT 4 AS n_files, true AS is_fresh")
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load(spark, sf_dir, "orders")
-    return zone_freshness(spark, f"{sf_dir}/orders.parquet", orders.schema)
+    """File count and age of a zone just written in four files."""
+    path = scratch_path(spark, "fresh")
+    before = dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=5)
+    load(spark, sf_dir, "orders").repartition(4).write.parquet(path)
+    seen = zone_freshness(spark, path)
+    return seen.select(F.col("n_files").cast("int").alias("n_files"), (F.col("newest") >= F.lit(before)).alias("is_fresh"))
 
 
 # ---- landing ----------------------------------------------------------------------
 
 
 def _payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Feed-shaped payloads from lineitem and orders, dates folded to years so that
-    partitioned writes stay few."""
+    """Feed-shaped payloads from lineitem and orders."""
     li = load(spark, sf_dir, "lineitem")
     orders = load(spark, sf_dir, "orders")
     players = li.select(
@@ -148,7 +164,7 @@ def _payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
         .select(
             F.col("l_orderkey").alias("GAME_ID"),
             F.col("l_suppkey").alias("TEAM_ID"),
-            F.trunc("o_orderdate", "quarter").alias("GAME_DATE"),
+            _by_quarter("o_orderdate").alias("GAME_DATE"),
             F.when(F.col("o_orderstatus") == "F", "AAA vs. BBB").otherwise("AAA @ BBB").alias("MATCHUP"),
             F.when(F.col("o_orderpriority") < "3", "W").otherwise("L").alias("WL"),
         )
@@ -185,34 +201,38 @@ def landed_advanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return six(out, "off_rating")
 
 
+def _quarterly_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odds documents whose games start at noon of their quarter's first day."""
+    quarter = _by_quarter(F.to_date(F.substring("commence_time", 1, 10)))
+    return odds_games(spark, sf_dir).withColumn("commence_time", F.date_format(quarter, "yyyy-MM-dd'T'12:00:00'Z'"))
+
+
 @query(
     "land_odds",
-    f"""WITH {ODDS_SQL} SELECT game_id, home_team, away_team, sportsbook, market_type, outcome_name, price, point FROM odds""",
+    f"""WITH {ODDS_SQL} SELECT game_id, date_trunc('quarter', o_orderdate)::DATE AS game_date, home_team, away_team, sportsbook, market_type, outcome_name, price, point
+      FROM odds JOIN (SELECT o_orderkey::VARCHAR AS game_id, o_orderdate FROM orders) o USING (game_id)""",
 )
 def landed_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON files landed, flattened, written by date and read back. Start times are
-    folded to months first, so that the zone has few dates."""
+    """JSON files landed, flattened, written by date and read back."""
     source = scratch_path(spark, "odds-json")
-    folded = F.date_format(F.trunc(F.to_date(F.substring("commence_time", 1, 10)), "year"), "yyyy-MM-dd'T'12:00:00'Z'")
-    odds_games(spark, sf_dir).withColumn("commence_time", folded).write.json(source)
+    _quarterly_odds(spark, sf_dir).write.json(source)
     path = land_odds(spark, source, scratch_path(spark, "odds"))
     return read_zone(spark, path, ODDS).select(
-        "game_id", "home_team", "away_team", "sportsbook", "market_type", "outcome_name", "price", "point"
+        "game_id", "game_date", "home_team", "away_team", "sportsbook", "market_type", "outcome_name", "price", "point"
     )
 
 
 @query(
     "read_odds_for_date",
-    f"""WITH {ODDS_SQL}, first AS (SELECT min(year(o_orderdate)) AS y FROM orders), src AS (SELECT o_orderkey::VARCHAR AS game_id, year(o_orderdate) AS y FROM orders)
-      SELECT odds.game_id, sportsbook, outcome_name, price FROM odds JOIN src USING (game_id), first WHERE src.y = first.y""",
+    f"""WITH {ODDS_SQL}, q AS (SELECT o_orderkey::VARCHAR AS game_id, date_trunc('quarter', o_orderdate) AS d FROM orders)
+      SELECT game_id, sportsbook, outcome_name, price FROM odds JOIN q USING (game_id) WHERE d = (SELECT min(d) FROM q)""",
 )
 def odds_on_first_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The earliest date of a written odds zone; only its directory is read."""
     source = scratch_path(spark, "odds-json")
-    folded = F.date_format(F.trunc(F.to_date(F.substring("commence_time", 1, 10)), "year"), "yyyy-MM-dd'T'12:00:00'Z'")
-    odds_games(spark, sf_dir).withColumn("commence_time", folded).write.json(source)
+    _quarterly_odds(spark, sf_dir).write.json(source)
     path = land_odds(spark, source, scratch_path(spark, "odds"))
-    first = load(spark, sf_dir, "orders").agg(F.min(F.trunc("o_orderdate", "year")).alias("d")).first()["d"]
+    first = read_zone(spark, path, ODDS).agg(F.min("game_date").alias("d")).first()["d"]
     return read_odds_for_date(spark, path, first).select("game_id", "sportsbook", "outcome_name", "price")
 
 
@@ -232,7 +252,7 @@ def matchup_attached(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "read_csv_zone",
-    """SELECT lpad(o_orderkey::VARCHAR, 10, '0') AS game_id, o_orderdate::DATE AS game_date, year(o_orderdate)::INTEGER AS season, o_orderpriority AS season_type,
+    """SELECT lpad(o_orderkey::VARCHAR, 10, '0') AS game_id, date_trunc('quarter', o_orderdate)::DATE AS game_date, year(o_orderdate)::INTEGER AS season, o_orderpriority AS season_type,
       o_custkey::INTEGER AS team_id FROM orders""",
 )
 def from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,32 +281,31 @@ _TEAM = """team AS (SELECT l_orderkey::VARCHAR AS game_id, l_suppkey::INTEGER AS
 dated AS (SELECT team.*, date_trunc('quarter', o_orderdate)::DATE AS game_date, o_orderstatus = 'F' AS is_home, o_orderpriority < '3' AS win FROM team JOIN orders ON o_orderkey = game_id::BIGINT)"""
 
 
-@query(
-    "rebuild",
-    f"""WITH {_TEAM} SELECT game_id, game_date, team_id, (count(*) OVER w)::INTEGER AS games_in_window, round(avg(pts) OVER w, 6) AS rolling_pts, round(avg(win::INTEGER) OVER w, 6) AS rolling_win_pct,
-      round(avg(CASE WHEN is_home THEN pts END) OVER w, 6) AS rolling_pts_home, round(avg(off_rating) OVER w, 6) AS rolling_ortg, round(avg(pace) OVER w, 6) AS rolling_pace
-      FROM dated WINDOW w AS (PARTITION BY team_id ORDER BY game_date, game_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
-)
+_FEATURES = """2025 AS season, game_id, game_date, team_id, NULL::VARCHAR AS team_abbreviation, (count(*) OVER w)::INTEGER AS games_in_window, round(avg(pts) OVER w, 6) AS rolling_pts,
+      NULL::DOUBLE AS rolling_efg_pct, NULL::DOUBLE AS rolling_ts_pct, NULL::DOUBLE AS rolling_ast_to_tov, round(avg(win::INTEGER) OVER w, 6) AS rolling_win_pct,
+      round(avg(CASE WHEN is_home THEN pts END) OVER w, 6) AS rolling_pts_home, round(avg(CASE WHEN NOT is_home THEN pts END) OVER w, 6) AS rolling_pts_away,
+      round(avg(off_rating) OVER w, 6) AS rolling_ortg, NULL::DOUBLE AS rolling_drtg, NULL::DOUBLE AS rolling_net_rtg, round(avg(pace) OVER w, 6) AS rolling_pace"""
+_BY_TEAM = "WINDOW w AS (PARTITION BY team_id ORDER BY game_date, game_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"
+
+
+@query("rebuild", f"WITH {_TEAM} SELECT {_FEATURES} FROM dated {_BY_TEAM}")
 def rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed payloads through raw, processed and features zones."""
     zones = _landed(spark, sf_dir)
     rebuild(spark, zones)
-    out = read_zone(spark, zones.features, ROLLING).select(
-        "game_id", "game_date", "team_id", "games_in_window", "rolling_pts", "rolling_win_pct", "rolling_pts_home", "rolling_ortg", "rolling_pace"
-    )
-    return six(out, "rolling_pts", "rolling_win_pct", "rolling_pts_home", "rolling_ortg", "rolling_pace")
+    return six(read_zone(spark, zones.features, ROLLING), *ROLLING_COLUMNS[1:])
 
 
 @query(
     "run_daily",
-    f"""WITH {_TEAM}, last AS (SELECT max(date_trunc('quarter', o_orderdate)::DATE) AS d FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
-      SELECT 'raw' AS zone, count(*) AS n_rows FROM lineitem UNION ALL SELECT 'processed', count(*) FROM dated, last WHERE game_date = d UNION ALL SELECT 'features', count(*) FROM dated, last WHERE game_date = d""",
+    f"WITH {_TEAM}, last AS (SELECT * FROM dated WHERE game_date = (SELECT max(game_date) FROM dated)) SELECT {_FEATURES} FROM last {_BY_TEAM}",
 )
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest date through staging into processed and features."""
+    """The newest date through staging into processed and features; its feature rows."""
     zones = _landed(spark, sf_dir)
     newest = read_zone(spark, zones.raw, PLAYER_GAME).agg(F.max("game_date")).first()[0]
-    return run_daily(spark, zones, newest)
+    run_daily(spark, zones, newest)
+    return six(read_zone(spark, zones.features, ROLLING), *ROLLING_COLUMNS[1:])
 
 
 @query(
@@ -304,20 +323,61 @@ def newest_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "publish_picks",
-    f"WITH {DECIDED} SELECT 'json' AS zone, count(*) AS n_rows FROM picks UNION ALL SELECT 'parquet', count(*) FROM picks",
+    f"""WITH {DECIDED} SELECT {PICK_COLUMNS.replace('game_date', "date_trunc('quarter', game_date)::DATE AS game_date")}, pick_side AS doc_side, home_odds AS doc_home_odds, fair_home_prob AS doc_fair, date_trunc('quarter', game_date)::DATE AS doc_folder FROM picks""",
 )
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Picks written as JSON text and typed rows, both read back and counted."""
-    made = decisions(spark, sf_dir)[0].withColumn("game_date", F.trunc("game_date", "year"))
+    """Picks written as JSON text and typed rows by date, read back and put side by side."""
     docs, rows = scratch_path(spark, "picks-json"), scratch_path(spark, "picks")
-    publish_picks(made, docs, rows)
-    return zone_audit({"json": spark.read.text(docs), "parquet": read_picks(spark, rows)})
+    publish_picks(decisions(spark, sf_dir)[0].withColumn("game_date", _by_quarter()), docs, rows)
+    read = spark.read.option("wholetext", False).text(docs).select(
+        F.get_json_object("value", "$.pick_id").alias("pick_id"),
+        F.get_json_object("value", "$.pick_side").alias("doc_side"),
+        F.get_json_object("value", "$.market.home_odds_american").cast("int").alias("doc_home_odds"),
+        F.get_json_object("value", "$.market.fair_home_prob").cast("double").alias("doc_fair"),
+        F.col("game_date").alias("doc_folder"),
+    )
+    return flat_picks(read_picks(spark, rows)).join(read, "pick_id", "full")
+
+
+# ---- rejects ----------------------------------------------------------------------
+
+
+@query(
+    "landing_rejects",
+    "SELECT l_orderkey::VARCHAR AS game_id, l_suppkey::INTEGER AS team_id, l_partkey::INTEGER AS player_id, 2025 AS season, 'not_in_game_log' AS reject_reason FROM lineitem WHERE l_orderkey % 10 = 0",
+)
+def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Player rows of games the log does not know, landed in two deliveries of one season."""
+    players, _, log = _payloads(spark, sf_dir)
+    path = scratch_path(spark, "raw-partial")
+    known = log.filter("GAME_ID % 10 <> 0")
+    for half in (0, 1):
+        land_box_scores(players.filter(F.col("GAME_ID") % 2 == half), known, path, "2025-26", "Playoffs")
+    return spark.read.parquet(rejects_path(path)).select("game_id", "team_id", "player_id", "season", "reject_reason")
+
+
+@query(
+    "odds_rejects",
+    """SELECT CASE WHEN o_orderkey % 20 = 2 THEN 'no_start_time' ELSE 'no_game_id' END AS reject_reason, count(*) AS n_documents FROM orders
+      WHERE o_orderkey % 20 IN (0, 2, 3) GROUP BY 1""",
+)
+def odds_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cut short, not JSON at all, without a start time, or empty (no reject)."""
+    kind = F.col("id").cast("long") % 20
+    games = odds_games(spark, sf_dir).withColumn("commence_time", F.when(kind == 2, "soon").otherwise(F.col("commence_time")))
+    body = F.to_json(F.struct(*games.columns))
+    text = games.select(
+        F.when(kind == 0, F.substring(body, 1, 9)).when(kind == 1, "[]").when(kind == 3, "[x").otherwise(body).alias("body")
+    )
+    return parse_odds_rejects(text, "body").groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_documents"))
 
 
 # ---- streaming ------------------------------------------------------------------
 
-_EVENT_ROWS = table(long1="event_id user_id", string="event_type", long2="cents", int="season", date="game_date")
-_EVENT_TOTALS = table(long1="user_id n_events cents", int="season", date="game_date")
+_EVENT_ROWS = table(
+    [("event_id", LONG), ("user_id", LONG), ("event_type", STRING), ("cents", LONG), ("season", INT), ("game_date", DATE)]
+)
+_EVENT_TOTALS = table([("user_id", LONG), ("n_events", LONG), ("cents", LONG), ("season", INT), ("game_date", DATE)])
 
 
 @query(
@@ -349,3 +409,28 @@ def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
         incremental_totals(spark, raw, out, state, _EVENT_ROWS, _EVENT_TOTALS, totals).awaitTermination()
     return read_zone(spark, out, _EVENT_TOTALS)
 
+
+
+@query(
+    "incremental_team_game",
+    f"""WITH {_TEAM} SELECT 2025 AS season, game_id, game_date, team_id, pts, reb, round(off_rating, 6) AS off_rating, pace FROM dated""",
+)
+def streamed_team_game(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box scores in two deliveries that share days and games, ratings after them:
+    what arrives late reaches rows already written."""
+    raw, rated, out, state = (scratch_path(spark, n) for n in ("box-raw", "ratings-raw", "team-out", "team-state"))
+    players, ratings, log = _payloads(spark, sf_dir)
+    box = normalize_box_scores(players, log, "2025-26", "Playoffs")
+    for late in (0, 1):
+        by_partition(box.filter(F.col("player_id") % 2 == late), GAME_PARTITIONS).write.mode("append").partitionBy(
+            *GAME_PARTITIONS
+        ).parquet(raw)
+        incremental_team_game(spark, raw, out, state, rated, files_per_batch=100_000)
+    land_advanced(ratings, log, rated, "2025-26", "Playoffs")
+    incremental_team_game(spark, raw, out, state, rated, files_per_batch=100_000)
+    return six(
+        read_zone(spark, out, TEAM_GAME).select(
+            "season", "game_id", "game_date", "team_id", "pts", "reb", "off_rating", "pace"
+        ),
+        "off_rating",
+    )

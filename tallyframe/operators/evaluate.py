@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.scalars import nan_to_null
@@ -21,25 +21,23 @@ EPSILON = float(np.finfo(np.float64).eps)
 def walk_forward_cutoffs(frame: DataFrame, n_splits: int = 4, date: str = "game_date") -> list[dt.date]:
     """First test date of every fold.
 
-    The distinct dates are cut into ``n_splits + 1`` equal runs, the last taking
-    the remainder. Only distinct calendar days reach the driver, and of those
-    there are a few hundred per season whatever the table holds.
+    Distinct dates are ranked in Spark and cut into ``n_splits + 1`` runs of equal
+    length, the last one taking the rest; only the ``n_splits`` cuts come back.
     """
     if n_splits < 1:
-        raise ValueError(f"n_splits must be >= 1, got {n_splits}")
-    days = sorted(
-        row[0]
-        for row in frame.select(F.to_date(date).alias("d")).filter("d is not null").distinct().collect()
-    )
-    if not days:
-        raise ValueError("cannot split an empty frame")
-    blocks = n_splits + 1
-    if len(days) < blocks:
-        raise ValueError(
-            f"need >= {blocks} distinct dates for {n_splits} walk-forward folds, got {len(days)}"
-        )
-    per = len(days) // blocks
-    return [days[per * j] for j in range(1, blocks)]
+        raise ValueError(f"a walk forward takes at least one split, not {n_splits}")
+    days = frame.select(F.to_date(date).alias("day")).filter("day is not null").distinct()
+    ranked = days.select(
+        "day",
+        (F.row_number().over(Window.orderBy("day")) - 1).alias("place"),
+        F.count(F.lit(1)).over(Window.partitionBy()).alias("n"),
+    ).withColumn("run", F.expr(f"n div {n_splits + 1}"))
+    first_of_run = (F.col("place") > 0) & (F.col("place") % F.col("run") == 0)
+    cuts = ranked.filter((F.col("run") > 0) & first_of_run & (F.col("place") <= F.col("run") * n_splits))
+    found = [r["day"] for r in cuts.select("day").orderBy("day").collect()]
+    if len(found) < n_splits:
+        raise ValueError(f"{n_splits} folds take {n_splits + 1} different dates; the frame has too few")
+    return found
 
 
 def with_block(frame: DataFrame, cutoffs: Sequence[dt.date], date: str = "game_date") -> DataFrame:
@@ -124,20 +122,36 @@ def bin_index(prob: Column | str, n_bins: int) -> Column:
     )
 
 
+def valid_score(prob: Column | str, label: Column | str) -> Column:
+    """A score in [0, 1] with a label; never NULL."""
+    p = (F.col(prob) if isinstance(prob, str) else prob).cast("double")
+    y = F.col(label) if isinstance(label, str) else label
+    return F.coalesce(~F.isnan(p) & p.between(0.0, 1.0) & y.isNotNull(), F.lit(False))
+
+
 def calibration_bins(
-    scored: DataFrame, prob: str = "model_home_win_prob", label: str = "label", n_bins: int = 10
+    scored: DataFrame,
+    prob: str = "model_home_win_prob",
+    label: str = "label",
+    n_bins: int = 10,
+    strict: bool = False,
 ) -> DataFrame:
     """Reliability table: one row per bin, empty bins with NULL means.
 
-    The grouping has ``n_bins`` groups and partial aggregates, so every task
-    sends at most ``n_bins`` rows.
+    Rows without a label or with a score outside [0, 1] belong to no bin; every row
+    of the table says how many there are (``invalid``). ``strict`` raises instead.
+    The grouping has ``n_bins`` groups and partial aggregates, so every task sends
+    at most ``n_bins`` rows.
     """
     if n_bins < 1:
-        raise ValueError(f"n_bins must be >= 1, got {n_bins}")
+        raise ValueError(f"at least one bin is needed, not {n_bins}")
+    if strict:
+        check_probabilities(scored, prob, label)
     edges = [float(e) for e in np.linspace(0.0, 1.0, n_bins + 1)]
-    filled = (
-        scored.select(F.col(prob).cast("double").alias("p"), F.col(label).cast("double").alias("y"))
-        .groupBy(bin_index("p", n_bins).alias("bin"))
+    fine = valid_score(prob, label)
+    grouped = (
+        scored.select(F.col(prob).cast("double").alias("p"), F.col(label).cast("double").alias("y"), fine.alias("ok"))
+        .groupBy(F.when(F.col("ok"), bin_index("p", n_bins)).otherwise(-1).alias("bin"))
         .agg(
             F.count(F.lit(1)).alias("count"),
             F.avg("p").alias("mean_pred"),
@@ -145,15 +159,14 @@ def calibration_bins(
         )
     )
     frame = scored.sparkSession.createDataFrame(
-        [(i, edges[i], edges[i + 1]) for i in range(n_bins)], "bin int, lower double, upper double"
+        [(-1, None, None), *((i, edges[i], edges[i + 1]) for i in range(n_bins))], "bin int, lower double, upper double"
     )
-    return frame.join(F.broadcast(filled), "bin", "left").select(
-        "bin",
-        "lower",
-        "upper",
-        F.coalesce("count", F.lit(0)).cast("long").alias("count"),
-        "mean_pred",
-        "actual_rate",
+    # At most n_bins + 1 rows from here on, so the window holds them all.
+    table = frame.join(F.broadcast(grouped), "bin", "left").withColumn("count", F.coalesce("count", F.lit(0)).cast("long"))
+    return (
+        table.withColumn("invalid", F.max(F.when(F.col("bin") == -1, F.col("count"))).over(Window.partitionBy()))
+        .filter("bin >= 0")
+        .select("bin", "lower", "upper", "count", "mean_pred", "actual_rate", "invalid")
     )
 
 
@@ -168,26 +181,24 @@ def calibration_errors(bins: DataFrame) -> DataFrame:
 
 
 def check_probabilities(scored: DataFrame, prob: str, label: str) -> None:
-    """Raise as a strict caller expects: no rows, or a value outside [0, 1]."""
+    """Raise for a frame without rows, or with a row that cannot be binned."""
     row = scored.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(~F.col(prob).between(0.0, 1.0) | F.col(prob).isNull() | F.col(label).isNull()).alias("bad"),
+        F.count(F.lit(1)).alias("n"), F.count_if(~valid_score(prob, label)).alias("bad")
     ).first()
     if row["n"] == 0:
-        raise ValueError("scores and labels must be non-empty")
+        raise ValueError("nothing to check: the frame has no rows")
     if row["bad"]:
-        raise ValueError(f"{row['bad']} rows have a score outside [0, 1] or a missing value")
+        raise ValueError(f"{row['bad']} of {row['n']} rows lack a label or a score between 0 and 1")
 
 
 def reliability_lines(bins: DataFrame) -> DataFrame:
     """The reliability table as text, one line per bin."""
+    span = F.format_string("%.2f to %.2f", "lower", "upper")
     gap = F.abs(F.col("mean_pred") - F.col("actual_rate"))
-    bucket = F.format_string("[%.2f,%.2f]", "lower", "upper")
     full = F.format_string(
-        "  %-14s  %4d    %.4f      %.4f     %.4f", bucket, "count", "mean_pred", "actual_rate", gap
+        "%s | n=%d | predicted %.4f | happened %.4f | apart %.4f", span, "count", "mean_pred", "actual_rate", gap
     )
-    empty = F.format_string("  %-14s  %4d      -            -        -", bucket, "count")
-    return bins.select("bin", F.when(F.col("count") > 0, full).otherwise(empty).alias("line"))
+    return bins.select("bin", F.when(F.col("count") > 0, full).otherwise(F.concat(span, F.lit(" | empty"))).alias("line"))
 
 
 # ---- scores ----------------------------------------------------------------
@@ -196,7 +207,8 @@ def reliability_lines(bins: DataFrame) -> DataFrame:
 def score_metrics(
     scored: DataFrame, prob: str = "model_home_win_prob", label: str = "label"
 ) -> DataFrame:
-    """One row: n, accuracy at 0.5, log loss (clipped) and Brier score."""
+    """One row: n, accuracy at 0.5, log loss (clipped) and Brier score of the valid rows."""
+    scored = scored.filter(valid_score(prob, label))
     p = F.col(prob).cast("double")
     y = F.col(label).cast("double")
     clipped = F.least(F.greatest(p, F.lit(EPSILON)), F.lit(1.0 - EPSILON))
@@ -209,7 +221,7 @@ def score_metrics(
 
 
 def evaluation_row(scored: DataFrame, model: str, places: int = 6, n_bins: int = 10) -> DataFrame:
-    """Scores, calibration errors and baselines of one model's held-out rows.
+    """Scores, calibration errors and baselines of one model's valid held-out rows.
 
     One pass over the rows: per-bin sums first, then one row from the bins.
     """
@@ -223,7 +235,7 @@ def evaluation_row(scored: DataFrame, model: str, places: int = 6, n_bins: int =
         **{b: (F.col(b) == F.col("label")).cast("double") for b in BASELINES},
     }
     per_bin = (
-        baseline_picks(scored)
+        baseline_picks(scored.filter(valid_score("model_home_win_prob", "label")))
         .groupBy(bin_index(p, n_bins).alias("bin"))
         .agg(
             F.count(F.lit(1)).alias("n"),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.schema import feature_columns
 from tallyframe.session import cut_lineage
+from tallyframe.sources.zones import path_is_missing
 
 from .evaluate import evaluation_row, evaluation_summary, fold, walk_forward_cutoffs, with_block
 from .views import attach_pairs
@@ -37,7 +38,7 @@ class ModelSpec:
     calibrate: bool = True
     calibration_folds: int = CALIBRATION_FOLDS
     max_iter: int = 1000
-    boosting_rounds: int = 20
+    boosting_rounds: int = 100
     boosting_depth: int = 4
     parallelism: int = 5
     outer_parallelism: int = 2
@@ -264,7 +265,9 @@ def load_model(spark: SparkSession, path: str) -> FittedModel | None:
         rows = spark.read.schema("position int, input string, bases int, calibrators int").json(
             f"{path}/inputs"
         ).orderBy("position").collect()
-    except AnalysisException:
+    except AnalysisException as error:
+        if not path_is_missing(error):
+            raise
         return None
     if not rows:
         return None

@@ -173,6 +173,10 @@ def asof_join(
     under ``entity``, at least as many rows of each entity as both sides together.
     """
     time, *ties = right_order
+    own = F.col(left_entity or entity)
+    placed = own.isNotNull() & F.col(left_time).isNotNull()
+    # Rows without entity or time match nothing and stay out of the sort.
+    unplaced, left = left.filter(~placed), left.filter(placed)
     # A row without entity or time precedes nothing.
     right = right.filter(F.col(entity).isNotNull() & F.col(time).isNotNull())
     payload = F.struct(*[F.col(v) for v in values])
@@ -217,7 +221,8 @@ def asof_join(
             "__seen", F.coalesce("__seen", "__carried")
         )
     found = [F.col(f"__seen.{v}").alias(f"{prefix}{v}") for v in values]
-    return rows.select("__left.*", *found)
+    missing = [F.lit(None).cast(right.schema[v].dataType).alias(f"{prefix}{v}") for v in values]
+    return rows.select("__left.*", *found).unionByName(unplaced.select("*", *missing))
 
 
 def _carry_in(rows: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -23,13 +23,11 @@ from tallyframe.operators.decisions import (
 )
 from tallyframe.operators.models import FittedModel, predict
 from tallyframe.operators.training import training_frame_from_processed
-from tallyframe.operators.windows import DEFAULT_WINDOW, asof_join, rolling_features
+from tallyframe.operators.windows import DEFAULT_WINDOW, rolling_features
 from tallyframe.schema import (
-    ODDS,
     PLAYER_GAME,
     PLAYER_GAME_ADVANCED,
     ROLLING,
-    ROLLING_COLUMNS,
     TEAM_GAME,
 )
 from tallyframe.sources.zones import (
@@ -127,6 +125,27 @@ def features_for_day(
     return rolling_features(history, window).filter(F.col("game_date") == target)
 
 
+def lookback_season(processed: DataFrame, season: int, window: int) -> int:
+    """First season to read so that every team playing since ``season`` has ``window - 1`` earlier games.
+
+    Goes back by one, two, four ... seasons; each step counts rows of those seasons
+    only. A team without enough history takes it back to the oldest one.
+    """
+    oldest = processed.agg(F.min("season")).first()[0]
+    playing = processed.filter(F.col("season") >= season).select("team_id").distinct()
+    back, step = season, 1
+    while back > oldest:
+        back, step = max(oldest, back - step), step * 2
+        known = (
+            processed.filter((F.col("season") >= back) & (F.col("season") < season))
+            .groupBy("team_id")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        if playing.join(known, "team_id", "left").filter(F.coalesce("n", F.lit(0)) < window - 1).isEmpty():
+            break
+    return back
+
+
 def features_since_season(
     processed: DataFrame, season: int, window: int = DEFAULT_WINDOW
 ) -> DataFrame:
@@ -134,10 +153,10 @@ def features_since_season(
 
     Features are stored by season, and a new or late game can change only rows
     after it. Of the earlier seasons just the last ``window - 1`` games of each
-    team are kept; the per-team limit is applied before the shuffle too, so old
-    seasons are scanned but hardly move.
+    team are kept, and only as many seasons are read as it takes to have them.
     """
-    earlier = processed.filter(F.col("season") < season)
+    back_to = lookback_season(processed, season, window)
+    earlier = processed.filter((F.col("season") >= back_to) & (F.col("season") < season))
     newest_first = Window.partitionBy("team_id").orderBy(
         F.col("game_date").desc(), F.col("game_id").desc()
     )
@@ -164,25 +183,6 @@ def training_matrix(spark: SparkSession, zones: Zones, window: int = DEFAULT_WIN
     return training_frame_from_processed(read_zone(spark, zones.processed, TEAM_GAME), window)
 
 
-def attach_asof(games: DataFrame, features: DataFrame) -> DataFrame:
-    """Both sides' rolling columns as known before the game's own date."""
-    held = features.select("team_abbreviation", "game_date", "game_id", *ROLLING_COLUMNS).withColumn(
-        "known", F.lit(True)
-    )
-    for side in ("home", "away"):
-        games = asof_join(
-            games,
-            held,
-            entity="team_abbreviation",
-            left_time="game_date",
-            right_order=["game_date", "game_id"],
-            values=[*ROLLING_COLUMNS, "known"],
-            prefix=f"{side}_",
-            left_entity=f"{side}_team_abbr",
-        ).withColumn(f"{side}_known", F.coalesce(f"{side}_known", F.lit(False)))
-    return games
-
-
 def picks_for_date(
     spark: SparkSession,
     zones: Zones,
@@ -201,13 +201,14 @@ def picks_for_date(
     """
     odds = read_odds_for_date(spark, zones.odds, day)
     features = read_zone(spark, zones.features, ROLLING)
-    market = anchor_market(odds, policy.anchor)
-    games = attach_asof(market, features) if as_of else attach_latest(market, features)
+    if as_of:
+        # All games share the date, so what was known before it is each team's newest
+        # row of earlier dates. A season is named by the year it starts in.
+        target = F.lit(str(day)).cast("date")
+        features = features.filter((F.col("season") <= F.year(target)) & (F.col("game_date") < target))
+    games = attach_latest(anchor_market(odds, policy.anchor), features)
     scored = predict(model, games, "model_prob_home_win").withColumn(
         "model_prob_home_win", F.bround("model_prob_home_win", 4)
     )
     return build_picks(scored, model_version, published_at, policy)
 
-
-def odds_zone(spark: SparkSession, zones: Zones) -> DataFrame:
-    return read_zone(spark, zones.odds, ODDS)

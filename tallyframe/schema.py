@@ -6,89 +6,145 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TYPES: dict[str, T.DataType] = {
-    "string": T.StringType(),
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "double": T.DoubleType(),
-    "boolean": T.BooleanType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-}
+STRING, INT, LONG, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+BOOLEAN, DATE, TIMESTAMP = T.BooleanType(), T.DateType(), T.TimestampType()
 
 
-def table(**groups: str) -> T.StructType:
-    """Build a schema from ``type="name name ..."`` groups given in column order.
-
-    A trailing digit on the keyword lets one type appear several times
-    (``int1``, ``int2``).
-    """
-    fields = []
-    for kind, names in groups.items():
-        data_type = _TYPES[kind.rstrip("0123456789")]
-        fields += [T.StructField(name, data_type, True) for name in names.split()]
-    return T.StructType(fields)
+def table(columns: list[tuple[str, T.DataType]]) -> T.StructType:
+    """Schema of nullable columns in order."""
+    return T.StructType([T.StructField(name, kind, True) for name, kind in columns])
 
 
 # Column names, order and types of the persisted tables.
 PLAYER_GAME = table(
-    string1="game_id",
-    date1="game_date",
-    int1="season",
-    string2="season_type",
-    int2="team_id",
-    string3="team_abbreviation team_city matchup wl",
-    int3="player_id",
-    string4="player_name start_position min",
-    int4="pts reb ast stl blk tov pf fgm fga fg3m fg3a ftm fta plus_minus",
+    [
+        ("game_id", STRING),
+        ("game_date", DATE),
+        ("season", INT),
+        ("season_type", STRING),
+        ("team_id", INT),
+        ("team_abbreviation", STRING),
+        ("team_city", STRING),
+        ("matchup", STRING),
+        ("wl", STRING),
+        ("player_id", INT),
+        ("player_name", STRING),
+        ("start_position", STRING),
+        ("min", STRING),
+        ("pts", INT),
+        ("reb", INT),
+        ("ast", INT),
+        ("stl", INT),
+        ("blk", INT),
+        ("tov", INT),
+        ("pf", INT),
+        ("fgm", INT),
+        ("fga", INT),
+        ("fg3m", INT),
+        ("fg3a", INT),
+        ("ftm", INT),
+        ("fta", INT),
+        ("plus_minus", INT),
+    ]
 )
 PLAYER_GAME_ADVANCED = table(
-    string1="game_id",
-    date1="game_date",
-    int1="season",
-    string2="season_type",
-    int2="team_id",
-    string3="team_abbreviation",
-    int3="player_id",
-    string4="player_name min",
-    double1=(
-        "e_off_rating off_rating e_def_rating def_rating e_net_rating net_rating "
-        "ast_pct ast_tov ast_ratio oreb_pct dreb_pct reb_pct tm_tov_pct efg_pct "
-        "ts_pct usg_pct e_usg_pct pace e_pace pie"
-    ),
+    [
+        ("game_id", STRING),
+        ("game_date", DATE),
+        ("season", INT),
+        ("season_type", STRING),
+        ("team_id", INT),
+        ("team_abbreviation", STRING),
+        ("player_id", INT),
+        ("player_name", STRING),
+        ("min", STRING),
+        ("e_off_rating", DOUBLE),
+        ("off_rating", DOUBLE),
+        ("e_def_rating", DOUBLE),
+        ("def_rating", DOUBLE),
+        ("e_net_rating", DOUBLE),
+        ("net_rating", DOUBLE),
+        ("ast_pct", DOUBLE),
+        ("ast_tov", DOUBLE),
+        ("ast_ratio", DOUBLE),
+        ("oreb_pct", DOUBLE),
+        ("dreb_pct", DOUBLE),
+        ("reb_pct", DOUBLE),
+        ("tm_tov_pct", DOUBLE),
+        ("efg_pct", DOUBLE),
+        ("ts_pct", DOUBLE),
+        ("usg_pct", DOUBLE),
+        ("e_usg_pct", DOUBLE),
+        ("pace", DOUBLE),
+        ("e_pace", DOUBLE),
+        ("pie", DOUBLE),
+    ]
 )
 ODDS = table(
-    string1="game_id",
-    date1="game_date",
-    timestamp1="commence_time",
-    string2="home_team away_team sportsbook market_type outcome_name",
-    int1="price",
-    double1="point",
-    timestamp2="fetched_at",
+    [
+        ("game_id", STRING),
+        ("game_date", DATE),
+        ("commence_time", TIMESTAMP),
+        ("home_team", STRING),
+        ("away_team", STRING),
+        ("sportsbook", STRING),
+        ("market_type", STRING),
+        ("outcome_name", STRING),
+        ("price", INT),
+        ("point", DOUBLE),
+        ("fetched_at", TIMESTAMP),
+    ]
 )
 TEAM_GAME = table(
-    int1="season",
-    date1="game_date",
-    string1="game_id season_type",
-    int2="team_id",
-    string2="team_abbreviation opponent_abbreviation",
-    boolean1="is_home win",
-    long1="pts reb ast tov",
-    double1="fg_pct fg3_pct ft_pct effective_fg_pct true_shooting_pct assist_to_turnover",
-    string3="top_scorer top_rebounder top_playmaker",
-    double2="off_rating def_rating net_rating pace",
+    [
+        ("season", INT),
+        ("game_date", DATE),
+        ("game_id", STRING),
+        ("season_type", STRING),
+        ("team_id", INT),
+        ("team_abbreviation", STRING),
+        ("opponent_abbreviation", STRING),
+        ("is_home", BOOLEAN),
+        ("win", BOOLEAN),
+        ("pts", LONG),
+        ("reb", LONG),
+        ("ast", LONG),
+        ("tov", LONG),
+        ("fg_pct", DOUBLE),
+        ("fg3_pct", DOUBLE),
+        ("ft_pct", DOUBLE),
+        ("effective_fg_pct", DOUBLE),
+        ("true_shooting_pct", DOUBLE),
+        ("assist_to_turnover", DOUBLE),
+        ("top_scorer", STRING),
+        ("top_rebounder", STRING),
+        ("top_playmaker", STRING),
+        ("off_rating", DOUBLE),
+        ("def_rating", DOUBLE),
+        ("net_rating", DOUBLE),
+        ("pace", DOUBLE),
+    ]
 )
 ROLLING = table(
-    int1="season",
-    date1="game_date",
-    string1="game_id",
-    int2="team_id",
-    string2="team_abbreviation",
-    int3="games_in_window",
-    double1=(
-        "rolling_pts rolling_efg_pct rolling_ts_pct rolling_ast_to_tov rolling_win_pct "
-        "rolling_pts_home rolling_pts_away rolling_ortg rolling_drtg rolling_net_rtg rolling_pace"
-    ),
+    [
+        ("season", INT),
+        ("game_date", DATE),
+        ("game_id", STRING),
+        ("team_id", INT),
+        ("team_abbreviation", STRING),
+        ("games_in_window", INT),
+        ("rolling_pts", DOUBLE),
+        ("rolling_efg_pct", DOUBLE),
+        ("rolling_ts_pct", DOUBLE),
+        ("rolling_ast_to_tov", DOUBLE),
+        ("rolling_win_pct", DOUBLE),
+        ("rolling_pts_home", DOUBLE),
+        ("rolling_pts_away", DOUBLE),
+        ("rolling_ortg", DOUBLE),
+        ("rolling_drtg", DOUBLE),
+        ("rolling_net_rtg", DOUBLE),
+        ("rolling_pace", DOUBLE),
+    ]
 )
 ADVANCED_COLUMNS = ["off_rating", "def_rating", "net_rating", "pace"]
 ROLLING_COLUMNS = [f.name for f in ROLLING.fields[5:]]
@@ -99,36 +155,40 @@ TRAINING_COLUMNS = (
     + [f"away_{c}" for c in ROLLING_COLUMNS]
     + ["label"]
 )
-PICKS = T.StructType(
-    table(
-        string1="pick_id",
-        timestamp1="published_at",
-        date1="game_date",
-        timestamp2="commence_time",
-        string2="home_team_abbr away_team_abbr home_team_full away_team_full model_version",
-        double1="model_prob_home_win",
-    ).fields
-    + [
-        T.StructField("model_features", T.MapType(T.StringType(), T.DoubleType()), True),
-        T.StructField(
-            "market",
-            table(
-                string1="sportsbook",
-                int1="home_odds_american away_odds_american",
-                double1="home_implied_prob away_implied_prob fair_home_prob fair_away_prob vig_percent",
-            ),
-            True,
-        ),
+PICKS = table(
+    [
+        ("pick_id", STRING),
+        ("published_at", TIMESTAMP),
+        ("game_date", DATE),
+        ("commence_time", TIMESTAMP),
+        ("home_team_abbr", STRING),
+        ("away_team_abbr", STRING),
+        ("home_team_full", STRING),
+        ("away_team_full", STRING),
+        ("model_version", STRING),
+        ("model_prob_home_win", DOUBLE),
+        ("model_features", T.MapType(STRING, DOUBLE)),
+        ("market", table([
+            ("sportsbook", STRING),
+            ("home_odds_american", INT),
+            ("away_odds_american", INT),
+            ("home_implied_prob", DOUBLE),
+            ("away_implied_prob", DOUBLE),
+            ("fair_home_prob", DOUBLE),
+            ("fair_away_prob", DOUBLE),
+            ("vig_percent", DOUBLE),
+        ])),
+        ("pick_side", STRING),
+        ("pick_american_odds", INT),
+        ("expected_value", DOUBLE),
+        ("kelly_fraction_half", DOUBLE),
+        ("disagreement_pp", DOUBLE),
+        ("no_bet_reason", STRING),
+        ("kelly_was_capped", BOOLEAN),
+        ("max_disagreement_pp_used", DOUBLE),
+        ("max_kelly_fraction_used", DOUBLE),
+        ("notes", STRING),
     ]
-    + table(
-        string1="pick_side",
-        int1="pick_american_odds",
-        double1="expected_value kelly_fraction_half disagreement_pp",
-        string2="no_bet_reason",
-        boolean1="kelly_was_capped",
-        double2="max_disagreement_pp_used max_kelly_fraction_used",
-        string3="notes",
-    ).fields
 )
 
 
@@ -159,7 +219,7 @@ def training_schema() -> T.StructType:
     for side in ("home", "away"):
         for field in ROLLING.fields[5:]:
             sided.append(T.StructField(f"{side}_{field.name}", field.dataType, True))
-    ids = table(string1="game_id", date1="game_date", int1="season", string2="home_team away_team")
+    ids = table([("game_id", STRING), ("game_date", DATE), ("season", INT), ("home_team", STRING), ("away_team", STRING)])
     return T.StructType(ids.fields + sided + [T.StructField("label", T.IntegerType(), True)])
 
 

@@ -38,12 +38,15 @@ _LOCAL_ROOTS: dict[str, str] = {}
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder shared by all executors: ``spark.checkpoint.dir`` of the session.
 
-    Only where the cluster names none (tests, one machine) is a temporary folder
-    made, once per application.
+    Only a session on one machine that names none gets a temporary folder, once per
+    application; a cluster without the setting is refused, since its machines would
+    each write to a disk of their own.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = context.applicationId
         if app not in _LOCAL_ROOTS:
             _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")

@@ -18,7 +18,7 @@ from tallyframe.functions.scalars import (
 )
 from tallyframe.schema import ODDS, PLAYER_GAME, PLAYER_GAME_ADVANCED, conform
 
-from .zones import DATE_PARTITIONS, GAME_PARTITIONS, write_zone
+from .zones import DATE_PARTITIONS, GAME_PARTITIONS, RECORDS_PER_FILE, write_zone
 
 LEAGUE_ZONE = "US/Eastern"
 
@@ -118,6 +118,31 @@ def normalize_advanced(
     return conform(stamped.withColumns(numbers), PLAYER_GAME_ADVANCED)
 
 
+def split_undated(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows the game log knows, and rejects: those it gives no date."""
+    known = rows.filter(F.col("game_date").isNotNull())
+    rejects = rows.filter(F.col("game_date").isNull()).withColumn("reject_reason", F.lit("not_in_game_log"))
+    return known, rejects
+
+
+def write_rejects(rejects: DataFrame, path: str) -> str:
+    """Add rejects to their own zone under the time they were landed; none is ever replaced."""
+    landed = F.current_timestamp()
+    (
+        rejects.withColumns({"landed_at": landed, "landed_on": F.to_date(landed)})
+        .write.mode("append")
+        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .partitionBy("landed_on")
+        .parquet(path)
+    )
+    return path
+
+
+def rejects_path(path: str) -> str:
+    """Where the rejects of a zone go unless told otherwise."""
+    return f"{path.rstrip('/')}_rejects"
+
+
 def _only(df: DataFrame, day: dt.date | str | None) -> DataFrame:
     return df if day is None else df.filter(F.col("game_date") == F.lit(str(day)).cast("date"))
 
@@ -129,11 +154,14 @@ def land_box_scores(
     season: str,
     season_type: str,
     day: dt.date | str | None = None,
+    rejects: str | None = None,
 ) -> str:
     """Normalise and write player rows: one date when ``day`` is given, else every
-    date of the payload. Both replace exactly the dates they hold."""
-    rows = _only(normalize_box_scores(payload, game_log, season, season_type), day)
-    return write_zone(rows, path, PLAYER_GAME, GAME_PARTITIONS)
+    date of the payload. Both replace exactly the dates they hold. Rows of games the
+    log does not know go to the rejects zone."""
+    rows, unknown = split_undated(normalize_box_scores(payload, game_log, season, season_type))
+    write_rejects(unknown, rejects or rejects_path(path))
+    return write_zone(_only(rows, day), path, PLAYER_GAME, GAME_PARTITIONS)
 
 
 def land_advanced(
@@ -143,41 +171,64 @@ def land_advanced(
     season: str,
     season_type: str,
     day: dt.date | str | None = None,
+    rejects: str | None = None,
 ) -> str:
     """As :func:`land_box_scores` for the ratings feed."""
-    rows = _only(normalize_advanced(payload, game_log, season, season_type), day)
-    return write_zone(rows, path, PLAYER_GAME_ADVANCED, GAME_PARTITIONS)
+    rows, unknown = split_undated(normalize_advanced(payload, game_log, season, season_type))
+    write_rejects(unknown, rejects or rejects_path(path))
+    return write_zone(_only(rows, day), path, PLAYER_GAME_ADVANCED, GAME_PARTITIONS)
 
 
 def flatten_odds(games: DataFrame, fetched_at: Column) -> DataFrame:
     """Game structs to one row per book, market and outcome.
 
-    Plain generators, so a game without books gives no rows and nothing is
-    shuffled. The game date is the league's local date of the UTC start.
+    The leaves are gathered inside the row and inlined once, so outer columns are
+    copied once per leaf and a game without books gives no rows. The game date is
+    the league's local date of the UTC start.
     """
-    start = F.to_timestamp("commence_time")
-    leaves = (
-        games.select(
-            F.col("id").alias("game_id"),
-            F.to_date(wall_clock(start, LEAGUE_ZONE)).alias("game_date"),
-            start.alias("commence_time"),
-            "home_team",
-            "away_team",
-            F.explode("bookmakers").alias("b"),
+    start = F.try_to_timestamp("commence_time")
+
+    def market_leaves(book: Column, market: Column) -> Column:
+        return F.transform(
+            F.coalesce(market["outcomes"], F.array()),
+            lambda o: F.struct(
+                book["key"].alias("sportsbook"),
+                market["key"].alias("market_type"),
+                o["name"].alias("outcome_name"),
+                o["price"].alias("price"),
+                o["point"].alias("point"),
+            ),
         )
-        .select("*", F.col("b.key").alias("sportsbook"), F.explode("b.markets").alias("m"))
-        .select("*", F.col("m.key").alias("market_type"), F.explode("m.outcomes").alias("o"))
+
+    def book_leaves(book: Column) -> Column:
+        return F.flatten(F.transform(F.coalesce(book["markets"], F.array()), lambda m: market_leaves(book, m)))
+
+    leaves = games.select(
+        F.col("id").alias("game_id"),
+        F.to_date(wall_clock(start, LEAGUE_ZONE)).alias("game_date"),
+        start.alias("commence_time"),
+        "home_team",
+        "away_team",
+        F.inline(F.flatten(F.transform("bookmakers", book_leaves))),
     )
-    return conform(
-        leaves.withColumns(
-            {
-                "outcome_name": F.col("o.name"),
-                "price": F.col("o.price"),
-                "point": F.col("o.point"),
-                "fetched_at": fetched_at,
-            }
-        ),
-        ODDS,
+    return conform(leaves.withColumn("fetched_at", fetched_at), ODDS)
+
+
+def odds_reject_reason() -> Column:
+    """Why a parsed game cannot be stored; NULL when it can."""
+    return (
+        F.when(F.col("id").isNull(), "no_game_id")
+        .when(F.try_to_timestamp("commence_time").isNull(), "no_start_time")
+    )
+
+
+def _parsed(payload: DataFrame, text: str) -> DataFrame:
+    """Games of a JSON text column, an unreadable document as one game of NULLs, with the text."""
+    return payload.select(
+        F.col(text).alias("document"),
+        F.when(F.ltrim(text).startswith("["), F.from_json(text, ODDS_PAYLOAD))
+        .otherwise(F.array(F.from_json(text, ODDS_GAME)))
+        .alias("games"),
     )
 
 
@@ -186,15 +237,25 @@ def parse_odds(payload: DataFrame, text: str, fetched_at: Column) -> DataFrame:
 
     The outer generator keeps Catalyst from inferring a filter on the parsed
     array, which would parse every document twice; a document without games
-    falls out when the books are exploded.
+    falls out when the books are inlined. See :func:`parse_odds_rejects` for games
+    that cannot be stored.
     """
-    parsed = payload.select(
-        F.when(F.ltrim(text).startswith("["), F.from_json(text, ODDS_PAYLOAD))
-        .otherwise(F.array(F.from_json(text, ODDS_GAME)))
-        .alias("games")
+    games = _parsed(payload, text).select(F.inline_outer("games"))
+    return flatten_odds(games.filter(odds_reject_reason().isNull()), fetched_at)
+
+
+def parse_odds_rejects(payload: DataFrame, text: str) -> DataFrame:
+    """``(document, reject_reason)`` of documents, or games in them, that :func:`parse_odds` leaves out.
+
+    An empty array holds no game and is no reject.
+    """
+    parsed = _parsed(payload, text).filter(F.coalesce(F.size("games"), F.lit(1)) != 0)
+    games = parsed.select("document", F.inline_outer("games"))
+    return (
+        games.withColumn("reject_reason", odds_reject_reason())
+        .filter("reject_reason is not null")
+        .select("document", "reject_reason")
     )
-    games = parsed.select(F.inline_outer("games"))
-    return flatten_odds(games, fetched_at)
 
 
 def land_odds(
@@ -203,13 +264,28 @@ def land_odds(
     path: str,
     fetched_at: Column | None = None,
     multi_line: bool = False,
+    rejects: str | None = None,
 ) -> str:
     """Landed odds JSON files to the odds zone, every row stamped with one fetch
-    time. Only the dates in the payload are replaced.
+    time. Only the dates in the payload are replaced; lines that do not parse, and
+    games without an id or a start time, go to the rejects zone.
 
     A line holds one game or an array of games; ``multi_line`` is for responses
     stored with line breaks inside, one response per file.
     """
-    games = spark.read.option("multiLine", multi_line).schema(ODDS_GAME).json(source)
-    stamped = flatten_odds(games, F.current_timestamp() if fetched_at is None else fetched_at)
+    broken = "unparsed_line"
+    games = (
+        spark.read.option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", broken)
+        .schema(T.StructType([*ODDS_GAME.fields, T.StructField(broken, T.StringType())]))
+        .json(source)
+        .withColumn("reject_reason", F.when(F.col(broken).isNotNull(), "not_json").otherwise(odds_reject_reason()))
+    )
+    document = F.coalesce(F.col(broken), F.to_json(F.struct(*ODDS_GAME.names)))
+    write_rejects(
+        games.filter("reject_reason is not null").select(document.alias("document"), "reject_reason"),
+        rejects or rejects_path(path),
+    )
+    good = games.filter("reject_reason is null")
+    stamped = flatten_odds(good, F.current_timestamp() if fetched_at is None else fetched_at)
     return write_zone(stamped, path, ODDS, DATE_PARTITIONS)

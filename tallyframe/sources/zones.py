@@ -22,17 +22,33 @@ def read_zone(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def path_is_missing(error: AnalysisException) -> bool:
+    """Whether a read failed only because nothing has been written there yet."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_zone_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """As :func:`read_zone`; a zone that does not exist yet has no rows."""
     try:
         return read_zone(spark, path, schema)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not path_is_missing(error):
+            raise
         return spark.createDataFrame([], schema)
 
 
 def read_csv_zone(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and explicit types, so ids keep leading zeros."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+    """CSV with a header and explicit types, so ids keep leading zeros.
+
+    The header says which column is which: one in another order is followed, columns
+    the schema does not know are left out, missing ones are NULL. A file whose header
+    differs from the others' is refused by the reader.
+    """
+    declared = {f.name: f for f in schema.fields}
+    found = spark.read.option("header", True).csv(path).columns
+    written = T.StructType([declared.get(c, T.StructField(c, T.StringType())) for c in found])
+    rows = spark.read.option("header", True).option("enforceSchema", False).schema(written).csv(path)
+    return conform(rows, schema)
 
 
 def guard_path(path: str, forbidden: tuple[str, ...]) -> None:
@@ -59,8 +75,9 @@ def write_zone(
     schema: T.StructType,
     partitions: tuple[str, ...],
     forbidden: tuple[str, ...] = (),
+    whole: bool = False,
 ) -> str:
-    """Replace the partitions ``df`` touches and no others.
+    """Replace the partitions ``df`` touches and no others, or with ``whole`` all of them.
 
     The frame is conformed first, so all files of a zone share one schema. An
     empty frame touches nothing: earlier days stay.
@@ -69,7 +86,7 @@ def write_zone(
     (
         by_partition(conform(df, schema), partitions)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
         .partitionBy(*partitions)
         .parquet(path)
@@ -93,17 +110,15 @@ def stage_then_promote(
     partitions: tuple[str, ...] = GAME_PARTITIONS,
 ) -> str:
     """Write aside, read back with the declared schema, then replace the target.
-    The target is touched only after the computation has succeeded in full."""
-    write_zone(df, staging, schema, partitions, ("raw",))
+    The target is touched only after the computation has succeeded in full. What an
+    earlier attempt left in staging is replaced with it."""
+    write_zone(df, staging, schema, partitions, ("raw",), whole=True)
     return write_zone(read_zone(df.sparkSession, staging, schema), path, schema, partitions, ("raw",))
 
 
 def zone_has_rows(spark: SparkSession, path: str, schema: T.StructType) -> bool:
-    """Whether the zone can be read and holds anything."""
-    try:
-        return not read_zone(spark, path, schema).isEmpty()
-    except AnalysisException:
-        return False
+    """Whether the zone exists and holds anything; one that cannot be read raises."""
+    return not read_zone_or_empty(spark, path, schema).isEmpty()
 
 
 def read_odds_for_date(spark: SparkSession, path: str, day: dt.date | str) -> DataFrame:
@@ -156,10 +171,13 @@ def zone_audit(zones: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def zone_freshness(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Newest file time and file count of a zone."""
-    files = spark.read.schema(schema).parquet(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_modification_time").alias("modified"),
+def zone_freshness(spark: SparkSession, path: str) -> DataFrame:
+    """Newest file time and file count of a zone: a listing, no data is read."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
+        .select("path", "modificationTime")
     )
-    return files.agg(F.max("modified").alias("newest"), F.countDistinct("file").alias("n_files"))
+    return files.agg(F.max("modificationTime").alias("newest"), F.count(F.lit(1)).alias("n_files"))

@@ -19,28 +19,27 @@ from tallyframe.schema import PLAYER_GAME, PLAYER_GAME_ADVANCED, TEAM_GAME
 from tallyframe.sources.zones import GAME_PARTITIONS, read_zone, write_zone, zone_has_rows
 
 
-MAX_LISTED = 1_000
-
-
 def touched_partitions(batch: DataFrame, full: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """All stored rows of the partitions a batch touches.
 
     Whole partitions are re-read, since replacing a date with one file's rows
-    would lose those of the files before it. A batch touching few directories
-    names them in the filter, so only they are listed and read; beyond
-    ``MAX_LISTED`` a semi-join selects the rows.
+    would lose those of the files before it. The least and the greatest value of
+    each partition column, NULL kept where the batch holds it, prune directories;
+    a null-safe semi-join then picks the exact ones, however many there are.
     """
     keys = batch.select(*partitions).distinct()
-    listed = keys.limit(MAX_LISTED + 1).collect()
-    if len(listed) > MAX_LISTED:
-        return full.join(keys, list(partitions), "left_semi")
-    wanted = F.lit(False)
-    for row in listed:
-        same = F.lit(True)
-        for name in partitions:
-            same = same & F.col(name).eqNullSafe(F.lit(row[name]))
-        wanted = wanted | same
-    return full.filter(wanted)
+    bounds = keys.agg(
+        *[F.min(c).alias(f"{c}_lo") for c in partitions],
+        *[F.max(c).alias(f"{c}_hi") for c in partitions],
+        *[F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(False)).alias(f"{c}_null") for c in partitions],
+    ).first()
+    near = F.lit(True)
+    for c in partitions:
+        inside = F.col(c).between(F.lit(bounds[f"{c}_lo"]), F.lit(bounds[f"{c}_hi"]))
+        near = near & (F.coalesce(inside, F.lit(False)) | F.col(c).isNull() if bounds[f"{c}_null"] else inside)
+    wanted = keys.select(*[F.col(c).alias(f"__{c}") for c in partitions])
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in partitions]
+    return full.filter(near).join(wanted, same, "left_semi")
 
 
 def incremental_totals(
@@ -53,12 +52,15 @@ def incremental_totals(
     aggregate: Callable[[DataFrame], DataFrame],
     partitions: tuple[str, ...] = GAME_PARTITIONS,
     files_per_batch: int = 1000,
+    stored: tuple[str, T.StructType] | None = None,
 ) -> StreamingQuery:
     """Process what has been landed since the last run, then stop.
 
     A batch recomputes its partitions from stored rows and overwrites exactly
-    those, so a batch that is replayed after a failure changes nothing.
+    those, so a batch that is replayed after a failure changes nothing. ``stored``
+    names the zone whose rows are recomputed, if it is not the one that streams.
     """
+    source, source_schema = stored or (raw_path, raw_schema)
     stream = (
         spark.readStream.schema(raw_schema)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -66,7 +68,7 @@ def incremental_totals(
     )
 
     def run(batch: DataFrame, _batch_id: int) -> None:
-        full = read_zone(batch.sparkSession, raw_path, raw_schema)
+        full = read_zone(batch.sparkSession, source, source_schema)
         write_zone(aggregate(touched_partitions(batch, full, partitions)), out_path, out_schema, partitions)
 
     return (
@@ -84,10 +86,14 @@ def incremental_team_game(
     checkpoint: str,
     advanced_path: str | None = None,
     files_per_batch: int = 1000,
-) -> StreamingQuery:
-    """Player-game files to the processed zone, ratings joined where landed."""
+) -> None:
+    """Player-game files to the processed zone, ratings joined where landed.
 
-    def aggregate(rows: DataFrame) -> DataFrame:
+    Both feeds start a recomputation of the partitions they touch, so ratings that
+    arrive after the box scores of their day reach the zone too.
+    """
+
+    def totals_of(rows: DataFrame) -> DataFrame:
         totals = team_game_stats(rows, with_leaders=True)
         session = rows.sparkSession
         if advanced_path and zone_has_rows(session, advanced_path, PLAYER_GAME_ADVANCED):
@@ -97,7 +103,12 @@ def incremental_team_game(
             return join_team_advanced(totals, team_advanced(rated))
         return with_null_columns(totals)
 
-    return incremental_totals(
-        spark, raw_path, out_path, checkpoint, PLAYER_GAME, TEAM_GAME, aggregate,
+    incremental_totals(
+        spark, raw_path, out_path, f"{checkpoint}/box", PLAYER_GAME, TEAM_GAME, totals_of,
         files_per_batch=files_per_batch,
-    )
+    ).awaitTermination()
+    if advanced_path and zone_has_rows(spark, advanced_path, PLAYER_GAME_ADVANCED):
+        incremental_totals(
+            spark, advanced_path, out_path, f"{checkpoint}/ratings", PLAYER_GAME_ADVANCED, TEAM_GAME, totals_of,
+            files_per_batch=files_per_batch, stored=(raw_path, PLAYER_GAME),
+        ).awaitTermination()
