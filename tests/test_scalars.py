@@ -6,6 +6,8 @@ from pyspark.sql import types as T
 
 from tallyframe.functions import scalars as S
 from tallyframe.schema import (
+    DOUBLE,
+    INT,
     PLAYER_GAME,
     ROLLING,
     TEAM_GAME,
@@ -94,7 +96,7 @@ def test_renames(spark):
 
 def test_conform_pads_drops_orders_and_casts(spark):
     df = spark.createDataFrame([("5.0", "x", 1)], "b string, c string, extra int")
-    out = conform(df, table(double="a", int="b c"))
+    out = conform(df, table([("a", DOUBLE), ("b", INT), ("c", INT)]))
     assert out.columns == ["a", "b", "c"]
     assert tuple(out.first()) == (None, 5, None)
     assert [f.dataType for f in out.schema] == [T.DoubleType(), T.IntegerType(), T.IntegerType()]

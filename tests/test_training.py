@@ -137,7 +137,7 @@ def test_baselines(spark):
 
 
 def scored(spark, pairs):
-    return spark.createDataFrame([(float(p), int(y)) for p, y in pairs], "model_home_win_prob double, label int")
+    return spark.createDataFrame([(None if p is None else float(p), int(y)) for p, y in pairs], "model_home_win_prob double, label int")
 
 
 def bins(spark, pairs, n=10):
@@ -197,5 +197,16 @@ def test_log_loss_is_clipped(spark):
 
 def test_reliability_text(spark):
     lines = {r.bin: r.line for r in E.reliability_lines(E.calibration_bins(scored(spark, [(0.25, 1), (0.25, 0)]))).collect()}
-    assert lines[2] == "  [0.20,0.30]        2    0.2500      0.5000     0.2500"
-    assert lines[0] == "  [0.00,0.10]        0      -            -        -"
+    assert lines[2] == "0.20 to 0.30 | n=2 | predicted 0.2500 | happened 0.5000 | apart 0.2500"
+    assert lines[0] == "0.00 to 0.10 | empty"
+
+
+def test_invalid_scores_belong_to_no_bin(spark):
+    df = scored(spark, [(0.25, 1), (-0.1, 1), (1.4, 0), (None, 1), (float("nan"), 1), (1.0, 1)])
+    bins = {r.bin: r for r in E.calibration_bins(df).collect()}
+    assert {b: r["count"] for b, r in bins.items() if r["count"]} == {2: 1, 9: 1}
+    assert {r.invalid for r in bins.values()} == {4}
+    errors = E.calibration_errors(E.calibration_bins(df)).first()
+    assert errors.n == 2 and abs(errors.ece - 0.375) < 1e-12
+    with pytest.raises(ValueError, match="4 of 6"):
+        E.calibration_bins(df, strict=True)

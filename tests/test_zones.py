@@ -3,13 +3,14 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.functions.scalars import iso_utc
 from tallyframe.plans.jobs import Zones, audit, rebuild, run_daily, training_matrix
 from tallyframe.schema import ODDS, PLAYER_GAME, PLAYER_GAME_ADVANCED, ROLLING, TEAM_GAME, conform
 from tallyframe.sources import landing as L
 from tallyframe.sources import zones as Z
-from tallyframe.streaming import incremental
+from tallyframe.sources.landing import land_box_scores, land_odds, rejects_path
 from tallyframe.streaming.incremental import incremental_team_game, touched_partitions
 
 from .conftest import day, rows
@@ -195,7 +196,7 @@ def test_rebuild_without_ratings(spark, tmp_path):
 def test_stream_keeps_earlier_rows_of_a_date(spark, tmp_path):
     zones = landed(spark, str(tmp_path / "d"), DATES[:2])
     state, out = str(tmp_path / "state"), str(tmp_path / "out")
-    incremental_team_game(spark, zones.raw, out, state, zones.raw_advanced, files_per_batch=1).awaitTermination()
+    incremental_team_game(spark, zones.raw, out, state, zones.raw_advanced, files_per_batch=1)
     assert Z.read_zone(spark, out, TEAM_GAME).count() == 4
     # A second file for a date already written.
     late = Z.read_zone(spark, zones.raw, PLAYER_GAME).filter(F.col("game_date") == day(DATES[0])).withColumns(
@@ -203,7 +204,7 @@ def test_stream_keeps_earlier_rows_of_a_date(spark, tmp_path):
     )
     conform(spark.createDataFrame(late.collect(), PLAYER_GAME), PLAYER_GAME).write.mode("append").partitionBy("season", "game_date").parquet(zones.raw)
     for _ in range(2):
-        incremental_team_game(spark, zones.raw, out, state, zones.raw_advanced).awaitTermination()
+        incremental_team_game(spark, zones.raw, out, state, zones.raw_advanced)
     got = rows(Z.read_zone(spark, out, TEAM_GAME), "game_date", "game_id", "team_id", "pts")
     assert len(got) == 6 and (day(DATES[0]), "late", 1, 14) in got
     assert (day(DATES[0]), "0020260428", 1, 41) in got
@@ -212,29 +213,107 @@ def test_stream_keeps_earlier_rows_of_a_date(spark, tmp_path):
 def test_freshness(spark, tmp_path):
     path = str(tmp_path / "processed/f")
     Z.write_processed(team_rows(spark, ["2026-05-01"]), path)
-    row = Z.zone_freshness(spark, path, TEAM_GAME).first()
+    row = Z.zone_freshness(spark, path).first()
     assert row.newest is not None and row.n_files >= 1
 
 
-def test_touched_partitions_prune_or_join(spark, tmp_path, monkeypatch):
+def test_touched_partitions_prune_and_keep_null(spark, tmp_path):
     path = str(tmp_path / "processed/t")
     Z.write_processed(team_rows(spark, ["2026-05-01", "2026-05-02", "2026-05-03"]), path)
     full = Z.read_zone(spark, path, TEAM_GAME)
     batch = full.filter(F.col("game_date") <= day("2026-05-02")).limit(100)
-    few = touched_partitions(batch, full, ("season", "game_date"))
-    assert "PartitionFilters: [" in (plan := few._jdf.queryExecution().executedPlan().toString())
-    assert "2026-05-01" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
-    monkeypatch.setattr(incremental, "MAX_LISTED", 1)
-    many = touched_partitions(batch, full, ("season", "game_date"))
-    assert rows(few) == rows(many) and few.count() == 4
+    touched = touched_partitions(batch, full, ("season", "game_date"))
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "(season#" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert touched.count() == 4
     assert touched_partitions(batch.filter("false"), full, ("season", "game_date")).isEmpty()
+    undated = full.withColumn("game_date", F.when(F.col("game_date") != day("2026-05-03"), F.col("game_date")))
+    whole = touched_partitions(undated, undated, ("season", "game_date"))
+    assert whole.count() == undated.count() == 6
+    assert touched_partitions(undated.filter("game_date is null"), undated, ("season", "game_date")).count() == 2
+
+
+def test_unknown_games_are_kept_as_rejects(spark, tmp_path):
+    path = str(tmp_path / "raw/box")
+    payload = lambda game: spark.createDataFrame(
+        [(game, 1, 5, 10), ("g1", 1, 5, 10)], "GAME_ID string, TEAM_ID int, PLAYER_ID int, PTS int"
+    )
+    log = spark.createDataFrame([("g1", 1, "2026-05-01", "AAA vs. BBB", "W")], "GAME_ID string, TEAM_ID int, GAME_DATE string, MATCHUP string, WL string")
+    for game in ("x1", "x2"):
+        land_box_scores(payload(game), log, path, "2025-26", "Playoffs", day="2026-05-01")
+    assert [r.game_id for r in Z.read_zone(spark, path, PLAYER_GAME).collect()] == ["g1"]
+    lost = spark.read.parquet(rejects_path(path))
+    assert sorted(r.game_id for r in lost.collect()) == ["x1", "x2"]
+    assert {r.reject_reason for r in lost.collect()} == {"not_in_game_log"}
+
+
+def test_broken_odds_are_kept_as_rejects(spark, tmp_path):
+    source, path = tmp_path / "in", str(tmp_path / "raw/odds")
+    source.mkdir()
+    good = {"id": "a", "commence_time": "2026-06-04T00:30:00Z", "home_team": "H", "away_team": "A",
+            "bookmakers": [{"key": "b", "markets": [{"key": "h2h", "outcomes": [{"name": "H", "price": -110}]}, {"key": "x"}]}, {"key": "c"}]}
+    late = {**good, "id": "b", "commence_time": "soon"}
+    (source / "x.json").write_text(json.dumps(good) + "\n" + '{"id": \n' + json.dumps(late) + "\n" + json.dumps([good]) + "\n")
+    land_odds(spark, str(source), path)
+    assert Z.read_zone(spark, path, ODDS).count() == 2
+    assert rows(spark.read.parquet(rejects_path(path)), "reject_reason") == [("no_start_time",), ("not_json",)]
+
+
+def test_staging_of_an_earlier_attempt_is_not_promoted(spark, tmp_path):
+    path, staging = str(tmp_path / "processed/p"), str(tmp_path / "staging/p")
+    wrong = team_rows(spark, ["2026-05-01"]).withColumn("season", F.lit(1999))
+    Z.write_processed(wrong, staging)
+    Z.stage_then_promote(team_rows(spark, ["2026-05-01"]), staging, path)
+    assert {r.season for r in Z.read_zone(spark, path, TEAM_GAME).collect()} == {2025}
+
+
+def test_only_a_missing_zone_is_empty(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    assert not Z.zone_has_rows(spark, str(tmp_path / "nothing"), TEAM_GAME)
+    with pytest.raises(AnalysisException) as caught:
+        spark.read.json(str(tmp_path / "absent")).select("x")
+    assert Z.path_is_missing(caught.value)
+    with pytest.raises(AnalysisException) as caught:
+        spark.range(1).select("x")
+    assert not Z.path_is_missing(caught.value)
+
+
+def test_csv_header_names_the_columns(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("b,extra,a\n2,z,01\n")
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType()), T.StructField("c", T.IntegerType())])
+    assert [tuple(r) for r in Z.read_csv_zone(spark, str(tmp_path / "x.csv"), schema).collect()] == [("01", 2, None)]
+
+
+def test_late_ratings_reach_the_zone(spark, tmp_path):
+    zones = landed(spark, str(tmp_path / "d"), DATES[:1])
+    state, out = str(tmp_path / "state"), str(tmp_path / "out")
+    later = str(tmp_path / "later")
+    incremental_team_game(spark, zones.raw, out, state, later)
+    assert Z.read_zone(spark, out, TEAM_GAME).filter("off_rating is not null").isEmpty()
+    Z.read_zone(spark, zones.raw_advanced, PLAYER_GAME_ADVANCED).write.partitionBy("season", "game_date").parquet(later)
+    incremental_team_game(spark, zones.raw, out, state, later)
+    assert not Z.read_zone(spark, out, TEAM_GAME).filter("off_rating is not null").isEmpty()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tallyframe.session import checkpoint_root
+
+    fake = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda *a: None),
+        sparkContext=SimpleNamespace(getConf=lambda: {}, master="spark://host:7077", applicationId="x"),
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(fake)
 
 
 def test_a_day_is_written_by_few_tasks(spark, tmp_path):
     path = str(tmp_path / "processed/few")
     frame = team_rows(spark, [f"2026-05-{d:02d}" for d in range(1, 11)]).repartition(8)
     Z.write_processed(frame, path)
-    assert Z.zone_freshness(spark, path, TEAM_GAME).first().n_files == 10
+    assert Z.zone_freshness(spark, path).first().n_files == 10
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Tokyo"])
