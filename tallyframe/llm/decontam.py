@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from tallyframe.session import cut_lineage
 
 from .arrow import append_columns
+from .store import bit_table, in_table
 
 WORD = re.compile(r"\w+")
 WORD_CACHE = 500_000
@@ -109,24 +110,6 @@ def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str, window: in
     return built.filter(F.size("words") > 0).groupBy("words").agg(F.min("item").alias("item"), F.first("seeds").alias("seeds"))
 
 
-def seed_filter(items: DataFrame, bits: int) -> np.ndarray:
-    """A bit per hash slot that some benchmark seed falls into, as bytes; its size never changes.
-
-    At most ``bits / 64`` packed words reach the driver, 2 MB by default.
-    """
-    slot = F.pmod("seed", F.lit(bits))
-    packed = (
-        items.select(F.explode("seeds.seed").alias("seed"))
-        .select(F.shiftright(slot, 6).alias("word"), (slot % 64).cast("int").alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("mask"))
-        .toArrow()
-    )
-    table = np.zeros(bits // 64, dtype=np.int64)
-    table[packed["word"].to_numpy()] = packed["mask"].to_numpy()
-    return table.view(np.uint8)
-
-
 def document_segments(
     docs: DataFrame, id_col: str, text_col: str, filter_bytes: np.ndarray, short: tuple[int, ...], reach: int
 ) -> DataFrame:
@@ -136,7 +119,6 @@ def document_segments(
     one, so a document never sends more words than it has.
     """
     shared = docs.sparkSession.sparkContext.broadcast(filter_bytes)
-    bits = len(filter_bytes) * 8
     part = T.StructType(
         [
             T.StructField("start", T.IntegerType()),
@@ -158,8 +140,7 @@ def document_segments(
             at, seed, size = [], [], []
             for hashes, length in seeds(w, short):
                 signed = hashes.view(np.int64)
-                slot = np.mod(signed, bits)
-                ok = np.flatnonzero(table[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+                ok = np.flatnonzero(in_table(table, signed))
                 at.append(ok)
                 seed.append(signed[ok])
                 size.append(np.full(len(ok), length))
@@ -229,7 +210,7 @@ def contaminated(
     longest = lengths.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     short = tuple(sorted(r[0] for r in lengths.filter(F.col("n") < spec.window).distinct().collect()))
     segments = cut_lineage(
-        document_segments(docs, id_col, text_col, seed_filter(items, spec.filter_bits), short, longest)
+        document_segments(docs, id_col, text_col, bit_table(items.select(F.explode("seeds.seed").alias("seed")), F.col("seed"), spec.filter_bits), short, longest)
     )
     hits = segments.select("doc", "start", F.inline("hits"))
     lookup = items.select("item", F.inline("seeds")).withColumnRenamed("at", "item_at")

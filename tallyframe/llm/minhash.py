@@ -2,25 +2,26 @@
 
 Every link is confirmed on whole shingle sets. Buckets give star-shaped candidates,
 each member with the bucket's smallest document. What a star may miss is made up
-for afterwards: only buckets whose members are still in several components are
-looked at again, and there only pairs across components that neither their sizes
-nor the triangle inequality of Jaccard distances rule out.
+for afterwards: buckets whose members are still in several components are looked at
+again, the members outside a bucket's largest component against all others in it,
+inside tasks that return only the links they find.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.session import cut_lineage
-
 from .arrow import append_columns
 from .components import connected_components
+from .store import bit_table, in_table, written
 
 WORD_CACHE = 500_000
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -31,14 +32,18 @@ PROBES = 64
 class MinHashSpec:
     """Shingle width, link rule ``100 * common >= percent * union``, and bands of rows.
 
-    With 36 bands of 5 rows a pair at 0.8 shares no bucket with probability
-    (1 - 0.8 ** 5) ** 36, six in ten million.
+    With 32 bands of 5 rows a pair at 0.8 shares no bucket with probability
+    (1 - 0.8 ** 5) ** 32, three in a million. ``chunk`` bounds the shingles a task
+    holds on one side when it looks at a bucket again; ``filter_bits`` fixes the size
+    of the table by which documents without candidates are told apart.
     """
 
     words: int = 5
     percent: int = 80
-    bands: int = 36
+    bands: int = 32
     rows: int = 5
+    chunk: int = 1_000_000
+    filter_bits: int = 1 << 24
 
     @property
     def bins(self) -> int:
@@ -143,15 +148,28 @@ def sketch(docs: DataFrame, spec: MinHashSpec, id_col: str, text_col: str) -> Da
 
 
 def shingle_sets(docs: DataFrame, spec: MinHashSpec, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """Id and full shingle set of the documents named in ``wanted``."""
+    """Id and full shingle set of the documents whose ids are in ``wanted``.
+
+    A bit table of fixed size keeps other texts from being worked on, so no text is
+    shuffled; the ids it lets through wrongly are sorted out afterwards.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(wanted, F.xxhash64("id"), spec.filter_bits))
 
     def start():
-        shingler = Shingler(spec.words)
-        return lambda texts: [[shingler.shingles(t).view(np.int64) for t in texts]]
+        shingler, table = Shingler(spec.words), shared.value
 
-    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    chosen = source.join(wanted, "id", "left_semi")
-    return append_columns(chosen, "text", [("shingles", T.ArrayType(T.LongType()))], start, ["id"])
+        def compute(rows: list) -> list[list]:
+            asked = in_table(table, np.array([r["h"] for r in rows], dtype=np.int64))
+            return [[shingler.shingles(r["text"]).view(np.int64) if ok else None for r, ok in zip(rows, asked)]]
+
+        return compute
+
+    key = F.col(f"`{id_col}`").cast("long")
+    source = docs.select(
+        key.alias("id"), F.struct(F.xxhash64(key).alias("h"), F.col(f"`{text_col}`").alias("text")).alias("row")
+    ).filter("id is not null")
+    made = append_columns(source, "row", [("shingles", T.ArrayType(T.LongType()))], start, ["id"])
+    return made.filter("shingles is not null").join(wanted, "id", "left_semi")
 
 
 def similarity(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -181,37 +199,42 @@ def near_duplicates(
     columns are ignored.
 
     Equal sets are one node before anything is paired, so a group of copies of any
-    size is one node. Sketches are checkpointed: about 340 bytes a document. Whole
-    sets are made only for documents in a candidate pair.
+    size is one node. Sketches are stored: about 300 bytes a document. Whole sets are
+    made only for documents that share a bucket with another.
     """
     spec = spec or MinHashSpec()
-    sketches = cut_lineage(sketch(docs, spec, id_col, text_col))
+    sketches = written(sketch(docs, spec, id_col, text_col), "sketches")
     named = sketches.filter("id is not null")
-    nodes = cut_lineage(named.filter("n_shingles > 0").groupBy("s1", "s2").agg(F.min("id").alias("rep")))
+    nodes = written(named.filter("n_shingles > 0").groupBy("s1", "s2").agg(F.min("id").alias("rep")), "sets")
     # A node's bands are those of any of its rows; ids repeated with other texts add theirs.
-    rep_rows = named.select("id", "s1", "s2", "n_shingles", "bands").join(
-        nodes.select(F.col("rep").alias("id"), "s1", "s2"), ["id", "s1", "s2"]
+    rep_rows = (
+        named.select("id", "s1", "s2", "n_shingles", "bands")
+        .join(nodes.select(F.col("rep").alias("id"), "s1", "s2"), ["id", "s1", "s2"])
+        .dropDuplicates(["id", "s1", "s2"])
     )
-    entries = cut_lineage(
-        rep_rows.dropDuplicates(["id", "s1", "s2"]).select(
-            F.explode("bands").alias("key"), "id", F.col("n_shingles").alias("n")
-        )
+    entries = written(rep_rows.select("id", F.col("n_shingles").alias("n"), "bands"), "bands").select(
+        F.explode("bands").alias("key"), "id", "n"
     )
-    centres = entries.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("centre < last")
-    members = entries.join(centres.select("key", "centre"), "key")
-    stars = cut_lineage(
-        members.filter("centre <> id").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    centres = (
+        entries.groupBy("key")
+        .agg(F.min("id").alias("centre"), F.max("id").alias("last"))
+        .filter("centre < last")
+        .select("key", "centre")
     )
-    known = cut_lineage(_verified(docs, spec, id_col, text_col, stars))
+    members = written(entries.join(centres, "key"), "members")
+    stars = written(
+        members.filter("centre <> id").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), "stars"
+    )
+    wanted = stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id"))).distinct()
+    sets = written(shingle_sets(docs, spec, id_col, text_col, wanted), "shingles")
     linked = F.col("common") * 100 >= F.col("total") * spec.percent
-    labels = cut_lineage(connected_components(known.filter(linked).select("a", "b")))
+    links = written(similarity(stars, sets).filter(linked).select("a", "b"), "links")
+    labels = connected_components(links)
 
-    missed = _across_components(members, labels, known, spec)
-    more = _verified(docs, spec, id_col, text_col, missed).filter(linked).select("a", "b")
-    more = cut_lineage(more)
+    more = written(_across_components(members, labels, sets, spec), "more-links")
     if not more.isEmpty():
         stitched = labels.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        labels = cut_lineage(connected_components(stitched.unionByName(more)))
+        labels = connected_components(stitched.unionByName(more))
 
     of_node = nodes.join(labels, nodes["rep"] == labels["node"], "left").select(
         "s1", "s2", F.coalesce("component", "rep").alias("of_set")
@@ -230,46 +253,113 @@ def near_duplicates(
     )
 
 
-def _verified(docs: DataFrame, spec: MinHashSpec, id_col: str, text_col: str, pairs: DataFrame) -> DataFrame:
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = shingle_sets(docs, spec, id_col, text_col, wanted)
-    return similarity(pairs, sets)
-
+def _across_components(members: DataFrame, labels: DataFrame, sets: DataFrame, spec: MinHashSpec) -> DataFrame:
+    """Links between members of one bucket that are in different components.
 
-def _across_components(members: DataFrame, labels: DataFrame, known: DataFrame, spec: MinHashSpec) -> DataFrame:
-    """Unverified pairs in one bucket but in different components that could still be linked.
-
-    Sizes must allow it, and the distances of both to the bucket's centre must
-    differ by no more than the largest distance of a link.
+    In each bucket with several components the members outside its largest one are
+    laid against all members, in chunks of at most about ``spec.chunk`` shingles a
+    side. A task sees one pair of chunks and returns the links it finds, so no
+    candidate pair is ever a row.
     """
-    labelled = members.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
-        "component", F.coalesce("component", "id")
+    labelled = members.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
+        "key", "id", "n", F.coalesce("component", "id").alias("component")
     )
+    of_component = labelled.groupBy("key", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
     mixed = (
-        labelled.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low <> high")
-        .select("key")
+        of_component.groupBy("key")
+        .agg(
+            F.count("*").alias("components"),
+            F.max(F.struct("rows", "component", "n")).alias("largest"),
+            F.sum("n").alias("n_all"),
+        )
+        .filter("components > 1")
+        .select(
+            "key",
+            F.col("largest.component").alias("largest"),
+            F.ceil((F.col("n_all") - F.col("largest.n")) / spec.chunk).cast("int").alias("out_chunks"),
+            F.ceil(F.col("n_all") / spec.chunk).cast("int").alias("all_chunks"),
+        )
+    )
+    rest = labelled.join(mixed, "key")
+    # Some ids have several sets (repeated ids); each is laid against the others.
+    mix = F.xxhash64("id", "key")
+    outside = rest.filter("component <> largest").select(
+        "key",
+        F.pmod(mix, F.col("out_chunks")).alias("i"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_chunks") - F.lit(1).cast("long"))).alias("j"),
+        F.lit(0).alias("side"),
+        "id",
+        "component",
     )
-    distance = known.select(
-        F.col("a").alias("centre"), F.col("b").alias("id"), (1 - F.col("common") / F.col("total")).alias("d")
-    ).groupBy("centre", "id").agg(F.min("d").alias("d"))
-    rest = cut_lineage(
-        labelled.join(mixed, "key", "left_semi")
-        .join(distance, ["centre", "id"], "left")
-        .select("key", "centre", "id", "n", "component", F.coalesce("d", F.lit(0.0)).alias("d"))
+    everyone = rest.select(
+        "key",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("out_chunks") - F.lit(1).cast("long"))).alias("i"),
+        F.pmod(mix, F.col("all_chunks")).alias("j"),
+        F.lit(1).alias("side"),
+        "id",
+        "component",
     )
-    x, y = rest.alias("x"), rest.alias("y")
-    reach = 1 - spec.percent / 100 + 1e-9
-    could = (
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.component") < F.col("y.component"))
-        & (F.col("x.id") != F.col("x.centre"))
-        & (F.col("y.id") != F.col("y.centre"))
-        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * spec.percent)
-        & (F.abs(F.col("x.d") - F.col("y.d")) <= reach)
+    cells = (
+        outside.unionByName(everyone)
+        .join(sets, "id")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j", "side")
+        .select("key", "i", "j", "side", "id", "component", "shingles")
     )
-    pairs = x.join(y, could).select(
-        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
-    ).distinct()
-    return cut_lineage(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"))
+    percent = spec.percent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, found = None, []
+        for batch in batches:
+            place = list(zip(*(batch.column(k).to_pylist() for k in range(6))))
+            shingles = batch.column(6)
+            for row, (key, i, j, side, doc, component) in enumerate(place):
+                if cell is None or cell.place != (key, i, j):
+                    cell = _Cell((key, i, j), percent)
+                values = np.sort(shingles[row].values.to_numpy(zero_copy_only=False))
+                if side == 0:
+                    cell.add(doc, component, values)
+                else:
+                    found += cell.links(doc, component, values)
+            if found:
+                links, found = sorted(set(found)), []
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"]
+                )
+
+    return cells.mapInArrow(run, "a long, b long").distinct()
+
+
+class _Cell:
+    """Sets of one chunk outside the largest component, indexed by shingle."""
+
+    def __init__(self, place: tuple, percent: int):
+        self.place, self.percent = place, percent
+        self.docs: list[tuple[int, int]] = []
+        self.sets: list[np.ndarray] = []
+        self.index: tuple[np.ndarray, ...] | None = None
+
+    def add(self, doc: int, component: int, shingles: np.ndarray) -> None:
+        self.docs.append((doc, component))
+        self.sets.append(shingles)
+
+    def links(self, doc: int, component: int, shingles: np.ndarray) -> list[tuple[int, int]]:
+        """Documents of the chunk in other components that are linked to this one."""
+        if self.index is None:
+            values = np.concatenate(self.sets)
+            owner = np.repeat(np.arange(len(self.sets)), [len(s) for s in self.sets])
+            order = np.argsort(values, kind="stable")
+            self.index = values[order], owner[order], np.array([len(s) for s in self.sets])
+            self.components = np.array([c for _, c in self.docs])
+        values, owner, sizes = self.index
+        lo, hi = np.searchsorted(values, shingles, "left"), np.searchsorted(values, shingles, "right")
+        spans = hi - lo
+        total = int(spans.sum())
+        if not total:
+            return []
+        # Positions of all matches: each span from its start on.
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(total)
+        common = np.bincount(owner[at], minlength=len(sizes))
+        near = common * 100 >= (sizes + len(shingles) - common) * self.percent
+        hits = np.flatnonzero(near & (self.components != component))
+        return [(min(doc, self.docs[h][0]), max(doc, self.docs[h][0])) for h in hits]
