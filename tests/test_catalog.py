@@ -2,12 +2,10 @@ import math
 
 import pytest
 
-import __spark_entry__ as entry
+from tallyframe.catalog import QUERIES, SQL
 
 duckdb = pytest.importorskip("duckdb")
 TABLES = "region nation customer supplier part orders lineitem events".split()
-SLOW = {"oof_logreg", "evaluate_models", "score_games", "predict_matchups"}
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +39,6 @@ def test_query_equals_its_twin(spark, sf_dir, duck, name):
     assert got == canonical(columns, cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_rows_only(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
