@@ -345,6 +345,8 @@ class _Cell:
 
     def links(self, doc: int, component: int, shingles: np.ndarray) -> list[tuple[int, int]]:
         """Documents of the chunk in other components that are linked to this one."""
+        if not self.sets:  # no text outside the largest component fell into this chunk
+            return []
         if self.index is None:
             values = np.concatenate(self.sets)
             owner = np.repeat(np.arange(len(self.sets)), [len(s) for s in self.sets])

@@ -92,6 +92,22 @@ def test_near_duplicates_across_mixed_buckets(spark):
     assert got == brute_components(docs, 4)[0]
 
 
+def test_near_duplicates_of_texts_longer_than_a_chunk(spark):
+    """Most chunks of a mixed bucket hold no text outside its largest component."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(400)]
+    docs = [(0, " ".join(edited(rng, words, 9)))]
+    for i in range(1, 30):
+        docs.append((i, " ".join(edited(rng, words, rng.randint(0, 12)))))
+    pair = [f"v{i}" for i in range(600)]  # share buckets, but are not linked
+    docs += [(100, " ".join(pair)), (101, " ".join(pair[:480] + [f"u{i}" for i in range(80)]))]
+    expected, _ = brute_components(docs, 4)
+    assert expected[100] == 100 and expected[101] == 101 and len(set(expected.values())) > 3
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(df, MinHashSpec(words=4, chunk=50)).collect()}
+    assert got == expected
+
+
 def test_rows_without_id_or_repeated_are_defined(spark):
     text = "a text of some words that is long enough for shingles"
     rows = [(None, text), (None, None), (4, text), (4, text), (2, text), (9, None), (9, None)]
