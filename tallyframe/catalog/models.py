@@ -24,11 +24,8 @@ from .registry import query
 from .reports import requested_pairs
 from .training import frame
 
-# Fewer iterations than the default of 1000, fewer rounds than 100: each is a Spark job
-# or several, and these fits (4 splits of 5 inner folds) run on every check. With the
-# defaults `oof_logreg` alone took 147 s at scale 0.01 on a busy machine.
-LOGREG = ModelSpec("logreg", max_iter=25)
-BOOSTED = ModelSpec("boosted", boosting_rounds=3)
+LOGREG = ModelSpec("logreg")
+BOOSTED = ModelSpec("boosted")
 
 
 @query("oof_logreg")

@@ -103,3 +103,10 @@ def test_save_load_score_and_matchups(spark, frame, tmp_path):
     pairs = spark.createDataFrame([("X", "Y"), ("Y", "X"), ("X", "X")], "home_team string, away_team string")
     out = {r.home_team: r for r in M.predict_matchups(model, pairs, latest, ROLLING_COLUMNS).collect()}
     assert out["X"].predicted_home_win and not out["Y"].predicted_home_win and len(out) == 2
+
+
+def test_registered_queries_use_the_default_specs():
+    from tallyframe.catalog import models as registered
+
+    assert registered.LOGREG == M.ModelSpec("logreg")
+    assert registered.BOOSTED == M.ModelSpec("boosted")
