@@ -33,7 +33,7 @@ STOP_WORDS = frozenset(
 )
 
 #: Elements whose text is never shown or never prose.
-UNSEEN = frozenset("script style noscript template head title svg math iframe object canvas audio video select".split())
+UNSEEN = frozenset("script style noscript template title svg math iframe object canvas audio video select".split())
 
 #: Elements that hold no article text.
 BOILERPLATE = frozenset("nav footer aside form button menu dialog fieldset label textarea".split())
@@ -64,6 +64,15 @@ MARKS = frozenset(
 #: The same for an article inside the page: what is no article at all.
 NO_ARTICLE = frozenset("comment comments reply replies ad ads advert promo sponsored related".split())
 
+#: Words after a mark that leave it a mark (nav-links, comment-list), and first words of a token that says what a page has.
+FORMS = frozenset(
+    """
+    area articles bar block bottom box btn button buttons container content form icon icons inner item items label left
+    link links list message panel posts right section slot text title top unit wrap wrapper
+    """.split()
+)
+STATES = frozenset("has have with without no not is hide show".split())
+
 #: Elements that end an open <p>.
 _ENDS_P = BLOCKS - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "li", "dd", "dt", "option"}
 
@@ -72,7 +81,7 @@ _TOKEN = re.compile(
     r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S,
 )
-_MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_MARKED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:\s|^)(?:hidden(?=[\s/=]|$)|aria-hidden\s*=\s*["']?true)|display\s*:\s*none""", re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -98,13 +107,26 @@ class Block:
     main: bool  # inside the article or main element
     heading: bool
     section: int  # number of the article it is in, 0 outside
+    weak: bool = False  # boilerplate only by marks around its article
+
+
+def _names(values: list[str]) -> set[str]:
+    """What class, id and role values name: each token's last word, forms left out, unless it says what a page has."""
+    found = set()
+    for token in " ".join(values).lower().split():
+        words = [w for w in re.split(r"[^a-z]+", token) if w]
+        while len(words) > 1 and words[-1] in FORMS:
+            words.pop()
+        if words and words[0] not in STATES:
+            found.add(words[-1])
+    return found
 
 
 def split_blocks(page: str) -> list[Block]:
     """Blocks of a page in order, by one scan over its tags; broken markup is taken as it comes."""
     blocks: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, starts boilerplate, starts main
-    state = {"bad": 0, "main": 0, "link": 0, "heading": 0, "section": 0, "articles": 0}
+    stack: list[tuple[str, bool, bool, bool]] = []  # element, starts boilerplate, only by outer marks, starts main
+    state = {"bad": 0, "soft": 0, "main": 0, "link": 0, "heading": 0, "section": 0, "articles": 0}
     parts: list[tuple[str, bool]] = []
 
     def flush() -> None:
@@ -113,14 +135,15 @@ def split_blocks(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(p for p, _ in parts)).split())
             if text:
                 linked = sum(len(" ".join(html.unescape(p).split())) for p, in_link in parts if in_link)
-                blocks.append(
-                    Block(text, linked, state["bad"] > 0, state["main"] > 0, state["heading"] > 0, state["section"])
-                )
+                bad, soft = state["bad"] > 0, state["soft"] > 0
+                heading, main = state["heading"] > 0, state["main"] > 0
+                blocks.append(Block(text, linked, bad or soft, main, heading, state["section"], soft and not bad))
             parts.clear()
 
-    def leave(entry: tuple[str, bool, bool]) -> None:
-        name, bad, main = entry
+    def leave(entry: tuple[str, bool, bool, bool]) -> None:
+        name, bad, soft, main = entry
         state["bad"] -= bad
+        state["soft"] -= soft
         state["main"] -= main
         state["link"] -= name == "a"
         state["heading"] -= name in ("h1", "h2", "h3", "h4", "h5", "h6")
@@ -169,27 +192,34 @@ def split_blocks(page: str) -> list[Block]:
                 leave(stack.pop())
         if name in ("br", "img", "hr", "input"):
             parts.append((" ", state["link"] > 0))
-        if name in VOID or m[3].endswith("/"):
+        if name in VOID or name == "head" or m[3].endswith("/"):
             continue
-        words = {w for found in _MARKED.findall(m[3]) for w in re.split(r"[^a-z]+", " ".join(found).lower())}
+        # The id of a heading is made from its words.
+        heading = name in ("h1", "h2", "h3", "h4", "h5", "h6")
+        values = [" ".join(v) for k, *v in _MARKED.findall(m[3]) if not (heading and k.lower() == "id")]
+        words = _names(values)
+        every = set(re.split(r"[^a-z]+", " ".join(values).lower()))
         in_article = state["main"] > 0
         marks = NO_ARTICLE if name == "article" else frozenset() if name in ("html", "body", "main") else MARKS
-        heads = name == "header" or ("header" in words and not words & {"article", "entry", "post"})
+        heads = name == "header" or ("header" in words and not every & {"article", "entry", "post"})
         bad = (
             name in BOILERPLATE
             or (heads and not in_article)
-            or bool(words & marks)
+            or bool(words & marks & (NO_ARTICLE if not in_article else MARKS))
             or bool(_HIDDEN.search(m[3]))
         )
+        # Other marks outside an article may be of a wrapper around it.
+        soft = not bad and bool(words & marks)
         main = name in ("article", "main") and not bad
-        stack.append((name, bad, main))
+        stack.append((name, bad, soft, main))
         state["bad"] += bad
+        state["soft"] += soft
         if main and not state["main"]:
             state["articles"] += 1
             state["section"] = state["articles"]
         state["main"] += main
         state["link"] += name == "a"
-        state["heading"] += name in ("h1", "h2", "h3", "h4", "h5", "h6")
+        state["heading"] += heading
     flush()
     return blocks
 
@@ -215,6 +245,9 @@ def label(block: Block, rules: BlockRules) -> bool | None:
 def main_text(page: str | None, rules: BlockRules) -> str:
     """Text blocks of a page joined by newlines; a null or empty page has none."""
     blocks = split_blocks(page or "")
+    if not any(b.main and not b.bad for b in blocks):
+        for b in blocks:  # the only article is in marked wrappers, which then are no boilerplate
+            b.bad = b.bad and not (b.main and b.weak)
     if any(b.main and not b.bad for b in blocks):
         for b in blocks:  # a page that says where its article is has none elsewhere
             b.bad = b.bad or not b.main

@@ -164,6 +164,32 @@ def test_page_without_article_uses_densities():
     )
 
 
+PROSE = "This is the text of the page and it is what the reader came for, with all of the words that are in it."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='layout has-sidebar'><article><p>{PROSE}</p></article></div>",
+        f"<div class='with-navbar'><p>{PROSE}</p></div>",
+        f"<div class='menu-open'><main><p>{PROSE}</p></main></div>",
+        f"<div id='overlay'><article><p>{PROSE}</p></article></div>",
+        f"<article><section id='related-work'><p>{PROSE}</p></section></article>",
+        f"<article><section id='social-policy'><p>{PROSE}</p></section></article>",
+        f"<html><head><title>x</title><meta charset=utf-8><body><article><p>{PROSE}</p></article></body>",
+        f"<article><p>{PROSE}</p></article><div class='sidebar'><article><p>{PROSE}</p></article></div>",
+        f"<article><p>{PROSE}</p></article><div class='comment-list'><p>{PROSE}</p></div>",
+    ],
+)
+def test_marks_of_wrappers_and_open_heads_lose_no_article(page):
+    assert pages.main_text(page, pages.BlockRules()) == PROSE
+
+
+def test_ids_of_headings_are_no_marks():
+    page = f"<article><h2 id='skip-lists'>Skip lists</h2><p>{PROSE}</p><h2 id='share'>Share</h2><p>{PROSE}</p></article>"
+    assert pages.main_text(page, pages.BlockRules()).split("\n") == ["Skip lists", PROSE, "Share", PROSE]
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "</p></p>", "<article", "&amp", "<!--", "<script>", "<p>" * 3000, "<" * 5000])
 def test_broken_pages_do_not_crash(page):
     assert isinstance(pages.main_text(page, pages.BlockRules()), str)
