@@ -84,6 +84,8 @@ _TOKEN = re.compile(
 _MARKED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:\s|^)(?:hidden(?=[\s/=]|$)|aria-hidden\s*=\s*["']?true)|display\s*:\s*none""", re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
+#: Letters that say about as much as three of an alphabet.
+_WIDE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
 
 
 @dataclass(frozen=True)
@@ -224,17 +226,42 @@ def split_blocks(page: str) -> list[Block]:
     return blocks
 
 
-def label(block: Block, rules: BlockRules) -> bool | None:
-    """First pass: True for text, False for boilerplate, None for too short or too unclear to say."""
+def _density(text: str) -> float:
+    """Share of stop words."""
+    words = _WORDS.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+
+
+def _length(text: str) -> int:
+    """Characters, wide letters as three."""
+    return len(text) + 2 * len(_WIDE.findall(text))
+
+
+def _told_by_words(blocks: list[Block], rules: BlockRules) -> bool:
+    """Whether most of a page's longer unlinked text has the stop words known here."""
+    known = total = 0
+    for b in blocks:
+        if not b.bad and _length(b.text) >= rules.short and b.linked <= rules.links * len(b.text):
+            total += len(b.text)
+            known += len(b.text) * (_density(b.text) >= rules.stop_low)
+    return known * 2 >= total
+
+
+def label(block: Block, rules: BlockRules, by_words: bool = True) -> bool | None:
+    """First pass: True for text, False for boilerplate, None for too short or too unclear to say.
+
+    On a page not to be told ``by_words`` length and links alone count.
+    """
     if block.bad:
         return False
     if block.linked > rules.links * len(block.text):
         # One linked word in a short line of an article says nothing.
         return None if block.main and block.linked < rules.short else False
+    if not by_words:
+        return True if _length(block.text) >= rules.short else None
     if len(block.text) < rules.short:
         return None
-    words = _WORDS.findall(block.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    density = _density(block.text)
     if density >= rules.stop_high or (len(block.text) >= rules.long and density >= rules.stop_low):
         return True
     if density < rules.stop_low and not block.main and len(block.text) < rules.long:
@@ -251,7 +278,8 @@ def main_text(page: str | None, rules: BlockRules) -> str:
     if any(b.main and not b.bad for b in blocks):
         for b in blocks:  # a page that says where its article is has none elsewhere
             b.bad = b.bad or not b.main
-    first = [label(b, rules) for b in blocks]
+    by_words = _told_by_words(blocks, rules)
+    first = [label(b, rules, by_words) for b in blocks]
     kept = []
     for i, (b, own) in enumerate(zip(blocks, first)):
         if own is None:

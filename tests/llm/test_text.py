@@ -190,6 +190,22 @@ def test_ids_of_headings_are_no_marks():
     assert pages.main_text(page, pages.BlockRules()).split("\n") == ["Skip lists", PROSE, "Share", PROSE]
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Сегодня утром жители города увидели первый снег, который лежал на крышах и улицах.",
+        "Questa mattina gli abitanti della città hanno visto cadere i primi fiocchi di neve.",
+        "今天早上，城里的居民看到了今年的第一场雪，屋顶和街道都变成了白色，孩子们非常高兴，他们跑到外面玩耍。",
+        "今天早上，城里的居民看到了第一场雪，孩子们很高兴。",
+        "int main(void) { return compute(left, right) + offset[3] * scale; }",
+    ],
+)
+def test_text_without_known_stop_words_and_without_article(text):
+    page = f"<body><ul><li><a href=x>Home</a></li><li><a href=y>All the news of the day</a></li></ul><h2>1</h2><p>{text}</p><p>{text}</p><footer>c</footer></body>"
+    got = pages.main_text(page, pages.BlockRules()).split("\n")
+    assert [x for x in got if x != "1"] == [text, text]
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "</p></p>", "<article", "&amp", "<!--", "<script>", "<p>" * 3000, "<" * 5000])
 def test_broken_pages_do_not_crash(page):
     assert isinstance(pages.main_text(page, pages.BlockRules()), str)
