@@ -129,17 +129,22 @@ def split_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     stack: list[tuple[str, bool, bool, bool]] = []  # element, starts boilerplate, only by outer marks, starts main
     state = {"bad": 0, "soft": 0, "main": 0, "link": 0, "heading": 0, "section": 0, "articles": 0}
-    parts: list[tuple[str, bool]] = []
+    parts: list[tuple[str, bool, int]] = []  # text, inside a link, 2 in boilerplate and 1 if only by outer marks
+
+    def add(text: str) -> None:
+        parts.append((text, state["link"] > 0, 2 if state["bad"] else 1 if state["soft"] else 0))
 
     def flush() -> None:
         if parts:
+            # What an inline element makes boilerplate is left out of the block; alone it is a block.
+            level = min((x for p, _, x in parts if html.unescape(p).strip()), default=0)
+            parts[:] = [p for p in parts if p[2] <= level]
             # References are decoded first, so that a reference to white space is white space.
-            text = " ".join(html.unescape("".join(p for p, _ in parts)).split())
+            text = " ".join(html.unescape("".join(p for p, _, _ in parts)).split())
             if text:
-                linked = sum(len(" ".join(html.unescape(p).split())) for p, in_link in parts if in_link)
-                bad, soft = state["bad"] > 0, state["soft"] > 0
+                linked = sum(len(" ".join(html.unescape(p).split())) for p, in_link, _ in parts if in_link)
                 heading, main = state["heading"] > 0, state["main"] > 0
-                blocks.append(Block(text, linked, bad or soft, main, heading, state["section"], soft and not bad))
+                blocks.append(Block(text, linked, level > 0, main, heading, state["section"], level == 1))
             parts.clear()
 
     def leave(entry: tuple[str, bool, bool, bool]) -> None:
@@ -156,10 +161,10 @@ def split_blocks(page: str) -> list[Block]:
     while at < end:
         m = _TOKEN.search(page, at)
         if m is None:
-            parts.append((page[at:], state["link"] > 0))
+            add(page[at:])
             break
         if m.start() > at:
-            parts.append((page[at : m.start()], state["link"] > 0))
+            add(page[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
@@ -193,7 +198,7 @@ def split_blocks(page: str) -> list[Block]:
             if name in ("li", "dd", "dt", "option", "tr", "td", "th") and stack and stack[-1][0] == name:
                 leave(stack.pop())
         if name in ("br", "img", "hr", "input"):
-            parts.append((" ", state["link"] > 0))
+            add(" ")
         if name in VOID or name == "head" or m[3].endswith("/"):
             continue
         # The id of a heading is made from its words.

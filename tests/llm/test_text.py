@@ -206,6 +206,20 @@ def test_text_without_known_stop_words_and_without_article(text):
     assert [x for x in got if x != "1"] == [text, text]
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        (f"<article><p>{PROSE}</p><button>Subscribe now</button><p>{PROSE}</p></article>", [PROSE, PROSE]),
+        (f"<article><p>{PROSE}</p><label>Mail</label><textarea>Write</textarea></article>", [PROSE]),
+        (f"<article><p>{PROSE} <span class='ad'>Buy</span></p></article>", [PROSE]),
+        (f"<article><p><span hidden>No</span> {PROSE}</p></article>", [PROSE]),
+        (f"<article><p>One <b>bold</b><button>Copy</button><br>word. {PROSE}</p></article>", [f"One bold word. {PROSE}"]),
+    ],
+)
+def test_inline_boilerplate_is_left_out(page, expected):
+    assert pages.main_text(page, pages.BlockRules()).split("\n") == expected
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "</p></p>", "<article", "&amp", "<!--", "<script>", "<p>" * 3000, "<" * 5000])
 def test_broken_pages_do_not_crash(page):
     assert isinstance(pages.main_text(page, pages.BlockRules()), str)
