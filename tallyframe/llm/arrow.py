@@ -13,6 +13,14 @@ from pyspark.sql.pandas.types import to_arrow_type
 Compute = Callable[[list], list[list]]
 
 
+def unused(names: list[str], wanted: str) -> str:
+    """``wanted``, lengthened until no name equals it in whatever case."""
+    taken = {n.lower() for n in names}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def append_columns(
     df: DataFrame,
     source: str,
@@ -24,13 +32,13 @@ def append_columns(
 
     ``start`` runs once a task and returns a function from a list of values to one
     list per field. ``keep`` names the columns that stay (all by default). Columns
-    named like a field are replaced. Others pass as Arrow, so nulls in integers,
-    nested and binary values come back unchanged.
+    named like a field, in whatever case, are replaced. Others pass as Arrow, so nulls
+    in integers, nested and binary values come back unchanged.
     """
-    fresh = {name for name, _ in fields}
-    kept = [c for c in (df.columns if keep is None else keep) if c not in fresh]
-    read = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{source}`").alias("__source"))
-    schema = T.StructType([f for f in read.schema.fields if f.name != "__source"] + [T.StructField(n, t) for n, t in fields])
+    fresh = {name.lower() for name, _ in fields}
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in fresh]
+    read = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{source}`").alias(unused(kept, "__source")))
+    schema = T.StructType(read.schema.fields[:-1] + [T.StructField(n, t) for n, t in fields])
     types = [to_arrow_type(t) for _, t in fields]
     names = [f.name for f in schema.fields]
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .audit import failure_counts, order_audit
 from .bpe import default_pattern, default_rank_file, encode_documents
 from .chat import format_chats, read_back
 from .decontam import contaminated
+from .fim import fill_in_middle, frame_texts, with_digests
 from .html import extract_main_text
 from .lattice import linked_vectors
 from .linededup import dedup_lines
@@ -15,6 +17,8 @@ from .minhash import MinHashSpec, near_duplicates
 from .quality import fit_quality, held_out, score_quality
 from .registry import load, query
 from .sharding import assign_shards
+from .store import written
+from .substring import drop_repeated_passages
 from .toxicity import fit_toxicity, score_toxicity
 
 QUALITY_THRESHOLD = 0.3
@@ -180,3 +184,112 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query(
+    "op11_substring_dedup",
+    r"""
+    WITH w AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+    ), s AS (
+        SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS win FROM w, unnest(range(1, len(ws) - 33)) AS t(i)
+    ), again AS (
+        SELECT win FROM s GROUP BY win HAVING count(*) > 1
+    ), gone AS (
+        SELECT DISTINCT doc_id, i + j AS pos FROM (SELECT doc_id, i FROM s SEMI JOIN again USING (win)), range(0, 35) AS r(j)
+    ), k AS (
+        SELECT doc_id, count(pos) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (pos IS NULL) AS kept
+        FROM (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w)
+            LEFT JOIN (SELECT doc_id, pos, pos AS p FROM gone) USING (doc_id, p)
+        GROUP BY doc_id
+    )
+    SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM w LEFT JOIN k USING (doc_id)
+    """,
+)
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without passages of 35 words that stand elsewhere too."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_repeated_passages(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+@query(
+    "op12_filter_audit",
+    r"""
+    WITH t AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+        FROM documents
+    ), m AS (
+        SELECT part, doc_id, (len(ws) < 100)::INT
+            + 2 * (100 * len(list_distinct(ws)) < 80 * len(ws))::INT
+            + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text))::INT
+            + 8 * regexp_matches(text, '[#$%&*|]')::INT
+            + 16 * (doc_id > min(doc_id) OVER (PARTITION BY text))::INT AS mask
+        FROM t
+    ), c AS (
+        SELECT part, mask, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS toxic
+        FROM m LEFT JOIN labels USING (doc_id) GROUP BY part, mask
+    ), f(letter, own) AS (
+        VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+    ), o AS (
+        SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+        FROM f a, f b, f c, f d, f e
+        WHERE a.own + b.own + c.own + d.own + e.own = 31
+            AND len(list_distinct([a.own, b.own, c.own, d.own, e.own])) = 5
+    ), s AS (
+        SELECT filter_order, i::INT AS step, own,
+            (SELECT coalesce(sum(g.own), 0)::INT FROM f g WHERE strpos(filter_order, g.letter) < i) AS before
+        FROM o, range(1, 6) AS r(i) JOIN f ON letter = filter_order[i]
+    )
+    SELECT part, filter_order, step,
+        coalesce(sum(n) FILTER (mask & (own | before) = 0), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (mask & own > 0 AND mask & before = 0), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (mask & own > 0 AND mask & before > 0), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (mask & own > 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (mask & own > 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost,
+        sum(coalesce(sum(n) FILTER (mask & own > 0 AND mask & before = 0), 0)) OVER (PARTITION BY part, own)::BIGINT
+            AS shapley
+    FROM c, s GROUP BY part, filter_order, step, own, before
+    """,
+)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders, step by step, for every language."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return order_audit(failure_counts(docs, load(spark, sf_dir, "labels")))
+
+
+@query(
+    "op13_fill_in_middle",
+    r"""
+    WITH h AS (
+        SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS d,
+            regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+        FROM documents
+    ), x AS (
+        SELECT doc_id, text, u, len(u)::BIGINT AS n, ('0x' || d[1:8])::BIGINT % (len(u) + 1) AS a,
+            ('0x' || d[9:16])::BIGINT % (len(u) + 1) AS b, ('0x' || d[17:24])::BIGINT AS h3, ('0x' || d[25:32])::BIGINT AS h4
+        FROM h
+    ), y AS (
+        SELECT doc_id, text, n, array_to_string(u[1:least(a, b)], '') AS p,
+            array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m, array_to_string(u[greatest(a, b) + 1:n], '') AS s,
+            CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50
+                THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+        FROM x
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+        sha256(text) AS restored_sha256
+    FROM y
+    """,
+)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged, with digests of the output and of the text restored from it."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    store = written(frame_texts(docs), "frames")
+    return with_digests(fill_in_middle(store))
