@@ -87,7 +87,7 @@ def failure_counts(
     The bits of A to E are 1 to 16. A null text is an empty one; a null part is empty
     text. Every row of ``docs`` is counted; rows of one id and different texts are
     judged apart. A row without an id has no smaller one and is none to others. Labels
-    of one id count if any of its rows says 1; others are 0. Either table may be
+    of one id count if any of its rows says 1; others are 0, and a label without an id marks none. Either table may be
     empty. Other columns are not read.
     """
     spec = spec or AuditSpec()

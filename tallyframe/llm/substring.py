@@ -17,6 +17,7 @@ would outgrow a shard: its windows are counted one by one, by 128-bit hashes.
 
 from __future__ import annotations
 
+import struct
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,8 +31,8 @@ from pyspark.sql import types as T
 from .arrow import append_columns
 from .store import bit_table, in_table, written
 
-WORD_CACHE = 500_000
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+BASE = 0x9E3779B97F4A7C15
+MULTIPLIER = np.uint64(0xBF58476D1CE4E5B9)
 
 
 @dataclass(frozen=True)
@@ -56,31 +57,61 @@ class SubstringSpec:
 
 
 class WordHashes:
-    """Words of a text at ASCII white space, unchanged, and their 64-bit hashes."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, data: bytes) -> tuple[list[bytes], np.ndarray]:
-        words = data.split()
-        known = self.known
-        if len(known) > WORD_CACHE:
-            known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = xxhash.xxh64_intdigest(w)
-        return words, np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+    """Hashes of the words of a text at ASCII white space, all words of a piece at once.
 
+    A word's hash is a polynomial of its bytes: differences of running sums, moved to
+    the word's first byte by the inverse of the base, then mixed. Texts go in pieces
+    that end between words, so the tables of powers stay small unless a word is longer.
+    """
 
-def run_hashes(words: np.ndarray, length: int, seed: int) -> np.ndarray:
+    def __init__(self, piece: int = 1 << 19):
+        self.piece = piece
+        self._grow(1 << 16)
+
+    def _grow(self, size: int) -> None:
+        def powers(base: int) -> np.ndarray:
+            steps = np.full(size, base, dtype=np.uint64)
+            steps[0] = 1
+            return np.cumprod(steps, dtype=np.uint64)
+
+        self.up, self.down = powers(BASE), powers(pow(BASE, -1, 1 << 64))
+
+    def _piece(self, b: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if len(b) >= len(self.up):
+            self._grow(2 * len(b))
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
+        start, end = edge[::2], edge[1::2]
+        sums = np.zeros(len(b) + 1, dtype=np.uint64)
+        np.cumsum((b.astype(np.uint64) + np.uint64(1)) * self.up[: len(b)], out=sums[1:])
+        h = (sums[end] - sums[start]) * self.down[start]
+        h = (h ^ (h >> np.uint64(31))) * MULTIPLIER
+        return start, end, h ^ (h >> np.uint64(29))
+
+    def __call__(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First byte, end and hash of every word."""
+        b = np.frombuffer(data, dtype=np.uint8)
+        space = (b == 32) | ((b >= 9) & (b <= 13))
+        if len(b) <= self.piece:
+            return self._piece(b, space)
+        gaps = np.flatnonzero(space)
+        parts, at = [], 0
+        while at < len(b):
+            k = np.searchsorted(gaps, at + self.piece)
+            to = int(gaps[k]) + 1 if k < len(gaps) else len(b)
+            start, end, h = self._piece(b[at:to], space[at:to])
+            parts.append((start + at, end + at, h))
+            at = to
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
     """Hash of every run of ``length`` words."""
     n = len(words) - length + 1
-    h = np.full(n, seed, dtype=np.uint64)
+    h = np.zeros(n, dtype=np.uint64)
     for i in range(length):
         h = (h ^ words[i : i + n]) * MULTIPLIER
         h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
+    return h * MULTIPLIER
 
 
 def stretches(words: np.ndarray, spec: SubstringSpec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,7 +122,7 @@ def stretches(words: np.ndarray, spec: SubstringSpec) -> tuple[np.ndarray, np.nd
     none = np.empty(0, dtype=np.int64)
     if len(words) < spec.window:
         return none.view(np.uint64), none, none
-    h = run_hashes(words, spec.shingle, 1)
+    h = run_hashes(words, spec.shingle)
     inside = np.lib.stride_tricks.sliding_window_view(h, spec.window - spec.shingle + 1)
     anchor = np.arange(len(inside)) + inside.argmin(axis=1)
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
@@ -99,6 +130,11 @@ def stretches(words: np.ndarray, spec: SubstringSpec) -> tuple[np.ndarray, np.nd
     return h[anchor[first]], first, last
 
 
+def halves(words: list[bytes]) -> tuple[int, int]:
+    """A 128-bit hash of words as two signed numbers."""
+    return struct.unpack(">qq", xxhash.xxh3_128_digest(b" ".join(words)))
+
+
 def _bits(count: int, spec: SubstringSpec) -> int:
     return min(max(1 << (16 * count).bit_length(), 1 << 16), spec.filter_bits)
 
@@ -109,7 +145,7 @@ def anchor_counts(docs: DataFrame, text: Column, spec: SubstringSpec) -> DataFra
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            found = [stretches(hashes(t)[1], spec)[0] for t in batch.column(0).to_pylist()]
+            found = [stretches(hashes(t)[2], spec)[0] for t in batch.column(0).to_pylist()]
             if found:
                 a, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(n)], names=["a", "n"])
@@ -132,15 +168,14 @@ def candidate_stretches(docs: DataFrame, ident: Column, text: Column, repeated:
         hashes = WordHashes()
 
         def one(data: bytes) -> list[dict]:
-            words, hashed = hashes(data)
+            begin, end, hashed = hashes(data)
             a, lo, last = stretches(hashed, spec)
             a = a.view(np.int64)
             ok = np.flatnonzero(in_table(shared.value, a))
             out = []
             for x, i, j in zip(a[ok].tolist(), lo[ok].tolist(), last[ok].tolist()):
-                d = xxhash.xxh3_128_intdigest(b" ".join(words[i : j + spec.window]))
-                halves = np.array([d >> 64, d & 0xFFFFFFFFFFFFFFFF], dtype=np.uint64).view(np.int64)
-                out.append({"a": x, "c1": int(halves[0]), "c2": int(halves[1]), "lo": i, "last": j})
+                c1, c2 = halves(data[begin[i] : end[j + spec.window - 1]].split())
+                out.append({"a": x, "c1": c1, "c2": c2, "lo": i, "last": j})
             return out
 
         return lambda texts: [[one(t) for t in texts]]
@@ -293,10 +328,9 @@ def shard_repeats(shard: pa.Table, window: int) -> pa.Table:
         automaton.add(words, n)
     automaton.finish()
     masks = [_window_mask(automaton.repeated_ends(words, window), window) for words in texts]
-    keep = [i for i, m in enumerate(masks) if m]
-    return pa.table(
-        {"c1": shard["c1"].take(keep), "c2": shard["c2"].take(keep), "mask": pa.array([masks[i] for i in keep], pa.int64())}
-    )
+    keep = pa.array([i for i, m in enumerate(masks) if m], pa.int64())
+    found = pa.array([m for m in masks if m], pa.int64())
+    return pa.table({"c1": shard["c1"].take(keep), "c2": shard["c2"].take(keep), "mask": found})
 
 
 def repeated_in_shards(ref: DataFrame, spec: SubstringSpec) -> DataFrame:
@@ -317,11 +351,9 @@ def repeated_one_by_one(ref: DataFrame, spec: SubstringSpec) -> DataFrame:
     part = T.StructType([T.StructField("w1", T.LongType()), T.StructField("w2", T.LongType()), T.StructField("at", T.IntegerType())])
 
     def start():
-        hashes = WordHashes()
-
         def one(data: bytes) -> list[dict]:
-            w = hashes(data)[1]
-            pairs = zip(*(run_hashes(w, spec.window, s).view(np.int64).tolist() for s in (2, 3)))
+            words = data.split(b" ")
+            pairs = [halves(words[i : i + spec.window]) for i in range(len(words) - spec.window + 1)]
             return [{"w1": a, "w2": b, "at": i} for i, (a, b) in enumerate(pairs)]
 
         return lambda texts: [[one(t) for t in texts]]
