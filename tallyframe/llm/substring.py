@@ -245,10 +245,28 @@ class Automaton:
         self.count = [0]
 
     def add(self, words: list, times: int) -> None:
+        """One more sequence, which occurs ``times`` times. The usual step is written out, as it runs for every word."""
+        after, link, length, count = self.next, self.link, self.length, self.count
         last = 0
         for w in words:
-            last = self._extend(last, w)
-            self.count[last] += times
+            q = after[last].get(w)
+            if q is None:
+                new = len(length)
+                length.append(length[last] + 1)
+                after.append({})
+                link.append(0)
+                count.append(0)
+                p = last
+                while p >= 0 and w not in after[p]:
+                    after[p][w] = new
+                    p = link[p]
+                if p >= 0:
+                    q = after[p][w]
+                    link[new] = q if length[q] == length[p] + 1 else self._copy(p, q, w)
+                last = new
+            else:
+                last = q if length[q] == length[last] + 1 else self._copy(last, q, w)
+            count[last] += times
 
     def _copy(self, p: int, q: int, w) -> int:
         """The state of the strings of ``q`` up to those that end in ``p`` and ``w``."""
@@ -263,24 +281,6 @@ class Automaton:
             p = self.link[p]
         return new
 
-    def _extend(self, last: int, w) -> int:
-        q = self.next[last].get(w)
-        if q is not None:
-            return q if self.length[q] == self.length[last] + 1 else self._copy(last, q, w)
-        new = len(self.length)
-        self.length.append(self.length[last] + 1)
-        self.next.append({})
-        self.link.append(0)
-        self.count.append(0)
-        p = last
-        while p >= 0 and w not in self.next[p]:
-            self.next[p][w] = new
-            p = self.link[p]
-        if p >= 0:
-            q = self.next[p][w]
-            self.link[new] = q if self.length[q] == self.length[p] + 1 else self._copy(p, q, w)
-        return new
-
     def finish(self) -> None:
         """Counts go from longer strings to the suffixes they end in."""
         for s in np.argsort(-np.array(self.length), kind="stable").tolist():
@@ -293,21 +293,24 @@ class Automaton:
         Matching statistics: state and length of the longest match ending at each
         position; as soon as it has ``least`` words it is shortened to just these.
         """
+        after, link, length, count = self.next, self.link, self.length, self.count
         out = []
         state = matched = 0
         for i, w in enumerate(words, 1):
-            while state and w not in self.next[state]:
-                state = self.link[state]
-                matched = self.length[state]
-            if w in self.next[state]:
-                state = self.next[state][w]
-                matched += 1
-            else:
+            step = after[state].get(w)
+            while step is None and state:
+                state = link[state]
+                matched = length[state]
+                step = after[state].get(w)
+            if step is None:
                 matched = 0
-            while state and self.length[self.link[state]] >= least:
-                state = self.link[state]
-                matched = self.length[state]
-            if matched >= least and self.count[state] > 1:
+                continue
+            state = step
+            matched += 1
+            while length[link[state]] >= least:
+                state = link[state]
+                matched = length[state]
+            if matched >= least and count[state] > 1:
                 out.append(i)
         return out
 
@@ -433,7 +436,8 @@ def drop_repeated_passages(
             gone = removed_words(len(words), job["windows"], window)
             turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))).tolist()
             runs = [{"start": a, "end": b} for a, b in zip(turns[::2], turns[1::2])]
-            kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g)
+            left = [0, *turns, len(words)]
+            kept = b" ".join(w for a, b in zip(left[::2], left[1::2]) for w in words[a:b])
             return len(words), int(gone.sum()), runs, kept.decode("utf-8", "replace")
 
         return lambda jobs: list(zip(*map(one, jobs))) if jobs else [[], [], [], []]
