@@ -1,181 +1,241 @@
-"""Win-probability models on Spark ML, evaluated without looking ahead."""
+"""Win-probability models, evaluated without looking ahead: all fits of a walk forward in the same passes."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.schema import feature_columns
 from tallyframe.session import cut_lineage
 from tallyframe.sources.zones import path_is_missing
 
-from .evaluate import evaluation_row, evaluation_summary, fold, walk_forward_cutoffs, with_block
+from .evaluate import evaluation_row, evaluation_summary, walk_forward_cutoffs, with_block
+from .folds import stratified_folds
+from .passes import (
+    BoostSpec,
+    Fits,
+    Trees,
+    boosted_trees,
+    calibrator_pools,
+    exact_medians,
+    filled,
+    moments,
+    newton_logistic,
+    probability,
+    read_batch,
+)
 from .views import attach_pairs
 
-SEED = 42
 MODELS = ("logreg", "boosted")
 PRIMARY_MODEL = "boosted"
 CALIBRATION_FOLDS = 5
+GRID = 6
 
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """Which learner, how much work it may do, and how many fits run side by side."""
+    """Which learner, how much work it may do, and into how many inner folds calibration deals its rows."""
 
     name: str = PRIMARY_MODEL
-    seed: int = SEED
     calibrate: bool = True
     calibration_folds: int = CALIBRATION_FOLDS
     max_iter: int = 1000
     boosting_rounds: int = 100
     boosting_depth: int = 4
-    parallelism: int = 5
-    outer_parallelism: int = 2
+
+    def __post_init__(self) -> None:
+        if self.name not in MODELS:
+            raise ValueError(f"unknown model {self.name!r} (use one of {MODELS})")
+
+
+@dataclass
+class Part:
+    """One fit: what fills missing inputs, then a line through scaled inputs or trees, then the calibrator's corners."""
+
+    outer: int
+    inner: int
+    median: np.ndarray
+    center: np.ndarray
+    spread: np.ndarray
+    coefficients: np.ndarray | None = None
+    trees: Trees | None = None
+    corner_score: np.ndarray | None = None
+    corner_rate: np.ndarray | None = None
+
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        """Probabilities before calibration."""
+        whole = filled(x, self.median)
+        if self.trees is not None:
+            return probability(self.trees.margin(whole))
+        return probability((whole - self.center) / self.spread @ self.coefficients[:-1] + self.coefficients[-1])
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        """Calibrated probabilities: lines between the corners of the pools, flat outside them."""
+        out = self.raw(x)
+        if self.corner_score is None or not len(self.corner_score):
+            return out
+        return np.interp(np.round(out, GRID), self.corner_score, self.corner_rate)
 
 
 @dataclass
 class FittedModel:
-    """One pipeline, or one pipeline and calibrator per inner fold whose outputs
-    are averaged."""
+    """The fits of one training set; their outputs are averaged."""
 
     inputs: list[str]
-    bases: list[PipelineModel]
-    calibrators: list[IsotonicRegressionModel] = field(default_factory=list)
+    parts: list[Part]
 
+    def score(self, x: np.ndarray) -> np.ndarray:
+        return sum(p.score(x) for p in self.parts) / len(self.parts)
 
-def _filled_counts(inputs: Sequence[str]) -> list[Column]:
-    """How many rows have a value, per input."""
-    return [F.count(F.when(F.col(c).isNotNull() & ~F.isnan(c), 1)).alias(c) for c in inputs]
 
-
-def base_pipeline(spec: ModelSpec, inputs: Sequence[str], n_rows: int) -> Pipeline:
-    """Median imputation, then the learner; both learners get the same imputer."""
-    filled = [f"{c}__filled" for c in inputs]
-    stages = [
-        Imputer(strategy="median", inputCols=list(inputs), outputCols=filled),
-        VectorAssembler(inputCols=filled, outputCol="assembled"),
-    ]
-    if spec.name == "logreg":
-        stages += [
-            StandardScaler(inputCol="assembled", outputCol="features", withMean=True),
-            # Ridge of strength 1 on the summed loss is 1/n on the mean loss.
-            LogisticRegression(
-                maxIter=spec.max_iter, regParam=1.0 / max(n_rows, 1), standardization=False, tol=1e-6
-            ),
-        ]
-    elif spec.name == "boosted":
-        stages.append(
-            GBTClassifier(
-                featuresCol="assembled",
-                minInstancesPerNode=5,
-                maxIter=spec.boosting_rounds,
-                maxDepth=spec.boosting_depth,
-                stepSize=0.1,
-                seed=spec.seed,
-            )
-        )
-    else:
-        raise ValueError(f"unknown model {spec.name!r} (use one of {MODELS})")
-    return Pipeline(stages=stages)
+# ---- fitting ------------------------------------------------------------------------
 
 
-def _prepared(df: DataFrame, inputs: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in inputs})
+def _inputs(columns: Sequence[str]) -> Column:
+    """Inputs as one array of doubles, NaN where missing."""
+    return F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in columns])
 
 
-def _probability() -> Column:
-    return vector_to_array("probability")[1]
+def design(blocked: DataFrame, spec: ModelSpec, inputs: Sequence[str], outers: int) -> DataFrame:
+    """The stored matrix that every pass reads: ``label``, ``block``, ``inner`` folds and inputs ``x``."""
+    folds = spec.calibration_folds if spec.calibrate else 1
+    narrow = blocked.select(
+        "game_id", F.col("label").cast("int").alias("label"), F.col("block").cast("int").alias("block"), _inputs(inputs).alias("x")
+    )
+    # A fold of one would hold every row out; without calibration nothing is.
+    return cut_lineage(stratified_folds(narrow, folds, outers).select("label", "block", "inner", "x"))
 
 
-def _score(model: PipelineModel, df: DataFrame, out: str) -> DataFrame:
-    """Rows with the base model's probability; its working columns are dropped."""
-    return model.transform(df).withColumn(out, _probability()).select(*df.columns, out)
+def fit_sets(blocked: DataFrame, spec: ModelSpec, inputs: Sequence[str], outers: int) -> dict[int, FittedModel]:
+    """A model for each training set: set j is the labelled rows with ``block < j``.
 
+    Every step is a pass for all sets and inner folds together: exact medians, means
+    and deviations, Newton steps or levels of trees, then one job for all calibrators.
+    With calibration each inner fold fits on the other rows and calibrates on its own.
+    """
+    rows = design(blocked, spec, inputs, outers)
+    fits = Fits(outers, spec.calibration_folds if spec.calibrate else 1)
+    median = exact_medians(rows, fits, len(inputs))
+    center, spread, counts = moments(rows, fits, median)
+    parts = [Part(j, i, median[f], center[f], spread[f]) for f, (j, i) in enumerate(fits.members)]
+    if spec.name == "logreg":
+        solved = newton_logistic(rows, fits, median, center, spread, spec.max_iter)
+        for part, values in zip(parts, solved):
+            part.coefficients = values
+    else:
+        boost = BoostSpec(rounds=spec.boosting_rounds, depth=spec.boosting_depth)
+        for part, trees in zip(parts, boosted_trees(rows, fits, median, counts, boost, cut_lineage)):
+            part.trees = trees
+    if spec.calibrate:
+        pools = calibrator_pools(held_out_scores(rows, fits, parts)).orderBy("fit", "lo").collect()
+        for f, part in enumerate(parts):
+            own = [r for r in pools if r["fit"] == f]
+            score = np.array([s for r in own for s in (r["lo"], r["hi"])])
+            rate = np.array([r["rate"] for r in own for _ in (0, 1)])
+            part.corner_score, at = np.unique(score, return_index=True)
+            part.corner_rate = rate[at] if len(at) else rate
+    return {j: FittedModel(list(inputs), [p for p in parts if p.outer == j]) for j in range(1, outers + 1)}
+
+
+def held_out_scores(rows: DataFrame, fits: Fits, parts: Sequence[Part]) -> DataFrame:
+    """``fit``, ``score`` and ``label`` of every row by each fit that held it out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for raw in batches:
+            batch = read_batch(raw)
+            for f, (member, part) in enumerate(zip(fits.members, parts)):
+                mine = batch.held_out(member)
+                if len(mine):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(mine), f)), pa.array(part.raw(batch.x[mine])), pa.array(batch.label[mine])],
+                        names=["fit", "score", "label"],
+                    )
+
+    return rows.mapInArrow(run, "fit long, score double, label double")
 
-def inner_fold(folds: int, key: str = "game_id") -> Column:
-    """Which calibration fold a row is held out in; depends on the key only, so
-    a re-run after losing an executor gives the same split."""
-    return F.pmod(F.xxhash64(F.col(key).cast("string"), F.col("label")), F.lit(folds)).cast("int")
 
+def fit(train: DataFrame, spec: ModelSpec, inputs: Sequence[str] | None = None) -> FittedModel:
+    """Fit on exactly the rows given; rows without a label teach nothing."""
+    wanted = list(inputs) if inputs is not None else feature_columns(train.columns)
+    return fit_sets(train.drop("block").withColumn("block", F.lit(0)), spec, wanted, 1)[1]
 
-def _fit_calibrator(base: PipelineModel, held: DataFrame) -> IsotonicRegressionModel:
-    """Monotone map from base scores to observed rates.
 
-    Scores are first averaged on a grid of a millionth, which bounds what the
-    fit has to merge whatever the number of rows.
-    """
-    scored = _score(base, held, "raw")
-    points = scored.groupBy(F.bround("raw", 6).alias("raw")).agg(
-        F.avg(F.col("label").cast("double")).alias("rate"), F.count(F.lit(1)).cast("double").alias("weight")
-    )
-    return IsotonicRegression(featuresCol="raw", labelCol="rate", weightCol="weight").fit(points)
+# ---- scoring ------------------------------------------------------------------------
 
 
-def fit(train: DataFrame, spec: ModelSpec, inputs: Sequence[str] | None = None) -> FittedModel:
-    """Fit on exactly the rows given: imputer, scaler, learner and calibrator.
+def _with_scores(df: DataFrame, inputs: Sequence[str], models: dict[int | None, FittedModel], out: str, block: str | None) -> DataFrame:
+    """Rows plus a probability by the model of their block, or by the only one; other columns pass as Arrow."""
+    keep = [c for c in df.columns if c.lower() != out.lower()]
+    read = df.select(*[F.col(f"`{c}`") for c in keep], _inputs(inputs).alias("__x"))
+    schema = T.StructType(read.schema.fields[:-1] + [T.StructField(out, T.DoubleType())])
+    names = schema.names
 
-    With calibration, each inner fold fits a base model on the other rows and a
-    calibrator on its own; the calibrated outputs are averaged. Inner folds run
-    side by side, as each is a series of small jobs.
-    """
-    wanted = list(inputs) if inputs is not None else feature_columns(train.columns)
-    rows = _prepared(train, wanted)
-    folds = spec.calibration_folds if spec.calibrate else 1
-    folded = rows.withColumn("__inner", inner_fold(folds)).persist()
-    try:
-        # One small row per inner fold: its size and how often each input is present.
-        counts = folded.groupBy("__inner").agg(F.count(F.lit(1)).alias("__n"), *_filled_counts(wanted)).collect()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for raw in batches:
+            n = raw.num_rows
+            x = raw.column(len(keep)).flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.empty((0, 1))
+            made = np.full(n, np.nan)
+            if n and block is None:
+                made = models[None].score(x)
+            elif n:
+                number = raw.column(keep.index(block)).to_numpy(zero_copy_only=False)
+                for j, model in models.items():
+                    mine = np.flatnonzero(number == j)
+                    if len(mine):
+                        made[mine] = model.score(x[mine])
+            yield pa.RecordBatch.from_arrays([*raw.columns[:-1], pa.array(made, pa.float64())], names=names)
 
-        def base_model(kept: list, held: int | None) -> PipelineModel:
-            # The median of a column without values does not exist: leave it out.
-            present = [c for c in wanted if sum(r[c] for r in kept) > 0]
-            rest = folded if held is None else folded.filter(F.col("__inner") != held)
-            return base_pipeline(spec, present, sum(r["__n"] for r in kept)).fit(rest)
+    return read.mapInArrow(run, schema)
 
-        if not spec.calibrate:
-            return FittedModel(wanted, [base_model(counts, None)])
 
-        @inheritable_thread_target(train.sparkSession)
-        def one(number: int) -> tuple[PipelineModel, IsotonicRegressionModel]:
-            base = base_model([r for r in counts if r["__inner"] != number], number)
-            return base, _fit_calibrator(base, folded.filter(F.col("__inner") == number))
+def predict(model: FittedModel, df: DataFrame, out: str = "model_home_win_prob") -> DataFrame:
+    """Rows plus the home win probability, unrounded; null and NaN inputs are filled with the fits' medians."""
+    return _with_scores(df, model.inputs, {None: model}, out, None)
 
-        with ThreadPoolExecutor(max_workers=spec.parallelism) as pool:
-            pairs = list(pool.map(one, sorted(r["__inner"] for r in counts)))
-    finally:
-        folded.unpersist()
-    return FittedModel(wanted, [p[0] for p in pairs], [p[1] for p in pairs])
 
+def probability_expression(model: FittedModel) -> Column:
+    """A logistic model without or with calibration as one expression over its input columns.
 
-def predict(model: FittedModel, df: DataFrame, out: str = "model_home_win_prob") -> DataFrame:
-    """Rows plus the home win probability, unrounded."""
-    keep = df.columns
-    rows = _prepared(df, model.inputs)
-    parts = []
-    for i, base in enumerate(model.bases):
-        part = f"__p{i}"
-        rows = _score(base, rows, part if not model.calibrators else f"{part}_raw")
-        if model.calibrators:
-            # The fit saw scores on a grid of a millionth, so lookups use it too.
-            calibrator = model.calibrators[i].setFeaturesCol(f"{part}_grid").setPredictionCol(part)
-            rows = rows.withColumn(f"{part}_grid", F.bround(f"{part}_raw", 6))
-            rows = calibrator.transform(rows).drop(f"{part}_grid", f"{part}_raw")
-        parts.append(F.col(part))
-    total = parts[0]
-    for part in parts[1:]:
-        total = total + part
-    return rows.withColumn(out, total / F.lit(float(len(parts)))).select(*keep, out)
+    Corners of the pools are searched as an array literal, so the expression has the
+    same size whatever their number.
+    """
+    total = F.lit(0.0)
+    for part in model.parts:
+        margin = F.lit(float(part.coefficients[-1]))
+        for c, m, mean, spread, w in zip(model.inputs, part.median, part.center, part.spread, part.coefficients):
+            value = F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)), F.lit(float(np.nan_to_num(m))))
+            margin = margin + (value - F.lit(float(mean))) / F.lit(float(spread)) * F.lit(float(w))
+        raw = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+        total = total + (raw if part.corner_score is None or not len(part.corner_score) else _between(raw, part))
+    return total / F.lit(float(len(model.parts)))
+
+
+def _between(raw: Column, part: Part) -> Column:
+    """The line between the two corners around a score on the grid."""
+    corners = F.array(
+        *[F.struct(F.lit(float(s)).alias("s"), F.lit(float(r)).alias("r")) for s, r in zip(part.corner_score, part.corner_rate)]
+    )
+    # One step holds the score, so that it is computed once.
+    one = F.transform(F.array(F.bround(raw, GRID)), lambda p: _line(p, corners))
+    return F.get(one, F.lit(0))
+
+
+def _line(p: Column, corners: Column) -> Column:
+    nothing = F.lit(None).cast("struct<s:double,r:double>")
+    low = F.aggregate(corners, nothing, lambda acc, c: F.when(c["s"] <= p, c).otherwise(acc))
+    high = F.aggregate(F.reverse(corners), nothing, lambda acc, c: F.when(c["s"] >= p, c).otherwise(acc))
+    slope = (high["r"] - low["r"]) / F.nullif(high["s"] - low["s"], F.lit(0.0))
+    return (
+        F.when(low.isNull(), high["r"])
+        .when(high.isNull() | (high["s"] == low["s"]), low["r"])
+        .otherwise(low["r"] + (p - low["s"]) * slope)
+    )
 
 
 def with_pick(scored: DataFrame, places: int | None = 4) -> DataFrame:
@@ -200,26 +260,15 @@ def walk_forward_scores(
     """Every test row of every fold, scored by a model that saw only earlier
     dates. The first block is never tested, hence absent.
 
-    The driver runs a handful of folds, some side by side; fits and scoring are
-    distributed.
-    ``prepared`` says that ``frame`` is already stored, so reading it repeatedly
-    recomputes nothing.
+    All folds are fitted in the same passes and scored in one job. ``prepared`` says
+    that ``frame`` is already stored, so reading it repeatedly recomputes nothing.
     """
     stored = frame if prepared else cut_lineage(frame)
     blocked = with_block(stored, walk_forward_cutoffs(stored, n_splits))
     wanted = list(inputs) if inputs is not None else feature_columns(frame.columns)
-
-    @inheritable_thread_target(frame.sparkSession)
-    def one(number: int) -> DataFrame:
-        train, test = fold(blocked, number)
-        return predict(fit(train, spec, wanted), test).withColumnRenamed("block", "fold")
-
-    with ThreadPoolExecutor(max_workers=spec.outer_parallelism) as pool:
-        pieces = list(pool.map(one, range(1, n_splits + 1)))
-    scored = pieces[0]
-    for piece in pieces[1:]:
-        scored = scored.unionByName(piece)
-    return scored
+    models = fit_sets(blocked, spec, wanted, n_splits)
+    tested = blocked.filter(F.col("block") > 0)
+    return _with_scores(tested, wanted, models, "model_home_win_prob", "block").withColumnRenamed("block", "fold")
 
 
 def oof_scored_frame(frame: DataFrame, spec: ModelSpec, n_splits: int = 4, prepared: bool = False) -> DataFrame:
@@ -245,37 +294,66 @@ def evaluate_all(frame: DataFrame, specs: Sequence[ModelSpec], n_splits: int = 4
     return evaluation_summary(out)
 
 
+TABLE = T.StructType(
+    [
+        T.StructField("inner", T.IntegerType()),
+        T.StructField("inputs", T.ArrayType(T.StringType())),
+        *(T.StructField(n, T.ArrayType(T.DoubleType())) for n in ("median", "center", "spread", "coefficients")),
+        T.StructField("base", T.DoubleType()),
+        T.StructField("feature", T.ArrayType(T.ArrayType(T.IntegerType()))),
+        *(T.StructField(n, T.ArrayType(T.ArrayType(T.DoubleType()))) for n in ("threshold", "value")),
+        *(T.StructField(n, T.ArrayType(T.DoubleType())) for n in ("corner_score", "corner_rate")),
+    ]
+)
+
+
+def model_table(spark: SparkSession, model: FittedModel) -> DataFrame:
+    """A model as rows, one a fit: plain numbers that any engine can evaluate."""
+
+    def values(x: np.ndarray | None) -> list | None:
+        return None if x is None else x.tolist()
+
+    rows = [
+        (
+            p.inner, model.inputs, values(p.median), values(p.center), values(p.spread), values(p.coefficients),
+            None if p.trees is None else p.trees.base,
+            *((None,) * 3 if p.trees is None else (values(p.trees.feature), values(p.trees.threshold), values(p.trees.value))),
+            values(p.corner_score), values(p.corner_rate),
+        )
+        for p in model.parts
+    ]
+    return spark.createDataFrame(rows, TABLE)
+
+
 def persist_model(frame: DataFrame, path: str, spec: ModelSpec = ModelSpec()) -> str:
-    """Fit on all rows and save every stage under ``path``."""
-    model = fit(frame, spec)
-    for i, base in enumerate(model.bases):
-        base.write().overwrite().save(f"{path}/base-{i}")
-    for i, calibrator in enumerate(model.calibrators):
-        calibrator.write().overwrite().save(f"{path}/calibrator-{i}")
-    described = [(i, c, len(model.bases), len(model.calibrators)) for i, c in enumerate(model.inputs)]
-    frame.sparkSession.createDataFrame(
-        described, "position int, input string, bases int, calibrators int"
-    ).write.mode("overwrite").json(f"{path}/inputs")
+    """Fit on all rows and save the model's table under ``path``."""
+    model_table(frame.sparkSession, fit(frame, spec)).coalesce(1).write.mode("overwrite").parquet(path)
     return path
 
 
 def load_model(spark: SparkSession, path: str) -> FittedModel | None:
-    """The saved model, or None where there is none."""
+    """The saved model, or None where there is none. It has one row per inner fold."""
     try:
-        rows = spark.read.schema("position int, input string, bases int, calibrators int").json(
-            f"{path}/inputs"
-        ).orderBy("position").collect()
+        rows = spark.read.schema(TABLE).parquet(path).orderBy("inner").collect()
     except AnalysisException as error:
         if not path_is_missing(error):
             raise
         return None
     if not rows:
         return None
-    bases = [PipelineModel.load(f"{path}/base-{i}") for i in range(rows[0]["bases"])]
-    calibrators = [
-        IsotonicRegressionModel.load(f"{path}/calibrator-{i}") for i in range(rows[0]["calibrators"])
-    ]
-    return FittedModel([r["input"] for r in rows], bases, calibrators)
+
+    def array(x: list | None) -> np.ndarray | None:
+        return None if x is None else np.array(x)
+
+    parts = [
+        Part(
+            1, r["inner"], array(r["median"]), array(r["center"]), array(r["spread"]), array(r["coefficients"]),
+            None if r["feature"] is None else Trees(r["base"], array(r["feature"]), array(r["threshold"]), array(r["value"])),
+            array(r["corner_score"]), array(r["corner_rate"]),
+        )
+        for r in rows
+    ]
+    return FittedModel(list(rows[0]["inputs"]), parts)
 
 
 def predict_matchups(

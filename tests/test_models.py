@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.operators import evaluate as E
+from tallyframe.operators import folds as FO
 from tallyframe.operators import models as M
+from tallyframe.operators import passes as P
 from tallyframe.schema import ROLLING_COLUMNS, conform, training_schema
 
 from .conftest import rows
@@ -30,21 +32,140 @@ def frame(spark):
 def test_logreg_matches_the_closed_objective(spark, frame):
     """Coefficients solve sum(log loss) + |w|^2 / 2 on standardised inputs."""
     inputs = ["home_rolling_pts", "away_rolling_pace"]
-    base = M.fit(frame, M.ModelSpec("logreg", calibrate=False), inputs)
-    pdf = base.bases[0].transform(M._prepared(frame, inputs)).select("features", "label").toPandas()
-    x = np.array([v.toArray() for v in pdf.features])
-    y = pdf.label.to_numpy(float)
-    w, b = np.zeros(x.shape[1]), 0.0
+    part = M.fit(frame, M.ModelSpec("logreg", calibrate=False), inputs).parts[0]
+    pdf = frame.select(*inputs, "label").toPandas()
+    x = pdf[inputs].to_numpy(float)
+    median = np.nanmedian(x, axis=0)
+    x = np.where(np.isnan(x), median, x)
+    spread = np.where(x.std(axis=0) > 0, x.std(axis=0), 1)
+    assert part.median == pytest.approx(median) and part.center == pytest.approx(x.mean(axis=0)) and part.spread == pytest.approx(spread)
+    x, y = (x - x.mean(axis=0)) / spread, pdf.label.to_numpy(float)
+    w = np.zeros(x.shape[1] + 1)
+    full, penalty = np.c_[x, np.ones(len(x))], np.diag([1.0] * x.shape[1] + [0.0])
     for _ in range(100):
-        p = 1 / (1 + np.exp(-(x @ w + b)))
-        full = np.c_[x, np.ones(len(x))]
-        penalty = np.diag([1.0] * x.shape[1] + [0.0])
-        grad = full.T @ (p - y) + penalty @ np.r_[w, b]
-        step = np.linalg.solve(full.T @ (full * (p * (1 - p))[:, None]) + penalty + 1e-12 * np.eye(x.shape[1] + 1), grad)
-        w, b = w - step[:-1], b - step[-1]
-    got = base.bases[0].stages[-1]
-    assert got.coefficients.toArray() == pytest.approx(w, abs=1e-3)
-    assert got.intercept == pytest.approx(b, abs=1e-3)
+        p = 1 / (1 + np.exp(-(full @ w)))
+        w = w - np.linalg.solve(full.T @ (full * (p * (1 - p))[:, None]) + penalty + 1e-12 * np.eye(len(w)), full.T @ (p - y) + penalty @ w)
+    assert part.coefficients == pytest.approx(w, abs=1e-6)
+
+
+@pytest.mark.parametrize("folds", [1, 3])
+def test_medians_are_exact_in_every_fit(spark, folds):
+    rng = random.Random(5)
+    odd = [None, float("nan"), 0.0, -0.0, -1e300, 1e300, 5e-324, -2.5, 1e-9]
+    data = []
+    for i in range(301):
+        x = [rng.choice(odd) if rng.random() < 0.3 else rng.gauss(0, 10 ** rng.randint(-5, 5)), rng.choice([1.0, 2.0, 2.0]), None, None if i else 7.0]
+        data.append((f"g{i}", i % 3, rng.choice([0, 1, None]), *x))
+    df = spark.createDataFrame(data, "game_id string, block int, label int, a double, b double, c double, d double").repartition(3)
+    rows_ = M.design(df, M.ModelSpec("logreg", calibrate=folds > 1, calibration_folds=folds), ["a", "b", "c", "d"], 3)
+    fits = P.Fits(3, folds)
+    got = P.exact_medians(rows_, fits, 4)
+    stored = rows_.collect()
+    for f, (j, i) in enumerate(fits.members):
+        mine = [r for r in stored if r.inner[j - 1] >= 0 and r.inner[j - 1] != i]
+        assert mine and all(r.block < j and r.label is not None for r in mine)
+        for c in range(4):
+            values = [r.x[c] for r in mine if not np.isnan(r.x[c])]
+            assert got[f, c] == np.median(values) if values else np.isnan(got[f, c])
+
+
+def test_folds_are_stratified_in_every_outer_set(spark):
+    rng = random.Random(1)
+    data = [(f"g{i}", rng.randint(0, 4), rng.choice([0, 0, 0, 1, None])) for i in range(500)] + [("g1", 0, 1), (None, 0, 1)]
+    df = spark.createDataFrame(data, "game_id string, block int, label int")
+    sizes = FO.fold_sizes(FO.stratified_folds(df.repartition(5), 5, 4), 4).collect()
+    for j in range(1, 5):
+        for label in (0, 1):
+            want = sum(b < j and y == label for _, b, y in data)
+            own = {r.inner_fold: r.n_rows for r in sizes if r.outer_fold == j and r.label == label}
+            assert [own.get(i, 0) for i in range(5)] == [want // 5 + (i < want % 5) for i in range(5)]
+    assert FO.stratified_folds(df.limit(0), 5, 4).collect() == []
+
+
+def pools_by_hand(points):
+    """Isotonic fit as the largest mean to the left of the smallest mean to the right, point by point."""
+    ps = sorted(points)
+    fit = [max(min(np.average([p[1] for p in ps[a : b + 1]], weights=[p[2] for p in ps[a : b + 1]]) for b in range(i, len(ps))) for a in range(i + 1)) for i in range(len(ps))]
+    out = []
+    for p, v in zip(ps, fit):
+        if out and abs(out[-1][3] - v) < 1e-12:
+            out[-1] = (out[-1][0], p[0], out[-1][2] + p[2], v)
+        else:
+            out.append((p[0], p[0], p[2], v))
+    return out
+
+
+def test_pools_equal_brute_force_and_merge_in_any_grouping(spark):
+    rng = random.Random(8)
+    data = [(f, round(rng.random(), 2), float(rng.random() < 0.3 + 0.4 * (f == 1))) for f in range(3) for _ in range(150)]
+    bad = [(0, None, 1.0), (0, 1.5, 1.0), (0, float("nan"), 0.0), (0, 0.5, None), (7, None, None)]
+    got = P.calibrator_pools(spark.createDataFrame(data + bad, "fit long, score double, label double").repartition(4)).collect()
+    assert {r.fit for r in got} == {0, 1, 2}
+    for f in range(3):
+        points = {}
+        for _, s, y in (d for d in data if d[0] == f):
+            n, hits = points.get(s, (0, 0.0))
+            points[s] = (n + 1, hits + y)
+        want = pools_by_hand([(s, hits / n, n) for s, (n, hits) in points.items()])
+        own = sorted((r.lo, r.hi, r.weight, r.rate) for r in got if r.fit == f)
+        assert [o[:3] for o in own] == [w[:3] for w in want]
+        assert [o[3] for o in own] == pytest.approx([w[3] for w in want])
+        table = np.array([(s, s, n, hits) for s, (n, hits) in sorted(points.items())])
+        for cut in (1, 17, 50):
+            halves = np.vstack([P.pool(table[:cut]), P.pool(table[cut:])])
+            assert P.pool(halves).tolist() == P.pool(table).tolist()
+
+
+def test_boosting_equals_growing_trees_by_hand(spark):
+    """Same splits and leaves as a direct search over all thresholds, tree after tree."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 12, (160, 3)).astype(float)
+    y = ((x[:, 0] > 5) ^ (x[:, 1] > 7) ^ (rng.random(160) < 0.15)).astype(int)
+    data = [(f"g{i}", *map(float, r), int(l)) for i, (r, l) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(data, "game_id string, a double, b double, c double, label int").repartition(3)
+    spec = M.ModelSpec("boosted", calibrate=False, boosting_rounds=12, boosting_depth=3)
+    part = M.fit(df, spec, ["a", "b", "c"]).parts[0]
+
+    margin = np.full(len(y), np.log(y.mean() / (1 - y.mean())))
+
+    def grow(rows_, depth, g, h, out):
+        if depth:
+            whole = g[rows_].sum() ** 2 / h[rows_].sum()
+            best = (1e-9, None)
+            for c in range(3):
+                for t in np.unique(x[:, c])[:-1]:
+                    left, right = rows_[x[rows_, c] <= t], rows_[x[rows_, c] > t]
+                    if min(len(left), len(right)) < 5:
+                        continue
+                    gain = g[left].sum() ** 2 / h[left].sum() + g[right].sum() ** 2 / h[right].sum() - whole
+                    if gain > best[0] + 1e-12:
+                        best = (gain, (left, right))
+            if best[1]:
+                for side in best[1]:
+                    grow(side, depth - 1, g, h, out)
+                return
+        out[rows_] = -0.1 * g[rows_].sum() / h[rows_].sum()
+
+    for _ in range(12):
+        p = 1 / (1 + np.exp(-margin))
+        step = np.zeros(len(y))
+        grow(np.arange(len(y)), 3, p - y, p * (1 - p), step)
+        margin = margin + step
+    assert part.trees.margin(x) == pytest.approx(margin, abs=1e-9)
+
+
+def test_boosting_stops_when_held_out_rows_gain_nothing(spark):
+    rng = random.Random(2)
+    data = [(f"g{i}", rng.random(), rng.randint(0, 1)) for i in range(200)]
+    df = spark.createDataFrame(data, "game_id string, a double, label int")
+    model = M.fit(df, M.ModelSpec("boosted", calibration_folds=2, boosting_rounds=60, boosting_depth=2), ["a"])
+    assert all(len(p.trees.feature) < 30 for p in model.parts)
+
+
+def test_a_logistic_model_is_one_expression(spark, frame):
+    model = M.fit(frame, FAST, ["home_rolling_pts", "away_rolling_pace", "away_rolling_pts"])
+    both = M.predict(model, frame.withColumn("MODEL_home_win_prob", F.lit("x"))).withColumn("again", M.probability_expression(model))
+    assert all(r.model_home_win_prob == pytest.approx(r.again, abs=1e-12) for r in both.collect())
 
 
 def test_walk_forward_beats_always_home(spark, frame):
@@ -72,21 +193,20 @@ def test_boosted_and_summary(spark, frame):
         assert r.best_baseline == max(r.always_home, r.better_win_pct, r.better_ts_pct)
         assert r.minus_best_baseline == pytest.approx(r.accuracy - r.best_baseline, abs=1e-6)
     with pytest.raises(ValueError):
-        M.base_pipeline(M.ModelSpec("other"), ["x"], 1)
+        M.ModelSpec("other")
 
 
 def test_calibration_is_monotone_in_each_fold(spark, frame):
     model = M.fit(frame, FAST)
-    assert len(model.bases) == len(model.calibrators) == 2
-    for c in model.calibrators:
-        values = list(c.predictions)
-        assert values == sorted(values)
+    assert len(model.parts) == 2
+    for p in model.parts:
+        assert list(p.corner_rate) == sorted(p.corner_rate) and len(p.corner_score) == len(set(p.corner_score))
 
 
-def test_inner_folds_do_not_depend_on_row_order(spark, frame):
-    a = frame.select("game_id", M.inner_fold(5).alias("f"))
-    b = frame.repartition(7).select("game_id", M.inner_fold(5).alias("f"))
-    assert rows(a) == rows(b) and {r.f for r in a.collect()} == set(range(5))
+def test_folds_do_not_depend_on_row_order(spark, frame):
+    plain = frame.select("game_id", "label", F.lit(0).alias("block"))
+    a, b = (FO.stratified_folds(x, 5).select("game_id", F.col("inner")[0]) for x in (plain, plain.repartition(7)))
+    assert rows(a) == rows(b) and {r[1] for r in a.collect()} == set(range(5))
 
 
 def test_save_load_score_and_matchups(spark, frame, tmp_path):
@@ -97,6 +217,10 @@ def test_save_load_score_and_matchups(spark, frame, tmp_path):
     scored = M.score_games(model, frame)
     assert scored.count() == frame.count()
     direct = M.score_games(M.fit(frame, FAST), frame)
+    for kind in (FAST, M.ModelSpec("boosted", boosting_rounds=3, calibration_folds=2)):
+        M.persist_model(frame, f"{path}-{kind.name}", kind)
+        one, two = (M.predict(m, frame) for m in (M.fit(frame, kind), M.load_model(spark, f"{path}-{kind.name}")))
+        assert rows(one, "game_id", "model_home_win_prob") == rows(two, "game_id", "model_home_win_prob")
     assert rows(scored, "game_id", "model_home_win_prob") == rows(direct, "game_id", "model_home_win_prob")
     latest = spark.createDataFrame([("X", 114.0), ("Y", 96.0)], "team_abbreviation string, rolling_pts double")
     latest = latest.withColumns({c: F.lit(None).cast("double") for c in ROLLING_COLUMNS if c != "rolling_pts"})
