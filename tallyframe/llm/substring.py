@@ -11,8 +11,9 @@ match has a window's length and more than one occurrence end a repeated window.
 
 Broadcasting every shard to all documents would take work that grows with the square
 of the corpus; sending to a shard only what can match there finds the same windows.
-An anchor with very many different stretches (the edge of a passage found everywhere)
-would outgrow a shard: its windows are counted one by one, by 128-bit hashes.
+A stretch that is the only kind of its anchor needs no automaton: it occurs twice as a
+whole. An anchor with very many different stretches (the edge of a passage found
+everywhere) would outgrow a shard: its windows are counted one by one, by 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 from .arrow import append_columns
 from .store import bit_table, in_table, written
 
-BASE = 0x9E3779B97F4A7C15
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 MULTIPLIER = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -56,6 +57,12 @@ class SubstringSpec:
             raise ValueError("a shingle is at most as long as a window, and a window has at most 63 shingles")
 
 
+def powers(base: int, size: int) -> np.ndarray:
+    steps = np.full(size, base, dtype=np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
 class WordHashes:
     """Hashes of the words of a text at ASCII white space, all words of a piece at once.
 
@@ -64,17 +71,12 @@ class WordHashes:
     that end between words, so the tables of powers stay small unless a word is longer.
     """
 
-    def __init__(self, piece: int = 1 << 19):
-        self.piece = piece
+    def __init__(self, base: int = BASES[0], piece: int = 1 << 19):
+        self.base, self.piece = base, piece
         self._grow(1 << 16)
 
     def _grow(self, size: int) -> None:
-        def powers(base: int) -> np.ndarray:
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            return np.cumprod(steps, dtype=np.uint64)
-
-        self.up, self.down = powers(BASE), powers(pow(BASE, -1, 1 << 64))
+        self.up, self.down = powers(self.base, size), powers(pow(self.base, -1, 1 << 64), size)
 
     def _piece(self, b: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(b) >= len(self.up):
@@ -130,6 +132,23 @@ def stretches(words: np.ndarray, spec: SubstringSpec) -> tuple[np.ndarray, np.nd
     return h[anchor[first]], first, last
 
 
+class RunHashes:
+    """Hashes of runs of words of any length, by running sums as for the bytes of words."""
+
+    def __init__(self, base: int):
+        self.base = base
+        self.up, self.down = powers(base, 1 << 12), powers(pow(base, -1, 1 << 64), 1 << 12)
+
+    def __call__(self, words: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        if len(words) > len(self.up):
+            size = 2 * len(words)
+            self.up, self.down = powers(self.base, size), powers(pow(self.base, -1, 1 << 64), size)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(words * self.up[: len(words)], dtype=np.uint64)])
+        h = (sums[end] - sums[first]) * self.down[first] + (end - first).astype(np.uint64)
+        h = (h ^ (h >> np.uint64(32))) * MULTIPLIER
+        return h ^ (h >> np.uint64(29))
+
+
 def halves(words: list[bytes]) -> tuple[int, int]:
     """A 128-bit hash of words as two signed numbers."""
     return struct.unpack(">qq", xxhash.xxh3_128_digest(b" ".join(words)))
@@ -162,46 +181,59 @@ def candidate_stretches(docs: DataFrame, ident: Column, text: Column, repeated:
     table = bit_table(repeated, F.col("a"), _bits(repeated.count(), spec))
     shared = docs.sparkSession.sparkContext.broadcast(table)
     source = docs.select(ident.alias("id"), F.xxhash64(text).alias("row"), text.cast("binary").alias("data"))
-    stretch = T.StructType([T.StructField(n, T.LongType()) for n in ("a", "c1", "c2", "lo", "last")])
-
-    def start():
-        hashes = WordHashes()
-
-        def one(data: bytes) -> list[dict]:
-            begin, end, hashed = hashes(data)
-            a, lo, last = stretches(hashed, spec)
-            a = a.view(np.int64)
-            ok = np.flatnonzero(in_table(shared.value, a))
-            out = []
-            for x, i, j in zip(a[ok].tolist(), lo[ok].tolist(), last[ok].tolist()):
-                c1, c2 = halves(data[begin[i] : end[j + spec.window - 1]].split())
-                out.append({"a": x, "c1": c1, "c2": c2, "lo": i, "last": j})
-            return out
+    numbers = ("a", "c1", "c2", "lo", "last")
+    schema = T.StructType(source.schema.fields[:2] + [T.StructField(n, T.LongType()) for n in numbers])
 
-        return lambda texts: [[one(t) for t in texts]]
-
-    made = append_columns(source, "data", [("found", T.ArrayType(stretch))], start, ["id", "row"])
-    return made.filter(F.size("found") > 0).select("id", "row", F.inline("found"))
+    def run(batches):
+        words = [WordHashes(base) for base in BASES]
+        runs = [RunHashes(base) for base in BASES]
+        for batch in batches:
+            whose, found = [], []
+            for i, data in enumerate(batch.column(2).to_pylist()):
+                own = words[0](data)[2]
+                a, lo, last = stretches(own, spec)
+                a = a.view(np.int64)
+                ok = np.flatnonzero(in_table(shared.value, a))
+                if len(ok):
+                    lo, last = lo[ok], last[ok]
+                    c1 = runs[0](own, lo, last + spec.window)
+                    c2 = runs[1](words[1](data)[2], lo, last + spec.window)
+                    whose.append(np.full(len(ok), i))
+                    found.append((a[ok], c1.view(np.int64), c2.view(np.int64), lo, last))
+            if found:
+                take = pa.array(np.concatenate(whose))
+                made = [pa.array(np.concatenate(x)) for x in zip(*found)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *made], names=schema.names)
 
+    return source.mapInArrow(run, schema)
 
-def reference(docs: DataFrame, ident: Column, text: Column, occurrences: DataFrame, spec: SubstringSpec) -> DataFrame:
-    """Distinct stretches of anchors found twice: ``a``, ``c1``, ``c2``, ``n`` occurrences, ``words`` and ``heavy``.
 
-    Each stretch's words are read from one of its places. Texts without such a place
-    are told by a bit table and not shuffled.
-    """
+def distinct_stretches(occurrences: DataFrame, spec: SubstringSpec) -> DataFrame:
+    """Distinct stretches of anchors found twice, with ``n`` occurrences, one place, and the anchor's ``kinds``."""
     place = F.struct("row", "lo", "last", "id")
     distinct = written(
         occurrences.groupBy("a", "c1", "c2").agg(F.count("*").alias("n"), F.min(place).alias("place")), "substring-distinct"
     )
-    wanted = written(
-        distinct.groupBy("a").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).filter("total > 1")
-        .select("a", (F.col("kinds") > spec.anchor_stretches).alias("heavy")),
+    anchors = written(
+        distinct.groupBy("a").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).filter("total > 1").drop("total"),
         "substring-anchors",
-    )
-    places = written(
-        distinct.join(wanted, "a").select("a", "c1", "c2", "n", "heavy", "place.*"), "substring-places"
     )
+    return written(distinct.join(anchors, "a").select("a", "c1", "c2", "n", "kinds", "place.*"), "substring-places")
+
+
+def wholly_repeated(places: DataFrame) -> DataFrame:
+    """Stretches that are the only kind of their anchor: as they occur twice, so does each of their windows."""
+    windows = F.col("last") - F.col("lo") + 1
+    return places.select("c1", "c2", F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), (64 - windows).cast("int")).alias("mask"))
+
+
+def reference(docs: DataFrame, ident: Column, text: Column, places: DataFrame, spec: SubstringSpec) -> DataFrame:
+    """Distinct stretches with their words: ``a``, ``c1``, ``c2``, ``n``, ``words`` and ``heavy``.
+
+    Each stretch's words are read from its one place. Texts without such a place are
+    told by a bit table and not shuffled.
+    """
+    places = places.withColumn("heavy", F.col("kinds") > spec.anchor_stretches)
     rows = places.select("row").distinct()
     table = bit_table(rows, F.col("row"), _bits(rows.count(), spec))
     shared = docs.sparkSession.sparkContext.broadcast(table)
@@ -374,12 +406,15 @@ def repeated_spans(docs: DataFrame, ident: Column, text: Column, spec: Substring
     """``id``, ``row`` and the repeated windows of every text that has some, as first window and bits."""
     repeated = written(anchor_counts(docs, text, spec).filter("n > 1").select("a"), "substring-repeated")
     occurrences = written(candidate_stretches(docs, ident, text, repeated, spec), "substring-occurrences")
+    places = distinct_stretches(occurrences, spec)
     ref = written(
-        reference(docs, ident, text, occurrences, spec).withColumn("size", F.size(F.split(F.col("words").cast("string"), " "))),
+        reference(docs, ident, text, places.filter("kinds > 1"), spec).withColumn("size", F.size(F.split(F.col("words").cast("string"), " "))),
         "substring-reference",
     )
     found = written(
-        repeated_in_shards(ref.filter("not heavy"), spec).unionByName(repeated_one_by_one(ref.filter("heavy"), spec)),
+        wholly_repeated(places.filter("kinds = 1"))
+        .unionByName(repeated_in_shards(ref.filter("not heavy"), spec))
+        .unionByName(repeated_one_by_one(ref.filter("heavy"), spec)),
         "substring-found",
     )
     return (
