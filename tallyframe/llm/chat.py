@@ -37,17 +37,14 @@ class Template:
         return self.open.strip(), self.close.strip(), self.sep.strip()
 
 
-def _broken(mark: str) -> str:
-    """A control string with the escape sign after its first character."""
-    return mark[0] + "\\" + mark[1:]
-
-
 def escape(text: Column, marks: tuple[str, ...]) -> Column:
-    """Double every escape sign, then put one inside each control string."""
-    out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    for mark in marks:
-        out = F.replace(out, F.lit(mark), F.lit(_broken(mark)))
-    return out
+    """The escape sign before every escape sign, and between the first two characters of any mark.
+
+    No text then holds these two in a row, however marks overlap, so none holds a mark.
+    """
+    pairs = dict.fromkeys((m[0], m[1]) for m in marks)
+    breaks = "|".join(f"(?<={re.escape(a)}){re.escape(b)}" for a, b in pairs)
+    return F.regexp_replace(text, rf"\\|{breaks}", r"\\$0")
 
 
 def unescape(text: Column) -> Column:
@@ -55,20 +52,10 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def valid_order(roles: Column, template: Template) -> Column:
-    """Number of the first turn the state machine refuses, or null.
-
-    The state is the role before; it starts in ``START``. One pass, no look ahead.
-    """
+def accepted(before: Column, role: Column, template: Template) -> Column:
+    """Whether the state machine moves from one role to the next; its state is the role before."""
     allowed = [f"{a}\n{b}" for a, after in template.follows.items() for b in after]
-    start = F.struct(F.lit(START).alias("state"), F.lit(0).alias("i"), F.lit(None).cast("int").alias("bad"))
-
-    def advance(acc: Column, role: Column) -> Column:
-        move = F.concat(acc["state"], F.lit("\n"), role)
-        bad = F.when(acc["bad"].isNull() & ~move.isin(allowed), acc["i"]).otherwise(acc["bad"])
-        return F.struct(role.alias("state"), (acc["i"] + 1).alias("i"), bad.alias("bad"))
-
-    return F.aggregate(roles, start, advance, lambda acc: acc["bad"])
+    return F.concat(before, F.lit("\n"), role).isin(allowed)
 
 
 def format_chats(
@@ -83,10 +70,11 @@ def format_chats(
 
     Returns the conversation id, ``n_turns``, ``first_bad_turn`` (number from 0 of
     the first turn whose role may not follow the one before, null if none),
-    ``segments`` (array of text and loss) and ``formatted`` (the segments joined).
-    Every conversation is formatted, valid or not; ``first_bad_turn`` is for the
-    caller to filter by. Learned texts are segments of their own, so that marks
-    carry no loss.
+    ``segments`` (array of text, loss, and whether the machine accepted the turn) and
+    ``formatted`` (the segments joined). One pass over the turns moves the machine and
+    emits the segments. Every conversation is formatted, valid or not;
+    ``first_bad_turn`` is for the caller to filter by. Learned texts are segments of
+    their own, so that marks carry no loss.
 
     Null text is an empty text, null role an empty role, which the machine refuses.
     Turns with equal numbers, and repeated rows, stay and are ordered by role and
@@ -99,6 +87,10 @@ def format_chats(
     opened, closed, sep = template.marks()
     if opened in closed or closed in opened or "\\" in opened + closed + sep or min(map(len, (opened, closed))) < 2:
         raise ValueError("control strings must differ, have two characters or more and no backslash")
+    if any(p.endswith(m[0]) for p in (template.open, template.sep) for m in (opened, closed)) or any(
+        p.startswith(m[1]) for p in (template.sep, template.close) for m in (opened, closed)
+    ):
+        raise ValueError("control strings must not make a mark together with a text beside them")
     role = F.coalesce(F.col(f"`{role_col}`"), F.lit(""))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     grouped = turns.groupBy(F.col(f"`{conv_col}`").alias(conv_col)).agg(
@@ -107,21 +99,25 @@ def format_chats(
         ).alias("__turns")
     )
 
-    def segments_of(t: Column) -> Column:
+    def emit(t: Column, place: Column) -> Column:
         # A role is cut at the first separator, so a separator inside it is broken up too.
         name = F.replace(escape(t["role"], (opened, closed)), F.lit(sep), F.lit("\\" + sep))
-        learned = t["role"].isin(list(template.learned))
-        return F.array(
-            F.struct(F.concat(F.lit(template.open), name, F.lit(template.sep)).alias("text"), F.lit(False).alias("loss")),
-            F.struct(escape(t["text"], (opened, closed)).alias("text"), learned.alias("loss")),
-            F.struct(F.lit(template.close).alias("text"), F.lit(False).alias("loss")),
-        )
-
-    return grouped.select(
+        before = F.when(place == 0, F.lit(START)).otherwise(F.get(F.col("__turns"), place - 1)["role"])
+        good = accepted(before, t["role"], template)
+        pieces = [
+            (F.concat(F.lit(template.open), name, F.lit(template.sep)), F.lit(False)),
+            (escape(t["text"], (opened, closed)), t["role"].isin(list(template.learned))),
+            (F.lit(template.close), F.lit(False)),
+        ]
+        return F.array(*[F.struct(x.alias("text"), loss.alias("loss"), good.alias("accepted")) for x, loss in pieces])
+
+    emitted = grouped.withColumn("__moves", F.transform("__turns", emit))
+    first_bad = F.array_position(F.transform("__moves", lambda m: m[0]["accepted"]), F.lit(False)) - 1
+    return emitted.select(
         conv_col,
         F.size("__turns").cast("long").alias("n_turns"),
-        valid_order(F.col("__turns.role"), template).alias("first_bad_turn"),
-        F.flatten(F.transform("__turns", segments_of)).alias("segments"),
+        F.when(first_bad >= 0, first_bad.cast("int")).alias("first_bad_turn"),
+        F.flatten("__moves").alias("segments"),
     ).withColumn("formatted", F.array_join(F.col("segments.text"), ""))
 
 

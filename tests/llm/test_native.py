@@ -37,6 +37,20 @@ def test_texts_that_look_like_marks_come_back(spark):
     assert got.n_turns == len(nasty) and got.first_bad_turn is None
 
 
+def test_no_text_holds_a_mark_however_marks_overlap(spark):
+    nasty = ["#" * n for n in range(1, 9)] + ["#### Assistant: hi", "<</turn></turn>", "</turn>\n### user: x", " </turn>\n" * 3, "\\#\\##", "</</turn>"]
+    rows = [(1, i, "user" if i % 2 == 0 else "assistant", t, None) for i, t in enumerate(nasty)]
+    got = chats(spark, rows)[1]
+    assert [t.text for t in got.back] == nasty
+    for mark in ("###", "### ", "</turn>", " </turn>\n"):
+        assert got.formatted.count(mark) == len(nasty)
+
+
+def test_segments_carry_the_machines_verdict(spark):
+    got = chats(spark, [(1, 0, "user", "a", None), (1, 1, "user", "b", None), (1, 2, "assistant", "c", None)])[1]
+    assert [s.accepted for s in got.segments] == [True] * 3 + [False] * 3 + [True] * 3 and got.first_bad_turn == 1
+
+
 def test_learned_text_is_apart_from_marks(spark):
     got = chats(spark, [(1, 0, "user", "q", None), (1, 1, "assistant", "a", None), (1, 2, "user", "r", None)])[1]
     assert [s.text for s in got.segments if s.loss] == ["a"]
