@@ -25,11 +25,12 @@ WORD = re.compile(r"[^\W\d_]+")
 PREFIX = 6
 CLIP = 30.0
 
-#: Categories in the order of the chain, as conditions on a row of labels.
+#: Categories in the order of the chain, as conditions on a row of labels: the narrow
+#: ones first, so that the last, which decides, is told what they say.
 CATEGORIES = {
-    "toxic": "toxic = 1",
     "toxic_prose": "toxic = 1 and quality = 1",
     "toxic_junk": "toxic = 1 and quality = 0",
+    "toxic": "toxic = 1",
 }
 
 
@@ -149,19 +150,20 @@ def labelled_sample(labels: DataFrame, categories: dict[str, str], spec: ChainSp
     return rows.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(spec.folds)).cast("int"))
 
 
-def choose_terms(learn: DataFrame, spec: ChainSpec) -> dict[str, int]:
-    """Words whose share among documents of the first category stands out, the strongest ``max_terms``."""
-    whole = learn.agg(F.count("*").alias("n"), F.coalesce(F.sum("y0"), F.lit(0)).alias("p")).first()
-    total, positive = whole["n"], whole["p"]
-    if not positive or positive == total:
+def choose_terms(learn: DataFrame, targets: list[str], spec: ChainSpec) -> dict[str, int]:
+    """Words whose share among documents of some category stands out, the strongest ``max_terms``."""
+    sums = [F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in targets]
+    whole = learn.agg(F.count("*").alias("n"), *sums).first()
+    shares = {t: whole[t] / whole["n"] for t in targets if 0 < whole[t] < whole["n"]}
+    if not shares:
         return {}
-    share = positive / total
+    scores = [F.abs(F.col(t) - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p)) for t, p in shares.items()]
     counted = (
-        learn.select(F.explode("terms").alias("term"), "y0")
+        learn.select(F.explode("terms").alias("term"), *targets)
         .groupBy("term")
-        .agg(F.count("*").alias("n"), F.sum("y0").alias("p"))
+        .agg(F.count("*").alias("n"), *sums)
         .filter(F.col("n") >= spec.min_documents)
-        .withColumn("score", F.abs(F.col("p") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share)))
+        .withColumn("score", F.greatest(*scores) if len(scores) > 1 else scores[0])
         .filter(F.col("score") >= spec.min_score)
     )
     best = counted.orderBy(F.desc("score"), "term").limit(spec.max_terms).collect()
@@ -200,7 +202,7 @@ def fit_toxicity(
             source.join(sample, "id"), "text", [("terms", T.ArrayType(T.StringType()))], start, ["id", *targets, "fold"]
         )
     )
-    terms = choose_terms(learn, spec)
+    terms = choose_terms(learn, targets, spec)
 
     def pick():
         return lambda rows: [[sorted(terms[t] for t in r if t in terms) for r in rows]]

@@ -122,7 +122,7 @@ def test_chain_on_words_and_odd_rows(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     chain = fit_toxicity(df, lab, spec=ChainSpec(steps=80))
-    assert chain.names == ["toxic", "toxic_prose", "toxic_junk"]
+    assert chain.names == ["toxic_prose", "toxic_junk", "toxic"] and chain.models[2].earlier.any()
     assert len(chain.models[0].earlier) == 0 and len(chain.models[2].earlier) == 2
     odd = [(1, "an old you vile fool", 1), (2, "an old dog", None), (None, None, 3), (3, "", 4), (3, "", 4), (4, "YOU Vile FOOL " * 50_000, 5)]
     new = spark.createDataFrame(odd, "doc_id long, text string, toxic int")
