@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -21,6 +21,16 @@ def unused(names: list[str], wanted: str) -> str:
     return wanted
 
 
+def packed(df: DataFrame, replaced: list[str] = ()) -> tuple[Column, list[str]]:
+    """All columns as one struct, so that working columns can have any name beside it, and their names.
+
+    Columns named like one of ``replaced``, in whatever case, are left out.
+    """
+    gone = {r.lower() for r in replaced}
+    names = [c for c in df.columns if c.lower() not in gone]
+    return F.struct(*[F.col(f"`{c}`") for c in names]), names
+
+
 def append_columns(
     df: DataFrame,
     source: str,

@@ -212,17 +212,20 @@ def contaminated(
     segments = cut_lineage(
         document_segments(docs, id_col, text_col, bit_table(items.select(F.explode("seeds.seed").alias("seed")), F.col("seed"), spec.filter_bits), short, longest)
     )
-    hits = segments.select("doc", "start", F.inline("hits"))
+    # A stretch is known by its words: texts of one id are kept apart, and a phrase that
+    # many documents hold is laid over each item once.
+    known = [F.xxhash64("words").alias("s1"), F.xxhash64(F.lit("second"), "words").alias("s2")]
+    stretches = cut_lineage(segments.select(*known, "words", "hits").dropDuplicates(["s1", "s2"]))
+    hits = stretches.select("s1", "s2", F.inline("hits"))
     lookup = items.select("item", F.inline("seeds")).withColumnRenamed("at", "item_at")
     laid = (
         hits.join(lookup, "seed")
-        .select("doc", "start", "item", (F.col("at") - F.col("item_at")).alias("shift"))
+        .select("s1", "s2", "item", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct()
     )
-    met = laid.join(
-        segments.select("doc", "start", F.col("words").alias("doc_words")).dropDuplicates(["doc", "start"]),
-        ["doc", "start"],
-    ).join(items.select("item", F.col("words").alias("item_words")), "item")
+    met = laid.join(stretches.select("s1", "s2", F.col("words").alias("doc_words")), ["s1", "s2"]).join(
+        items.select("item", F.col("words").alias("item_words")), "item"
+    )
 
     def start():
         def compute(rows: list) -> list[list]:
@@ -238,14 +241,15 @@ def contaminated(
 
     found = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("words", T.IntegerType())])
     laid_over = met.select(
-        "doc",
-        "start",
+        "s1",
+        "s2",
         F.col("item").alias("which"),
         F.struct(F.col("doc_words").alias("doc"), F.col("item_words").alias("item"), "shift").alias("pair"),
     )
-    checked = append_columns(laid_over, "pair", [("found", found)], start, ["doc", "start", "which"])
+    checked = append_columns(laid_over, "pair", [("found", found)], start, ["s1", "s2", "which"])
+    places = segments.select("doc", "start", *known)
     return (
-        checked.filter("found is not null")
+        places.join(cut_lineage(checked.filter("found is not null")), ["s1", "s2"])
         .groupBy(F.col("doc").alias(id_col), F.col("which").alias("item"))
         .agg(
             F.max(F.struct(F.col("found.words").alias("words"), (-F.col("start") - F.col("found.start")).alias("back"))).alias("best")

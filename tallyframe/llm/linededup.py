@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .arrow import packed
+
 SPACE = " \t\n\x0b\f\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -84,25 +86,24 @@ def dedup_lines(
         lines.join(shared, ["h1", "h2"])
         .filter(~F.col(_ID).eqNullSafe(F.col("keeper")))
         .groupBy(_ID, _ROW)
-        .agg(F.collect_set("pos").alias("__line_gone"))
+        .agg(F.collect_set("pos").alias("gone"))
     )
     added = ["n_lines", "n_dropped"] if counts else []
-    kept_columns = [c for c in docs.columns if c not in added]
-    left = docs.select(*[F.col(f"`{c}`") for c in kept_columns], row.alias("__line_own"))
-    joined = left.join(
-        dropped,
-        left[id_col].eqNullSafe(dropped[_ID]) & (left["__line_own"] == dropped[_ROW]),
-        "left",
+    rest, names = packed(docs, added)
+    left = docs.select(
+        rest.alias("rest"), F.col(f"`{id_col}`").alias("own_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("whole"), row.alias("own_row")
     )
-    pieces = split_lines(F.col(text_col))
-    positions = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), F.col("__line_gone"))
-    rebuilt = F.array_join(F.transform(positions, lambda p: F.get(F.col("__line_all"), p)), "\n")
-    whole = F.when(F.col("__line_gone").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(rebuilt)
+    joined = left.join(
+        dropped, left["own_id"].eqNullSafe(dropped[_ID]) & (left["own_row"] == dropped[_ROW]), "left"
+    ).withColumn("lines", split_lines(F.col("whole")))
+    positions = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    rebuilt = F.array_join(F.transform(positions, lambda p: F.get(F.col("lines"), p)), "\n")
+    text = F.when(F.col("gone").isNull(), F.col("whole")).otherwise(rebuilt)
     numbers = {
-        "n_lines": F.size("__line_all").cast("long"),
-        "n_dropped": F.coalesce(F.size("__line_gone"), F.lit(0)).cast("long"),
+        "n_lines": F.size("lines").cast("long"),
+        "n_dropped": F.coalesce(F.size("gone"), F.lit(0)).cast("long"),
     }
-    return joined.withColumn("__line_all", pieces).select(
-        *[whole.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept_columns],
+    return joined.select(
+        *[text.alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in names],
         *[numbers[c].alias(c) for c in added],
     )

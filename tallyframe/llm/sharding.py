@@ -10,6 +10,8 @@ from pyspark.sql.window import Window
 
 from tallyframe.session import cut_lineage
 
+from .arrow import packed
+
 LOW = -(1 << 63)
 HIGH = (1 << 63) - 1
 DIGIT_BITS = 8
@@ -178,7 +180,7 @@ def assign_shards(
     slices plus a row number inside one, so no task holds a shard. Slices with over
     a thousandth of all rows are salted by id.
     """
-    names = [c for c in docs.columns if c not in ("size", "shard", "slot")]
+    rest, names = packed(docs, ["size", "shard", "slot"])
     # An id of another type than an integer is ordered by its hash.
     whole = dict(docs.dtypes)[id_col] in ("tinyint", "smallint", "int", "bigint")
     rank = F.col(f"`{id_col}`").cast("long") if whole else F.xxhash64(F.col(f"`{id_col}`"))
@@ -217,7 +219,7 @@ def assign_shards(
         .select("shard", "__slice", "__salt", F.coalesce(F.sum("n").over(running), F.lit(0)).alias("__start"))
     )
     keyed = docs.select(
-        *[F.col(f"`{c}`") for c in names], key_hash.alias("__hash"), key_id.alias("__id")
+        rest.alias("__rest"), row_size(F.col(f"`{text_col}`")).alias("size"), key_hash.alias("__hash"), key_id.alias("__id")
     ).select(
         "*",
         shard_of(F.col("__hash"), F.col("__id"), splitters).alias("shard"),
@@ -226,8 +228,8 @@ def assign_shards(
     )
     inside = Window.partitionBy("shard", "__slice", "__salt").orderBy("__hash", "__id")
     return keyed.join(starts, ["shard", "__slice", "__salt"]).select(
-        *[F.col(f"`{c}`") for c in names],
-        row_size(F.col(f"`{text_col}`")).alias("size"),
+        *[F.col("__rest").getField(c).alias(c) for c in names],
+        "size",
         "shard",
         (F.col("__start") + F.row_number().over(inside) - 1).cast("long").alias("slot"),
     )
