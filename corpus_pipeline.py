@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.llm.arrow import unused
 from tallyframe.llm.bpe import default_pattern, default_rank_file, encode_documents
 from tallyframe.llm.decontam import contaminated
 from tallyframe.llm.linededup import dedup_lines
@@ -28,7 +29,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     empty; repeated rows share their fate.
     """
     model = fit_quality(docs, load(spark, sf_dir, "labels"))
-    return score_quality(docs, model, name="__score").filter(F.col("__score") >= QUALITY_THRESHOLD).select(_own(docs))
+    score = unused(docs.columns, "__score")
+    return score_quality(docs, model, name=score).filter(F.col(score) >= QUALITY_THRESHOLD).select(_own(docs))
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
