@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.operators.aggregate import (
     join_team_advanced,
@@ -30,6 +31,7 @@ from tallyframe.schema import (
     ROLLING,
     TEAM_GAME,
 )
+from tallyframe.session import cut_lineage
 from tallyframe.sources.zones import (
     read_odds_for_date,
     read_zone,
@@ -37,6 +39,7 @@ from tallyframe.sources.zones import (
     stage_then_promote,
     write_features,
     write_processed,
+    write_zone,
     zone_audit,
     zone_has_rows,
 )
@@ -68,6 +71,10 @@ class Zones:
     def features(self) -> str:
         return f"{self.root}/features/rolling_team_stats"
 
+    @property
+    def tails(self) -> str:
+        return f"{self.root}/features/team_tails"
+
     def staging(self, run_date: str) -> str:
         return f"{self.root}/staging/team_game_stats/run_date={run_date}"
 
@@ -87,12 +94,15 @@ def _advanced(spark: SparkSession, zones: Zones) -> DataFrame | None:
 
 
 def rebuild(spark: SparkSession, zones: Zones, window: int = DEFAULT_WINDOW) -> DataFrame:
-    """Derive processed and features from everything landed; returns the audit."""
+    """Derive processed, features and the newest season's tail from everything landed; returns the audit."""
     raw = read_zone(spark, zones.raw, PLAYER_GAME)
     write_processed(processed_rows(raw, _advanced(spark, zones)), zones.processed)
-    write_features(
-        rolling_features(read_zone(spark, zones.processed, TEAM_GAME), window), zones.features
-    )
+    processed = read_zone(spark, zones.processed, TEAM_GAME)
+    write_features(rolling_features(processed, window), zones.features)
+    newest = processed.agg(F.max("season")).first()[0]
+    if newest is not None:
+        earlier = processed.filter(F.col("season") < newest)
+        write_zone(_before(last_games(earlier, window), newest), zones.tails, TAIL, TAIL_PARTITIONS)
     return audit(spark, zones)
 
 
@@ -100,7 +110,11 @@ def run_daily(
     spark: SparkSession, zones: Zones, day: dt.date | str, window: int = DEFAULT_WINDOW
 ) -> DataFrame:
     """One landed date through staging into processed, then the features from its
-    season on. A date without games changes nothing."""
+    season on, and the tails that the date's teams carry into later seasons. A date
+    without games changes nothing.
+
+    Only the date's season and later ones are read, and the tail before that season:
+    a team that is new there has no rows in the tail and needs none."""
     on_day = F.col("game_date") == F.lit(str(day)).cast("date")
     raw = read_zone(spark, zones.raw, PLAYER_GAME).filter(on_day)
     if not raw.isEmpty():
@@ -109,7 +123,9 @@ def run_daily(
         stage_then_promote(totals, zones.staging(str(day)), zones.processed)
         season = raw.agg(F.min("season")).first()[0]
         processed = read_zone(spark, zones.processed, TEAM_GAME)
-        write_features(features_since_season(processed, season, window), zones.features)
+        tail = carried_in(spark, zones, season, window)
+        write_features(features_since_season(processed, season, tail, window), zones.features)
+        renew_tails(spark, zones, season, raw.select(F.col("team_id").cast("int")).distinct(), window)
     return audit(spark, zones)
 
 
@@ -125,48 +141,82 @@ def features_for_day(
     return rolling_features(history, window).filter(F.col("game_date") == target)
 
 
-def lookback_season(processed: DataFrame, season: int, window: int) -> int:
-    """First season to read so that every team playing since ``season`` has ``window - 1`` earlier games.
+TAIL = T.StructType([*TEAM_GAME.fields, T.StructField("before_season", T.IntegerType())])
+TAIL_PARTITIONS = ("before_season",)
+
+
+def last_games(rows: DataFrame, window: int = DEFAULT_WINDOW) -> DataFrame:
+    """The last ``window`` games of each team. A task keeps no more of a team before the shuffle."""
+    newest_first = Window.partitionBy("team_id").orderBy(F.col("game_date").desc(), F.col("game_id").desc())
+    return rows.withColumn("__n", F.row_number().over(newest_first)).filter(F.col("__n") <= window).drop("__n")
 
-    Goes back by one, two, four ... seasons; each step counts rows of those seasons
-    only. A team without enough history takes it back to the oldest one.
+
+def _before(tail: DataFrame, season: int) -> DataFrame:
+    return tail.withColumn("before_season", F.lit(season).cast("int"))
+
+
+def carried_in(spark: SparkSession, zones: Zones, season: int, window: int = DEFAULT_WINDOW) -> DataFrame:
+    """The last games of each team before ``season``, from the tail zone.
+
+    A season whose tail is not stored yet gets it from the tail before the last
+    earlier season and that season's games, so a new season reads one old one. Zones
+    written before there were tails are filled in this way once, season by season.
     """
-    oldest = processed.agg(F.min("season")).first()[0]
-    playing = processed.filter(F.col("season") >= season).select("team_id").distinct()
-    back, step = season, 1
-    while back > oldest:
-        back, step = max(oldest, back - step), step * 2
-        known = (
-            processed.filter((F.col("season") >= back) & (F.col("season") < season))
-            .groupBy("team_id")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        if playing.join(known, "team_id", "left").filter(F.coalesce("n", F.lit(0)) < window - 1).isEmpty():
+    stored = read_zone_or_empty(spark, zones.tails, TAIL)
+    processed = read_zone(spark, zones.processed, TEAM_GAME)
+    missing = []
+    at = season
+    while stored.filter(F.col("before_season") == at).isEmpty():
+        earlier = processed.filter(F.col("season") < at)
+        if earlier.isEmpty():
             break
-    return back
+        last = earlier.agg(F.max("season")).first()[0]
+        missing.append((at, last))
+        at = last
+    for at, last in reversed(missing):
+        _write_tail(spark, zones, at, last, window)
+    found = read_zone_or_empty(spark, zones.tails, TAIL)
+    return found.filter(F.col("before_season") == season).select(*TEAM_GAME.names)
+
+
+def _write_tail(spark: SparkSession, zones: Zones, season: int, last: int, window: int, teams: DataFrame | None = None) -> None:
+    """Store the tail before ``season``, of some teams only or of all; ``last`` is the season before it."""
+    stored = read_zone_or_empty(spark, zones.tails, TAIL)
+    of_last = read_zone(spark, zones.processed, TEAM_GAME).filter(F.col("season") == last)
+    older = stored.filter(F.col("before_season") == last).select(*TEAM_GAME.names)
+    rows = of_last.unionByName(older)
+    if teams is None:
+        tail = last_games(rows, window)
+    else:
+        others = stored.filter(F.col("before_season") == season).join(teams, "team_id", "left_anti")
+        tail = last_games(rows.join(teams, "team_id", "left_semi"), window).unionByName(others.select(*TEAM_GAME.names))
+    # The partition may be read and replaced at once, so it is finished first.
+    write_zone(cut_lineage(_before(tail, season)), zones.tails, TAIL, TAIL_PARTITIONS)
+
+
+def renew_tails(spark: SparkSession, zones: Zones, season: int, teams: DataFrame, window: int = DEFAULT_WINDOW) -> None:
+    """After games of ``season`` have changed, the stored tails of later seasons for these teams."""
+    stored = read_zone_or_empty(spark, zones.tails, TAIL)
+    later = sorted(r[0] for r in stored.filter(F.col("before_season") > season).select("before_season").distinct().collect())
+    if not later:
+        return
+    processed = read_zone(spark, zones.processed, TEAM_GAME)
+    for at in later:
+        span = (F.col("season") >= season) & (F.col("season") < at)
+        _write_tail(spark, zones, at, processed.filter(span).agg(F.max("season")).first()[0], window, teams)
 
 
 def features_since_season(
-    processed: DataFrame, season: int, window: int = DEFAULT_WINDOW
+    processed: DataFrame, season: int, tail: DataFrame, window: int = DEFAULT_WINDOW
 ) -> DataFrame:
     """Rolling features of ``season`` and later, equal to those of a full rebuild.
 
     Features are stored by season, and a new or late game can change only rows
-    after it. Of the earlier seasons just the last ``window - 1`` games of each
-    team are kept, and only as many seasons are read as it takes to have them.
+    after it. Earlier seasons are not read: ``tail`` has each team's last games
+    before ``season``.
     """
-    back_to = lookback_season(processed, season, window)
-    earlier = processed.filter((F.col("season") >= back_to) & (F.col("season") < season))
-    newest_first = Window.partitionBy("team_id").orderBy(
-        F.col("game_date").desc(), F.col("game_id").desc()
-    )
-    tails = (
-        earlier.withColumn("__n", F.row_number().over(newest_first))
-        .filter(F.col("__n") < window)
-        .drop("__n")
-    )
     current = processed.filter(F.col("season") >= season)
-    return rolling_features(current.unionByName(tails), window).filter(F.col("season") >= season)
+    return rolling_features(current.unionByName(tail), window).filter(F.col("season") >= season)
 
 
 def audit(spark: SparkSession, zones: Zones) -> DataFrame:
@@ -192,12 +242,16 @@ def picks_for_date(
     published_at: Column | None = None,
     policy: DecisionPolicy = DEFAULT_DECISIONS,
     as_of: bool = True,
+    season: int | None = None,
+    window: int = DEFAULT_WINDOW,
 ) -> tuple[DataFrame, DataFrame]:
     """``(picks, rejects)`` for all games of one date in one plan.
 
     ``as_of`` uses only features dated before the game; without it each team's
     newest row is taken whatever its date, which is right for games to come and
-    looks ahead for games gone by.
+    looks ahead for games gone by. With the ``season`` of the date, features of that
+    season are read and no older ones: a team that has not played in it yet enters
+    with the newest row of its tail.
     """
     odds = read_odds_for_date(spark, zones.odds, day)
     features = read_zone(spark, zones.features, ROLLING)
@@ -205,7 +259,12 @@ def picks_for_date(
         # All games share the date, so what was known before it is each team's newest
         # row of earlier dates. A season is named by the year it starts in.
         target = F.lit(str(day)).cast("date")
-        features = features.filter((F.col("season") <= F.year(target)) & (F.col("game_date") < target))
+        if season is None:
+            features = features.filter((F.col("season") <= F.year(target)) & (F.col("game_date") < target))
+        else:
+            entering = rolling_features(carried_in(spark, zones, season, window), window)
+            own = features.filter((F.col("season") == season) & (F.col("game_date") < target))
+            features = own.unionByName(last_games(entering, 1).select(*own.columns))
     games = attach_latest(anchor_market(odds, policy.anchor), features)
     scored = predict(model, games, "model_prob_home_win").withColumn(
         "model_prob_home_win", F.bround("model_prob_home_win", 4)

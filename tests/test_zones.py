@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions.scalars import iso_utc
-from tallyframe.plans.jobs import Zones, audit, rebuild, run_daily, training_matrix
-from tallyframe.schema import ODDS, PLAYER_GAME, PLAYER_GAME_ADVANCED, ROLLING, TEAM_GAME, conform
+from tallyframe.operators.windows import rolling_features
+from tallyframe.plans.jobs import Zones, audit, carried_in, features_since_season, last_games, rebuild, renew_tails, run_daily, training_matrix
+from tallyframe.schema import ODDS, PLAYER_GAME, PLAYER_GAME_ADVANCED, ROLLING, ROLLING_COLUMNS, TEAM_GAME, conform
 from tallyframe.sources import landing as L
 from tallyframe.sources import zones as Z
 from tallyframe.sources.landing import land_box_scores, land_odds, rejects_path
@@ -330,3 +331,49 @@ def test_dates_do_not_depend_on_the_session_zone(spark, zone):
         ]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def season_games(spark, seasons, skip=(), late=()):
+    """Two games a season for each of three teams, but for (season, team) in ``skip``; ``late`` adds more."""
+    data = [
+        (s, f"g{s}{t}{k}", dt.date(s, 1 + k, 1), t, 100 + 7 * t + 3 * k + s % 10, k == 0, t == 1)
+        for s in seasons
+        for t in (1, 2, 3)
+        for k in range(2)
+        if (s, t) not in skip
+    ] + list(late)
+    df = spark.createDataFrame(data, "season int, game_id string, game_date date, team_id int, pts int, is_home boolean, win boolean")
+    return conform(df, TEAM_GAME)
+
+
+def test_tails_carry_last_games_from_season_to_season(spark, tmp_path):
+    zones = Zones(str(tmp_path / "t"))
+    seasons = [2000, 2001, 2005, 2024]
+    games = season_games(spark, seasons, skip={(2005, 2), (2000, 3), (2001, 3), (2005, 3)})
+    Z.write_processed(games, zones.processed)
+    for season in seasons:
+        want = last_games(games.filter(F.col("season") < season), 5)
+        assert rows(carried_in(spark, zones, season, 5), "game_id", "team_id") == rows(want, "game_id", "team_id")
+    # A late game of an old season changes its own team's tails only.
+    late = [(2001, "late", dt.date(2001, 6, 1), 1, 50, True, False)]
+    games = games.unionByName(season_games(spark, [], late=late))
+    Z.write_processed(games.filter("season = 2001"), zones.processed)
+    renew_tails(spark, zones, 2001, spark.createDataFrame([(1,)], "team_id int"), 5)
+    for season in seasons:
+        want = last_games(games.filter(F.col("season") < season), 5)
+        assert rows(carried_in(spark, zones, season, 5), "game_id", "team_id") == rows(want, "game_id", "team_id")
+
+
+def test_a_new_team_reads_no_old_season(spark, tmp_path):
+    zones = Zones(str(tmp_path / "t"))
+    games = season_games(spark, [2000, 2001, 2024], skip={(2000, 3), (2001, 3)})
+    Z.write_processed(games, zones.processed)
+    carried_in(spark, zones, 2024, 5)
+    for old in (2000, 2001):
+        for f in (tmp_path / "t").rglob(f"season={old}/**/*.parquet"):
+            f.write_bytes(b"not a parquet file")
+    processed = Z.read_zone(spark, zones.processed, TEAM_GAME)
+    got = features_since_season(processed, 2024, carried_in(spark, zones, 2024, 5), 5)
+    want = rolling_features(games, 5).filter("season = 2024")
+    assert rows(got, "game_id", *ROLLING_COLUMNS) == rows(want, "game_id", *ROLLING_COLUMNS)
+    assert {r.team_id for r in got.collect()} == {1, 2, 3}
