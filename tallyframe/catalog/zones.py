@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions.scalars import rename_lower
+from tallyframe.operators.odds_history import closing_line
 from tallyframe.plans.jobs import Zones, features_for_day, rebuild, run_daily
 from tallyframe.schema import (
     DATE,
@@ -33,7 +34,7 @@ from tallyframe.sources.landing import (
     land_odds,
     normalize_box_scores,
     parse_odds_rejects,
-    rejects_path,
+    read_rejects,
 )
 from tallyframe.sources.picks_sink import publish_picks, read_picks
 from tallyframe.sources.zones import (
@@ -222,6 +223,40 @@ def landed_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_FETCHES = ["1993-02-01 09:00:00", "1995-06-15 09:00:00", "1995-06-15 13:00:00", "1997-01-01 12:00:00", "2003-01-01 00:00:00"]
+
+
+@query(
+    "closing_line",
+    f"""WITH {ODDS_SQL}, q AS (SELECT o_orderkey, o_orderkey::VARCHAR AS game_id, date_trunc('quarter', o_orderdate) + INTERVAL 12 HOUR AS start FROM orders),
+      f(k, t) AS (VALUES {', '.join(f"({k}, TIMESTAMP '{t}')" for k, t in enumerate(_FETCHES))}),
+      seen AS (SELECT game_id, max(k) AS k, max(t) AS t FROM q JOIN f ON t < start AND o_orderkey % (k + 2) <> 1 GROUP BY game_id)
+      SELECT game_id, sportsbook, market_type, outcome_name, (price + k)::INTEGER AS price, point, t::DATE AS fetched_on FROM odds JOIN seen USING (game_id)""",
+)
+def closing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five fetches of moving prices, two on one day, the last after every start; each lists other games."""
+    path = scratch_path(spark, "odds-history")
+    for k, time in enumerate(_FETCHES):
+        moved = F.transform(
+            "bookmakers",
+            lambda b: b.withField(
+                "markets",
+                F.transform(
+                    b["markets"],
+                    lambda m: m.withField("outcomes", F.transform(m["outcomes"], lambda o: o.withField("price", o["price"] + k))),
+                ),
+            ),
+        )
+        source = scratch_path(spark, "odds-json")
+        listed = _quarterly_odds(spark, sf_dir).filter(F.col("id").cast("long") % (k + 2) != 1)
+        listed.withColumn("bookmakers", moved).write.json(source)
+        land_odds(spark, source, path, F.lit(time).cast("timestamp"))
+    return closing_line(read_zone(spark, path, ODDS)).select(
+        "game_id", "sportsbook", "market_type", "outcome_name", F.col("price").cast("int").alias("price"), "point",
+        F.to_date("fetched_at").alias("fetched_on"),
+    )
+
+
 @query(
     "read_odds_for_date",
     f"""WITH {ODDS_SQL}, q AS (SELECT o_orderkey::VARCHAR AS game_id, date_trunc('quarter', o_orderdate) AS d FROM orders)
@@ -351,9 +386,10 @@ def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     players, _, log = _payloads(spark, sf_dir)
     path = scratch_path(spark, "raw-partial")
     known = log.filter("GAME_ID % 10 <> 0")
-    for half in (0, 1):
+    # The second delivery is landed twice: a replay leaves one copy.
+    for half in (0, 1, 1):
         land_box_scores(players.filter(F.col("GAME_ID") % 2 == half), known, path, "2025-26", "Playoffs")
-    return spark.read.parquet(rejects_path(path)).select("game_id", "team_id", "player_id", "season", "reject_reason")
+    return read_rejects(spark, path, PLAYER_GAME).select("game_id", "team_id", "player_id", "season", "reject_reason")
 
 
 @query(

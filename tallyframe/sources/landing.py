@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,9 +19,10 @@ from tallyframe.functions.scalars import (
 )
 from tallyframe.schema import ODDS, PLAYER_GAME, PLAYER_GAME_ADVANCED, conform
 
-from .zones import DATE_PARTITIONS, GAME_PARTITIONS, RECORDS_PER_FILE, write_zone
+from .zones import GAME_PARTITIONS, ODDS_PARTITIONS, ODDS_SNAPSHOTS, RECORDS_PER_FILE, by_partition, read_zone_or_empty, write_zone
 
 LEAGUE_ZONE = "US/Eastern"
+SNAPSHOT = "'s'yyyyMMdd'T'HHmmssSSS"
 
 # Shape of the odds payload.
 ODDS_PAYLOAD = T.ArrayType(
@@ -118,18 +120,48 @@ def normalize_advanced(
     return conform(stamped.withColumns(numbers), PLAYER_GAME_ADVANCED)
 
 
-def split_undated(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows the game log knows, and rejects: those it gives no date."""
-    known = rows.filter(F.col("game_date").isNotNull())
-    rejects = rows.filter(F.col("game_date").isNull()).withColumn("reject_reason", F.lit("not_in_game_log"))
-    return known, rejects
+def game_reject_reason(day: dt.date | str | None = None) -> Column:
+    """Why a player row cannot be landed: its game has no date, or another than ``day``; NULL when it can."""
+    reason = F.when(F.col("game_date").isNull(), "not_in_game_log")
+    return reason if day is None else reason.when(F.col("game_date") != F.lit(str(day)).cast("date"), "other_date")
 
 
-def write_rejects(rejects: DataFrame, path: str) -> str:
-    """Add rejects to their own zone under the time they were landed; none is ever replaced."""
+REJECT_FIELDS = [
+    T.StructField("reject_reason", T.StringType()),
+    T.StructField("reject_key", T.StringType()),
+    T.StructField("copies", T.LongType()),
+    T.StructField("landed_at", T.TimestampType()),
+    T.StructField("landed_on", T.DateType()),
+]
+DOCUMENT = T.StructType([T.StructField("document", T.StringType())])
+
+
+def reject_schema(rows: T.StructType) -> T.StructType:
+    """Columns of a rejects zone for rows of a feed."""
+    return T.StructType([*rows.fields, *REJECT_FIELDS])
+
+
+def read_rejects(spark: SparkSession, path: str, rows: T.StructType = DOCUMENT) -> DataFrame:
+    """The rejects of a zone; none where nothing was ever rejected."""
+    return read_zone_or_empty(spark, rejects_path(path), reject_schema(rows))
+
+
+def write_rejects(rejects: DataFrame, path: str, rows: T.StructType, delivery: str = "") -> str:
+    """Add rejects to their own zone under the time they were first landed.
+
+    ``rejects`` has the columns of ``rows`` and ``reject_reason``. A reject is known by
+    a hash of the delivery, the reason and its content: landed again it adds nothing,
+    and rows that repeat inside a delivery are one row with their number in ``copies``.
+    None is ever replaced.
+    """
+    content = F.sha2(F.concat_ws("\n", F.lit(delivery), "reject_reason", F.to_json(F.struct(*rows.names))), 256)
     landed = F.current_timestamp()
+    firsts = [F.any_value(c).alias(c) for c in (*rows.names, "reject_reason")]
+    keyed = rejects.withColumn("reject_key", content).groupBy("reject_key").agg(*firsts, F.count(F.lit(1)).alias("copies"))
+    known = read_zone_or_empty(rejects.sparkSession, path, reject_schema(rows)).select("reject_key")
+    fresh = keyed.join(known, "reject_key", "left_anti").withColumns({"landed_at": landed, "landed_on": F.to_date(landed)})
     (
-        rejects.withColumns({"landed_at": landed, "landed_on": F.to_date(landed)})
+        by_partition(fresh.select(*reject_schema(rows).names), ("landed_on",))
         .write.mode("append")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
         .partitionBy("landed_on")
@@ -143,8 +175,29 @@ def rejects_path(path: str) -> str:
     return f"{path.rstrip('/')}_rejects"
 
 
-def _only(df: DataFrame, day: dt.date | str | None) -> DataFrame:
-    return df if day is None else df.filter(F.col("game_date") == F.lit(str(day)).cast("date"))
+def land(
+    judged: DataFrame,
+    path: str,
+    schema: T.StructType,
+    partitions: tuple[str, ...],
+    to_rows: Callable[[DataFrame], DataFrame],
+    to_rejects: Callable[[DataFrame], DataFrame],
+    reject_rows: T.StructType,
+    rejects: str | None = None,
+    delivery: str = "",
+) -> str:
+    """Write the rows of ``judged`` without a ``reject_reason``, then those with one to the rejects zone.
+
+    The write itself counts the rejects, so the payload is read once, and a second
+    time for its rejects only if there are any. Both writes may be repeated.
+    """
+    seen = Observation()
+    watched = judged.observe(seen, F.count("reject_reason").alias("rejected"))
+    write_zone(to_rows(watched.filter("reject_reason is null")), path, schema, partitions)
+    if seen.get["rejected"]:
+        bad = to_rejects(judged.filter("reject_reason is not null"))
+        write_rejects(bad, rejects or rejects_path(path), reject_rows, delivery)
+    return path
 
 
 def land_box_scores(
@@ -155,13 +208,13 @@ def land_box_scores(
     season_type: str,
     day: dt.date | str | None = None,
     rejects: str | None = None,
+    delivery: str = "",
 ) -> str:
     """Normalise and write player rows: one date when ``day`` is given, else every
     date of the payload. Both replace exactly the dates they hold. Rows of games the
-    log does not know go to the rejects zone."""
-    rows, unknown = split_undated(normalize_box_scores(payload, game_log, season, season_type))
-    write_rejects(unknown, rejects or rejects_path(path))
-    return write_zone(_only(rows, day), path, PLAYER_GAME, GAME_PARTITIONS)
+    log does not know, and with ``day`` those of other dates, go to the rejects zone."""
+    rows = normalize_box_scores(payload, game_log, season, season_type)
+    return _land_games(rows, path, PLAYER_GAME, day, rejects, delivery)
 
 
 def land_advanced(
@@ -172,11 +225,19 @@ def land_advanced(
     season_type: str,
     day: dt.date | str | None = None,
     rejects: str | None = None,
+    delivery: str = "",
 ) -> str:
     """As :func:`land_box_scores` for the ratings feed."""
-    rows, unknown = split_undated(normalize_advanced(payload, game_log, season, season_type))
-    write_rejects(unknown, rejects or rejects_path(path))
-    return write_zone(_only(rows, day), path, PLAYER_GAME_ADVANCED, GAME_PARTITIONS)
+    rows = normalize_advanced(payload, game_log, season, season_type)
+    return _land_games(rows, path, PLAYER_GAME_ADVANCED, day, rejects, delivery)
+
+
+def _land_games(
+    rows: DataFrame, path: str, schema: T.StructType, day: dt.date | str | None, rejects: str | None, delivery: str
+) -> str:
+    judged = rows.withColumn("reject_reason", game_reject_reason(day))
+    same = lambda df: df
+    return land(judged, path, schema, GAME_PARTITIONS, same, same, schema, rejects, delivery)
 
 
 def flatten_odds(games: DataFrame, fetched_at: Column) -> DataFrame:
@@ -265,10 +326,13 @@ def land_odds(
     fetched_at: Column | None = None,
     multi_line: bool = False,
     rejects: str | None = None,
+    delivery: str = "",
 ) -> str:
     """Landed odds JSON files to the odds zone, every row stamped with one fetch
-    time. Only the dates in the payload are replaced; lines that do not parse, and
-    games without an id or a start time, go to the rejects zone.
+    time. Snapshots lie side by side under their date: a fetch replaces only what was
+    landed with the same fetch time, so a later one with fewer games removes none.
+    Lines that do not parse, and games without an id or a start time, go to the
+    rejects zone.
 
     A line holds one game or an array of games; ``multi_line`` is for responses
     stored with line breaks inside, one response per file.
@@ -282,10 +346,15 @@ def land_odds(
         .withColumn("reject_reason", F.when(F.col(broken).isNotNull(), "not_json").otherwise(odds_reject_reason()))
     )
     document = F.coalesce(F.col(broken), F.to_json(F.struct(*ODDS_GAME.names)))
-    write_rejects(
-        games.filter("reject_reason is not null").select(document.alias("document"), "reject_reason"),
-        rejects or rejects_path(path),
+    stamp_time = F.current_timestamp() if fetched_at is None else fetched_at
+    return land(
+        games,
+        path,
+        ODDS_SNAPSHOTS,
+        ODDS_PARTITIONS,
+        lambda good: flatten_odds(good, stamp_time).withColumn("snapshot", F.date_format("fetched_at", SNAPSHOT)),
+        lambda bad: bad.select(document.alias("document"), "reject_reason"),
+        DOCUMENT,
+        rejects,
+        delivery,
     )
-    good = games.filter("reject_reason is null")
-    stamped = flatten_odds(good, F.current_timestamp() if fetched_at is None else fetched_at)
-    return write_zone(stamped, path, ODDS, DATE_PARTITIONS)

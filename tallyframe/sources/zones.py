@@ -14,6 +14,8 @@ from tallyframe.schema import ODDS, ROLLING, TEAM_GAME, conform
 GAME_PARTITIONS = ("season", "game_date")
 SEASON_PARTITIONS = ("season",)
 DATE_PARTITIONS = ("game_date",)
+ODDS_PARTITIONS = ("game_date", "snapshot")
+ODDS_SNAPSHOTS = T.StructType([*ODDS.fields, T.StructField("snapshot", T.StringType())])
 RECORDS_PER_FILE = 5_000_000
 
 
@@ -122,7 +124,7 @@ def zone_has_rows(spark: SparkSession, path: str, schema: T.StructType) -> bool:
 
 
 def read_odds_for_date(spark: SparkSession, path: str, day: dt.date | str) -> DataFrame:
-    """One day's prices; the filter prunes to that partition."""
+    """One day's prices, all snapshots of it; the filter prunes to that partition."""
     return read_zone(spark, path, ODDS).filter(F.col("game_date") == F.lit(str(day)).cast("date"))
 
 

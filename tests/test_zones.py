@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions.scalars import iso_utc
+from tallyframe.operators.odds_history import closing_line, current_prices
 from tallyframe.operators.windows import rolling_features
 from tallyframe.plans.jobs import Zones, audit, carried_in, features_since_season, last_games, rebuild, renew_tails, run_daily, training_matrix
 from tallyframe.schema import ODDS, PLAYER_GAME, PLAYER_GAME_ADVANCED, ROLLING, ROLLING_COLUMNS, TEAM_GAME, conform
@@ -243,7 +244,7 @@ def test_unknown_games_are_kept_as_rejects(spark, tmp_path):
     for game in ("x1", "x2"):
         land_box_scores(payload(game), log, path, "2025-26", "Playoffs", day="2026-05-01")
     assert [r.game_id for r in Z.read_zone(spark, path, PLAYER_GAME).collect()] == ["g1"]
-    lost = spark.read.parquet(rejects_path(path))
+    lost = L.read_rejects(spark, path, PLAYER_GAME)
     assert sorted(r.game_id for r in lost.collect()) == ["x1", "x2"]
     assert {r.reject_reason for r in lost.collect()} == {"not_in_game_log"}
 
@@ -257,7 +258,7 @@ def test_broken_odds_are_kept_as_rejects(spark, tmp_path):
     (source / "x.json").write_text(json.dumps(good) + "\n" + '{"id": \n' + json.dumps(late) + "\n" + json.dumps([good]) + "\n")
     land_odds(spark, str(source), path)
     assert Z.read_zone(spark, path, ODDS).count() == 2
-    assert rows(spark.read.parquet(rejects_path(path)), "reject_reason") == [("no_start_time",), ("not_json",)]
+    assert rows(L.read_rejects(spark, path), "reject_reason") == [("no_start_time",), ("not_json",)]
 
 
 def test_staging_of_an_earlier_attempt_is_not_promoted(spark, tmp_path):
@@ -377,3 +378,56 @@ def test_a_new_team_reads_no_old_season(spark, tmp_path):
     want = rolling_features(games, 5).filter("season = 2024")
     assert rows(got, "game_id", *ROLLING_COLUMNS) == rows(want, "game_id", *ROLLING_COLUMNS)
     assert {r.team_id for r in got.collect()} == {1, 2, 3}
+
+
+def odds_file(folder, name, games):
+    folder.mkdir(exist_ok=True)
+    lines = [
+        json.dumps({"id": g, "commence_time": start, "home_team": "H", "away_team": "A",
+                    "bookmakers": [{"key": b, "markets": [{"key": "h2h", "outcomes": [{"name": n, "price": p} for n in sides]}]} for b, p, sides in books]})
+        for g, start, books in games
+    ]
+    (folder / name).write_text("\n".join(lines) + "\n")
+    return str(folder)
+
+
+def test_closing_line_of_several_fetches(spark, tmp_path):
+    path = str(tmp_path / "raw/odds")
+    start, both = "2026-06-04T18:00:00Z", ("H", "A")
+    fetches = [
+        ("2026-06-04 08:00:00", [("a", start, [("x", -110, both), ("y", -120, both)]), ("b", start, [("x", 105, both)])]),
+        ("2026-06-04 12:00:00", [("a", start, [("x", -115, both)])]),
+        ("2026-06-04 17:59:59", [("a", start, [("x", -118, ("H",))])]),
+        ("2026-06-04 18:00:00", [("a", start, [("x", -300, both)]), ("c", start, [("x", 150, both)])]),
+    ]
+    for i, (time, games) in enumerate([*fetches, fetches[1]]):
+        land_odds(spark, odds_file(tmp_path / f"in{i}", "f.json", games), path, F.lit(time).cast("timestamp"))
+    zone = Z.read_zone(spark, path, ODDS)
+    # The replay of one fetch replaced itself, and no fetch removed another's games.
+    assert zone.count() == 6 + 2 + 1 + 4
+    key = ("game_id", "sportsbook", "outcome_name", "price")
+    assert rows(closing_line(zone), *key) == [("a", "x", "H", -118), ("a", "y", "A", -120), ("a", "y", "H", -120), ("b", "x", "A", 105), ("b", "x", "H", 105)]
+    assert [r for r in rows(current_prices(zone), *key) if r[0] != "b"] == [
+        ("a", "x", "A", -300), ("a", "x", "H", -300), ("a", "y", "A", -120), ("a", "y", "H", -120), ("c", "x", "A", 150), ("c", "x", "H", 150)
+    ]
+    assert closing_line(zone.withColumn("commence_time", F.lit(None).cast("timestamp"))).isEmpty()
+
+
+def test_rejects_are_landed_once(spark, tmp_path):
+    path = str(tmp_path / "raw/box")
+    payload = spark.createDataFrame(
+        [("x1", 1, 5, 10), ("x1", 1, 5, 10), ("x1", 1, 6, None), ("g1", 1, 5, 10), ("g2", 1, 5, 7)], "GAME_ID string, TEAM_ID int, PLAYER_ID int, PTS int"
+    )
+    log = spark.createDataFrame([("g1", 1, "2026-05-01", "A vs. B", "W"), ("g2", 1, "2026-05-02", "A @ B", "L")], "GAME_ID string, TEAM_ID int, GAME_DATE string, MATCHUP string, WL string")
+    assert L.read_rejects(spark, path, PLAYER_GAME).isEmpty()
+    land_box_scores(payload.filter("GAME_ID = 'g1'"), log, path, "2025-26", "Playoffs")
+    assert L.read_rejects(spark, path, PLAYER_GAME).isEmpty()
+    for _ in range(3):
+        land_box_scores(payload, log, path, "2025-26", "Playoffs", day="2026-05-01")
+    lost = L.read_rejects(spark, path, PLAYER_GAME)
+    assert rows(lost, "game_id", "player_id", "reject_reason", "copies") == [
+        ("g2", 5, "other_date", 1), ("x1", 5, "not_in_game_log", 2), ("x1", 6, "not_in_game_log", 1)
+    ]
+    land_box_scores(payload, log, path, "2025-26", "Playoffs", day="2026-05-01", delivery="another")
+    assert L.read_rejects(spark, path, PLAYER_GAME).count() == 6
+    assert [r.game_id for r in Z.read_zone(spark, path, PLAYER_GAME).collect()] == ["g1"]
