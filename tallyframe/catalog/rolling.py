@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.operators.season_axis import season_deltas
 from tallyframe.operators.windows import (
     asof_join,
     drop_first_event,
@@ -200,3 +201,24 @@ def asof_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     return six(out, "away_rolling_pts", "away_rolling_win_pct")
+
+
+# A short season, three weeks without games in another, and one season missing.
+_PLAYED = "season <> 1993 AND NOT (season = 1995 AND game_date > DATE '1995-06-10') AND NOT (season = 1996 AND game_date BETWEEN DATE '1996-03-04' AND DATE '1996-03-24')"
+
+
+@query(
+    "season_delta",
+    f"""WITH {GAMES}, played AS (SELECT season, game_date::DATE AS day, is_home, pts, win FROM games WHERE {_PLAYED}),
+      firsts AS (SELECT season, min(day) AS first FROM played GROUP BY season),
+      weekly AS (SELECT is_home, season, ((day - first) // 7)::INTEGER AS season_week, count(*) AS n_games, avg(pts) AS avg_pts FROM played JOIN firsts USING (season) GROUP BY ALL),
+      before AS (SELECT is_home, (season + 1)::INTEGER AS season, season_week, n_games AS prev_n_games, avg_pts AS prev_avg_pts FROM weekly)
+      SELECT is_home, season, season_week, n_games, prev_n_games, n_games - prev_n_games AS delta_n_games,
+        round(avg_pts, 6) AS avg_pts, round(prev_avg_pts, 6) AS prev_avg_pts, round(avg_pts - prev_avg_pts, 6) AS delta_avg_pts
+      FROM weekly FULL JOIN before USING (is_home, season, season_week) WHERE season IN (SELECT season FROM played)""",
+)
+def seasons_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games and points of each week beside the same week of the season before."""
+    games = customer_games(spark, sf_dir).withColumn("game_date", F.to_date("game_date")).filter(_PLAYED)
+    out = season_deltas(games, {"n_games": F.count(F.lit(1)), "avg_pts": F.avg("pts")}, ["is_home"])
+    return six(out, "avg_pts", "prev_avg_pts", "delta_avg_pts")

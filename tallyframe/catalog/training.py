@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.operators.bootstrap import bootstrap_means, weight_sql
 from tallyframe.operators.evaluate import (
     EPSILON,
     baseline_accuracies,
@@ -264,6 +265,29 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation_summary(evaluation_row(scored(spark, sf_dir), "rolling_share"))
 
 
+REPLICATES = 200
+
+
+@query(
+    "bootstrap_accuracy",
+    f"""WITH {SCORED}, v AS (SELECT game_id::BIGINT AS k, unnest(['accuracy', 'brier']) AS metric,
+        unnest([((model_home_win_prob >= 0.5)::INTEGER = label)::INTEGER::DOUBLE, (model_home_win_prob - label) * (model_home_win_prob - label)]) AS x FROM scored),
+      w AS (SELECT k, r, {weight_sql('k', 'r')} AS w FROM (SELECT DISTINCT k FROM v), range({REPLICATES}) AS t(r)),
+      d AS (SELECT metric, r, sum(x * w) / sum(w) AS mean FROM v JOIN w USING (k) WHERE x IS NOT NULL GROUP BY metric, r HAVING sum(w) > 0),
+      s AS (SELECT metric, quantile_cont(mean, 0.025) AS low, quantile_cont(mean, 0.975) AS high FROM d GROUP BY metric)
+      SELECT metric, count(x) AS n, round(avg(x), 6) AS estimate, round(any_value(low), 6) AS low, round(any_value(high), 6) AS high FROM v LEFT JOIN s USING (metric) GROUP BY metric""",
+)
+def accuracy_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy and Brier score with 95 % intervals over 200 Poisson replicates."""
+    p = F.col("model_home_win_prob")
+    rows = scored(spark, sf_dir).select(
+        F.col("game_id").cast("long").alias("k"),
+        ((p >= 0.5).cast("int") == F.col("label")).cast("int").alias("accuracy"),
+        ((p - F.col("label")) * (p - F.col("label"))).alias("brier"),
+    )
+    return six(bootstrap_means(rows, F.col("k"), ["accuracy", "brier"], REPLICATES), "estimate", "low", "high")
+
+
 _DRIVERS = " UNION ALL ".join(
     f"SELECT game_id::VARCHAR AS game_id, '{c.replace('rolling_', '')}' AS feature, round(home_{c}::DOUBLE, 6) AS home, round(away_{c}::DOUBLE, 6) AS away FROM frame"
     for c in ROLLING_COLUMNS
