@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -33,10 +34,10 @@ STOP_WORDS = frozenset(
 )
 
 #: Elements whose text is never shown or never prose.
-UNSEEN = frozenset("script style noscript template title svg math iframe object canvas audio video select".split())
+UNSEEN = frozenset("script style noscript template title svg iframe object canvas audio video select".split())
 
-#: Elements that hold no article text.
-BOILERPLATE = frozenset("nav footer aside form button menu dialog fieldset label textarea".split())
+#: Elements that hold no article text. A form holds none unless the page lies in it.
+BOILERPLATE = frozenset("nav footer aside button menu dialog textarea".split())
 
 #: Elements that start and end blocks.
 BLOCKS = frozenset(
@@ -78,10 +79,12 @@ _ENDS_P = BLOCKS - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot",
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    # A quote counts only where a value begins; elsewhere it is part of a name or value.
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)",
     re.S,
 )
 _MARKED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
 _HIDDEN = re.compile(r"""(?:\s|^)(?:hidden(?=[\s/=]|$)|aria-hidden\s*=\s*["']?true)|display\s*:\s*none""", re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
 #: Letters that say about as much as three of an alphabet.
@@ -110,6 +113,7 @@ class Block:
     heading: bool
     section: int  # number of the article it is in, 0 outside
     weak: bool = False  # boilerplate only by marks around its article
+    form: int = 0  # number of the outermost form it is in, 0 outside
 
 
 def _names(values: list[str]) -> set[str]:
@@ -127,32 +131,39 @@ def _names(values: list[str]) -> set[str]:
 def split_blocks(page: str) -> list[Block]:
     """Blocks of a page in order, by one scan over its tags; broken markup is taken as it comes."""
     blocks: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # element, starts boilerplate, only by outer marks, starts main
-    state = {"bad": 0, "soft": 0, "main": 0, "link": 0, "heading": 0, "section": 0, "articles": 0}
-    parts: list[tuple[str, bool, int]] = []  # text, inside a link, 2 in boilerplate and 1 if only by outer marks
+    # Element, starts boilerplate, only by outer marks, starts main, is a link with a target.
+    stack: list[tuple[str, bool, bool, bool, bool]] = []
+    opened: Counter[str] = Counter()  # how many of each element are on the stack
+    state = {"bad": 0, "soft": 0, "main": 0, "link": 0, "heading": 0, "section": 0, "articles": 0, "forms": 0}
+    # Text, inside a link, 2 in boilerplate and 1 if only by outer marks, inside a label.
+    parts: list[tuple[str, bool, int, bool]] = []
 
     def add(text: str) -> None:
-        parts.append((text, state["link"] > 0, 2 if state["bad"] else 1 if state["soft"] else 0))
+        parts.append((text, state["link"] > 0, 2 if state["bad"] else 1 if state["soft"] else 0, opened["label"] > 0))
 
     def flush() -> None:
         if parts:
             # What an inline element makes boilerplate is left out of the block; alone it is a block.
-            level = min((x for p, _, x in parts if html.unescape(p).strip()), default=0)
+            level = min((p[2] for p in parts if html.unescape(p[0]).strip()), default=0)
             parts[:] = [p for p in parts if p[2] <= level]
+            # A label in a sentence is part of it; alone it belongs to a control.
+            named = all(p[3] for p in parts if html.unescape(p[0]).strip())
             # References are decoded first, so that a reference to white space is white space.
-            text = " ".join(html.unescape("".join(p for p, _, _ in parts)).split())
+            text = " ".join(html.unescape("".join(p[0] for p in parts)).split())
             if text:
-                linked = sum(len(" ".join(html.unescape(p).split())) for p, in_link, _ in parts if in_link)
+                linked = sum(len(" ".join(html.unescape(p).split())) for p, in_link, *_ in parts if in_link)
                 heading, main = state["heading"] > 0, state["main"] > 0
-                blocks.append(Block(text, linked, level > 0, main, heading, state["section"], level == 1))
+                form = state["forms"] if opened["form"] else 0
+                blocks.append(Block(text, linked, level > 0 or named, main, heading, state["section"], level == 1 and not named, form))
             parts.clear()
 
-    def leave(entry: tuple[str, bool, bool, bool]) -> None:
-        name, bad, soft, main = entry
+    def leave(entry: tuple[str, bool, bool, bool, bool]) -> None:
+        name, bad, soft, main, link = entry
+        opened[name] -= 1
         state["bad"] -= bad
         state["soft"] -= soft
         state["main"] -= main
-        state["link"] -= name == "a"
+        state["link"] -= link
         state["heading"] -= name in ("h1", "h2", "h3", "h4", "h5", "h6")
         if main and not state["main"]:
             state["section"] = 0
@@ -172,7 +183,7 @@ def split_blocks(page: str) -> list[Block]:
         if m[1]:  # an end tag closes down to its element, if that is open
             if name in BLOCKS:
                 flush()
-            if any(e[0] == name for e in stack):
+            if opened[name]:
                 while stack:
                     entry = stack.pop()
                     leave(entry)
@@ -186,7 +197,7 @@ def split_blocks(page: str) -> list[Block]:
             continue
         if name in BLOCKS:
             flush()
-            if name in _ENDS_P:
+            if name in _ENDS_P and opened["p"]:
                 # A new block ends an open paragraph and what was left open in it.
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == "p":
@@ -212,20 +223,26 @@ def split_blocks(page: str) -> list[Block]:
         bad = (
             name in BOILERPLATE
             or (heads and not in_article)
+            or (name == "form" and in_article)
             or bool(words & marks & (NO_ARTICLE if not in_article else MARKS))
             or bool(_HIDDEN.search(m[3]))
         )
         # Other marks outside an article may be of a wrapper around it.
         soft = not bad and bool(words & marks)
         main = name in ("article", "main") and not bad
-        stack.append((name, bad, soft, main))
+        # An anchor without a target is no link.
+        link = name == "a" and bool(_HREF.search(m[3]))
+        if name == "form" and not opened["form"]:
+            state["forms"] += 1
+        stack.append((name, bad, soft, main, link))
+        opened[name] += 1
         state["bad"] += bad
         state["soft"] += soft
         if main and not state["main"]:
             state["articles"] += 1
             state["section"] = state["articles"]
         state["main"] += main
-        state["link"] += name == "a"
+        state["link"] += link
         state["heading"] += heading
     flush()
     return blocks
@@ -260,8 +277,8 @@ def label(block: Block, rules: BlockRules, by_words: bool = True) -> bool | None
     if block.bad:
         return False
     if block.linked > rules.links * len(block.text):
-        # One linked word in a short line of an article says nothing.
-        return None if block.main and block.linked < rules.short else False
+        # In an article a paragraph or reference may be a link; a short one says nothing.
+        return False if not block.main else True if len(block.text) >= rules.short else None
     if not by_words:
         return True if _length(block.text) >= rules.short else None
     if len(block.text) < rules.short:
@@ -277,6 +294,7 @@ def label(block: Block, rules: BlockRules, by_words: bool = True) -> bool | None
 def main_text(page: str | None, rules: BlockRules) -> str:
     """Text blocks of a page joined by newlines; a null or empty page has none."""
     blocks = split_blocks(page or "")
+    _judge_forms(blocks, rules)
     if not any(b.main and not b.bad for b in blocks):
         for b in blocks:  # the only article is in marked wrappers, which then are no boilerplate
             b.bad = b.bad and not (b.main and b.weak)
@@ -285,37 +303,66 @@ def main_text(page: str | None, rules: BlockRules) -> str:
             b.bad = b.bad or not b.main
     by_words = _told_by_words(blocks, rules)
     first = [label(b, rules, by_words) for b in blocks]
-    kept = []
-    for i, (b, own) in enumerate(zip(blocks, first)):
-        if own is None:
-            own = _inherit(blocks, first, i)
-        if own:
-            kept.append(b.text)
-    return "\n".join(kept)
+    for start, stop in _link_runs(blocks, rules):
+        first[start:stop] = [False] * (stop - start)
+    return "\n".join(b.text for b, good in zip(blocks, _inherit(blocks, first)) if good)
 
 
-def _inherit(blocks: list[Block], first: list[bool | None], i: int) -> bool:
-    """Second pass: the nearest decided neighbours of the same article.
+def _judge_forms(blocks: list[Block], rules: BlockRules) -> None:
+    """Forms outside articles are boilerplate, but for one that holds the article or, on a page without one, most of the long text."""
+    articles = {b.form for b in blocks if b.main and not b.bad}
+    size: Counter[int] = Counter()
+    for b in blocks:
+        if not b.bad and _length(b.text) >= rules.long and b.linked <= rules.links * len(b.text):
+            size[b.form] += len(b.text)
+    whole = sum(size.values())
+    for b in blocks:
+        holds = b.form in articles and b.main if articles else size[b.form] * 2 > whole
+        b.bad = b.bad or (b.form > 0 and not holds)
+
+
+RUN = 3
+
+
+def _link_runs(blocks: list[Block], rules: BlockRules) -> list[tuple[int, int]]:
+    """Runs of at least three short blocks of an article that are links and nothing else: a menu."""
+    runs, start = [], None
+    for i, b in enumerate([*blocks, None]):
+        item = b is not None and b.main and len(b.text) < rules.short and b.linked * 10 >= len(b.text) * 9
+        if item and start is None:
+            start = i
+        elif not item and start is not None:
+            if i - start >= RUN:
+                runs.append((start, i))
+            start = None
+    return runs
+
+
+def _inherit(blocks: list[Block], first: list[bool | None]) -> list[bool]:
+    """Second pass: an undecided block takes the label of the nearest decided neighbours of the same article.
 
     If they differ the nearer counts, if they are as near text wins. Where nothing
-    near is decided the block is text.
+    near is decided the block is text. One walk forward and one back find them all.
     """
-    here = blocks[i].section
 
-    def nearest(step: int) -> tuple[int, bool] | None:
-        j, away = i + step, 1
-        while 0 <= j < len(blocks) and blocks[j].section == here:
+    def walk(order: range) -> list[tuple[int, bool] | None]:
+        near: list[tuple[int, bool] | None] = [None] * len(blocks)
+        section, last = None, None
+        for i in order:
+            if blocks[i].section != section:
+                section, last = blocks[i].section, None
+            near[i] = None if last is None else (abs(i - last[0]), last[1])
             # Marked boilerplate cut out of an article says nothing about its neighbours.
-            if first[j] is not None and not (here and blocks[j].bad):
-                return away, bool(first[j])
-            j, away = j + step, away + 1
-        return None
-
-    found = [x for x in (nearest(-1), nearest(1)) if x]
-    if not found:
-        return True
-    close = min(away for away, _ in found)
-    return any(good for away, good in found if away == close)
+            if first[i] is not None and not (section and blocks[i].bad):
+                last = (i, bool(first[i]))
+        return near
+
+    out = []
+    for own, a, b in zip(first, walk(range(len(blocks))), walk(range(len(blocks) - 1, -1, -1))):
+        found = [x for x in (a, b) if x]
+        close = min((away for away, _ in found), default=0)
+        out.append(bool(own) if own is not None else not found or any(good for away, good in found if away == close))
+    return out
 
 
 def extract_main_text(
