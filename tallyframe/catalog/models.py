@@ -26,6 +26,7 @@ from tallyframe.operators.models import (
     score_games,
 )
 from tallyframe.operators.passes import BoostSpec, Fits, calibrator_pools, exact_medians, filled
+from tallyframe.operators.training import chronological
 from tallyframe.operators.windows import latest_per_entity, rolling_outputs, trailing
 from tallyframe.schema import ROLLING_COLUMNS
 from tallyframe.session import cut_lineage, scratch_path
@@ -42,7 +43,7 @@ BOOSTED = ModelSpec("boosted")
 @query("oof_logreg")
 def oof_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out rows of four folds, each with its own calibrated fits."""
-    return oof_scored_frame(frame(spark, sf_dir), LOGREG)
+    return chronological(oof_scored_frame(frame(spark, sf_dir), LOGREG))
 
 
 @query("evaluate_models")

@@ -123,14 +123,18 @@ def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_audit({name: load(spark, sf_dir, name) for name in ("orders", "lineitem", "events")})
 
 
-@query("zone_freshness", "SELECT 4 AS n_files, true AS is_fresh")
+@query(
+    "zone_freshness",
+    """SELECT count(DISTINCT date_trunc('quarter', o_orderdate)) AS n_files, true AS is_fresh, (SELECT count(*) FROM orders) AS n_rows FROM orders""",
+)
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File count and age of a zone just written in four files."""
+    """File count and age of a zone just written with a file for each quarter, and its rows."""
     path = scratch_path(spark, "fresh")
     before = dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=5)
-    load(spark, sf_dir, "orders").repartition(4).write.parquet(path)
-    seen = zone_freshness(spark, path)
-    return seen.select(F.col("n_files").cast("int").alias("n_files"), (F.col("newest") >= F.lit(before)).alias("is_fresh"))
+    quarters = load(spark, sf_dir, "orders").withColumn("quarter", F.trunc("o_orderdate", "quarter"))
+    quarters.repartition("quarter").write.partitionBy("quarter").parquet(path)
+    seen = zone_freshness(spark, path).withColumn("is_fresh", F.col("newest") >= F.lit(before))
+    return seen.select("n_files", "is_fresh", F.lit(spark.read.parquet(path).count()).alias("n_rows"))
 
 
 # ---- landing ----------------------------------------------------------------------

@@ -38,8 +38,8 @@ def is_usable() -> Column:
 
 
 def pair_home_away(processed: DataFrame, game: str = "game_id") -> DataFrame:
-    """Usable games as ``(game, home_team, away_team, label)``."""
-    return orientation(processed, game).filter(is_usable()).drop("n_home", "n_away")
+    """Usable games as ``(game, home_team, away_team, label)``; rows without a game are no game."""
+    return orientation(processed, game).filter(is_usable() & F.col(game).isNotNull()).drop("n_home", "n_away")
 
 
 def usable_games(processed: DataFrame, game: str = "game_id") -> DataFrame:
@@ -131,7 +131,7 @@ def training_frame_from_processed(
             F.count_if(~F.col("is_home")).alias("n_away"),
             *sides.values(),
         )
-        .filter(is_usable())
+        .filter(is_usable() & F.col("game_id").isNotNull())
         .filter((F.col("home.games_in_window") > 0) & (F.col("away.games_in_window") > 0))
         .filter(F.col("home.win").isNotNull())
     )
@@ -148,5 +148,5 @@ def training_frame_from_processed(
 
 
 def chronological(df: DataFrame) -> DataFrame:
-    """Order for a sink; never needed in between."""
+    """Rows by date, then game, for a sink that shows them; a range exchange, never needed in between."""
     return df.orderBy("game_date", "game_id")

@@ -210,3 +210,17 @@ def test_invalid_scores_belong_to_no_bin(spark):
     assert errors.n == 2 and abs(errors.ece - 0.375) < 1e-12
     with pytest.raises(ValueError, match="4 of 6"):
         E.calibration_bins(df, strict=True)
+
+
+def test_rows_without_a_game_pair_in_neither_path(spark):
+    features, processed = pair(spark)
+    gone = F.when(F.col("game_id") != "G3", F.col("game_id"))
+    features, processed = features.withColumn("game_id", gone), processed.withColumn("game_id", gone)
+    assert {r.game_id for r in TR.pair_home_away(processed).collect()} == {"G1", "G2", "G4"}
+    assert [r.game_id for r in TR.dropped_games(processed).collect()] == [None]
+    assert None not in {r.game_id for r in TR.training_frame_from_processed(processed).collect()}
+    assert {r.game_id for r in TR.training_frame(features, processed).collect()} == {
+        r.game_id for r in TR.training_frame_from_processed(processed).collect()
+    }
+    dates = [(r.game_date, r.game_id) for r in TR.chronological(processed.repartition(3)).select("game_date", "game_id").collect()]
+    assert dates == sorted(dates, key=lambda x: (x[0], x[1] is not None, x[1] or ""))
