@@ -28,7 +28,7 @@ def packed(df: DataFrame, replaced: list[str] = ()) -> tuple[Column, list[str]]:
     """
     gone = {r.lower() for r in replaced}
     names = [c for c in df.columns if c.lower() not in gone]
-    return F.struct(*[F.col(f"`{c}`") for c in names]), names
+    return (F.struct(*[F.col(f"`{c}`") for c in names]) if names else F.lit(None)), names
 
 
 def append_columns(

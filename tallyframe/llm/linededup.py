@@ -89,7 +89,9 @@ def dedup_lines(
         .agg(F.collect_set("pos").alias("gone"))
     )
     added = ["n_lines", "n_dropped"] if counts else []
-    rest, names = packed(docs, added)
+    # The text goes beside the other columns, not with them: it is shuffled once.
+    rest, _ = packed(docs, [*added, text_col])
+    names = [c for c in docs.columns if c.lower() not in added]
     left = docs.select(
         rest.alias("rest"), F.col(f"`{id_col}`").alias("own_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("whole"), row.alias("own_row")
     )
