@@ -85,7 +85,7 @@ def test_queries_on_given_tables(spark, sf_dir, name):
         return
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     cursor = con.execute(SQL[name])
     columns = [d[0] for d in cursor.description]
