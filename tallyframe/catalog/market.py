@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.functions.market import (
@@ -201,9 +201,8 @@ _ANCHOR = """anchor AS (
 market AS (SELECT *, CASE WHEN unknown THEN 'unknown_team_name' WHEN NOT has_anchor THEN 'no_anchor_book' END AS reject_reason FROM anchor)"""
 
 
-def _code(column: str):
-    # "Status P" is a name the feed uses and the mapping does not know.
-    name = F.col(column)
+def code_of(name: Column) -> Column:
+    """"Status P" is a name the feed uses and the mapping does not know."""
     return F.when(name == "Status P", F.lit(None).cast("string")).otherwise(
         F.regexp_replace(name, "^(Customer|Status) ", "C")
     )
@@ -212,9 +211,9 @@ def _code(column: str):
 def market(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchor_market(
         odds(spark, sf_dir),
-        code=_code("outcome_name"),
-        home_code=_code("home_team"),
-        away_code=_code("away_team"),
+        code=code_of(F.col("outcome_name")),
+        home_code=code_of(F.col("home_team")),
+        away_code=code_of(F.col("away_team")),
     )
 
 
@@ -234,10 +233,10 @@ def anchored(spark: SparkSession, sf_dir: str) -> DataFrame:
 # event there is none, which rejects the game.
 _PROB_WINDOW = "PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING"
 _PROBS = f"""probs AS (SELECT o_orderkey::VARCHAR AS game_id, round(0.5::DOUBLE + 0.25::DOUBLE * avg((o_orderstatus = 'F')::INTEGER) OVER ({_PROB_WINDOW}), 4) AS p,
-  (o_totalprice > 300000) AS home_won, o_orderdate::DATE AS order_date FROM orders)"""
-DECIDED = f"""{ODDS_SQL}, {_ANCHOR}, {_PROBS},
-judged0 AS (SELECT game_id, game_date, home_team_full, away_team_full, home_odds, away_odds, p, home_won,
-    coalesce(reject_reason, CASE WHEN home_odds IS NULL OR away_odds IS NULL THEN 'missing_price' WHEN home_odds = 0 OR away_odds = 0 THEN 'invalid_price'
+  (o_totalprice > 300000) AS home_won, true AS known, o_orderdate::DATE AS order_date FROM orders)"""
+# Decisions over ``market`` and ``probs``.
+_JUDGED = f"""judged0 AS (SELECT game_id, game_date, home_team_full, away_team_full, home_odds, away_odds, p, home_won,
+    coalesce(reject_reason, CASE WHEN NOT known THEN 'missing_features' WHEN home_odds IS NULL OR away_odds IS NULL THEN 'missing_price' WHEN home_odds = 0 OR away_odds = 0 THEN 'invalid_price'
       WHEN p IS NULL OR NOT p BETWEEN 0 AND 1 THEN 'invalid_probability' WHEN NOT {_H} + {_A} > 1 THEN 'market_without_margin' END) AS reject_reason,
     {_FAIR} AS fair_home_prob, {_ev('p', 'home_odds')} AS ev_home, {_ev('(1 - p)', 'away_odds')} AS ev_away, ({_H} + {_A} - 1) * 100 AS vig_percent
   FROM market JOIN probs USING (game_id)),
@@ -250,6 +249,14 @@ picks AS (SELECT game_id AS pick_id, game_date, home_team_full, away_team_full,
     round(CASE pick_side WHEN 'home' THEN ev_home WHEN 'away' THEN ev_away END, 6) AS expected_value, round(CASE WHEN raw_kelly > 0.05 THEN 0.05::DOUBLE ELSE raw_kelly END, 6) AS kelly_fraction_half,
     round(disagreement_pp, 6) AS disagreement_pp, CASE WHEN pick_side = 'no_bet' THEN CASE WHEN disagreement_pp > 10 THEN 'disagreement_too_large' ELSE 'no_edge' END END AS no_bet_reason,
     coalesce(raw_kelly > 0.05, false) AS kelly_was_capped FROM staked WHERE reject_reason IS NULL)"""
+
+
+def decided_sql(probs: str) -> str:
+    """CTEs down to ``staked`` and ``picks`` for the games of a ``probs`` table."""
+    return f"{ODDS_SQL}, {_ANCHOR}, {probs}, {_JUDGED}"
+
+
+DECIDED = decided_sql(_PROBS)
 PICK_COLUMNS = (
     "pick_id, game_date, home_team_full, away_team_full, model_prob_home_win, home_odds, away_odds, fair_home_prob, vig_percent, pick_side, pick_american_odds, "
     "expected_value, kelly_fraction_half, disagreement_pp, no_bet_reason, kelly_was_capped"

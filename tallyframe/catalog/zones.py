@@ -5,13 +5,16 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions.scalars import rename_lower
+from tallyframe.operators.models import FittedModel, Part
 from tallyframe.operators.odds_history import closing_line
-from tallyframe.plans.jobs import Zones, features_for_day, rebuild, run_daily
+from tallyframe.operators.windows import rolling_features
+from tallyframe.plans.jobs import Zones, features_for_day, picks_for_date, rebuild, run_daily
 from tallyframe.schema import (
     DATE,
     INT,
@@ -54,7 +57,7 @@ from tallyframe.sources.zones import (
 from tallyframe.streaming.incremental import incremental_team_game, incremental_totals
 
 from .base import GAMES, ODDS_SQL, customer_games, load, nearest, odds_games, rolled_sql, six, six_sql
-from .market import DECIDED, PICK_COLUMNS, decisions, flat_picks
+from .market import DECIDED, PICK_COLUMNS, code_of, decided_sql, decisions, flat_picks
 from .registry import query
 from .rolling import DOUBLES, rolled
 
@@ -377,6 +380,57 @@ def published(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return flat_picks(read_picks(spark, rows)).join(read, "pick_id", "full")
 
+# A stored model of two inputs: fillers, centres, spreads and weights, the intercept last.
+_LINE = Part(
+    outer=1,
+    inner=0,
+    median=np.array([0.5, 120_000.0, 0.5]),
+    center=np.array([0.5, 120_000.0, 0.5]),
+    spread=np.array([0.25, 60_000.0, 0.25]),
+    coefficients=np.array([0.3, -0.1, -0.2, 0.3]),
+)
+_DAY_MODEL = FittedModel(["home_rolling_win_pct", "home_rolling_pts", "away_rolling_win_pct"], [_LINE])
+_DAY_PROBS = f"""{GAMES}, dated AS (SELECT * REPLACE (date_trunc('quarter', game_date)::DATE AS game_date, game_id::VARCHAR AS game_id) FROM games),
+{rolled_sql('dated', 'current')}, day AS (SELECT max(game_date) AS d FROM dated),
+latest AS (SELECT rolled.* FROM rolled, day WHERE game_date < d QUALIFY row_number() OVER (PARTITION BY team_abbreviation ORDER BY game_date DESC, game_id DESC) = 1),
+probs AS (SELECT dated.game_id, NULL::BOOLEAN AS home_won, h.team_id IS NOT NULL AND a.team_id IS NOT NULL AS known,
+    round_even(1 / (1 + exp(-((coalesce(h.rolling_win_pct, 0.5::DOUBLE) - 0.5::DOUBLE) / 0.25::DOUBLE * 0.3::DOUBLE - (coalesce(h.rolling_pts, 120000) - 120000) / 60000 * 0.1::DOUBLE
+      - (coalesce(a.rolling_win_pct, 0.5::DOUBLE) - 0.5::DOUBLE) / 0.25::DOUBLE * 0.2::DOUBLE + 0.3::DOUBLE))), 4) AS p
+  FROM dated JOIN day ON game_date = d JOIN orders ON o_orderkey::VARCHAR = dated.game_id LEFT JOIN latest h ON h.team_abbreviation = dated.team_abbreviation
+    LEFT JOIN latest a ON a.team_abbreviation = CASE o_orderstatus WHEN 'F' THEN 'C7' WHEN 'O' THEN 'C8' END)"""
+
+
+def _day_code(name: Column) -> Column:
+    """The two known statuses play as customers 7 and 8."""
+    return F.when(name == "Status F", "C7").when(name == "Status O", "C8").otherwise(code_of(name))
+
+
+@query(
+    "picks_for_date",
+    f"""WITH {decided_sql(_DAY_PROBS)} SELECT {PICK_COLUMNS.replace('game_date', '(SELECT d FROM day) AS game_date')}, NULL::VARCHAR AS reject_reason FROM picks
+      UNION ALL BY NAME SELECT game_id AS pick_id, (SELECT d FROM day) AS game_date, home_team_full, away_team_full, reject_reason FROM staked WHERE reject_reason IS NOT NULL""",
+)
+def picks_of_newest_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed odds of the newest date against stored features, by a stored model: picks, and games without one.
+
+    Teams that have not played in the season yet enter with the newest row of its tail.
+    """
+    zones = Zones(scratch_path(spark, "zones"))
+    source = scratch_path(spark, "odds-json")
+    _quarterly_odds(spark, sf_dir).write.json(source)
+    land_odds(spark, source, zones.odds)
+    write_processed(customer_games(spark, sf_dir).withColumn("game_date", _by_quarter()), zones.processed)
+    processed = read_zone(spark, zones.processed, TEAM_GAME)
+    write_features(rolling_features(processed), zones.features)
+    newest = processed.agg(F.max(F.struct("game_date", "season")).alias("x")).first()["x"]
+    made, left = picks_for_date(
+        spark, zones, newest.game_date, _DAY_MODEL, "catalog", season=newest.season, code=_day_code
+    )
+    named = left.withColumnRenamed("game_id", "pick_id").select(
+        "pick_id", "game_date", "home_team_full", "away_team_full", "reject_reason"
+    )
+    return flat_picks(made).unionByName(named, allowMissingColumns=True)
+
 
 # ---- rejects ----------------------------------------------------------------------
 

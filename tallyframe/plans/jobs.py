@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,6 +22,7 @@ from tallyframe.operators.decisions import (
     anchor_market,
     attach_latest,
     build_picks,
+    team_code,
 )
 from tallyframe.operators.models import FittedModel, predict
 from tallyframe.operators.training import training_frame_from_processed
@@ -244,6 +246,7 @@ def picks_for_date(
     as_of: bool = True,
     season: int | None = None,
     window: int = DEFAULT_WINDOW,
+    code: Callable[[Column], Column] = team_code,
 ) -> tuple[DataFrame, DataFrame]:
     """``(picks, rejects)`` for all games of one date in one plan.
 
@@ -251,7 +254,8 @@ def picks_for_date(
     newest row is taken whatever its date, which is right for games to come and
     looks ahead for games gone by. With the ``season`` of the date, features of that
     season are read and no older ones: a team that has not played in it yet enters
-    with the newest row of its tail.
+    with the newest row of its tail. ``code`` turns the feed's team names into the
+    codes of the features, NULL for a name it does not know.
     """
     odds = read_odds_for_date(spark, zones.odds, day)
     features = read_zone(spark, zones.features, ROLLING)
@@ -265,7 +269,8 @@ def picks_for_date(
             entering = rolling_features(carried_in(spark, zones, season, window), window)
             own = features.filter((F.col("season") == season) & (F.col("game_date") < target))
             features = own.unionByName(last_games(entering, 1).select(*own.columns))
-    games = attach_latest(anchor_market(odds, policy.anchor), features)
+    codes = [code(F.col(c)) for c in ("outcome_name", "home_team", "away_team")]
+    games = attach_latest(anchor_market(odds, policy.anchor, *codes), features)
     scored = predict(model, games, "model_prob_home_win").withColumn(
         "model_prob_home_win", F.bround("model_prob_home_win", 4)
     )
