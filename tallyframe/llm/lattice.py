@@ -4,16 +4,18 @@ A table projects unit vectors at random onto blocks of eight coordinates and tak
 each block to the nearest point of the E8 lattice; the points are the cell. Close
 vectors fall into one cell or into neighbouring ones, so a vector also looks into
 the cells of the lattice points next nearest to it. Every pair found is confirmed
-by its cosine.
+by its cosine, inside the task that holds the cell: only link counts and stars leave it.
 """
 
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +35,8 @@ class LatticeSpec:
     Measured on random pairs of 64 dimensions at a cosine of 0.95, one table of
     these parameters finds one half, at 0.97 seven tenths; 16 tables miss one or
     two in a hundred thousand at 0.95. Unrelated vectors share a probed cell with a
-    chance of about one in a hundred thousand a table.
+    chance of about one in a hundred thousand a table. A task meets two chunks of a
+    cell at a time, of about ``chunk`` vectors each.
     """
 
     cosine: float = 0.95
@@ -42,6 +45,11 @@ class LatticeSpec:
     probes: int = 4
     spacing: float = 0.6
     seed: int = 11
+    chunk: int = 4096
+
+    @property
+    def per_table(self) -> int:
+        return 1 + self.blocks * self.probes
 
 
 @cache
@@ -85,8 +93,8 @@ def projection(spec: LatticeSpec, table: int, dims: int) -> np.ndarray:
     return raw / np.sqrt(DIMS) / spec.spacing
 
 
-def _cell_key(points: list[np.ndarray], table: int) -> np.ndarray:
-    h = np.full(len(points[0]), table + 1, dtype=np.uint64)
+def _cell_key(points: list[np.ndarray], table: int, dims: int) -> np.ndarray:
+    h = np.full(len(points[0]), table + 1 + (dims << 16), dtype=np.uint64)
     for block in points:
         for column in (2 * block).astype(np.int64).T:
             h = (h ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
@@ -101,12 +109,12 @@ def cells(unit: np.ndarray, spec: LatticeSpec) -> np.ndarray:
         projected = unit @ projection(spec, table, unit.shape[1])
         blocks = [projected[:, DIMS * b : DIMS * (b + 1)] for b in range(spec.blocks)]
         own = [nearest_e8(x) for x in blocks]
-        keys.append(_cell_key(own, table))
+        keys.append(_cell_key(own, table, unit.shape[1]))
         for b, (x, point) in enumerate(zip(blocks, own)):
             near = np.argsort(-((x - point) @ roots().T), axis=1, kind="stable")[:, : spec.probes]
             for k in range(spec.probes):
                 moved = own[:b] + [point + roots()[near[:, k]]] + own[b + 1 :]
-                keys.append(_cell_key(moved, table))
+                keys.append(_cell_key(moved, table, unit.shape[1]))
     return np.stack(keys, axis=1)
 
 
@@ -122,6 +130,138 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+STRIP = 256  # rows of a block product
+_NEAR = 1e-12  # cosines this close to the bound are added up once more in order
+
+
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Component labels after links ``a`` - ``b``: the smallest position reachable."""
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return label
+        x, y, a, b = x[apart], y[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _first_met(own: np.ndarray, keys: np.ndarray, a: np.ndarray, b: np.ndarray, table: int, key: int) -> np.ndarray:
+    """Which pairs meet in the cell ``key`` of ``table`` and in none before it.
+
+    ``own`` holds a key a table, ``keys`` all keys of each table. Cells come in order
+    of tables; the two cells of one table in which neighbours meet, in order of keys.
+    """
+    left = np.arange(len(a))
+    for t in range(table):
+        x, y = a[left], b[left]
+        met = np.zeros(len(left), dtype=bool)
+        for k in range(keys.shape[2]):
+            met |= (own[x, t] == keys[y, t, k]) | (own[y, t] == keys[x, t, k])
+        left = left[~met]
+        if not len(left):
+            return left
+    x, y = a[left], b[left]
+    # The pair's other cell of this table, if both look into both.
+    other = np.where(own[x, table] == key, own[y, table], own[x, table])
+    again = (own[x, table][:, None] == keys[y, table]).any(1) & (own[y, table][:, None] == keys[x, table]).any(1)
+    return left[~again | (other >= key)]
+
+
+def _links_of_cell(
+    unit: np.ndarray, keys: np.ndarray, owner: np.ndarray, side: np.ndarray, weight: np.ndarray, key: int, table: int, spec: LatticeSpec
+) -> tuple[np.ndarray, np.ndarray]:
+    """For every row its weight of links first met here, and its component's first row.
+
+    ``side`` is 0 and 1 for two chunks laid over each other, 0 throughout for one with itself.
+    """
+    keys = keys.reshape(len(unit), spec.tables, spec.per_table)
+    own = np.ascontiguousarray(keys[:, :, 0])
+    label = np.arange(len(unit))
+    around = np.zeros(len(unit))
+    rows, columns = np.flatnonzero(side == 0), np.flatnonzero(side == side.max())
+    across = side.max() == 1
+    for start in range(0, len(rows), STRIP):
+        strip = rows[start : start + STRIP]
+        cosine = unit[strip] @ unit[columns].T
+        near = (cosine >= spec.cosine - _NEAR) & (owner[strip][:, None] | owner[columns][None, :])
+        if not across:
+            near &= strip[:, None] < columns[None, :]
+        i, j = np.nonzero(near)
+        a, b = strip[i], columns[j]
+        close = np.flatnonzero(np.abs(cosine[i, j] - spec.cosine) <= _NEAR)
+        if len(close):
+            total = np.zeros(len(close))
+            for d in range(unit.shape[1]):
+                total += unit[a[close], d] * unit[b[close], d]
+            gone = np.zeros(len(a), dtype=bool)
+            gone[close[total < spec.cosine]] = True
+            a, b = a[~gone], b[~gone]
+        first = _first_met(own, keys, a, b, table, key)
+        a, b = a[first], b[first]
+        if len(a):
+            around += np.bincount(a, weight[b], len(unit)) + np.bincount(b, weight[a], len(unit))
+            label = _joined(label, a, b)
+    return around.astype(np.int64), label
+
+
+def _link_cells(spec: LatticeSpec):
+    """Rows sorted by cell to ``node``, ``around`` and ``star``, one row for each linked row of a cell."""
+    place = ["key", "lo", "hi"]
+
+    def links(cell: pa.Table) -> pa.RecordBatch | None:
+        n = cell.num_rows
+        packed = np.frombuffer(b"".join(cell.column("pack").to_pylist()), dtype=np.int64).reshape(n, -1)
+        width = spec.tables * spec.per_table
+        one = {c: cell.column(c)[0].as_py() for c in ("key", "lo", "hi", "at")}
+        numbers = {c: cell.column(c).to_numpy() for c in ("chunk", "weight")}
+        side = (numbers["chunk"] != one["lo"]).astype(int)
+        # A chunk whose partner is empty has nothing to meet there.
+        if one["lo"] != one["hi"] and (side.min() == side.max()):
+            return None
+        around, label = _links_of_cell(
+            np.ascontiguousarray(packed[:, width:]).view(np.float64),
+            packed[:, :width],
+            cell.column("own").to_numpy(zero_copy_only=False),
+            side,
+            numbers["weight"],
+            one["key"],
+            one["at"] // spec.per_table,
+            spec,
+        )
+        linked = np.flatnonzero(around)
+        node = cell.column("node").combine_chunks()
+        return pa.RecordBatch.from_arrays(
+            [node.take(pa.array(linked)), pa.array(around[linked]), node.take(pa.array(label[linked]))],
+            names=["node", "around", "star"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cell = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in place], axis=1)
+            starts = np.concatenate([[0], 1 + np.flatnonzero((cell[1:] != cell[:-1]).any(1)), [len(cell)]])
+            for low, high in itertools.pairwise(starts):
+                now = tuple(cell[low])
+                if held and now != last:
+                    found = links(pa.Table.from_batches(held))
+                    if found is not None and found.num_rows:
+                        yield found
+                    held = []
+                held.append(batch.slice(low, high - low))
+                last = now
+        if held:
+            found = links(pa.Table.from_batches(held))
+            if found is not None and found.num_rows:
+                yield found
+
+    return run
+
+
 def linked_vectors(
     vectors: DataFrame,
     spec: LatticeSpec | None = None,
@@ -137,10 +277,11 @@ def linked_vectors(
     different lengths with each other. Repeated rows are copies and count as
     links. An empty table gives an empty table. Other columns are ignored.
 
-    Equal vectors are one node with a weight before anything is paired. Pairs are
-    ids only until they are distinct; a pair's two vectors are then joined to it.
-    The number of links of near, unequal vectors is part of the result, so each
-    such pair is computed once; it is never stored beyond that.
+    Equal vectors are one node with a weight before anything is paired. Cells in which
+    no two can meet are known by counts alone; the others get their vectors, and a
+    crowded cell is cut into chunks, two of which meet in a task. Pairs exist only
+    there, as block products: a link counts in the first cell its vectors share, and
+    what comes out is a count and a star edge for each vector of a cell.
     """
     spec = spec or LatticeSpec()
     rows = vectors.select(
@@ -152,7 +293,7 @@ def linked_vectors(
     nodes = cut_lineage(
         groups.join(rows.select(F.col("id").alias("rep"), "h1", "h2", "v"), ["rep", "h1", "h2"])
         .dropDuplicates(["h1", "h2"])
-        .withColumn("node", F.col("h1"))
+        .withColumn("node", F.concat(F.hex("h1"), F.lit("-"), F.hex("h2")))
         # Scaled by the largest entry first, so that squares neither overflow nor vanish.
         .withColumn("top", F.array_max(F.transform("v", lambda x: F.abs(x))))
         .withColumn("v", F.transform("v", lambda x: x / F.col("top")))
@@ -163,44 +304,56 @@ def linked_vectors(
 
     def start():
         def compute(units: list) -> list[list]:
-            out: list = [None] * len(units)
+            keys_of: list = [None] * len(units)
+            packs: list = [None] * len(units)
             by_size: dict[int, list[int]] = {}
             for i, u in enumerate(units):
                 by_size.setdefault(len(u), []).append(i)
             for at in by_size.values():
-                for i, keys in zip(at, cells(np.array([units[i] for i in at]), spec)):
-                    out[i] = keys
-            return [out]
+                unit = np.array([units[i] for i in at])
+                for i, u, keys in zip(at, unit, cells(unit, spec)):
+                    keys_of[i], packs[i] = keys, keys.tobytes() + u.tobytes()
+            return [keys_of, packs]
 
         return compute
 
-    keyed = cut_lineage(append_columns(nodes, "unit", [("keys", T.ArrayType(T.LongType()))], start, ["node"]))
-    per_table = 1 + spec.blocks * spec.probes
-    looked = keyed.select("node", F.posexplode("keys").alias("at", "key"))
-    owner = looked.filter(F.col("at") % per_table == 0).select("key", F.col("node").alias("a"))
-    prober = looked.select("key", F.col("node").alias("b"), (F.col("at") % per_table == 0).alias("own"))
-    candidates = (
-        owner.join(prober, "key")
-        # In one cell a pair meets twice, once is enough.
-        .filter((F.col("a") < F.col("b")) | (~F.col("own") & (F.col("a") != F.col("b"))))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+    fields = [("keys", T.ArrayType(T.LongType())), ("pack", T.BinaryType())]
+    keyed = cut_lineage(append_columns(nodes, "unit", fields, start, ["node", "weight"]))
+    looked = keyed.select("node", F.posexplode("keys").alias("at", "key")).withColumn(
+        "own", F.col("at") % spec.per_table == 0
     )
-    left = nodes.select(F.col("node").alias("a"), F.col("unit").alias("u"))
-    right = nodes.select(F.col("node").alias("b"), F.col("unit").alias("w"))
-    links = cut_lineage(
-        candidates.join(left, "a")
-        .join(right, "b")
-        .filter((F.size("u") == F.size("w")) & (_dot(F.col("u"), F.col("w")) >= spec.cosine))
-        .select("a", "b")
+    # Somebody must own a cell and somebody else look into it. Owners fill the first chunks.
+    crowds = (
+        looked.groupBy("key")
+        .agg(F.count_if("own").alias("owners"), F.count_if(~F.col("own")).alias("guests"))
+        .filter("owners >= 1 and owners + guests >= 2")
+        .select(
+            "key",
+            F.ceil(F.col("owners") / spec.chunk).cast("int").alias("owned"),
+            F.ceil(F.col("guests") / spec.chunk).cast("int").alias("visited"),
+        )
     )
-    weights = nodes.select("node", "weight", "rep")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = (
-        both.join(weights.select(F.col("node").alias("b"), "weight"), "b")
-        .groupBy(F.col("a").alias("node"))
-        .agg(F.sum("weight").alias("around"))
+    dealt = F.xxhash64("node", "key")
+    met = (
+        looked.join(crowds, "key")
+        .withColumn(
+            "chunk",
+            F.when(F.col("own"), F.pmod(dealt, "owned")).otherwise(F.col("owned") + F.pmod(dealt, F.greatest("visited", F.lit(1)))).cast("int"),
+        )
+        # Chunks of owners meet all chunks, others only those of owners.
+        .withColumn("partners", F.when(F.col("own"), F.col("owned") + F.col("visited")).otherwise(F.col("owned")))
+        .select("node", "key", "at", "own", "chunk", F.explode(F.sequence(F.lit(0), F.col("partners") - 1)).alias("with"))
+        .select("node", "key", "at", "own", "chunk", F.least("chunk", "with").alias("lo"), F.greatest("chunk", "with").alias("hi"))
     )
+    laid = met.join(keyed.select("node", "weight", "pack"), "node")
+    found = cut_lineage(
+        laid.repartition("key", "lo", "hi")
+        .sortWithinPartitions("key", "lo", "hi")
+        .mapInArrow(_link_cells(spec), "node string, around long, star string")
+    )
+    degree = found.groupBy("node").agg(F.sum("around").alias("around"))
+    links = found.filter("node <> star").select(F.col("node").alias("a"), F.col("star").alias("b")).distinct()
+    weights = nodes.select("node", "weight", "rep")
     labels = connected_components(links)
     smallest = (
         weights.join(labels, "node", "left")

@@ -137,7 +137,8 @@ def test_nearest_lattice_points_are_nearest():
     assert (best <= around + 1e-9).all() and best.max() <= 1 + 1e-9
 
 
-def test_links_match_brute_force(spark):
+@pytest.mark.parametrize("chunk", [4096, 2])
+def test_links_match_brute_force(spark, chunk):
     rng = np.random.default_rng(4)
     rows = []
     for g in range(30):
@@ -154,7 +155,7 @@ def test_links_match_brute_force(spark):
     odd = [None, [], [0.0] * 32, [float("nan")] + [1.0] * 31, [None] + [1.0] * 31, [float("inf")] * 32]
     data += [(10_000 + i, v) for i, v in enumerate(odd)] + [(None, data[0][1]), (20_000, data[0][1][:16]), (20_001, [1e30] * 5), (20_002, [1e-30] * 5)]
     df = spark.createDataFrame([(*d, 1, "c") for d in data], "vec_id long, embedding array<float>, label int, node string")
-    got = [tuple(r) for r in linked_vectors(df).collect()]
+    got = [tuple(r) for r in linked_vectors(df, LatticeSpec(chunk=chunk)).collect()]
     assert len(got) == len(data)
     by_id = {g[0]: g[1:] for g in got}
     for k, i in enumerate(ids):
@@ -163,7 +164,22 @@ def test_links_match_brute_force(spark):
         assert by_id[10_000 + i] == (0, 10_000 + i, True)
     assert by_id[None] == (0, None, True) and by_id[20_000] == (0, 20_000, True)
     assert by_id[20_001] == (1, 20_001, True) and by_id[20_002] == (1, 20_001, False)
-    assert linked_vectors(df.limit(0)).count() == 0
+    assert linked_vectors(df.limit(0), LatticeSpec(chunk=chunk)).count() == 0
+
+
+def test_links_of_a_large_group_are_counted_once(spark):
+    """Strips, chunks and cells that share the same pairs."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=16)
+    x = base + rng.normal(scale=0.22, size=(700, 16))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in linked_vectors(df, LatticeSpec(chunk=300)).collect()}
+    component = groups(range(700), [(a, b) for a, b in np.argwhere(near) if a < b])
+    missed = sum(near[i].sum() - 1 - got[i][0] for i in range(700)) / (near.sum() - 700)
+    assert all(got[i][0] <= near[i].sum() - 1 for i in range(700)) and missed < 1e-3
+    assert {i: c for i, (_, c) in got.items()} == {i: component[i] for i in range(700)}
 
 
 def test_recall_just_above_the_threshold():
