@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyframe.operators.bootstrap import bootstrap_means, weight_sql
@@ -22,6 +22,7 @@ from tallyframe.operators.evaluate import (
 )
 from tallyframe.operators.training import (
     attach_lagged,
+    chronological,
     dropped_games,
     dropped_sample,
     orientation,
@@ -32,7 +33,7 @@ from tallyframe.operators.training import (
 )
 from tallyframe.operators.views import display_drivers
 from tallyframe.operators.windows import drop_first_event, lagged, rolling_outputs, trailing
-from tallyframe.schema import ROLLING_COLUMNS
+from tallyframe.schema import ROLLING_COLUMNS, feature_columns
 
 from .base import SIDED, WINDOW, load, rolled_sql, sided_bound, sided_games, six, six_sql
 from .registry import query
@@ -297,3 +298,48 @@ _DRIVERS = " UNION ALL ".join(
 @query("display_drivers", f"WITH {FRAME} {_DRIVERS}")
 def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return six(display_drivers(frame(spark, sf_dir), ROLLING_COLUMNS, ["game_id"]), "home", "away")
+
+
+@query(
+    "feature_columns",
+    f"""WITH {FRAME}, long AS (SELECT unnest([{', '.join(f"'{c}'" for c in INPUTS)}]) AS input, unnest([{', '.join(f'{c}::DOUBLE' for c in INPUTS)}]) AS v FROM frame)
+      SELECT input, count(*) AS n_rows, count(v) AS n_values, round(min(v), 6) AS low, round(max(v), 6) AS high FROM long GROUP BY input""",
+)
+def inputs_profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column that is an input of a model, with its values counted and bounded in one pass."""
+    rows = frame(spark, sf_dir)
+    value = lambda c: F.col(c).cast("double")
+    stats = [
+        F.struct(
+            F.lit(c).alias("input"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count(c).alias("n_values"),
+            F.min(value(c)).alias("low"),
+            F.max(value(c)).alias("high"),
+        )
+        for c in feature_columns(rows.columns)
+    ]
+    # A table without rows has no inputs to speak of.
+    out = rows.agg(F.array(*stats).alias("s")).select(F.explode("s").alias("x")).select("x.*").filter("n_rows > 0")
+    return six(out, "low", "high")
+
+
+@query(
+    "chronological",
+    f"""WITH {FRAME} SELECT game_date, count(*) AS n_games, min(game_id::VARCHAR) AS first_game, max(game_id::VARCHAR) AS last_game, true AS before_next FROM frame GROUP BY game_date""",
+)
+def in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix as a sink receives it: where each date begins and ends, and whether it ends before the next one begins."""
+    placed = chronological(frame(spark, sf_dir)).select("game_date", "game_id", F.monotonically_increasing_id().alias("place"))
+    dates = placed.groupBy("game_date").agg(
+        F.count(F.lit(1)).alias("n_games"),
+        F.min_by("game_id", "place").alias("first_game"),
+        F.max_by("game_id", "place").alias("last_game"),
+        F.min("place").alias("begins"),
+        F.max("place").alias("ends"),
+    )
+    # One row a date, so the window is bounded by the calendar.
+    following = F.lead("begins").over(Window.orderBy("game_date"))
+    return dates.select(
+        "game_date", "n_games", "first_game", "last_game", F.coalesce(F.col("ends") < following, F.lit(True)).alias("before_next")
+    )

@@ -47,12 +47,14 @@ from tallyframe.sources.zones import (
     read_csv_zone,
     read_odds_for_date,
     read_zone,
+    read_zone_or_empty,
     stage_then_promote,
     write_features,
     write_processed,
     write_zone,
     zone_audit,
     zone_freshness,
+    zone_has_rows,
 )
 from tallyframe.streaming.incremental import incremental_team_game, incremental_totals
 
@@ -140,6 +142,59 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.select("n_files", "is_fresh", F.lit(spark.read.parquet(path).count()).alias("n_rows"))
 
 
+@query(
+    "guarded_writes",
+    """WITH t(target, zone) AS (VALUES ('lake/raw/x', 'processed'), ('lake/raw/x', 'features'), ('lake/processed/x', 'features'), ('lake/raw_copy/x', 'processed'), ('lake/raw_copy/x', 'features'))
+      SELECT target, zone, target NOT LIKE '%raw_copy%' AS refused, CASE WHEN target LIKE '%raw_copy%' THEN (SELECT count(*) FROM orders) ELSE 0 END AS n_rows FROM t""",
+)
+def guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes aimed at a zone below the one they may replace are refused and leave no
+    row there; a directory that is only named alike is written."""
+    games = customer_games(spark, sf_dir).withColumn("game_date", _by_quarter())
+    features = rolling_features(games).select(*ROLLING.names)
+    out = None
+    for target, zone in [
+        ("lake/raw/x", "processed"),
+        ("lake/raw/x", "features"),
+        ("lake/processed/x", "features"),
+        ("lake/raw_copy/x", "processed"),
+        ("lake/raw_copy/x", "features"),
+    ]:
+        path = f"{scratch_path(spark, 'guard')}/{target}"
+        write, rows, schema = (write_processed, games, TEAM_GAME) if zone == "processed" else (write_features, features, ROLLING)
+        try:
+            write(rows, path)
+            refused = False
+        except ValueError:
+            refused = True
+        seen = read_zone_or_empty(spark, path, schema).agg(F.count(F.lit(1)).alias("n_rows"))
+        one = seen.select(F.lit(target).alias("target"), F.lit(zone).alias("zone"), F.lit(refused).alias("refused"), "n_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(
+    "zone_has_rows",
+    """WITH n AS (SELECT count(*) AS n FROM orders), s AS (SELECT count(*) AS n FROM orders WHERE year(o_orderdate) = 1996)
+      SELECT 'written' AS zone, n > 0 AS has_rows, n AS n_rows FROM n UNION ALL SELECT 'one_season', n > 0, n FROM s
+      UNION ALL SELECT 'no_rows', false, 0 UNION ALL SELECT 'never_written', false, 0""",
+)
+def probed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones with all games, with one season, with nothing left, and one that does not exist;
+    loading any of them gives a frame, if need be an empty one."""
+    games = customer_games(spark, sf_dir).withColumn("game_date", _by_quarter())
+    kept = {"written": F.lit(True), "one_season": F.col("season") == 1996, "no_rows": F.lit(False)}
+    paths = {name: scratch_path(spark, name) for name in (*kept, "never_written")}
+    for name, condition in kept.items():
+        write_processed(games.filter(condition), paths[name])
+    out = None
+    for name, path in paths.items():
+        loaded = read_zone_or_empty(spark, path, TEAM_GAME).agg(F.count(F.lit(1)).alias("n_rows"))
+        one = loaded.select(F.lit(name).alias("zone"), F.lit(zone_has_rows(spark, path, TEAM_GAME)).alias("has_rows"), "n_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---- landing ----------------------------------------------------------------------
 
 
