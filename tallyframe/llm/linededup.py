@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.session import cut_lineage
+
 from .arrow import packed
 
 SPACE = " \t\n\x0b\f\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+PARTS = 16384  # of all shared lines, the most that one common line sends to a task
+
 _ID, _TEXT, _ROW = "__line_id", "__line_text", "__line_row"
 
 
@@ -67,23 +71,32 @@ def dedup_lines(
 
     Only hashes and positions of long lines are shuffled for counting: two longs
     a line, summed before the shuffle, so a line found everywhere is a few rows a
-    task. The texts move once, to meet the positions they lose.
+    task. Where lines meet their keepers, one that makes up more than a ``PARTS``-th
+    of all shared lines is dealt by document over parts no larger than that; such
+    lines are fewer than ``PARTS``, whatever the input, and only they are broadcast.
+    The texts move once, to meet the positions they lose.
     """
     row = F.xxhash64(F.col(text_col))
     lines = docs.select(
         F.col(id_col).alias(_ID), row.alias(_ROW), F.inline(long_line_hashes(F.col(text_col), min_chars))
     )
     # One row per hash and document first, so that a document counts once.
-    shared = (
+    shared = cut_lineage(
         lines.groupBy("h1", "h2", _ID)
         .agg(F.lit(1).alias("one"))
         .groupBy("h1", "h2")
         .agg(F.count("*").alias("n"), F.max(_ID).alias("keeper"))
         .filter(F.col("n") >= min_docs)
-        .select("h1", "h2", "keeper")
     )
+    total = max(1, shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    parts = F.ceil(F.col("n") * PARTS / F.lit(total)).cast("int")
+    common = shared.filter(F.col("n") * PARTS > F.lit(total)).select("h1", "h2", parts.alias("parts"))
+    dealt = lines.join(F.broadcast(common), ["h1", "h2"], "left").withColumn(
+        "part", F.coalesce(F.pmod(F.xxhash64(_ID, _ROW), "parts"), F.lit(0)).cast("int")
+    )
+    keepers = shared.select("h1", "h2", "keeper", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)).alias("part"))
     dropped = (
-        lines.join(shared, ["h1", "h2"])
+        dealt.join(keepers, ["h1", "h2", "part"])
         .filter(~F.col(_ID).eqNullSafe(F.col("keeper")))
         .groupBy(_ID, _ROW)
         .agg(F.collect_set("pos").alias("gone"))
