@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyframe.catalog import QUERIES, SQL
 from tallyframe.functions.scalars import iso_utc
 from tallyframe.operators.odds_history import closing_line, current_prices
 from tallyframe.operators.windows import rolling_features
@@ -431,3 +432,27 @@ def test_rejects_are_landed_once(spark, tmp_path):
     land_box_scores(payload, log, path, "2025-26", "Playoffs", day="2026-05-01", delivery="another")
     assert L.read_rejects(spark, path, PLAYER_GAME).count() == 6
     assert [r.game_id for r in Z.read_zone(spark, path, PLAYER_GAME).collect()] == ["g1"]
+
+
+def test_incremental_features_order_games_of_a_day_as_their_stored_ids(spark, tmp_path):
+    """Twelve games of one team on one day: ids are text in the zones, for the SQL twin too."""
+    duckdb = pytest.importorskip("duckdb")
+    at = dt.datetime(1998, 1, 1)
+    orders = [(k, 7, "F", 10.0, at, "1-URGENT") for k in range(1, 15)]
+    lines = [(k, 1, 1, 1, float(k), 100.0 * k, 0.05, 0.02, "R", "F", at) for k in range(1, 15)]
+    spark.createDataFrame(
+        orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(
+        lines,
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    for name in ("orders", "lineitem"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    cursor = con.execute(SQL["incremental_features"])
+    columns = [d[0] for d in cursor.description]
+    mine = [tuple(r) for r in QUERIES["incremental_features"](spark, str(tmp_path)).select(*columns).collect()]
+    assert sorted(mine, key=str) == sorted(cursor.fetchall(), key=str)
+    assert len(mine) == 14
