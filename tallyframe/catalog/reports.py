@@ -126,10 +126,17 @@ def leader_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+
+
+def _figure(value: str, digits: int, sign: str = "") -> str:
+    ten = f"{10**digits}.0::DOUBLE"
+    return f"coalesce(printf('%.{digits}f{sign}', floor({value} * {ten} + 0.5::DOUBLE) / {ten}), 'unknown')"
+
+
 _COMMENTARY = f"""WITH {GAMES}, {_SERIES}, {_STATUS}, {_LATEST},
 shown AS (SELECT team_abbreviation, games_in_window, round(rolling_ts_pct, 6) AS ts, rolling_win_pct, rolling_pts FROM latest)
 SELECT * FROM (SELECT 1 AS priority, 'leader' AS kind, team_abbreviation AS team,
-  printf('%s shoots best: %.3f true shooting in the last %d games, %.1f%% of them won, %.3f points a game', team_abbreviation, ts, games_in_window::BIGINT, rolling_win_pct * 100, rolling_pts) AS note
+  printf('%s shoots best: %s true shooting in the last %d games, %s of them won, %s points a game', team_abbreviation, {_figure('ts', 3)}, games_in_window::BIGINT, {_figure('(rolling_win_pct * 100)', 1, '%%')}, {_figure('rolling_pts', 3)}) AS note
   FROM shown ORDER BY ts DESC NULLS LAST, team_abbreviation LIMIT 1)
 UNION ALL SELECT 2, 'full_window', team_abbreviation, printf('%s has played all %d games of its window', team_abbreviation, games_in_window::BIGINT) FROM shown WHERE games_in_window = 10
 UNION ALL SELECT 3, 'undefeated', team_abbreviation, printf('%s has won each of its last %d games', team_abbreviation, games_in_window::BIGINT) FROM shown WHERE games_in_window >= 4 AND rolling_win_pct = 1

@@ -1,6 +1,9 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
+from tallyframe.catalog import QUERIES, SQL
 from tallyframe.operators import series as S
 from tallyframe.operators import views as V
 
@@ -99,3 +102,37 @@ def test_views(spark):
     assert rows(V.display_drivers(wide, ["rolling_pts"], ["game_id"])) == [("g", "pts", 1.0, 2.0)]
     stacked = V.union_frames([spark.createDataFrame([(1, 2)], "a int, b int"), spark.createDataFrame([(3,)], "a int")])
     assert rows(stacked) == [(1, 2), (3, None)]
+
+
+def test_leader_without_results_and_with_half_a_thousandth(spark):
+    """Missing shares are named unknown, not null, and a half is rounded away from zero."""
+    odd = spark.createDataFrame(
+        [("QQQ", 1, 0.25, 0.5, 0.8125, None)],
+        "team_abbreviation string, games_in_window int, rolling_pts double, rolling_efg_pct double, rolling_ts_pct double, rolling_win_pct double",
+    )
+    note = S.commentary(odd, S.team_status(games(spark))).filter("kind = 'leader'").first().note
+    assert note == "QQQ shoots best: 0.813 true shooting in the last 1 games, unknown of them won, 0.250 points a game"
+
+
+@pytest.mark.parametrize("priority, aces, others", [("3-MEDIUM", 13, 3), ("1-URGENT", 4, 1)])
+def test_commentary_equals_its_sql_at_odd_leaders(spark, tmp_path, priority, aces, others):
+    """A leader without a decided game, and one whose share ends in half a thousandth."""
+    duckdb = pytest.importorskip("duckdb")
+    at = dt.datetime(1998, 1, 1)
+    orders = [(1, 7, "F", 10.0, at, priority)]
+    lines = [(1, 1, 1, 1, 5.0, 100.0, aces / 100, others / 100, "R", "F", at)]
+    spark.createDataFrame(
+        orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(
+        lines,
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    for table in ("orders", "lineitem"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    theirs = con.execute(SQL["commentary"]).fetchall()
+    mine = [tuple(r) for r in QUERIES["commentary"](spark, str(tmp_path)).select("priority", "kind", "team", "note").collect()]
+    assert sorted(mine, key=str) == sorted(theirs, key=str) and len(mine) > 0
+    assert all(r[3] is not None and "null" not in r[3] for r in mine)
