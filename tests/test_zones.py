@@ -456,3 +456,41 @@ def test_incremental_features_order_games_of_a_day_as_their_stored_ids(spark, tm
     mine = [tuple(r) for r in QUERIES["incremental_features"](spark, str(tmp_path)).select(*columns).collect()]
     assert sorted(mine, key=str) == sorted(cursor.fetchall(), key=str)
     assert len(mine) == 14
+
+
+def test_odds_move_as_games_and_are_inlined_after_the_shuffle(spark, tmp_path, monkeypatch):
+    """One row a game is brought to its date's directory, not one per price; the leaves are gathered once."""
+    body = {
+        "id": "g1", "commence_time": "2026-01-02T02:00:00Z", "home_team": "H", "away_team": "A",
+        "bookmakers": [{"key": b, "markets": [{"key": "h2h", "outcomes": [{"name": "H", "price": -110.0}, {"name": "A", "price": 105.0}]}]} for b in "pq"],
+    }
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps(body) + "\n" + json.dumps({**body, "id": "g2", "bookmakers": []}) + "\n")
+    moved = []
+
+    def seen(df, partitions):
+        moved.append(df)
+        return Z.by_partition(df, partitions)
+
+    monkeypatch.setattr(L, "by_partition", seen)
+    path = land_odds(spark, str(tmp_path / "in"), str(tmp_path / "odds"))
+    assert [df.count() for df in moved] == [2]
+    landed = Z.read_zone(spark, path, ODDS)
+    assert rows(landed, "game_id", "game_date", "sportsbook", "outcome_name", "price") == sorted(
+        ("g1", day("2026-01-01"), b, n, p) for b in "pq" for n, p in (("H", -110), ("A", 105))
+    )
+    games = spark.read.schema(L.ODDS_GAME).json(str(tmp_path / "in"))
+    plan = L.flatten_odds(games, F.current_timestamp())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("bookmakers") < 6 and plan.count("flatten(transform(bookmakers") == 1
+    below = plan.split("Generate")[1]
+    assert "US/Eastern" in below
+
+
+def test_odds_documents_are_written_compressed(spark, sf_dir, tmp_path):
+    from tallyframe.catalog.base import odds_games
+    from tallyframe.catalog.zones import _write_documents
+
+    path = _write_documents(odds_games(spark, sf_dir), str(tmp_path / "docs"))
+    files = [p.name for p in (tmp_path / "docs").iterdir() if p.name.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert spark.read.schema(L.ODDS_GAME).json(path).count() == odds_games(spark, sf_dir).count()
