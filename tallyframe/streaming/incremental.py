@@ -25,7 +25,8 @@ def touched_partitions(batch: DataFrame, full: DataFrame, partitions: Sequence[s
     Whole partitions are re-read, since replacing a date with one file's rows
     would lose those of the files before it. The least and the greatest value of
     each partition column, NULL kept where the batch holds it, prune directories;
-    a null-safe semi-join then picks the exact ones, however many there are.
+    a null-safe semi-join then picks the exact ones. Their keys are broadcast, so stored
+    rows stay where they are read: one key a directory, of which the reader lists all anyway.
     """
     keys = batch.select(*partitions).distinct()
     bounds = keys.agg(
@@ -39,7 +40,7 @@ def touched_partitions(batch: DataFrame, full: DataFrame, partitions: Sequence[s
         near = near & (F.coalesce(inside, F.lit(False)) | F.col(c).isNull() if bounds[f"{c}_null"] else inside)
     wanted = keys.select(*[F.col(c).alias(f"__{c}") for c in partitions])
     same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in partitions]
-    return full.filter(near).join(wanted, same, "left_semi")
+    return full.filter(near).join(F.broadcast(wanted), same, "left_semi")
 
 
 def incremental_totals(

@@ -494,3 +494,34 @@ def test_odds_documents_are_written_compressed(spark, sf_dir, tmp_path):
     files = [p.name for p in (tmp_path / "docs").iterdir() if p.name.startswith("part-")]
     assert files and all(f.endswith(".json.gz") for f in files)
     assert spark.read.schema(L.ODDS_GAME).json(path).count() == odds_games(spark, sf_dir).count()
+
+
+def test_landing_moves_only_what_the_feed_fills(spark, tmp_path, monkeypatch):
+    """Run constants and missing columns are added after the shuffle; rejects keep them too."""
+    moved = []
+
+    def seen(df, partitions):
+        moved.append(df.columns)
+        return Z.by_partition(df, partitions)
+
+    monkeypatch.setattr(L, "by_partition", seen)
+    players = spark.createDataFrame([(1, 7, 70, 5.0), (2, 7, 71, 6.0)], "GAME_ID long, TEAM_ID long, PLAYER_ID long, PTS double")
+    log = spark.createDataFrame([(1, 7, day("2026-01-02"), "A vs. B", "W")] * 2, "GAME_ID long, TEAM_ID long, GAME_DATE date, MATCHUP string, WL string")
+    path = land_box_scores(players, log, str(tmp_path / "box"), "2025-26", "Playoffs")
+    assert sorted(moved[0]) == ["game_date", "game_id", "matchup", "player_id", "pts", "team_id", "wl"]
+    landed = Z.read_zone(spark, path, PLAYER_GAME)
+    assert rows(landed, "game_id", "season", "season_type", "player_id", "pts", "wl", "ast") == [("1", 2025, "Playoffs", 70, 5, "W", None)]
+    bad = L.read_rejects(spark, path, PLAYER_GAME)
+    assert rows(bad, "game_id", "season", "season_type", "reject_reason") == [("2", 2025, "Playoffs", "not_in_game_log")]
+
+
+def test_stored_rows_stay_where_they_are_read(spark):
+    """Keys of touched partitions are broadcast even where their size is not known."""
+    full = spark.range(100).selectExpr("id", "cast(id % 5 as int) season", "date'2026-01-01' + cast(id % 7 as int) game_date")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = touched_partitions(full.filter("id < 3"), full, ("season", "game_date"))
+        assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == full.filter("(id % 35) < 3").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
