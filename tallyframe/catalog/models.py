@@ -25,7 +25,7 @@ from tallyframe.operators.models import (
     probability_expression,
     score_games,
 )
-from tallyframe.operators.passes import BoostSpec, Fits, calibrator_pools, exact_medians, filled
+from tallyframe.operators.passes import BoostSpec, Fits, calibrator_pools, exact_medians, filled, probability, read_batch
 from tallyframe.operators.training import chronological
 from tallyframe.operators.windows import latest_per_entity, rolling_outputs, trailing
 from tallyframe.schema import ROLLING_COLUMNS
@@ -177,40 +177,43 @@ LEAF_ROUNDS = 5
       FROM n, range({FOLDS}) AS t(i), range({LEAF_ROUNDS}) AS u(k) GROUP BY i, k""",
 )
 def leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Leaf values of the first rounds recomputed by aggregates over each row's stored leaf.
+    """Leaf values of the first rounds recomputed by sums over each row's stored leaf.
 
+    The last training set is the one looked at, so it is the only one fitted.
     ``apart`` is the largest distance from the model's own values, to six decimals.
     """
     spec = ModelSpec("boosted", boosting_rounds=LEAF_ROUNDS)
-    blocked = _blocked(spark, sf_dir)
-    parts = fit_sets(blocked, spec, _NAMES, SPLITS)[SPLITS].parts
-    rows = design(blocked, spec, _NAMES, SPLITS)
+    last = _blocked(spark, sf_dir).filter(F.col("block") < SPLITS).withColumn("block", F.lit(0))
+    parts = fit_sets(last, spec, _NAMES, 1)[1].parts
+    rows = design(last, spec, _NAMES, 1)
     step = BoostSpec().step
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows, pull and curvature of a batch by fit, tree and leaf."""
         for raw in batches:
-            x = np.array(raw.column("x").to_pylist()).reshape(raw.num_rows, len(_NAMES))
-            held = np.array([r[SPLITS - 1] for r in raw.column("inner").to_pylist()])
-            label = raw.column("label").to_numpy(zero_copy_only=False)
+            if not raw.num_rows:
+                continue
+            batch = read_batch(raw)
             for part in parts:
-                mine = np.flatnonzero((held >= 0) & (held != part.inner))
-                whole = filled(x[mine], part.median)
+                mine = batch.training((1, part.inner))
+                whole = filled(batch.x[mine], part.median)
                 margin = np.full(len(mine), part.trees.base)
                 for k in range(LEAF_ROUNDS):
-                    leaf = part.trees.leaf(k, whole)
-                    value = part.trees.value[k][leaf]
-                    ids = [pa.array(np.full(len(mine), v), pa.int32()) for v in (part.inner, k)]
+                    leaf, own = part.trees.leaf(k, whole), part.trees.value[k]
+                    p = probability(margin)
+                    n, pull, curve = (np.bincount(leaf, weights=w, minlength=len(own)) for w in (None, p - batch.label[mine], p * (1 - p)))
+                    met = np.flatnonzero(n)
+                    ids = [pa.array(np.full(len(met), v), pa.int32()) for v in (part.inner, k)]
                     yield pa.RecordBatch.from_arrays(
-                        [*ids, pa.array(leaf, pa.int64()), pa.array(margin), pa.array(label[mine], pa.int32()), pa.array(value)],
-                        names=["inner_fold", "tree", "leaf", "margin", "label", "stored"],
+                        [*ids, pa.array(met, pa.int64()), pa.array(n[met], pa.int64()), *(pa.array(v[met]) for v in (pull, curve, own))],
+                        names=["inner_fold", "tree", "leaf", "n", "pull", "curve", "stored"],
                     )
-                    margin = margin + value
+                    margin = margin + own[leaf]
 
-    kinds = "inner_fold int, tree int, leaf long, margin double, label int, stored double"
-    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
+    kinds = "inner_fold int, tree int, leaf long, n long, pull double, curve double, stored double"
     by_leaf = rows.mapInArrow(assign, kinds).groupBy("inner_fold", "tree", "leaf").agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.sum(p - F.col("label")) * -step / F.sum(p * (1.0 - p))).alias("again"),
+        F.sum("n").alias("n"),
+        (F.sum("pull") * -step / F.sum("curve")).alias("again"),
         F.max("stored").alias("high"),
         F.min("stored").alias("low"),
     )

@@ -47,6 +47,12 @@ class Batch:
     block: np.ndarray
     inner: np.ndarray
 
+    def within(self, outer: int) -> tuple[np.ndarray, np.ndarray]:
+        """Row numbers of an outer set, and the inner fold of each."""
+        held = self.inner[:, outer - 1]
+        mine = np.flatnonzero(held >= 0)
+        return mine, held[mine]
+
     def training(self, fit: tuple[int, int]) -> np.ndarray:
         """Row numbers that a fit learns from."""
         mine = self.inner[:, fit[0] - 1]
@@ -121,60 +127,112 @@ def number_of(code: int) -> float:
 def exact_medians(rows: DataFrame, fits: Fits, width: int) -> np.ndarray:
     """Median of every input over every fit's training rows, NaN where it has no value.
 
-    Exact selection: the range of possible codes of each (fit, input) is cut into
-    2,048 parts, the parts are counted, and the one with the wanted rank becomes the
-    range, for all pairs in the same pass: six passes whatever the number of rows. An
-    even number of values has two middle ranks, which are followed apart.
+    An even number of values has two middle ranks, which are followed apart.
     """
-    members = fits.members
-    parts = 1 << SELECT_BITS
-    low = [[-(1 << 63)] * 2 for _ in range(len(members) * width)]
+    found = exact_ranks(rows, fits, width, lambda n: [(n - 1) // 2, n // 2])
+    middle = [np.nan if not values else (values[0] + values[1]) / 2 for values in found]
+    return np.array(middle).reshape(len(fits), width)
+
+
+def exact_ranks(
+    rows: DataFrame, fits: Fits, width: int, wanted: Callable[[int], list[int]], select_bits: int = SELECT_BITS
+) -> list[list[float]]:
+    """Values at the ranks that ``wanted`` names for n values, by fit and input; none where there is no value.
+
+    Exact selection: the range of possible codes is cut into equal parts, the parts
+    are counted, and the one with the wanted rank becomes the range, for all fits, inputs
+    and ranks in the same pass: as many passes as ``select_bits`` goes into 64, whatever the
+    number of rows. A value is counted once for each outer set, by its inner fold; a fit's counts are those
+    of the other folds. Fits of a set that look at the same range share its counts.
+    """
+    members, folds = fits.members, max(fits.folds, 1)
+    parts = 1 << select_bits
+    low: list[list[int]] = [[0] for _ in range(len(members) * width)]
     rank: list[list[int] | None] = [None] * len(low)
     bits = 64
     while bits:
-        shift = max(bits - SELECT_BITS, 0)
-
-        def partial(batch: Batch, low=low, shift=shift, rank=rank) -> Iterator[tuple[int, np.ndarray]]:
-            has = ~np.isnan(batch.x)
-            code = ordered_codes(batch.x).view(np.uint64) ^ np.uint64(1 << 63)
-            for f, member in enumerate(members):
-                mine = batch.training(member)
-                for c in range(width):
-                    key = f * width + c
-                    if rank[key] == []:
+        shift = max(bits - select_bits, 0)
+        # Ranges looked at: by input the sorted starts, and the sets that count each.
+        starts: list[list[int]] = []
+        places: list[tuple[int, int, int]] = []
+        at_start: list[dict[int, list[tuple[int, int]]]] = []
+        for c in range(width):
+            seen: dict[int, set[int]] = {}
+            for f, (j, _) in enumerate(members):
+                if rank[f * width + c] != []:
+                    for start in low[f * width + c]:
+                        seen.setdefault(start, set()).add(j)
+            starts.append(sorted(seen))
+            at_start.append({})
+            for k, start in enumerate(starts[c]):
+                for j in sorted(seen[start]):
+                    at_start[c].setdefault(k, []).append((j, len(places)))
+                    places.append((j, c, start))
+
+        def partial(batch: Batch, starts=starts, at_start=at_start, shift=shift, whole=bits == 64) -> Iterator[tuple[int, np.ndarray]]:
+            code = np.ascontiguousarray(ordered_codes(batch.x.T)).view(np.uint64) ^ np.uint64(1 << 63)
+            has = ~np.isnan(batch.x.T)
+            for c in range(width):
+                if not starts[c]:
+                    continue
+                first = np.array(starts[c], dtype=np.uint64)
+                keep = has[c]
+                if not whole:
+                    last = first[-1] + np.uint64((parts << shift) - 1)
+                    keep = keep & (code[c] >= first[0]) & (code[c] <= last)
+                near = np.flatnonzero(keep)
+                values = code[c][near]
+                k = np.searchsorted(first, values, side="right") - 1 if len(first) > 1 else np.zeros(len(near), np.int64)
+                at = ((values - first[k]) >> np.uint64(shift)).astype(np.int64)
+                inside = at < parts
+                if not inside.all():
+                    near, k, at = near[inside], k[inside], at[inside]
+                for n, sets in at_start[c].items():
+                    here = np.flatnonzero(k == n) if len(first) > 1 else slice(None)
+                    own, part = batch.inner[near[here]], at[here]
+                    if not len(part):
                         continue
-                    values = code[mine, c][has[mine, c]]
-                    out = []
-                    for start in dict.fromkeys(low[key]):
-                        first = np.uint64(start + (1 << 63))
-                        at = (values - first)[values >= first] >> np.uint64(shift)
-                        out.append(np.bincount(at[at < parts].astype(np.int64), minlength=parts))
-                    yield key, np.concatenate(out if len(out) == 2 else out * 2)
-
-        def finish(key: int, total: np.ndarray, rank=rank) -> np.ndarray:
-            wanted = rank[key]
-            if wanted is None:
-                n = int(total[:parts].sum())
-                wanted = [(n - 1) // 2, n // 2] if n else []
-            out = [float(len(wanted) and sum(wanted) + 1)]
-            for k, counts in zip(wanted, (total[:parts], total[parts:])):
+                    for j, key in sets:
+                        held = own[:, j - 1].astype(np.int64)
+                        taught = held >= 0
+                        if folds == 1:
+                            held = np.zeros_like(held)
+                        if taught.any():
+                            yield key, np.bincount(held[taught] * parts + part[taught], minlength=folds * parts)
+
+        def finish(key: int, total: np.ndarray, places=places, low=low, rank=rank) -> np.ndarray:
+            j, c, start = places[key]
+            by_fold = total.reshape(folds, parts)
+            out: list[float] = []
+            for f, (outer, i) in enumerate(members):
+                if outer != j or rank[f * width + c] == []:
+                    continue
+                counts = by_fold[np.arange(folds) != i].sum(axis=0)
                 upto = np.cumsum(counts)
-                b = int(np.searchsorted(upto, k, side="right"))
-                out += [b, k - (upto[b - 1] if b else 0)]
+                ranks = rank[f * width + c]
+                if ranks is None:
+                    ranks = wanted(int(upto[-1])) if upto[-1] else []
+                    starts_of = [start] * len(ranks)
+                else:
+                    starts_of = low[f * width + c]
+                for t, (r, own) in enumerate(zip(ranks, starts_of)):
+                    if own == start:
+                        b = int(np.searchsorted(upto, r, side="right"))
+                        out += [f, t, b, r - (upto[b - 1] if b else 0)]
             return np.array(out)
 
         found = summed(rows, partial, finish)
-        next_low, next_rank = [list(x) for x in low], list(rank)
-        for key in range(len(low)):
-            got = found.get(key)
-            if got is None or len(got) < 5:
-                next_rank[key] = []
-                continue
-            next_low[key] = [low[key][t] + (int(got[1 + 2 * t]) << shift) for t in (0, 1)]
-            next_rank[key] = [int(got[2]), int(got[4])]
-        low, rank, bits = next_low, next_rank, shift
-    middle = [np.nan if r == [] else (number_of(a[0]) + number_of(a[1])) / 2 for a, r in zip(low, rank)]
-    return np.array(middle).reshape(len(members), width)
+        next_low: list[dict[int, int]] = [{} for _ in low]
+        next_rank: list[dict[int, int]] = [{} for _ in low]
+        for key, got in found.items():
+            _, c, start = places[key]
+            for f, t, b, left in got.reshape(-1, 4).astype(np.int64).tolist():
+                next_low[f * width + c][t] = start + (b << shift)
+                next_rank[f * width + c][t] = left
+        low = [[x[t] for t in sorted(x)] for x in next_low]
+        rank = [[x[t] for t in sorted(x)] for x in next_rank]
+        bits = shift
+    return [[number_of(start - (1 << 63)) for start in x] for x in low]
 
 
 # ---- centre and spread -------------------------------------------------------------
@@ -187,19 +245,32 @@ def filled(x: np.ndarray, median: np.ndarray) -> np.ndarray:
 
 def moments(rows: DataFrame, fits: Fits, median: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Means, population deviations (1 where an input does not vary) and per fit the rows and positives."""
-    members = fits.members
+    members, folds = fits.members, max(fits.folds, 1)
     at = np.nan_to_num(median, nan=0.0)
+    # Rows are summed once for each outer set, by inner fold, as distances from its first fit's medians.
+    near = {j: at[f] for f, (j, _) in reversed(list(enumerate(members)))}
 
     def partial(batch: Batch) -> Iterator[tuple[int, np.ndarray]]:
-        for f, member in enumerate(members):
-            mine = batch.training(member)
-            away = filled(batch.x[mine], median[f]) - at[f]
-            yield f, np.concatenate([[len(mine), batch.label[mine].sum()], away.sum(axis=0), (away**2).sum(axis=0)])
+        has = ~np.isnan(batch.x)
+        for j in near:
+            mine, held = batch.within(j)
+            if not len(mine):
+                continue
+            there = has[mine]
+            away = np.where(there, batch.x[mine] - near[j], 0.0)
+            values = np.column_stack([np.ones(len(mine)), batch.label[mine], there, away, away**2])
+            own = held[:, None] == np.arange(folds) if folds > 1 else np.ones((len(mine), 1))
+            yield j, (own.astype(float).T @ values).ravel()
 
     width = median.shape[1]
+    found = summed(rows, partial)
     total = np.zeros((len(members), 2 + 2 * width))
-    for f, values in summed(rows, partial).items():
-        total[f] = values
+    for f, (j, i) in enumerate(members):
+        if j in found:
+            own = found[j].reshape(folds, -1)[np.arange(folds) != i].sum(axis=0)
+            n_there, first, second = own[2:].reshape(3, width)
+            moved = at[f] - near[j]
+            total[f] = np.concatenate([own[:2], first - n_there * moved, second - 2 * moved * first + n_there * moved**2])
     n = np.maximum(total[:, :1], 1)
     first, second = total[:, 2 : 2 + width] / n, total[:, 2 + width :] / n
     spread = np.sqrt(np.maximum(second - first**2, 0))
@@ -226,6 +297,7 @@ def newton_logistic(
 
     Each step is one pass: loss, gradient and second derivatives at all fits' current
     points, as one array a fit; the step itself solves a system as wide as the inputs.
+    Rows of an outer set are scaled once, by its first fit; sums are turned into each fit's own scale afterwards.
     A step that raises the objective is halved. Stops when every gradient is below
     ``tol`` times the number of rows.
     """
@@ -235,20 +307,37 @@ def newton_logistic(
     best = np.full(len(members), np.inf)
     good = now.copy()
     active = set(range(len(members)))
+    lead = {j: f for f, (j, _) in reversed(list(enumerate(members)))}
+    # A fit's scaled inputs and its one are a linear map of those of its set's first fit.
+    turn = []
+    for f, (j, _) in enumerate(members):
+        a = np.diag(np.append(spread[lead[j]] / spread[f], 1.0))
+        a[:-1, -1] = (center[lead[j]] - center[f]) / spread[f]
+        turn.append(a)
+    filler = np.nan_to_num(median, nan=0.0)
     for _ in range(max_iter):
         points = now.copy()
         wanted = sorted(active)
 
         def partial(batch: Batch) -> Iterator[tuple[int, np.ndarray]]:
-            for f in wanted:
-                mine = batch.training(members[f])
-                z = (filled(batch.x[mine], median[f]) - center[f]) / spread[f]
-                z = np.column_stack([z, np.ones(len(mine))])
-                margin, y = z @ points[f], batch.label[mine]
-                p = probability(margin)
-                loss = np.logaddexp(0, margin).sum() - (y * margin).sum()
-                second = z.T @ (z * (p * (1 - p))[:, None])
-                yield f, np.concatenate([[len(mine), loss], z.T @ (p - y), second.ravel()])
+            for j, first in lead.items():
+                own = [f for f in wanted if members[f][0] == j]
+                mine, held = batch.within(j) if own else ([], None)
+                if not len(mine):
+                    continue
+                z = np.ones((len(mine), width + 1))
+                z[:, :-1] = (batch.x[mine] - center[first]) / spread[first]
+                y, absent = batch.label[mine], np.isnan(z[:, :-1])
+                holes = [(c, np.flatnonzero(absent[:, c])) for c in np.flatnonzero(absent.any(axis=0))]
+                for f in own:
+                    for c, at in holes:
+                        z[at, c] = (filler[f, c] - center[first, c]) / spread[first, c]
+                    taught = (held != members[f][1]).astype(float)
+                    margin = z @ (points[f] @ turn[f])
+                    p = probability(margin)
+                    loss = taught @ (np.logaddexp(0, margin) - y * margin)
+                    second = z.T @ (z * (p * (1 - p) * taught)[:, None])
+                    yield f, np.concatenate([[taught.sum(), loss], z.T @ ((p - y) * taught), second.ravel()])
 
         found = summed(rows, partial)
         for f in wanted:
@@ -261,11 +350,11 @@ def newton_logistic(
                 now[f] = (good[f] + points[f]) / 2
                 continue
             best[f], good[f] = loss, points[f]
-            gradient = values[2 : 3 + width] + ridge * points[f]
+            gradient = turn[f] @ values[2 : 3 + width] + ridge * points[f]
             if np.abs(gradient).max() <= tol * max(n, 1):
                 active.discard(f)
                 continue
-            second = values[3 + width :].reshape(width + 1, width + 1) + np.diag(ridge + 1e-10)
+            second = turn[f] @ values[3 + width :].reshape(width + 1, width + 1) @ turn[f].T + np.diag(ridge + 1e-10)
             now[f] = points[f] - np.linalg.solve(second, gradient)
         if not active:
             break
@@ -275,6 +364,7 @@ def newton_logistic(
 # ---- boosted trees -----------------------------------------------------------------
 
 BINS = 32
+EDGE_BITS = 8  # 31 ranges of 256 parts at most are counted at once
 STORE_EVERY = 10
 
 
@@ -326,14 +416,22 @@ def _leaf(right: Callable, feature: np.ndarray, n: int) -> np.ndarray:
     return node - inner
 
 
+def place_in_level(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, depth: int) -> np.ndarray:
+    """Places of rows among the nodes of a level, from binned inputs: one comparison a node, for all rows at once."""
+    place = np.zeros(bins.shape[1], dtype=np.min_scalar_type((2 << depth) - 1))
+    for level in range(depth):
+        right = np.zeros(bins.shape[1], dtype=bool)
+        for k, node in enumerate(range((1 << level) - 1, (2 << level) - 1)):
+            if feature[node] >= 0:
+                right |= (bins[feature[node]] > np.uint8(cut[node])) & (place == k)
+        place = place * 2 + right
+    return place
+
+
 def bin_edges(rows: DataFrame, outers: int, width: int) -> list[list[np.ndarray]]:
-    """At most 31 cut points per outer set and input: quantiles of its own training rows."""
-    places = [i / BINS for i in range(1, BINS)]
-    inside = rows.select(F.posexplode("inner").alias("j", "held"), "x").filter("held >= 0")
-    values = inside.select("j", F.posexplode("x").alias("c", "v")).filter(~F.isnan("v"))
-    found = values.groupBy("j", "c").agg(F.percentile_approx("v", places, 10_000).alias("cuts")).collect()
-    cuts = {(r["j"], r["c"]): np.unique(np.array(r["cuts"], dtype=float)) for r in found}
-    return [[cuts.get((j, c), np.empty(0)) for c in range(width)] for j in range(outers)]
+    """At most 31 cut points per outer set and input: exact quantiles of its own training rows."""
+    found = exact_ranks(rows, Fits(outers, 1), width, lambda n: [-(-n * i // BINS) - 1 for i in range(1, BINS)], EDGE_BITS)
+    return [[np.unique(np.array(found[j * width + c], dtype=float)) for c in range(width)] for j in range(outers)]
 
 
 def best_split(total: np.ndarray, width: int, spec: BoostSpec) -> np.ndarray:
@@ -373,7 +471,8 @@ def boosted_trees(
     base = np.log(np.clip((counts[:, 1] + 1e-9) / np.maximum(counts[:, 0], 1e-9), 1e-6, 1 - 1e-6))
     base -= np.log1p(-np.exp(base))
     missing = np.array(
-        [[np.searchsorted(edges[j - 1][c], np.nan_to_num(median[f, c])) for c in range(width)] for f, (j, _) in enumerate(members)]
+        [[np.searchsorted(edges[j - 1][c], np.nan_to_num(median[f, c])) for c in range(width)] for f, (j, _) in enumerate(members)],
+        dtype=np.uint8,
     )
     made = [Trees(float(base[f]), np.empty((0, slots), int), np.empty((0, slots)), np.empty((0, slots + 1))) for f in range(len(members))]
 
@@ -399,17 +498,18 @@ def boosted_trees(
         )
 
     def bins_of(batch: Batch) -> np.ndarray:
-        flat = np.frombuffer(b"".join(batch.raw.column("bins").to_pylist()), dtype=np.uint8)
-        return flat.reshape(-1, fits.outers, width)
+        packed, size = batch.raw.column("bins"), fits.outers * width
+        flat = np.frombuffer(packed.buffers()[2], dtype=np.uint8) if len(packed) else np.empty(0, np.uint8)
+        return flat[packed.offset * size : (packed.offset + len(packed)) * size].reshape(-1, fits.outers, width)
 
     def own_bins(bins: np.ndarray, f: int) -> np.ndarray:
-        mine = bins[:, members[f][0] - 1]
-        return np.where(mine == 255, missing[f], mine).astype(np.int64)
+        """Bins of a fit, one row an input."""
+        mine = np.ascontiguousarray(bins[:, members[f][0] - 1].T)
+        return np.where(mine == 255, missing[f][:, None], mine)
 
     def add(margin: np.ndarray, bins: np.ndarray, trees: list) -> np.ndarray:
-        every = np.arange(len(bins))
         for feature, cut, value in trees:
-            margin = margin + value[_leaf(lambda f, node: bins[every, f] > cut[node], feature, len(bins))]
+            margin = margin + value[place_in_level(bins, feature, cut, spec.depth)]
         return margin
 
     schema = T.StructType(
@@ -442,14 +542,15 @@ def boosted_trees(
                         continue
                     own = own_bins(bins[mine], f)
                     p = probability(add(batch.x[mine, f], own, since[f]))
-                    every = np.arange(len(mine))
-                    node = _leaf(lambda c, at: own[every, c] > cuts[f][at], grown[f], len(mine)) if first else np.zeros(len(mine), np.int64)
-                    place = ((node[:, None] * width + np.arange(width)) * BINS + own).ravel()
-                    size = (1 << level) * width * BINS
-                    g, h = np.repeat(p - batch.label[mine], width), np.repeat(p * (1 - p), width)
-                    sums = [np.bincount(place, weights=w, minlength=size).reshape(1 << level, -1) for w in (g, h, None)]
+                    node = place_in_level(own, grown[f], cuts[f], level).astype(np.int64)
+                    weights = (p - batch.label[mine], p * (1 - p), None)
+                    sums = np.empty((1 << level, 3, width, BINS))
+                    for c in range(width):
+                        place = node * BINS + own[c]
+                        for k, w in enumerate(weights):
+                            sums[:, k, c] = np.bincount(place, weights=w, minlength=BINS << level).reshape(-1, BINS)
                     for k in np.unique(node).tolist():
-                        yield f * slots + first + k, np.concatenate([s[k] for s in sums])
+                        yield f * slots + first + k, sums[k].ravel()
 
             def finish(key: int, total: np.ndarray) -> np.ndarray:
                 return total if key >= losses else best_split(total, width, spec)

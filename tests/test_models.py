@@ -234,3 +234,44 @@ def test_registered_queries_use_the_default_specs():
 
     assert registered.LOGREG == M.ModelSpec("logreg")
     assert registered.BOOSTED == M.ModelSpec("boosted")
+
+
+def test_cut_points_are_exact_quantiles(spark):
+    n = 60_000
+    df = spark.range(n).select(
+        F.col("id").cast("string").alias("game_id"), F.lit(0).alias("block"), (F.col("id") % 2).cast("int").alias("label"),
+        (F.rand(3) * 1000).alias("a"), (F.col("id") % 7).cast("double").alias("b"), F.lit(None).cast("double").alias("c"),
+    )
+    rows_ = M.design(df, M.ModelSpec("boosted", calibration_folds=3), ["a", "b", "c"], 1)
+    x = np.array([r.x for r in rows_.select("x").collect()])
+    cuts = P.bin_edges(rows_, 1, 3)[0]
+    places = [-(-n * i // P.BINS) - 1 for i in range(1, P.BINS)]
+    assert cuts[0].tolist() == np.sort(x[:, 0])[places].tolist()
+    assert cuts[1].tolist() == list(range(7)) and cuts[2].tolist() == []
+
+
+@pytest.mark.parametrize("step", ["medians", "moments"])
+def test_a_row_is_summed_once_a_set_not_once_a_fit(spark, frame, monkeypatch, step):
+    """20 fits of four sets send the sums of four."""
+    blocked = E.with_block(frame, E.walk_forward_cutoffs(frame, 4))
+    rows_ = M.design(blocked, M.ModelSpec("logreg"), ["home_rolling_pts", "away_rolling_pace"], 4)
+    batch = P.read_batch(rows_.toArrow().combine_chunks().to_batches()[0])
+    sent = []
+
+    def spy(rows, partial, finish=None):
+        sent.append(len(list(partial(batch))))
+        raise InterruptedError
+
+    monkeypatch.setattr(P, "summed", spy)
+    fits = P.Fits(4, 5)
+    with pytest.raises(InterruptedError):
+        P.exact_medians(rows_, fits, 2) if step == "medians" else P.moments(rows_, fits, np.zeros((20, 2)))
+    assert sent == [8 if step == "medians" else 4]
+
+
+def test_places_in_a_level_are_those_of_the_tree():
+    rng = np.random.default_rng(4)
+    bins, depth = rng.integers(0, P.BINS, (3, 500)).astype(np.uint8), 4
+    feature, cut = rng.integers(-1, 3, 15), rng.integers(0, P.BINS, 15)
+    every = np.arange(500)
+    assert P.place_in_level(bins, feature, cut, depth).tolist() == P._leaf(lambda f, node: bins[f, every] > cut[node], feature, 500).tolist()
