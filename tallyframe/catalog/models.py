@@ -23,6 +23,7 @@ from tallyframe.operators.models import (
     persist_model,
     predict_matchups,
     probability_expression,
+    save_model,
     score_games,
 )
 from tallyframe.operators.passes import BoostSpec, Fits, calibrator_pools, exact_medians, filled, probability, read_batch
@@ -248,7 +249,7 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = LOGREG
     model = fit(rows, spec)
     path = scratch_path(spark, "model")
-    persist_model(rows, path, spec)
+    save_model(spark, model, path)
     both = score_games(model, rows).withColumn("again", probability_expression(load_model(spark, path)))
     return both.select(
         "game_id",

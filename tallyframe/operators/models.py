@@ -325,10 +325,15 @@ def model_table(spark: SparkSession, model: FittedModel) -> DataFrame:
     return spark.createDataFrame(rows, TABLE)
 
 
+def save_model(spark: SparkSession, model: FittedModel, path: str) -> str:
+    """Save a fitted model's table under ``path``."""
+    model_table(spark, model).coalesce(1).write.mode("overwrite").parquet(path)
+    return path
+
+
 def persist_model(frame: DataFrame, path: str, spec: ModelSpec = ModelSpec()) -> str:
     """Fit on all rows and save the model's table under ``path``."""
-    model_table(frame.sparkSession, fit(frame, spec)).coalesce(1).write.mode("overwrite").parquet(path)
-    return path
+    return save_model(frame.sparkSession, fit(frame, spec), path)
 
 
 def load_model(spark: SparkSession, path: str) -> FittedModel | None:

@@ -275,3 +275,16 @@ def test_places_in_a_level_are_those_of_the_tree():
     feature, cut = rng.integers(-1, 3, 15), rng.integers(0, P.BINS, 15)
     every = np.arange(500)
     assert P.place_in_level(bins, feature, cut, depth).tolist() == P._leaf(lambda f, node: bins[f, every] > cut[node], feature, 500).tolist()
+
+
+def test_queries_fit_no_model_twice_and_no_set_in_vain(spark, sf_dir, monkeypatch):
+    from tallyframe.catalog import models as registered
+
+    asked = []
+    real = M.fit_sets
+    monkeypatch.setattr(M, "fit_sets", lambda blocked, spec, inputs, outers: asked.append(outers) or real(blocked, spec, inputs, outers))
+    assert registered.stored(spark, sf_dir).filter("not (same_score and same_pick)").isEmpty()
+    assert asked == [1]
+    monkeypatch.setattr(registered, "fit_sets", lambda blocked, spec, inputs, outers: asked.append(outers) or real(blocked, spec, inputs, outers))
+    assert registered.leaves(spark, sf_dir).filter("apart <> 0").isEmpty()
+    assert asked == [1, 1]
