@@ -35,7 +35,7 @@ from tallyframe.operators.views import display_drivers
 from tallyframe.operators.windows import drop_first_event, lagged, rolling_outputs, trailing
 from tallyframe.schema import ROLLING_COLUMNS, feature_columns
 
-from .base import SIDED, WINDOW, load, rolled_sql, sided_bound, sided_games, six, six_sql
+from .base import SIDED, WINDOW, load, rolled_sql, sided_bound, sided_by_team, sided_games, six, six_sql
 from .registry import query
 
 SIDES = ["home", "away"]
@@ -101,10 +101,9 @@ _FRAME_SQL = (
 @query("training_frame", _FRAME_SQL)
 def training_from_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From two tables, as stored: lag the features, pair the games, attach."""
-    games = sided_games(spark, sf_dir)
-    bound = sided_bound(spark, sf_dir)
-    features = trailing(games, rolling_outputs(games.columns), window=WINDOW, bound_by=bound)
-    return six(training_frame(features, games, bound_by=bound), *_DOUBLES)
+    games, plan = sided_by_team(spark, sf_dir)
+    features = trailing(games, rolling_outputs(games.columns), window=WINDOW, splits=plan)
+    return six(training_frame(features, sided_games(spark, sf_dir), splits=plan), *_DOUBLES)
 
 
 @query("training_frame_fused", _FRAME_SQL)
@@ -129,8 +128,8 @@ def lag_attached(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    games = sided_games(spark, sf_dir)
-    return training_frame_from_processed(games, WINDOW, bound_by=sided_bound(spark, sf_dir))
+    games, plan = sided_by_team(spark, sf_dir)
+    return training_frame_from_processed(games, WINDOW, splits=plan)
 
 
 # Scores for the checks below: a rolling share is a probability.

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.schema import ROLLING_COLUMNS, conform, training_schema
 
-from .skew import DEFAULT_POLICY, SplitPolicy
+from .skew import DEFAULT_POLICY, SplitPlan, SplitPolicy
 from .windows import BOX_ORDER, DEFAULT_WINDOW, drop_first_event, lagged, rolling_outputs, trailing
 
 
@@ -64,20 +64,31 @@ def dropped_sample(processed: DataFrame, game: str = "game_id", n: int = 5) -> D
 
 def attach_lagged(games: DataFrame, history: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Join each side's lagged columns; a game without history on either side
-    disappears. ``history`` carries ``lag_*`` columns per game and team."""
-    home = history.select(
-        "game_id",
-        "game_date",
-        "season",
-        F.col("team_abbreviation").alias("home_team"),
-        *[F.col(f"lag_{c}").alias(f"home_{c}") for c in columns],
-    )
-    away = history.select(
-        "game_id",
-        F.col("team_abbreviation").alias("away_team"),
-        *[F.col(f"lag_{c}").alias(f"away_{c}") for c in columns],
+    disappears. ``history`` carries ``lag_*`` columns per game and team, ``games``
+    one row per game.
+
+    History moves once, by game alone, and serves both sides: the away rows of a
+    game are handed to its home rows where they lie. Repeated history rows pair
+    up as in a join.
+    """
+    lags = [f"lag_{c}" for c in columns]
+    known = history.select("game_id", "game_date", "season", "team_abbreviation", *lags)
+    # Sides are marked before the window: a filter on the marks infers nothing about the structs.
+    marks = {f"__{side}": F.col("team_abbreviation") == F.col(f"{side}_team") for side in ("home", "away")}
+    met = games.join(known, "game_id").withColumns(marks).filter(F.col("__home") | F.col("__away"))
+    guests = F.collect_list(F.when(F.col("__away"), F.struct(*lags))).over(Window.partitionBy("game_id"))
+    rest = [c for c in games.columns if c not in ("game_id", "away_team", "home_team")]
+    kept = ["game_id", "away_team", "home_team", *rest, "game_date", "season"]
+    return (
+        met.withColumn("__guests", guests)
+        .filter("__home")
+        .select(*kept, *lags, F.explode("__guests").alias("__guest"))
+        .select(
+            *kept,
+            *[F.col(f"lag_{c}").alias(f"home_{c}") for c in columns],
+            *[F.col(f"__guest.lag_{c}").alias(f"away_{c}") for c in columns],
+        )
     )
-    return games.join(home, ["game_id", "home_team"]).join(away, ["game_id", "away_team"])
 
 
 def training_frame(
@@ -85,21 +96,23 @@ def training_frame(
     processed: DataFrame,
     policy: SplitPolicy = DEFAULT_POLICY,
     bound_by: DataFrame | None = None,
+    splits: SplitPlan | None = None,
 ) -> DataFrame:
     """Training matrix from a features zone and a processed zone.
 
     Features include the game itself, so each team's columns are lagged by one
     game before anything is joined. Missing rating columns count as NULL. A game
-    without a result has no label and is left out.
+    without a result has no label and is left out. ``splits`` reuses the cuts the
+    features were made with.
     """
     absent = [c for c in ROLLING_COLUMNS if c not in features.columns]
     features = features.withColumns({c: F.lit(None).cast("double") for c in absent}) if absent else features
     entity = ["team_id"] if "team_id" in features.columns else ["team_abbreviation"]
     history = drop_first_event(
-        lagged(features, ROLLING_COLUMNS, entity, BOX_ORDER, policy=policy, bound_by=bound_by)
+        lagged(features, ROLLING_COLUMNS, entity, BOX_ORDER, policy=policy, splits=splits, bound_by=bound_by)
     )
-    games = attach_lagged(pair_home_away(processed), history, ROLLING_COLUMNS)
-    return conform(games.filter(F.col("label").isNotNull()), training_schema())
+    decided = pair_home_away(processed).filter(F.col("label").isNotNull())
+    return conform(attach_lagged(decided, history, ROLLING_COLUMNS), training_schema())
 
 
 def training_frame_from_processed(
@@ -107,6 +120,7 @@ def training_frame_from_processed(
     window: int = DEFAULT_WINDOW,
     policy: SplitPolicy = DEFAULT_POLICY,
     bound_by: DataFrame | None = None,
+    splits: SplitPlan | None = None,
 ) -> DataFrame:
     """The same matrix straight from team-game rows in two shuffles.
 
@@ -119,6 +133,7 @@ def training_frame_from_processed(
         window=window,
         include_current=False,
         policy=policy,
+        splits=splits,
         bound_by=bound_by,
     )
     values = [c for c in ROLLING_COLUMNS if c in rolled.columns]

@@ -3,9 +3,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tallyframe.catalog.base import sided_by_team, sided_games
 from tallyframe.operators import evaluate as E
 from tallyframe.operators import training as TR
-from tallyframe.operators.windows import rolling_features
+from tallyframe.operators.skew import DEFAULT_POLICY, SplitPolicy
+from tallyframe.operators.windows import rolling_features, rolling_outputs, trailing
 from tallyframe.schema import ROLLING, TEAM_GAME, TRAINING_COLUMNS, conform
 
 from .conftest import day, exchanges, rows
@@ -96,6 +98,52 @@ def test_fused_equals_two_table_path(spark):
     assert exchanges(fused) == 2
 
 
+def test_two_table_path_moves_each_table_once(spark):
+    processed = season(spark)
+    features = rolling_features(processed).localCheckpoint()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = TR.training_frame(features, processed)
+        # Features by team, lagged history by game, sides by game.
+        assert exchanges(out) == 3
+        assert rows(out) == rows(TR.training_frame_from_processed(processed))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_repeated_history_pairs_up_as_in_a_join(spark):
+    games = spark.createDataFrame(
+        [("G1", "A", "B", 1), ("G2", "A", "C", 0), ("G3", "B", "B", 1), ("G4", None, "A", 0)],
+        "game_id string, home_team string, away_team string, label int",
+    )
+    data = [("G1", "A", 1), ("G1", "A", 2), ("G1", "B", 3), ("G1", "B", None), ("G1", "D", 9), ("G2", "A", 4)]
+    data += [("G3", "B", 5), ("G3", "B", 6), ("G4", "A", 7), ("G4", None, 8)]
+    history = spark.createDataFrame(
+        [(g, day("2026-02-01"), 2025, t, v) for g, t, v in data],
+        "game_id string, game_date date, season int, team_abbreviation string, lag_pts int",
+    )
+    out = TR.attach_lagged(games, history, ["pts"])
+    assert out.columns == ["game_id", "away_team", "home_team", "label", "game_date", "season", "home_pts", "away_pts"]
+    pairs = {("G1", h, a) for h in (1, 2) for a in (3, None)} | {("G3", h, a) for h in (5, 6) for a in (5, 6)}
+    got = [tuple(r) for r in out.select("game_id", "home_pts", "away_pts").collect()]
+    assert len(got) == len(pairs) and set(got) == pairs
+
+
+def test_team_to_be_cut_is_not_gathered(spark, sf_dir):
+    def frames(policy):
+        games, plan = sided_by_team(spark, sf_dir, policy)
+        features = trailing(games, rolling_outputs(games.columns), splits=plan)
+        dealt = "REPARTITION_BY_COL" in features._jdf.queryExecution().executedPlan().toString()
+        two = TR.training_frame(features, sided_games(spark, sf_dir), splits=plan)
+        return plan.active, dealt, rows(two), rows(TR.training_frame_from_processed(games, splits=plan))
+
+    hot, plain = frames(SplitPolicy(min_rows=60, max_chunks=50, sample_per_chunk=4)), frames(DEFAULT_POLICY)
+    assert hot[:2] == (True, False) and plain[:2] == (False, True)
+    rounded = [[tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in f] for f in hot[2:] + plain[2:]]
+    assert len(rounded[0]) > 500 and all(f == rounded[0] for f in rounded)
+
+
 def test_folds(spark):
     frame = TR.training_frame_from_processed(season(spark))
     cutoffs = E.walk_forward_cutoffs(frame, 4)
