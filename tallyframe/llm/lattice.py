@@ -3,7 +3,9 @@
 A table projects unit vectors at random onto blocks of eight coordinates and takes
 each block to the nearest point of the E8 lattice; the points are the cell. Close
 vectors fall into one cell or into neighbouring ones, so a vector also looks into
-the cells of the lattice points next nearest to it. Every pair found is confirmed
+the cells of the lattice points next nearest to it. Most vectors that meet in a cell
+are strangers: short sketches, which no two close vectors can tell apart, go to the cells
+first, and whole vectors only where a sketch found company. Every pair is confirmed
 by its cosine, inside the task that holds the cell: only link counts and stars leave it.
 """
 
@@ -93,12 +95,18 @@ def projection(spec: LatticeSpec, table: int, dims: int) -> np.ndarray:
     return raw / np.sqrt(DIMS) / spec.spacing
 
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
 def _cell_key(points: list[np.ndarray], table: int, dims: int) -> np.ndarray:
-    h = np.full(len(points[0]), table + 1 + (dims << 16), dtype=np.uint64)
+    # Mixed before the first coordinate too: small table numbers and coordinates would cancel out.
+    h = _mixed(np.full(len(points[0]), table + 1 + (dims << 16), dtype=np.uint64))
     for block in points:
         for column in (2 * block).astype(np.int64).T:
-            h = (h ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
+            h = _mixed(h ^ column.astype(np.uint64))
     return h.view(np.int64)
 
 
@@ -118,6 +126,43 @@ def cells(unit: np.ndarray, spec: LatticeSpec) -> np.ndarray:
     return np.stack(keys, axis=1)
 
 
+# A sketch has three coordinates out of eight, each a byte over five deviations of a random unit vector.
+SKETCHED, DEVIATIONS, TOP = 0.375, 5.0, 127
+
+
+def _sketch_width(dims: int) -> int:
+    return min(dims, DIMS * int(np.ceil(dims * SKETCHED / DIMS)))
+
+
+def _sketch_step(dims: int) -> float:
+    return DEVIATIONS / TOP / np.sqrt(dims)
+
+
+@cache
+def _sketch_basis(dims: int, seed: int) -> np.ndarray:
+    """Orthonormal columns, so that no distance grows."""
+    rng = np.random.default_rng([seed, dims])
+    return np.linalg.qr(rng.normal(size=(dims, _sketch_width(dims))))[0]
+
+
+def sketches(unit: np.ndarray, spec: LatticeSpec) -> np.ndarray:
+    """Some coordinates of every vector in a turned basis, as bytes; clipping and rounding move each by little."""
+    dims = unit.shape[1]
+    turned = unit @ _sketch_basis(dims, spec.seed)
+    return np.clip(np.rint(turned / _sketch_step(dims)), -TOP, TOP).astype(np.int8)
+
+
+def sketch_bound(dims: int, spec: LatticeSpec) -> float:
+    """Squared distance of two sketches that vectors at the wanted cosine cannot exceed.
+
+    Projecting and clipping bring points no further apart; rounding moves each
+    coordinate of a difference by one step at most.
+    """
+    apart = np.sqrt(max(0.0, 2 - 2 * spec.cosine) + 1e-9)
+    step = _sketch_step(dims)
+    return float((apart / step + np.sqrt(_sketch_width(dims))) ** 2 * (1 + 1e-9))
+
+
 def usable(vector: Column) -> Column:
     """A vector with entries, all finite, not all zero."""
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
@@ -206,6 +251,123 @@ def _links_of_cell(
     return around.astype(np.int64), label
 
 
+def _look(spec: LatticeSpec):
+    """Nodes to a row for each cell they look into: its key, node and place as one number, and the sketch."""
+    places = spec.tables * spec.per_table
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A node becomes many rows, so batches are cut.
+        for batch in (b.slice(low, STRIP) for b in batches for low in range(0, b.num_rows, STRIP)):
+            units = batch.column("unit")
+            sizes = np.diff(units.offsets.to_numpy())
+            flat, starts = units.values.to_numpy(), units.offsets.to_numpy()[:-1]
+            nodes = batch.column("node").to_numpy()
+            for size in np.unique(sizes):
+                mine = np.flatnonzero(sizes == size)
+                unit = flat[starts[mine][:, None] + np.arange(size)]
+                tags = nodes[mine][:, None] * places + np.arange(places)
+                short = [s.tobytes() for s in sketches(unit, spec)]
+                made = [
+                    pa.array(cells(unit, spec).ravel()),
+                    pa.array(tags.ravel()),
+                    pa.array(short, pa.binary()).take(pa.array(np.repeat(np.arange(len(mine)), places))),
+                ]
+                yield pa.RecordBatch.from_arrays([*made, pa.array(np.full(tags.size, size, np.int32))], names=["key", "tag", "sketch", "dims"])
+
+    return run
+
+
+FEW = 64  # rows of a cell up to which its pairs are formed beside those of other cells
+
+
+def _in_company(key: np.ndarray, own: np.ndarray, sketch: np.ndarray, bound: float) -> np.ndarray:
+    """Which rows, sorted by cell, have another one of their cell within ``bound``, one of the two its owner."""
+    met = np.zeros(len(key), dtype=bool)
+    starts = np.concatenate([[0], 1 + np.flatnonzero(key[1:] != key[:-1])])
+    size = np.diff(np.append(starts, len(key)))
+    owned = np.add.reduceat(own, starts, dtype=np.int64) > 0
+    # Rows of small cells beside the row k places on, for all cells at once.
+    ends = np.repeat(np.where(owned & (size <= FEW), starts + size, 0), size)
+    left = np.arange(len(key))
+    for k in range(1, FEW):
+        left = left[left + k < ends[left]]
+        if not len(left):
+            break
+        a = left[own[left] | own[left + k]]
+        apart = sketch[a].astype(np.int32) - sketch[a + k]
+        near = a[np.einsum("ij,ij->i", apart, apart) <= bound]
+        met[near] = met[near + k] = True
+    for c in np.flatnonzero(owned & (size > FEW)):
+        rows = np.arange(starts[c], starts[c] + size[c])
+        short = sketch[rows].astype(np.float64)
+        length = (short**2).sum(1)
+        for low in range(0, len(rows), STRIP):
+            part = slice(low, low + STRIP)
+            near = length[part, None] + length - 2 * short[part] @ short.T <= bound
+            near &= own[rows[part]][:, None] | own[rows]
+            near[np.arange(near.shape[0]), np.arange(low, low + near.shape[0])] = False
+            met[rows[part]] |= near.any(1)
+    return met
+
+
+def _find_company(spec: LatticeSpec):
+    """Rows sorted by cell to ``key`` and ``tag`` of those that may have a link there.
+
+    A cell of more than a chunk is not looked at here: all its rows go on, and are cut into chunks then.
+    """
+
+    def judged(cells: pa.Table) -> pa.RecordBatch | None:
+        key, tag = cells.column("key").to_numpy(), cells.column("tag").to_numpy()
+        # Cells of one row are most of all.
+        other = np.concatenate([[False], key[1:] == key[:-1], [False]])
+        rows = np.flatnonzero(other[1:] | other[:-1])
+        dims = cells.column("dims").to_numpy()[rows]
+        short = cells.column("sketch").take(pa.array(rows))
+        found = []
+        for size in np.unique(dims):
+            mine = np.flatnonzero(dims == size)
+            packed = np.frombuffer(b"".join(short.take(pa.array(mine)).to_pylist()), dtype=np.int8).reshape(len(mine), -1)
+            at = rows[mine]
+            found.append(at[_in_company(key[at], tag[at] % spec.per_table == 0, packed, sketch_bound(int(size), spec))])
+        if not found:
+            return None
+        kept = np.concatenate(found)
+        return pa.RecordBatch.from_arrays([pa.array(key[kept]), pa.array(tag[kept])], names=["key", "tag"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        crowd = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = batch.column("key").to_numpy()
+            if crowd is not None:
+                own = int(np.searchsorted(key != crowd, True)) if key[-1] != crowd else len(key)
+                yield batch.slice(0, own).select(["key", "tag"])
+                batch, key = batch.slice(own), key[own:]
+                if not len(key):
+                    continue
+                crowd = None
+            # All cells but the last one are whole.
+            last = int(len(key) - np.searchsorted(key[::-1] != key[-1], True)) if key[0] != key[-1] else 0
+            if last or (held and held[-1].column("key")[-1].as_py() != key[0]):
+                found = judged(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                if found is not None and found.num_rows:
+                    yield found
+                held = []
+            held.append(batch.slice(last))
+            if sum(b.num_rows for b in held) > spec.chunk:
+                crowd = key[-1]
+                yield from (b.select(["key", "tag"]) for b in held)
+                held = []
+        if held:
+            found = judged(pa.Table.from_batches(held))
+            if found is not None and found.num_rows:
+                yield found
+
+    return run
+
+
 def _link_cells(spec: LatticeSpec):
     """Rows sorted by cell to ``node``, ``around`` and ``star``, one row for each linked row of a cell."""
     place = ["key", "lo", "hi"]
@@ -277,9 +439,10 @@ def linked_vectors(
     different lengths with each other. Repeated rows are copies and count as
     links. An empty table gives an empty table. Other columns are ignored.
 
-    Equal vectors are one node with a weight before anything is paired. Cells in which
-    no two can meet are known by counts alone; the others get their vectors, and a
-    crowded cell is cut into chunks, two of which meet in a task. Pairs exist only
+    Equal vectors are one node with a weight before anything is paired. Sketches go to
+    the cells and say which vectors may have a link there, none that has one being left
+    out: only those are sent, so that they grow with the links and not with the strangers
+    that meet. A crowded cell is cut into chunks, two of which meet in a task. Pairs exist only
     there, as block products: a link counts in the first cell its vectors share, and
     what comes out is a count and a star edge for each vector of a cell.
     """
@@ -288,12 +451,12 @@ def linked_vectors(
         F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v")
     ).withColumn("h1", F.when(F.col("id").isNotNull() & usable(F.col("v")), F.xxhash64("v")))
     rows = rows.withColumn("h2", F.when(F.col("h1").isNotNull(), F.xxhash64(F.lit(1), "v")))
-    groups = rows.filter("h1 is not null").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
     # One row per distinct vector; -0.0 and 0.0 hash apart and are then found as a pair.
+    groups = rows.filter("h1 is not null").groupBy("h1", "h2")
     nodes = cut_lineage(
-        groups.join(rows.select(F.col("id").alias("rep"), "h1", "h2", "v"), ["rep", "h1", "h2"])
-        .dropDuplicates(["h1", "h2"])
-        .withColumn("node", F.concat(F.hex("h1"), F.lit("-"), F.hex("h2")))
+        groups.agg(F.min("id").alias("rep"), F.count("*").alias("weight"), F.any_value("v").alias("v"))
+        # Stored at once, so that the numbers stay.
+        .withColumn("node", F.monotonically_increasing_id())
         # Scaled by the largest entry first, so that squares neither overflow nor vanish.
         .withColumn("top", F.array_max(F.transform("v", lambda x: F.abs(x))))
         .withColumn("v", F.transform("v", lambda x: x / F.col("top")))
@@ -302,9 +465,19 @@ def linked_vectors(
         .drop("v", "top", "length")
     )
 
+    places = spec.tables * spec.per_table
+    looked = cut_lineage(
+        nodes.select("node", "unit")
+        .mapInArrow(_look(spec), "key long, tag long, sketch binary, dims int")
+        .repartition("key")
+        .sortWithinPartitions("key")
+        .mapInArrow(_find_company(spec), "key long, tag long")
+        .select("key", F.expr(f"tag div {places}").alias("node"), (F.col("tag") % places).cast("int").alias("at"))
+        .withColumn("own", F.col("at") % spec.per_table == 0)
+    )
+
     def start():
         def compute(units: list) -> list[list]:
-            keys_of: list = [None] * len(units)
             packs: list = [None] * len(units)
             by_size: dict[int, list[int]] = {}
             for i, u in enumerate(units):
@@ -312,16 +485,13 @@ def linked_vectors(
             for at in by_size.values():
                 unit = np.array([units[i] for i in at])
                 for i, u, keys in zip(at, unit, cells(unit, spec)):
-                    keys_of[i], packs[i] = keys, keys.tobytes() + u.tobytes()
-            return [keys_of, packs]
+                    packs[i] = keys.tobytes() + u.tobytes()
+            return [packs]
 
         return compute
 
-    fields = [("keys", T.ArrayType(T.LongType())), ("pack", T.BinaryType())]
-    keyed = cut_lineage(append_columns(nodes, "unit", fields, start, ["node", "weight"]))
-    looked = keyed.select("node", F.posexplode("keys").alias("at", "key")).withColumn(
-        "own", F.col("at") % spec.per_table == 0
-    )
+    found_some = nodes.join(looked.select("node").distinct(), "node", "left_semi")
+    keyed = cut_lineage(append_columns(found_some, "unit", [("pack", T.BinaryType())], start, ["node", "weight"]))
     # Somebody must own a cell and somebody else look into it. Owners fill the first chunks.
     crowds = (
         looked.groupBy("key")
@@ -349,7 +519,7 @@ def linked_vectors(
     found = cut_lineage(
         laid.repartition("key", "lo", "hi")
         .sortWithinPartitions("key", "lo", "hi")
-        .mapInArrow(_link_cells(spec), "node string, around long, star string")
+        .mapInArrow(_link_cells(spec), "node long, around long, star long")
     )
     degree = found.groupBy("node").agg(F.sum("around").alias("around"))
     links = found.filter("node <> star").select(F.col("node").alias("a"), F.col("star").alias("b")).distinct()

@@ -203,6 +203,58 @@ def test_recall_just_above_the_threshold():
     assert found.mean() >= 0.999
 
 
+def test_strangers_of_a_cell_are_not_sent_whole(spark, monkeypatch):
+    """Cells so wide that all vectors meet: only those with company by their sketches go on."""
+    from tallyframe.llm import lattice
+
+    sent, append = [], lattice.append_columns
+    monkeypatch.setattr(lattice, "append_columns", lambda df, *a, **k: sent.append(df.count()) or append(df, *a, **k))
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 64))
+    x[297:] = x[0] + rng.normal(scale=0.05, size=(3, 64))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in linked_vectors(df, LatticeSpec(spacing=20.0)).collect()}
+    assert sent == [4]
+    assert got == {i: (3, 0) if i in (0, 297, 298, 299) else (0, i) for i in range(300)}
+
+
+@pytest.mark.parametrize("dims", [1, 5, 16, 64, 300])
+def test_sketches_of_close_vectors_are_close(dims):
+    from tallyframe.llm.lattice import sketch_bound, sketches
+
+    rng = np.random.default_rng(dims)
+    x, u = rng.normal(size=(2, 2000, dims))
+    x[:100] = np.eye(dims)[rng.integers(0, dims, 100)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u -= (u * x).sum(1, keepdims=True) * x
+    u /= np.maximum(np.linalg.norm(u, axis=1, keepdims=True), 1e-300)
+    y = x if dims == 1 else 0.95 * x + np.sqrt(1 - 0.95**2) * u
+    apart = sketches(x, LatticeSpec()).astype(int) - sketches(y, LatticeSpec())
+    assert (apart**2).sum(1).max() <= sketch_bound(dims, LatticeSpec())
+
+
+def test_cells_of_two_tables_never_share_a_key():
+    from tallyframe.llm.lattice import _cell_key
+
+    points = np.zeros((21, 8))
+    points[:, 0] = np.arange(-10, 11) / 2
+    keys = [k for table in range(16) for k in _cell_key([points, np.zeros((21, 8))], table, 64).tolist()]
+    assert len(set(keys)) == 16 * 21
+
+
+def test_company_in_cells_matches_brute_force():
+    from tallyframe.llm.lattice import _in_company
+
+    rng = np.random.default_rng(3)
+    key = np.sort(np.concatenate([rng.integers(0, 300, 900), np.full(700, 7), np.full(66, 1000)]))
+    own = rng.random(len(key)) < 0.1
+    own[key == 1000] = False
+    sketch = rng.integers(-20, 20, (len(key), 4)).astype(np.int8)
+    apart = ((sketch[:, None].astype(int) - sketch[None]) ** 2).sum(2)
+    near = (apart <= 150) & (key[:, None] == key) & (own[:, None] | own) & ~np.eye(len(key), dtype=bool)
+    assert (_in_company(key, own, sketch, 150.0) == near.any(1)).all() and 0 < near.any(1).sum() < len(key)
+
+
 def test_masks_see_through_two_replaced_words():
     for i in range(13):
         for j in range(13):
