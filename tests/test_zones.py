@@ -16,7 +16,7 @@ from tallyframe.sources import zones as Z
 from tallyframe.sources.landing import land_box_scores, land_odds, rejects_path
 from tallyframe.streaming.incremental import incremental_team_game, touched_partitions
 
-from .conftest import day, rows
+from .conftest import day, exchanges, rows
 
 
 def team_rows(spark, dates, pts=100):
@@ -414,6 +414,20 @@ def test_closing_line_of_several_fetches(spark, tmp_path):
     assert closing_line(zone.withColumn("commence_time", F.lit(None).cast("timestamp"))).isEmpty()
 
 
+def test_newest_prices_move_once(spark):
+    """A market of unknown game, a repeated row and one never fetched; all in one shuffle, by game."""
+    kinds = "game_id string, sportsbook string, market_type string, outcome_name string, price double, fetched_at timestamp"
+    at = [dt.datetime(2026, 6, 4, h) for h in (8, 12)]
+    odds = spark.createDataFrame(
+        [("a", "x", "h2h", "H", 1.0, at[0]), ("a", "x", "h2h", "H", 2.0, at[1]), ("a", "x", "h2h", "H", 2.0, at[1]), ("a", "x", "h2h", "A", 3.0, None),
+         ("a", "x", "totals", "Over", 4.0, None), (None, "x", "h2h", "H", 5.0, at[0]), (None, "x", "h2h", "H", 6.0, at[1]), (None, None, "h2h", "H", 7.0, at[0])],
+        kinds,
+    )
+    newest = current_prices(odds)
+    assert sorted(r.price for r in newest.collect()) == [2.0, 2.0, 4.0, 6.0, 7.0]
+    assert exchanges(newest) == 1 and newest.columns == odds.columns
+
+
 def test_rejects_are_landed_once(spark, tmp_path):
     path = str(tmp_path / "raw/box")
     payload = spark.createDataFrame(
