@@ -27,12 +27,12 @@ from tallyframe.operators.models import (
     score_games,
 )
 from tallyframe.operators.passes import BoostSpec, Fits, calibrator_pools, exact_medians, filled, probability, read_batch
-from tallyframe.operators.training import chronological
+from tallyframe.operators.training import chronological, training_frame_from_processed
 from tallyframe.operators.windows import latest_per_entity, rolling_outputs, trailing
 from tallyframe.schema import ROLLING_COLUMNS
 from tallyframe.session import cut_lineage, scratch_path
 
-from .base import WINDOW, sided_bound, sided_games, six
+from .base import WINDOW, sided_by_team, six
 from .registry import query
 from .reports import requested_pairs
 from .training import FRAME, INPUTS, SCORED, frame, scored
@@ -65,15 +65,22 @@ def games_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("predict_matchups")
 def matchups_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every pair of customer and supplier that has met, from their newest rows."""
-    games = sided_games(spark, sf_dir)
-    features = trailing(
-        games, rolling_outputs(games.columns), window=WINDOW, bound_by=sided_bound(spark, sf_dir)
-    )
-    latest = latest_per_entity(
-        features.select("team_abbreviation", "game_date", "game_id", *ROLLING_COLUMNS)
+    """Every pair of customer and supplier that has met, from their newest rows.
+
+    What the model learns from and the newest rows come from one shuffle by team: both
+    are asked for the same columns and stored together.
+    """
+    games, plan = sided_by_team(spark, sf_dir)
+    features = trailing(games, rolling_outputs(games.columns), window=WINDOW, splits=plan)
+    newest = latest_per_entity(
+        features.select("team_abbreviation", "season", "game_date", "game_id", *ROLLING_COLUMNS)
     )
-    model = fit(cut_lineage(frame(spark, sf_dir)), LOGREG)
+    rows = training_frame_from_processed(games, WINDOW, splits=plan)
+    taught = rows.withColumn("newest", F.lit(False))
+    known = newest.drop("game_date", "game_id").withColumn("newest", F.lit(True))
+    both = cut_lineage(taught.unionByName(known, allowMissingColumns=True))
+    model = fit(both.filter("not newest").select(*rows.columns), LOGREG)
+    latest = both.filter("newest").select("team_abbreviation", *ROLLING_COLUMNS)
     out = predict_matchups(model, requested_pairs(spark, sf_dir), latest, ROLLING_COLUMNS)
     return out.select("home_team", "away_team", F.col("home_win_prob"), "predicted_home_win")
 

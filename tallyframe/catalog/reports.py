@@ -215,15 +215,19 @@ def _sided_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requested_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer and supplier that have met, as a fixture list."""
+    """Every customer and supplier that have met, as a fixture list.
+
+    Repeats are dropped where a supplier's pairs lie, so that its newest row can join them there.
+    """
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct()
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     return (
         lines.join(orders, F.col("o_orderkey") == F.col("l_orderkey"))
         .select(
             F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("home_team"),
             F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("away_team"),
         )
+        .repartition("away_team")
         .distinct()
     )
 

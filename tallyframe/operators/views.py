@@ -99,15 +99,17 @@ def attach_pairs(
     """Requested ``(home_team, away_team)`` match-ups with both snapshots.
 
     The pairs are given, so two equi-joins do; nothing is crossed. A team never
-    meets itself, and an unknown team drops the pair.
+    meets itself, and an unknown team drops the pair. Away teams come first: pairs
+    dealt by them already are not moved again before their columns are wide.
     """
     out = pairs.filter(F.col("home_team") != F.col("away_team"))
-    for side in ("home", "away"):
+    rest = [c for c in pairs.columns if c not in ("home_team", "away_team")]
+    for side in ("away", "home"):
         sided = latest.select(
             F.col(entity).alias(f"{side}_team"), *[F.col(c).alias(f"{side}_{c}") for c in columns]
         )
         out = out.join(sided, f"{side}_team")
-    return out
+    return out.select("away_team", "home_team", *rest, *[f"{side}_{c}" for side in ("home", "away") for c in columns])
 
 
 def head_to_head(

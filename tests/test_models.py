@@ -11,7 +11,7 @@ from tallyframe.operators import models as M
 from tallyframe.operators import passes as P
 from tallyframe.schema import ROLLING_COLUMNS, conform, training_schema
 
-from .conftest import rows
+from .conftest import exchanges, rows
 
 FAST = M.ModelSpec("logreg", calibration_folds=2, max_iter=50)
 
@@ -288,3 +288,19 @@ def test_queries_fit_no_model_twice_and_no_set_in_vain(spark, sf_dir, monkeypatc
     monkeypatch.setattr(registered, "fit_sets", lambda blocked, spec, inputs, outers: asked.append(outers) or real(blocked, spec, inputs, outers))
     assert registered.leaves(spark, sf_dir).filter("apart <> 0").isEmpty()
     assert asked == [1, 1]
+
+
+def test_dealt_pairs_move_once_they_are_wide(spark):
+    """Pairs that lie by away team meet its row there: one shuffle for them, one of wide rows, one of each side's rows."""
+    from tallyframe.operators.views import attach_pairs
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        latest = spark.createDataFrame([("A", 1.0), ("B", 2.0), ("C", 3.0)], "team_abbreviation string, v double")
+        pairs = spark.createDataFrame([("A", "B"), ("A", "B"), ("C", "B"), ("A", "A"), ("A", "Z")], "home_team string, away_team string")
+        out = attach_pairs(pairs.repartition("away_team").distinct(), latest, ["v"])
+        assert rows(out) == [("B", "A", 1.0, 2.0), ("B", "C", 3.0, 2.0)] and out.columns == ["away_team", "home_team", "home_v", "away_v"]
+        assert exchanges(out) == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
