@@ -40,8 +40,9 @@ def entity_event_totals(
     sums: Mapping[str, str],
     constants: Sequence[str] = (),
     leaders: Mapping[str, tuple[str, str]] | None = None,
+    more: Sequence[Column] = (),
 ) -> DataFrame:
-    """Sums, repeated constants and per-group leaders in one shuffle.
+    """Sums, repeated constants, per-group leaders and ``more`` aggregates in one shuffle.
 
     Everything is an aggregate with partial results, so each task sends one row
     per group however many rows the group has. A constant is the largest
@@ -51,24 +52,28 @@ def entity_event_totals(
     columns += [F.sum(source).alias(out) for out, source in sums.items()]
     for out, (stat, name) in (leaders or {}).items():
         columns.append(top_name(stat, name).alias(out))
-    return df.groupBy(*keys).agg(*columns)
+    return df.groupBy(*keys).agg(*columns, *more)
 
 
 def team_game_stats(
-    df: DataFrame, with_leaders: bool = False, keys: Sequence[str] = tuple(TEAM_GAME_KEYS)
+    df: DataFrame, with_leaders: bool = False, keys: Sequence[str] = tuple(TEAM_GAME_KEYS), shared: Sequence[str] = ()
 ) -> DataFrame:
     """Player-game rows to team-game rows: totals, shooting ratios, orientation,
     result and, if asked for, the three leaders.
 
     With fewer ``keys`` (game and team) the game's own attributes can be joined
-    afterwards, when every group is down to one row.
+    afterwards, when every group is down to one row. Attributes named in ``shared`` are
+    taken along, and ``mixed`` says of a group that its rows differ in them.
     """
     leaders = {out: (stat, "player_name") for out, stat in LEADERS.items()} if with_leaders else {}
+    ends = [end(F.struct(*shared)).alias(name) for name, end in (("__low", F.min), ("__high", F.max))] if shared else []
     totals = entity_event_totals(
-        df, keys, {c: c for c in SUMMED}, constants=["matchup", "wl"], leaders=leaders
+        df, keys, {c: c for c in SUMMED}, constants=["matchup", "wl"], leaders=leaders, more=ends
     )
+    taken = [*[F.col(f"__high.{c}").alias(c) for c in shared], (~F.col("__low").eqNullSafe(F.col("__high"))).alias("mixed")]
     return totals.select(
         *keys,
+        *(taken if shared else []),
         opponent("matchup").alias("opponent_abbreviation"),
         is_home("matchup").alias("is_home"),
         won("wl").alias("win"),

@@ -189,6 +189,30 @@ def test_rebuild_and_daily_agree(spark, tmp_path):
     assert training_matrix(spark, once).count() == 2
 
 
+def test_rebuild_moves_each_feed_once(spark, tmp_path, monkeypatch):
+    """One shuffle for box scores, one for ratings; by all keys only where a game lies under two dates."""
+    from tallyframe.plans import jobs
+
+    zones = landed(spark, str(tmp_path / "m"), DATES)
+    moves, write = [], jobs.write_processed
+    monkeypatch.setattr(jobs, "write_processed", lambda df, path: moves.append(exchanges(df)) or write(df, path))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rebuild(spark, zones)
+        assert moves == [2]
+        again = Z.read_zone(spark, zones.raw, PLAYER_GAME).filter(F.col("game_date") == day(DATES[0])).withColumn("game_date", F.lit(day("2026-05-03")))
+        conform(spark.createDataFrame(again.collect(), PLAYER_GAME), PLAYER_GAME).write.mode("append").partitionBy("season", "game_date").parquet(zones.raw)
+        rebuild(spark, zones)
+        assert len(moves) == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    wanted = jobs.processed_rows(Z.read_zone(spark, zones.raw, PLAYER_GAME), Z.read_zone(spark, zones.raw_advanced, PLAYER_GAME_ADVANCED))
+    got = Z.read_zone(spark, zones.processed, TEAM_GAME)
+    assert rows(got) == rows(conform(wanted, TEAM_GAME)) and got.count() == 8
+    assert rows(Z.read_zone(spark, zones.features, ROLLING), *ROLLING.names) == rows(rolling_features(got), *ROLLING.names)
+
+
 def test_rebuild_without_ratings(spark, tmp_path):
     zones = landed(spark, str(tmp_path / "c"), DATES[:1], advanced=False)
     rebuild(spark, zones)
