@@ -213,6 +213,29 @@ def test_rebuild_moves_each_feed_once(spark, tmp_path, monkeypatch):
     assert rows(Z.read_zone(spark, zones.features, ROLLING), *ROLLING.names) == rows(rolling_features(got), *ROLLING.names)
 
 
+def test_a_log_that_lies_by_game_does_not_move(spark):
+    """Numbers meet as numbers; teams are told apart without being a key, and unknown ones keep their rows."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        box = spark.createDataFrame(
+            [(1, 7, 70, 5), (1, 7, 71, 6), (1, 8, 80, 7), (1, None, 90, 8), (2, 7, 70, 9), (None, 7, 70, 1)], "GAME_ID long, TEAM_ID int, PLAYER_ID int, PTS int"
+        )
+        log = spark.createDataFrame(
+            [(1, 7, "2026-05-01", "A vs. B", "W"), (1, 7, "2026-05-01", "A vs. B", "W"), (1, 8, "2026-05-01", "B @ A", "L"), (3, 7, "2026-05-02", "A @ C", "L")],
+            "GAME_ID long, TEAM_ID int, GAME_DATE string, MATCHUP string, WL string",
+        )
+        got = L.box_score_rows(box, log.repartition("GAME_ID"))
+        assert exchanges(got) == 2
+        out = L.normalize_box_scores(box, log, "2025-26", "Playoffs")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows(out, "pts", "game_id", "team_id", "wl", "game_date") == [
+        (1, None, 7, None, None), (5, "1", 7, "W", day("2026-05-01")), (6, "1", 7, "W", day("2026-05-01")),
+        (7, "1", 8, "L", day("2026-05-01")), (8, "1", None, None, None), (9, "2", 7, None, None),
+    ]
+
+
 def test_rebuild_without_ratings(spark, tmp_path):
     zones = landed(spark, str(tmp_path / "c"), DATES[:1], advanced=False)
     rebuild(spark, zones)
