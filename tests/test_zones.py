@@ -471,8 +471,9 @@ def test_newest_prices_move_once(spark):
         kinds,
     )
     newest = current_prices(odds)
-    assert sorted(r.price for r in newest.collect()) == [2.0, 2.0, 4.0, 6.0, 7.0]
-    assert exchanges(newest) == 1 and newest.columns == odds.columns
+    assert sorted(r.price for r in newest.collect()) == [2.0, 2.0, 4.0, 6.0, 7.0] and newest.columns == odds.columns
+    ran = newest._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert ran.count("Exchange hashpartitioning") - ran.count("ReusedExchange") == 1 and "Sort [" not in ran
 
 
 def test_rejects_are_landed_once(spark, tmp_path):
